@@ -14,6 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickscore.functions.numbers import double_array
+
 SLICES = 1024
 SMALL = 50_000  # rows that may be accumulated in a single slice
 
@@ -26,7 +28,7 @@ def slice_cuts(rows: DataFrame, order: str, small: int = SMALL, slices: int = SL
     most that many distinct values, however often one value repeats.  Returns no
     cuts when the whole input fits a single slice.
     """
-    probs = F.expr(f"transform(sequence(1, {slices - 1}), i -> i / {slices}D)")
+    probs = double_array([i / slices for i in range(1, slices)])
     seen = rows.agg(
         F.count(order).alias("n"),
         F.percentile_approx(order, probs, F.lit(10 * slices)).alias("cuts"),
