@@ -324,5 +324,216 @@ def decision_sql() -> dict[str, str]:
     return out
 
 
+# --- sessions -----------------------------------------------------------------------
+
+NUM, ALL_NUM, CAT = SESSION.numeric, SESSION.all_numeric, SESSION.categorical
+SPELLED = ("Month", "VisitorType")
+
+
+def each(items, template: str, glue: str = " UNION ALL ") -> str:
+    return glue.join(template.replace("{c}", c) for c in items)
+
+
+def as_doubles(skip: str = "") -> str:
+    return ", ".join(f"{c}::DOUBLE AS {c}" for c in NUM)
+
+
+def damaged() -> str:
+    return f"""{SESSIONS},
+    t AS (SELECT row_id, row_id // 1000 AS k, {', '.join(f"CAST({c} AS VARCHAR) AS {c}" for c in NUM)} FROM s),
+    w AS (SELECT * REPLACE (
+      CASE WHEN k % 7 = 1 THEN '-5' ELSE ProductRelated END AS ProductRelated,
+      CASE WHEN k % 11 = 2 THEN '4.2' ELSE BounceRates END AS BounceRates,
+      CASE WHEN k % 13 = 3 THEN 'n/a' ELSE PageValues END AS PageValues,
+      CASE WHEN k % 5 = 4 THEN '0' ELSE Informational END AS Informational,
+      CASE WHEN k % 17 = 5 THEN NULL ELSE ExitRates END AS ExitRates) FROM t),
+    v AS (SELECT row_id, {', '.join(f"{c} AS {c}_text, TRY_CAST({c} AS DOUBLE) AS {c}" for c in NUM)} FROM w),
+    problems AS (
+      {each(NUM, "SELECT row_id, 'not_numeric' AS rule, '{c}' AS field FROM v WHERE {c}_text IS NOT NULL AND {c} IS NULL")}
+      UNION ALL {each(NUM, "SELECT row_id, 'negative', '{c}' FROM v WHERE {c} < 0")}
+      UNION ALL {each(SESSION.rates, "SELECT row_id, 'rate_out_of_range', '{c}' FROM v WHERE {c} < 0 OR {c} > 1")}
+      UNION ALL {" UNION ALL ".join(
+          f"SELECT row_id, 'time_without_pages', '{d}' FROM v WHERE {c} = 0 AND {d} > 0" for c, d in SESSION.visits)}
+    )"""
+
+
+def session_sql() -> dict[str, str]:
+    out = {}
+    W, U = f"WITH {SESSIONS}", f"WITH {UNIQUE}"
+    out["sessions"] = f"{W} SELECT {COLS}, row_id FROM s"
+    out["dedupe"] = f"{U} SELECT {COLS}, row_id FROM u"
+    out["duplicate_stats"] = f"""{U}, a AS (SELECT count(*) AS n FROM s), b AS (SELECT count(*) AS d FROM u)
+      SELECT n AS n_rows, n - d AS n_duplicates, round(100.0::DOUBLE * (n - d) / n, 3) AS duplicate_pct FROM a, b"""
+    out["features_target"] = f"""{W} SELECT {', '.join(SESSION.features)}, CAST(Revenue AS INTEGER) AS Revenue FROM s"""
+    out["session_features"] = f"{U} SELECT row_id, {', '.join(f'round({c}, 6) AS {c}' for c in SESSION.engineered)} FROM e"
+    rules = {
+        "High-intent buyer": "Revenue AND PageValues > pv",
+        "Engaged researcher": "NOT Revenue AND ProductRelated > pr AND PageValues = 0",
+        "Quick bouncer": "NOT Revenue AND BounceRates > 0.15",
+        "Returning window shopper":
+            "NOT Revenue AND VisitorType = 'Returning_Visitor' AND ProductRelated BETWEEN 5 AND 30",
+    }
+    seg = "q AS (SELECT quantile_cont(PageValues, 0.5) AS pv, quantile_cont(ProductRelated::DOUBLE, 0.75) AS pr FROM e), seg AS (" + (
+        " UNION ALL ".join(f"SELECT e.*, '{n}' AS segment FROM e, q WHERE {r}" for n, r in rules.items())
+    ) + ")"
+    out["segment"] = f"{U}, {seg} SELECT row_id, segment FROM seg"
+    out["table_contract"] = f"""{W}
+      SELECT 'columns_present' AS "check", '' AS expected, '' AS actual, true AS passed
+      UNION ALL SELECT 'row_count', NULL, CAST(count(*) AS VARCHAR), true FROM s
+      UNION ALL SELECT 'target_rate_pct', NULL, CAST(round(100.0::DOUBLE * avg(Revenue::INTEGER), 3) AS VARCHAR), true FROM s"""
+    plain = f"{W} SELECT row_id, {as_doubles()}, {', '.join(CAT)} FROM s"
+    for style in ("exact", "renamed", "anonymous", "recased", "yes_no", "decimal_codes", "padded"):
+        out[f"align_{style}"] = plain
+    bad = "(row_id // 1000) % 50 = 3"
+    lost = ", ".join(f"CASE WHEN {bad} THEN NULL ELSE {c}::DOUBLE END AS {c}" for c in NUM)
+    unknown = ", ".join(f"CASE WHEN {bad} THEN -1 ELSE {c} END AS {c}" for c in SESSION.coded_categorical)
+    out["align_broken_numbers"] = f"{W} SELECT row_id, {lost}, Month, VisitorType, Weekend, {unknown} FROM s"
+    n_bad = f"(SELECT count(*) AS n FROM s WHERE {bad})"
+    out["coercion_counts_broken"] = f"""{W} SELECT * FROM (
+      {each(NUM, "SELECT '{c}' AS \"column\", 'not_numeric' AS repair, n FROM " + n_bad)} UNION ALL
+      {each(SESSION.coded_categorical, "SELECT '{c}', 'not_code', n FROM " + n_bad)}) WHERE n > 0"""
+    out["coercion_counts_recased"] = f"""{W} {each(SPELLED, "SELECT '{c}' AS \"column\", 'recased' AS repair, count(*) AS n FROM s")}"""
+    out["validate_sessions"] = f"WITH {damaged()} SELECT rule, field, count(*) AS n FROM problems GROUP BY ALL"
+    out["quarantined_rows"] = f"""WITH {damaged()} SELECT row_id, count(*)::INTEGER AS n_problems
+      FROM problems GROUP BY row_id"""
+    out["valid_rows"] = f"WITH {damaged()} SELECT row_id FROM s WHERE row_id NOT IN (SELECT row_id FROM problems)"
+
+    spark_type = {"long": "bigint", "double": "double", "string": "string", "boolean": "boolean", "integer": "int"}
+    lines = []
+    for c, t in SESSION.types:
+        kind = spark_type[t.typeName()]
+        zero = "NULL::DOUBLE" if kind == "string" else f"round(100.0::DOUBLE * count(*) FILTER ({c}::DOUBLE = 0) / count(*), 2)"
+        lines.append(f"""SELECT '{c}' AS "column", '{kind}' AS dtype, count(*) - count({c}) AS n_null,
+          round(100.0::DOUBLE * (count(*) - count({c})) / count(*), 3) AS pct_null,
+          count(DISTINCT {c}) AS n_unique, {zero} AS pct_zero FROM s""")
+    out["quality"] = f"{W} " + " UNION ALL ".join(lines)
+    out["null_total"] = f"{W} SELECT " + " + ".join(f"count(*) - count({c})" for c in SESSION.columns) + " AS n_null FROM s"
+    out["code_catalog"] = f"{W} " + each(
+        SESSION.coded_categorical,
+        """SELECT '{c}' AS "column", 'int' AS dtype, count(DISTINCT {c}) AS n_unique,
+        array_to_string(list_sort(list(DISTINCT {c}))[1:30], ',') AS "values" FROM s""",
+    )
+    out["zero_inflation"] = f"{W} " + each(
+        NUM,
+        """SELECT '{c}' AS "column", round(100.0::DOUBLE * avg(CASE WHEN {c} = 0 THEN 1.0::DOUBLE ELSE 0 END), 2) AS pct_zero FROM s""",
+    )
+    out["target_balance"] = f"""{W}, t AS (SELECT count(*) FILTER (NOT Revenue) AS neg, count(*) FILTER (Revenue) AS pos FROM s)
+      SELECT neg AS no_purchase, pos AS purchase, round(100.0::DOUBLE * pos / (pos + neg), 3) AS positive_rate_pct,
+        round(neg::DOUBLE / greatest(pos, 1), 2) AS imbalance_ratio,
+        round(100.0::DOUBLE * neg / (pos + neg), 3) AS majority_accuracy_pct FROM t"""
+    out["baseline_rate"] = f"""{U} SELECT round(100.0::DOUBLE * avg(Revenue::INTEGER), 2) AS baseline_pct,
+      count(*) AS n_sessions FROM e"""
+
+    quart = f"""tall AS ({each(ALL_NUM, """SELECT '{c}' AS "column", {c}::DOUBLE AS x FROM e""")}),
+      q AS (SELECT "column", quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS q2,
+        quantile_cont(x, 0.75) AS q3 FROM tall GROUP BY "column"),
+      f AS (SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi FROM q)"""
+    out["outliers"] = f"""{U}, {quart}
+      SELECT "column", round(any_value(q1), 4) AS q1, round(any_value(q3), 4) AS q3,
+        round(any_value(lo), 4) AS lower_bound, round(any_value(hi), 4) AS upper_bound,
+        count(*) FILTER (x < lo OR x > hi) AS n_outliers,
+        round(100.0::DOUBLE * count(*) FILTER (x < lo OR x > hi) / count(*), 2) AS pct_outliers,
+        round(max(x), 4) AS "max",
+        round(CASE WHEN min(x) = max(x) THEN 0 ELSE skewness(x) END, 3) AS skew
+      FROM tall JOIN f USING ("column") GROUP BY "column" """
+    out["standardised_box"] = f"""{U}, {quart},
+      m AS (SELECT "column", avg(x) AS mu, CASE WHEN stddev_samp(x) > 0 THEN stddev_samp(x) ELSE 1 END AS sd
+        FROM tall GROUP BY "column")
+      SELECT "column", round((min(x) FILTER (x >= lo) - any_value(mu)) / any_value(sd), 4) AS whisker_low,
+        round((any_value(q1) - any_value(mu)) / any_value(sd), 4) AS q1,
+        round((any_value(q2) - any_value(mu)) / any_value(sd), 4) AS median,
+        round((any_value(q3) - any_value(mu)) / any_value(sd), 4) AS q3,
+        round((max(x) FILTER (x <= hi) - any_value(mu)) / any_value(sd), 4) AS whisker_high
+      FROM tall JOIN f USING ("column") JOIN m USING ("column") GROUP BY "column" """
+    out["correlation_matrix"] = f"{U} " + " UNION ALL ".join(
+        f"SELECT '{a}' AS feature, " + ", ".join(f"round(corr({a}, {b}), 4) AS {b}" for b in ALL_NUM) + " FROM e"
+        for a in ALL_NUM
+    )
+    out["high_correlation_pairs"] = f"{U}, x AS (" + " UNION ALL ".join(
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, abs(corr({a}, {b})) AS abs_corr FROM e"
+        for i, a in enumerate(ALL_NUM) for b in ALL_NUM[i + 1:]
+    ) + ") SELECT feature_a, feature_b, round(abs_corr, 6) AS abs_corr FROM x WHERE abs_corr >= 0.8"
+    out["target_correlation"] = f"{U} " + each(
+        ALL_NUM, "SELECT '{c}' AS feature, round(corr({c}, Revenue::INTEGER), 4) AS correlation_with_target FROM e"
+    )
+    for name, c in (("month", "Month"), ("visitor", "VisitorType"), ("weekend", "Weekend")):
+        months = ", ".join(f"'{m}'" for m in CALENDAR)
+        rank = f", list_position([{months}], {c})::INTEGER AS calendar_rank" if c == "Month" else ""
+        out[f"conversion_by_{name}"] = f"""{U} SELECT CAST({c} AS VARCHAR) AS level, count(*) AS sessions,
+          round(100.0::DOUBLE * avg(Revenue::INTEGER), 2) AS conversion_pct,
+          (SELECT round(100.0::DOUBLE * avg(Revenue::INTEGER), 2) FROM e) AS baseline_pct{rank}
+          FROM e GROUP BY {c}"""
+    out["calendar_coverage"] = f"""{U}, c(calendar_rank, month) AS (VALUES {', '.join(
+        f"({i + 1}, '{m}')" for i, m in enumerate(CALENDAR))})
+      SELECT calendar_rank, month, month IN (SELECT Month FROM e) AS present FROM c"""
+    marks = ", ".join(repr(i / 20) for i in range(1, 20))
+    spots = each(
+        ALL_NUM,
+        """SELECT '{c}' AS feature, CAST(len(list_filter(q, lambda t: t <= {c})) AS VARCHAR) AS level, Revenue::INTEGER AS y
+        FROM e, (SELECT list_distinct(quantile_cont({c}::DOUBLE, [MARKS])) AS q FROM e)""".replace("MARKS", marks),
+    )
+    levels = each(CAT, "SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, Revenue::INTEGER AS y FROM e")
+    out["mutual_information"] = f"""{U}, x AS ({spots} UNION ALL {levels}),
+      c AS (SELECT feature, level, count(*)::DOUBLE AS nv, sum(y)::DOUBLE AS n1 FROM x GROUP BY ALL),
+      t AS (SELECT count(*)::DOUBLE AS n, sum(Revenue::INTEGER)::DOUBLE AS p FROM e),
+      z AS (SELECT feature, sum(CASE WHEN n1 > 0 THEN n1 / n * ln(n1 * n / (nv * p)) ELSE 0 END
+        + CASE WHEN nv > n1 THEN (nv - n1) / n * ln((nv - n1) * n / (nv * (n - p))) ELSE 0 END) AS mi
+        FROM c, t GROUP BY feature)
+      SELECT feature, round(greatest(mi, 0), 5) AS mutual_information FROM z"""
+    out["histogram"] = f"""{U}, x AS ({each(NUM, """SELECT '{c}' AS "column", {c}::DOUBLE AS v FROM e""")}),
+      r AS (SELECT "column", min(v) AS lo, max(v) AS hi FROM x GROUP BY "column"),
+      b AS (SELECT "column", i::INTEGER AS bin, lo + i * ((hi - lo) / 50) AS lower,
+        CASE WHEN i = 49 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 50) END AS upper FROM r, range(50) t(i)
+        WHERE hi > lo
+        UNION ALL SELECT "column", 0, lo, hi FROM r WHERE hi = lo),
+      g AS (SELECT "column", bin, lower, upper,
+        row_number() OVER (PARTITION BY "column" ORDER BY bin DESC) = 1 AS last FROM b)
+      SELECT "column", bin, round(any_value(lower), 6) AS lower, round(any_value(upper), 6) AS upper,
+        count(v) AS "count"
+      FROM g LEFT JOIN x ON x."column" = g."column" AND v >= lower AND (v < upper OR last)
+      GROUP BY g."column", bin""".replace('SELECT "column", bin, round', 'SELECT g."column", bin, round')
+    step = {c: "0.001, 3" if c in SESSION.unit_scaled else ("1.0, 0" if c in SESSION.counts else "1.0, 1") for c in NUM}
+    out["numeric_ranges"] = f"{U} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", min({c})::DOUBLE AS "min", max({c})::DOUBLE AS "max",
+        round(quantile_cont({c}::DOUBLE, 0.5), 6) AS median, round(avg({c}::DOUBLE), 4) AS mean,
+        round(quantile_cont({c}::DOUBLE, 0.99), 6) AS p99,
+        {step[c].split(',')[0]}::DOUBLE AS step, {step[c].split(',')[1]} AS decimals FROM e"""
+        for c in NUM
+    )
+    order = {c: "level" for c in CAT}
+    order["Month"] = f"list_position([{', '.join(repr(m) for m in CALENDAR)}], level)"
+    out["category_levels"] = f"{U} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", row_number() OVER (ORDER BY {order[c]})::INTEGER AS position,
+        CAST(level AS VARCHAR) AS level FROM (SELECT DISTINCT {c} AS level FROM e)"""
+        for c in CAT if c != "Weekend"
+    ) + """ UNION ALL SELECT 'Weekend', 1, 'false' UNION ALL SELECT 'Weekend', 2, 'true'"""
+    medians = ", ".join(f"round(quantile_cont({c}::DOUBLE, 0.5), 4) AS {c}" for c in NUM)
+    modes = ", ".join(
+        f"(SELECT {c} FROM seg x WHERE x.segment = seg.segment GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS {c}"
+        for c in CAT
+    )
+    out["segment_presets"] = f"""{U}, {seg} SELECT segment, count(*) AS n_sessions,
+      round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM e), 1) AS share_pct, {medians}, {modes}
+      FROM seg GROUP BY segment"""
+
+    P = f"WITH {PAIRS}"
+    out["stratified_split"] = f"""{P},
+      n AS (SELECT label, count(*) AS nc FROM p GROUP BY label),
+      t AS (SELECT sum(nc)::BIGINT AS n, CAST(ceil(0.2::DOUBLE * sum(nc)) AS BIGINT) AS take FROM n),
+      x AS (SELECT label, nc * take / n::DOUBLE AS exact, take FROM n, t),
+      f AS (SELECT *, floor(exact) AS base, row_number() OVER (ORDER BY floor(exact) - exact, label) AS turn FROM x),
+      quota AS (SELECT label, base + CASE WHEN turn <= take - (SELECT sum(base) FROM f) THEN 1 ELSE 0 END AS q FROM f),
+      r AS (SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(row_id::VARCHAR || '-42')) AS pos FROM p)
+      SELECT row_id, pos <= q AS is_test FROM r JOIN quota USING (label)"""
+    out["stratified_folds"] = f"""{P} SELECT row_id,
+      (ntile(5) OVER (PARTITION BY label ORDER BY md5(row_id::VARCHAR || '-42')) - 1)::INTEGER AS fold FROM p"""
+    out["class_weights"] = f"""{P}, n AS (SELECT count(*) AS n, sum(label)::BIGINT AS pos FROM p)
+      SELECT 0 AS label, n - pos AS n_rows, round(n / (2.0::DOUBLE * (n - pos)), 6) AS balanced_weight,
+        round((n - pos)::DOUBLE / greatest(pos, 1), 4) AS positive_weight FROM n
+      UNION ALL SELECT 1, pos, round(n / (2.0::DOUBLE * pos), 6), round((n - pos)::DOUBLE / greatest(pos, 1), 4) FROM n"""
+    out["head_rows"] = f"{P} SELECT row_id, probability FROM p ORDER BY row_id LIMIT 500"
+    return out
+
+
 def all_sql() -> dict[str, str]:
-    return {**evaluation_sql(), **decision_sql()}
+    return {**evaluation_sql(), **decision_sql(), **session_sql()}

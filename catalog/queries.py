@@ -9,10 +9,22 @@ from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION
 from clickscore.functions import decisions as rules
+from clickscore.operators import alignment as C
+from clickscore.operators import cleaning as B
 from clickscore.operators import deciding as H
 from clickscore.operators import evaluation as G
+from clickscore.operators import profiling as Dp
+from clickscore.operators import relevance as R
+from clickscore.operators import splitting as E
+from clickscore.operators import validation as V
 from clickscore.sources import clickstream as src
 
+# The spellings the text categories are brought to.
+SPELLINGS = {
+    "Month": ["Feb", "Mar", "May", "June", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"],
+    "VisitorType": ["New_Visitor", "Other", "Returning_Visitor"],
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -117,5 +129,130 @@ def evaluation_queries() -> dict[str, Query]:
     }
 
 
+# --- sessions -------------------------------------------------------------------------
+
+_kept: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _keep(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Tables that many queries start from are derived once per application."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _kept:
+        _kept[key] = build().persist()
+    return _kept[key]
+
+
+def sessions(spark: SparkSession, folder: str) -> DataFrame:
+    events = src.read_table(spark, folder, "events")
+    return _keep(spark, folder, "sessions", lambda: src.sessions_from_events(events))
+
+
+def unique_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    return _keep(
+        spark,
+        folder,
+        "unique",
+        lambda: B.add_session_features(B.dedupe(sessions(spark, folder), row_id="row_id")),
+    )
+
+
+def upload(style: str) -> Query:
+    return lambda spark, folder: src.uploads_from_sessions(sessions(spark, folder), style)
+
+
+def damaged_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """The session table as text, with values no valid session can have."""
+    k = F.floor(F.col("row_id") / 1000)
+    broken = sessions(spark, folder).withColumns({c: F.col(c).cast("string") for c in SESSION.numeric})
+    return broken.withColumns(
+        {
+            "ProductRelated": F.when(k % 7 == 1, "-5").otherwise(F.col("ProductRelated")),
+            "BounceRates": F.when(k % 11 == 2, "4.2").otherwise(F.col("BounceRates")),
+            "PageValues": F.when(k % 13 == 3, "n/a").otherwise(F.col("PageValues")),
+            "Informational": F.when(k % 5 == 4, "0").otherwise(F.col("Informational")),
+            "ExitRates": F.when(k % 17 == 5, F.lit(None)).otherwise(F.col("ExitRates")),
+        }
+    )
+
+
+def session_queries() -> dict[str, Query]:
+    once = unique_sessions
+
+    def aligned(style: str) -> Query:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            df = upload(style)(spark, folder)
+            got = C.align(df, levels=SPELLINGS)
+            last = len(df.columns) - 1 if style != "padded" else 0
+            return got.tracked.select(
+                F.col(f"{C.SOURCE}.c{last}").cast("bigint").alias("row_id"), *SESSION.features
+            )
+
+        return run
+
+    def notes(style: str) -> Query:
+        return lambda spark, folder: C.align(
+            upload(style)(spark, folder), levels=SPELLINGS
+        ).coercion_counts()
+
+    validated = _on(damaged_sessions, V.validate_sessions)
+    return {
+        "sessions": sessions,
+        "dedupe": _on(sessions, lambda d: B.dedupe(d, row_id="row_id")),
+        "duplicate_stats": _on(sessions, B.duplicate_stats),
+        "features_target": _on(sessions, B.features_target),
+        "session_features": _on(once, lambda d: d.select("row_id", *[
+            F.round(c, 6).alias(c) for c in SESSION.engineered])),
+        "segment": _on(
+            once, lambda d: B.with_segments(d).select("row_id", F.explode("segments").alias("segment"))
+        ),
+        "table_contract": _on(
+            sessions, lambda d: V.table_contract(d).filter(F.col("check") != "checksum")
+        ),
+        **{
+            f"align_{s}": aligned(s)
+            for s in ("exact", "renamed", "anonymous", "recased", "yes_no", "decimal_codes",
+                      "broken_numbers", "padded")
+        },
+        "coercion_counts_broken": notes("broken_numbers"),
+        "coercion_counts_recased": notes("recased"),
+        "validate_sessions": _on(validated, V.problem_counts),
+        "quarantined_rows": _on(validated, lambda d: V.quarantined_rows(d).select(
+            "row_id", F.size("problems").alias("n_problems"))),
+        "valid_rows": _on(validated, lambda d: V.valid_rows(d).select("row_id")),
+        "quality": _on(sessions, lambda d: Dp.quality(d, SESSION.columns)),
+        "null_total": _on(sessions, lambda d: Dp.null_total(d, SESSION.columns)),
+        "code_catalog": _on(
+            sessions, lambda d: Dp.code_catalog(d).withColumn("values", F.array_join("values", ","))
+        ),
+        "zero_inflation": _on(sessions, Dp.zero_inflation),
+        "target_balance": _on(sessions, Dp.target_balance),
+        "baseline_rate": _on(once, Dp.baseline_rate),
+        "outliers": _on(once, Dp.outliers),
+        "correlation_matrix": _on(once, R.correlation_matrix),
+        "high_correlation_pairs": _on(
+            once,
+            lambda d: R.high_correlation_pairs(d).withColumn("abs_corr", F.round("abs_corr", 6)),
+        ),
+        "target_correlation": _on(once, R.target_correlation),
+        "conversion_by_month": _on(once, lambda d: Dp.conversion_by(d, "Month")),
+        "conversion_by_visitor": _on(once, lambda d: Dp.conversion_by(d, "VisitorType")),
+        "conversion_by_weekend": _on(once, lambda d: Dp.conversion_by(d, "Weekend")),
+        "calendar_coverage": _on(once, Dp.calendar_coverage),
+        "mutual_information": _on(once, R.mutual_information),
+        "histogram": _on(once, lambda d: Dp.histogram(d).select(
+            "column", "bin", F.round("lower", 6).alias("lower"),
+            F.round("upper", 6).alias("upper"), "count")),
+        "standardised_box": _on(once, Dp.standardised_box),
+        "numeric_ranges": _on(once, lambda d: Dp.numeric_ranges(d).withColumns(
+            {c: F.round(c, 6) for c in ("median", "p99")})),
+        "category_levels": _on(once, Dp.category_levels),
+        "segment_presets": _on(once, Dp.segment_presets),
+        "stratified_split": _on(pairs, lambda d: E.stratified_split(d).select("row_id", "is_test")),
+        "stratified_folds": _on(pairs, lambda d: E.stratified_folds(d).select("row_id", "fold")),
+        "class_weights": _on(pairs, E.class_weights),
+        "head_rows": _on(pairs, lambda d: E.head_rows(d, 500).select("row_id", "probability")),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**evaluation_queries()}
+    return {**evaluation_queries(), **session_queries()}

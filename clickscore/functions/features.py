@@ -14,7 +14,6 @@ FEATURE_SQL = {
 }
 
 
-def feature_select(prefix: str = "*") -> str:
-    """A SELECT list adding the derived features (later ones use earlier ones)."""
-    items = [f"CAST({sql} AS DOUBLE) AS {name}" for name, sql in FEATURE_SQL.items()]
-    return ", ".join([prefix, *items])
+def feature_exprs() -> list[str]:
+    """SELECT items adding the derived features (later ones use earlier ones)."""
+    return ["*", *[f"CAST({sql} AS DOUBLE) AS {name}" for name, sql in FEATURE_SQL.items()]]
