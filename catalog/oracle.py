@@ -535,5 +535,117 @@ def session_sql() -> dict[str, str]:
     return out
 
 
+# --- imputation, explanations, run history ------------------------------------------
+
+
+def gappy() -> str:
+    k = "row_id // 1000"
+    nums = ", ".join(f"CASE WHEN ({k}) % 50 = 3 THEN NULL ELSE {c}::DOUBLE END AS {c}" for c in NUM)
+    hole = {"Month": f"({k}) % 13 = 2", "Browser": f"({k}) % 17 = 4", "Weekend": f"({k}) % 19 = 5"}
+    cats = ", ".join(
+        f"CASE WHEN {hole[c]} THEN NULL ELSE {c} END AS {c}" if c in hole else c for c in CAT
+    )
+    return f"{SESSIONS}, gap AS (SELECT row_id, {nums}, {cats} FROM s)"
+
+
+# A number with four significant digits, whole columns as they are.
+SHOWN_AS = {
+    "ProductRelated": "CAST(ProductRelated AS VARCHAR)",
+    "ExitRates": "format('{:.4g}', ExitRates)",
+    "SpecialDay": "format('{:.4g}', SpecialDay)",
+    "TotalPages": "format('{:.4g}', TotalPages)",
+    "Region": "CAST(Region AS VARCHAR)",
+    "Month_Nov": "CASE WHEN Month = 'Nov' THEN 'Month = Nov' ELSE 'Month is ' || Month || ', not Nov' END",
+    "VisitorType_Other":
+        "CASE WHEN VisitorType = 'Other' THEN 'VisitorType = Other' ELSE 'VisitorType is ' || VisitorType || ', not Other' END",
+    "Weekend_True": "CASE WHEN Weekend THEN 'Weekend = True' ELSE 'Weekend is False, not True' END",
+    "Browser_2": "CASE WHEN Browser = 2 THEN 'Browser = 2' ELSE 'Browser is ' || Browser || ', not 2' END",
+}
+
+
+def model_sql() -> dict[str, str]:
+    out = {}
+    G, U = f"WITH {gappy()}", f"WITH {UNIQUE}"
+    out["median_impute"] = f"{G} SELECT row_id, " + ", ".join(
+        f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM gap)) AS {c}" for c in NUM
+    ) + " FROM gap"
+    out["mode_impute"] = f"{G} SELECT row_id, " + ", ".join(
+        f"""coalesce({c}, (SELECT {c} FROM gap WHERE {c} IS NOT NULL GROUP BY {c}
+        ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}"""
+        for c in CAT
+    ) + " FROM gap"
+    out["standard_scale"] = f"{U}, m AS (SELECT " + ", ".join(
+        f"avg({c}::DOUBLE) AS m_{c}, stddev_pop({c}::DOUBLE) AS s_{c}" for c in NUM
+    ) + " FROM e) SELECT row_id, " + ", ".join(
+        f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 6) AS {c}" for c in NUM
+    ) + " FROM e, m"
+    out["contribution_source"] = f"{U} " + " UNION ALL ".join(
+        f"SELECT row_id, '{f}' AS feature, {sql} AS shown FROM e" for f, sql in SHOWN_AS.items()
+    )
+    out["sensitivity_grid"] = f"{U}, r AS (" + each(
+        NUM,
+        """SELECT '{c}' AS "column", coalesce(nullif(quantile_cont({c}::DOUBLE, 0.99), 0),
+        nullif(max({c})::DOUBLE, 0), 1.0) AS upper FROM e""",
+    ) + """) SELECT "column", i::INTEGER AS point, round(i * (upper / 39.0::DOUBLE), 6) AS value
+      FROM r, range(40) t(i)"""
+    return out
+
+
+RUNS = """
+models AS (
+  SELECT 'o' || o_orderkey AS run_id, 'c' || o_custkey AS parent_run_id, o_orderpriority AS run_name,
+    CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'RUNNING' ELSE 'FAILED' END AS status,
+    o_orderdate AS start_time,
+    round(o_totalprice / 1e6::DOUBLE, 4) AS cv_pr_auc_baseline,
+    round(o_totalprice / 8e5::DOUBLE, 4) AS cv_pr_auc_tuned,
+    round(o_totalprice / 5e5::DOUBLE, 4) AS test_pr_auc,
+    round(1.0::DOUBLE - o_totalprice / 2e6::DOUBLE, 4) AS test_roc_auc,
+    round(o_totalprice / 7e5::DOUBLE, 4) AS test_f1,
+    round(o_totalprice / 6e5::DOUBLE, 4) AS test_recall,
+    NULL::DOUBLE AS test_latency_median_ms,
+    o_orderpriority AS priority
+  FROM orders
+),
+training AS (
+  SELECT 'c' || c_custkey AS run_id, c_name AS run_name, 'FINISHED' AS status,
+    TIMESTAMP '2000-01-01' + to_minutes(c_custkey) AS start_time,
+    round(abs(c_acctbal) / 1e4::DOUBLE, 4) AS operating_threshold, c_mktsegment AS selected_model
+  FROM customer
+)"""
+RUN_LABELS = {
+    "cv_pr_auc_baseline": "CV PR-AUC (baseline)",
+    "cv_pr_auc_tuned": "CV PR-AUC (tuned)",
+    "test_pr_auc": "Test PR-AUC",
+    "test_roc_auc": "Test ROC-AUC",
+    "test_f1": "Test F1",
+    "test_recall": "Test recall",
+    "test_latency_median_ms": "Latency (ms)",
+}
+
+
+def run_sql() -> dict[str, str]:
+    W = f"WITH {RUNS}"
+    labelled = ", ".join(f'{k} AS "{v}"' for k, v in RUN_LABELS.items())
+    metrics = [k for k in RUN_LABELS if k != "test_latency_median_ms"]
+    return {
+        "classify_runs": f"""{W} SELECT run_id, run_name, status, true AS is_model_run, 7::BIGINT AS n_values FROM models
+          UNION ALL SELECT run_id, run_name, status, false, 2 FROM training""",
+        "runs_wide": f"""{W} SELECT run_id, run_name, status, start_time, true AS is_model_run,
+            {', '.join(f'{k} AS "metrics.{k}"' for k in metrics)},
+            NULL::DOUBLE AS "metrics.operating_threshold", priority AS "params.priority" FROM models
+          UNION ALL SELECT run_id, run_name, status, start_time, false, {', '.join('NULL' for _ in metrics)},
+            operating_threshold, NULL FROM training""",
+        "runs_comparison": f"""{W} SELECT run_id, run_name AS "Model", {labelled},
+          row_number() OVER (ORDER BY test_pr_auc DESC, run_id DESC) = 1 AS is_best FROM models""",
+        "latest_session": f"""{W} SELECT run_id, run_name, start_time, selected_model,
+          NULL::DOUBLE AS final_pr_auc, NULL::DOUBLE AS final_recall, operating_threshold,
+          NULL::DOUBLE AS model_size_mb FROM training ORDER BY start_time DESC, run_id DESC LIMIT 1""",
+        "runs_summary": f"""{W}, f AS (SELECT *, row_number() OVER (PARTITION BY run_name
+            ORDER BY start_time, run_id) AS turn FROM models)
+          SELECT run_name, (SELECT count(*) FROM training) AS n_session_runs,
+            (SELECT count(*) FROM models) AS n_model_runs, {labelled} FROM f WHERE turn = 1""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**evaluation_sql(), **decision_sql(), **session_sql()}
+    return {**evaluation_sql(), **decision_sql(), **session_sql(), **model_sql(), **run_sql()}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +16,17 @@ from clickscore.operators import alignment as C
 from clickscore.operators import cleaning as B
 from clickscore.operators import deciding as H
 from clickscore.operators import evaluation as G
+from clickscore.operators import explaining as X
+from clickscore.operators import learning as L
 from clickscore.operators import profiling as Dp
 from clickscore.operators import relevance as R
+from clickscore.operators import runs as J
+from clickscore.operators import scoring as Sc
 from clickscore.operators import splitting as E
 from clickscore.operators import validation as V
+from clickscore.session import work_folder
 from clickscore.sources import clickstream as src
+from clickscore.streaming import scoring as K
 
 # The spellings the text categories are brought to.
 SPELLINGS = {
@@ -254,5 +263,162 @@ def session_queries() -> dict[str, Query]:
     }
 
 
+# --- imputation, models, explanations -----------------------------------------------
+
+
+def gappy_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """The session table with missing values in every kind of column."""
+    k = F.floor(F.col("row_id") / 1000)
+    gone = lambda test, c: F.when(~test, F.col(c)).alias(c)
+    holes = {"Month": k % 13 == 2, "Browser": k % 17 == 4, "Weekend": k % 19 == 5}
+    return sessions(spark, folder).select(
+        "row_id",
+        *[gone(k % 50 == 3, c) for c in SESSION.numeric],
+        *[gone(holes[c], c) if c in holes else F.col(c) for c in SESSION.categorical],
+    )
+
+
+_models: dict[tuple[str, str, str], PipelineModel] = {}
+
+
+def training_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _keep(
+        spark, folder, "training", lambda: L.training_frame(unique_sessions(spark, folder))
+    )
+
+
+def fitted(spark: SparkSession, folder: str, family: str = "linear") -> PipelineModel:
+    """A small model of each kind, fitted once per application on the whole table."""
+    key = (spark.sparkContext.applicationId, folder, family)
+    if key not in _models:
+        shared = {"labelCol": L.LABEL, "weightCol": L.WEIGHT}
+        kinds = {
+            "linear": LogisticRegression(maxIter=15, regParam=1e-3, standardization=False, **shared),
+            "trees": GBTClassifier(maxIter=5, maxDepth=4, seed=42, **shared),
+        }
+        _models[key] = L.fit_model(kinds[family], training_rows(spark, folder))
+    return _models[key]
+
+
+def _scored_stream(spark: SparkSession, folder: str, history: bool) -> DataFrame:
+    """Drain a stream over the session table into a sink and read the sink back."""
+    source, sink, log = (work_folder(spark, n) for n in ("stream-in", "stream-out", "stream-log"))
+    unique_sessions(spark, folder).select("row_id", *SESSION.features).write.parquet(source)
+    stream = K.read_session_stream(spark, source, spark.read.parquet(source).schema)
+    scored = K.score_stream(stream, fitted(spark, folder))
+    write = K.write_history_stream if history else K.write_scored_stream
+    write(scored, sink, log, once=True).awaitTermination()
+    if history:
+        return K.latest_history(spark, sink).select("row_id", "purchase_probability", "prediction")
+    return spark.read.parquet(sink).select("row_id", *Sc.SCORE_COLUMNS)
+
+
+SOURCE_FEATURES = (
+    "ProductRelated", "ExitRates", "SpecialDay", "TotalPages", "Month_Nov", "VisitorType_Other",
+    "Weekend_True", "Browser_2", "Region",
+)
+
+
+def model_queries() -> dict[str, Query]:
+    once = unique_sessions
+
+    def with_model(op: Callable[..., DataFrame], family: str = "linear") -> Query:
+        return lambda spark, folder: op(once(spark, folder), fitted(spark, folder, family))
+
+    def explained(op: Callable[..., DataFrame], family: str) -> Query:
+        return lambda spark, folder: op(
+            once(spark, folder), fitted(spark, folder, family), training_rows(spark, folder)
+        )
+
+    def curve(d: DataFrame, m: PipelineModel) -> DataFrame:
+        return X.sensitivity(d, m, "PageValues", Dp.numeric_ranges(d))
+
+    def uploaded(spark: SparkSession, folder: str) -> DataFrame:
+        return Sc.score_upload(upload("padded")(spark, folder), fitted(spark, folder))[0]
+
+    def leakage(spark: SparkSession, folder: str) -> DataFrame:
+        rows = E.stratified_split(training_rows(spark, folder), L.LABEL)
+        classifier = LogisticRegression(
+            labelCol=L.LABEL, weightCol=L.WEIGHT, maxIter=10, regParam=1e-3, standardization=False
+        )
+        return L.leakage_experiment(classifier, rows.filter(~F.col("is_test")), rows.filter("is_test"))
+
+    def tuning(spark: SparkSession, folder: str) -> DataFrame:
+        classifier = LogisticRegression(
+            labelCol=L.LABEL, weightCol=L.WEIGHT, maxIter=5, standardization=False
+        )
+        grid = {"regParam": [1e-3, 1e-1], "elasticNetParam": [0.0]}
+        found = L.tune("linear", L.Candidate(classifier, grid, ""), training_rows(spark, folder), draws=2)
+        return L.tuning_table([found], spark).select("model", "baseline_pr_auc", "tuned_pr_auc", "improvement")
+
+    def imputed(op, columns) -> Query:
+        return _on(gappy_sessions, lambda d: op(d, columns).select("row_id", *columns))
+
+    return {
+        "median_impute": imputed(L.median_impute, SESSION.numeric),
+        "mode_impute": imputed(L.mode_impute, SESSION.categorical),
+        "standard_scale": _on(
+            once,
+            lambda d: L.standard_scale(d).select(
+                "row_id", *[F.round(c, 6).alias(c) for c in SESSION.numeric]
+            ),
+        ),
+        "feature_vector": with_model(
+            lambda d, m: L.transform_rows(d, m).select(
+                F.col("_row.row_id").alias("row_id"), vector_to_array("features").alias("features")
+            )
+        ),
+        "feature_names": lambda spark, folder: spark.createDataFrame(
+            [(i, n) for i, n in enumerate(L.feature_names(fitted(spark, folder)))], "slot int, feature string"
+        ),
+        "fitted_levels": lambda spark, folder: L.fitted_levels_table(fitted(spark, folder), spark),
+        "feature_importance_linear": lambda spark, folder: L.feature_importance(fitted(spark, folder), spark),
+        "feature_importance_trees": lambda spark, folder: L.feature_importance(
+            fitted(spark, folder, "trees"), spark
+        ),
+        "score": with_model(lambda d, m: Sc.score(d, m, 0.7)),
+        "score_trees": with_model(lambda d, m: Sc.score(d, m, 0.7), "trees"),
+        "score_upload": uploaded,
+        "predict_sessions": with_model(lambda d, m: Sc.predict_sessions(d, m, 0.7)),
+        "cross_validated_search": tuning,
+        "leakage_experiment": leakage,
+        "attribute_linear": explained(X.attribute, "linear"),
+        "attribute_trees": explained(X.attribute, "trees"),
+        "global_contribution": explained(X.global_contribution, "linear"),
+        "contribution_source": _on(
+            once,
+            lambda d: d.withColumn("feature", F.explode(F.lit(list(SOURCE_FEATURES)))).select(
+                "row_id", "feature", X.contribution_source(F.col("feature"), d).alias("shown")
+            ),
+        ),
+        "sensitivity_grid": _on(once, lambda d: X.sensitivity_grid(Dp.numeric_ranges(d))),
+        "sensitivity": with_model(curve),
+        "sensitivity_span": with_model(lambda d, m: X.sensitivity_span(curve(d, m))),
+        "score_stream": lambda spark, folder: _scored_stream(spark, folder, False),
+        "history_stream": lambda spark, folder: _scored_stream(spark, folder, True),
+    }
+
+
+# --- run history ------------------------------------------------------------------------
+
+
+def runs(spark: SparkSession, folder: str) -> DataFrame:
+    return src.runs_from_orders(
+        src.read_table(spark, folder, "orders"), src.read_table(spark, folder, "customer")
+    )
+
+
+def run_queries() -> dict[str, Query]:
+    return {
+        "classify_runs": _on(
+            runs, lambda d: J.classify_runs(d).select("run_id", "run_name", "status", "is_model_run", "n_values")
+        ),
+        "runs_wide": _on(runs, J.runs_wide),
+        "runs_comparison": _on(runs, J.runs_comparison),
+        "latest_session": _on(runs, J.latest_session),
+        "runs_summary": _on(runs, J.runs_summary),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**evaluation_queries(), **session_queries()}
+    return {**evaluation_queries(), **session_queries(), **run_queries(), **model_queries()}

@@ -13,6 +13,11 @@ FEATURE_SQL = {
     "BounceExitDelta": "ExitRates - BounceRates",
 }
 
+DERIVED_FROM = (
+    "Administrative", "Administrative_Duration", "Informational", "Informational_Duration",
+    "ProductRelated", "ProductRelated_Duration", "BounceRates", "ExitRates",
+)
+
 
 def feature_exprs() -> list[str]:
     """SELECT items adding the derived features (later ones use earlier ones)."""

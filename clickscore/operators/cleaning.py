@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION, Contract
-from clickscore.functions.features import feature_exprs
+from clickscore.functions.features import FEATURE_SQL, feature_exprs
 from clickscore.operators.quantiles import exact_percentiles
 
 # Names and limits of the four behavioural segments.
@@ -43,7 +43,7 @@ def features_target(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
 
 def add_session_features(df: DataFrame) -> DataFrame:
     """Five derived columns; a session without pages gives 0, not an error."""
-    return df.selectExpr(*feature_exprs())
+    return df.drop(*FEATURE_SQL).selectExpr(*feature_exprs())
 
 
 def drop_features(contract: Contract, *names: str) -> Contract:

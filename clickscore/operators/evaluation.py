@@ -140,6 +140,11 @@ def ranking_metric(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFram
     return _ranked(df, by).groupBy(*by).agg(value)
 
 
+def ranking_value(df: DataFrame, name: str) -> float:
+    """The unrounded metric as a number, 0 for an empty frame."""
+    return float(_ranked(df, ()).agg(_ranking_columns()[name].alias("v")).first()["v"] or 0.0)
+
+
 def roc_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return ranking_metric(df, "roc_auc", by)
 

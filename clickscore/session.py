@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def local_session(cores: int | str | None = None, **conf: str) -> SparkSession:
     """A local session with the settings the operators are tested under."""
@@ -28,20 +31,32 @@ def local_session(cores: int | str | None = None, **conf: str) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach: ``spark.checkpoint.dir``.
 
     A temporary folder stands in only when the session names none and runs locally.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
+        "spark.checkpoint.dir", None
+    )
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="clickscore-")
+    return _local_folders[context.applicationId]
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new sub-folder of the shared folder for intermediate tables."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: later jobs start from files, also after losing executors."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-            "spark.checkpoint.dir", None
-        )
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="clickscore-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
