@@ -184,13 +184,13 @@ def short_number(c: Column) -> Column:
     power = F.floor(F.log10(size))
     out = F
     for e in range(-4, 4):  # plain notation
-        inside = (size >= F.lit(10.0**e)) & (F.round(size, 3 - e) < F.lit(10.0 ** (e + 1)))
-        out = out.when(inside, _plain(F.round(x, 3 - e)))
+        inside = (size >= F.lit(10.0**e)) & (F.bround(size, 3 - e) < F.lit(10.0 ** (e + 1)))
+        out = out.when(inside, _plain(F.bround(x, 3 - e)))
         # rounding up to the next power of ten keeps one digit less
         if e < 3:
             carry = (size >= F.lit(10.0**e)) & (size < F.lit(10.0 ** (e + 1)))
-            out = out.when(carry, _plain(F.round(x, 2 - e)))
-    lead = F.round(x / F.pow(F.lit(10.0), power), 3)
+            out = out.when(carry, _plain(F.bround(x, 2 - e)))
+    lead = F.bround(x / F.pow(F.lit(10.0), power), 3)
     over = F.abs(lead) >= 10
     exponent = F.when(over, power + 1).otherwise(power)
     digits = F.lpad(F.abs(exponent).cast("string"), 2, "0")

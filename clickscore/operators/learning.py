@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -385,9 +386,11 @@ def fold_vectors(train: DataFrame, contract: Contract = SESSION, parallelism: in
 
 def _in_threads(df: DataFrame, run, items, parallelism: int) -> list:
     """Submit independent jobs side by side, as a tuning run does."""
-    items = list(items)
-    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
-        return pool.map(inheritable_thread_target(df.sparkSession)(run), items, chunksize=1)
+    # Wrapped one by one: a wrapped function carries its own job properties.
+    wrap = inheritable_thread_target(df.sparkSession)
+    tasks = [wrap(partial(run, item)) for item in items]
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        return pool.map(lambda task: task(), tasks, chunksize=1)
 
 
 def cross_validate(

@@ -85,7 +85,7 @@ def _cut_keys(
     return keys
 
 
-def test_quota(sizes: Mapping[Any, int], share: float = TEST_SHARE) -> dict[Any, int]:
+def holdout_quota(sizes: Mapping[Any, int], share: float = TEST_SHARE) -> dict[Any, int]:
     """Rows per class in the test set: largest remainder of ceil(share * n)."""
     n = sum(sizes.values())
     take = math.ceil(share * n)
@@ -106,7 +106,7 @@ def stratified_split(
 ) -> DataFrame:
     """Add boolean ``is_test``; every class gives exactly its quota."""
     cuts = _cut_keys(
-        df, label, row_id, seed, lambda sizes: {y: [q] for y, q in test_quota(sizes, share).items()}
+        df, label, row_id, seed, lambda sizes: {y: [q] for y, q in holdout_quota(sizes, share).items()}
     )
     key = hash_key(row_id, seed)
     test = F.lit(None).cast("boolean")

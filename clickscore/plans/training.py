@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickscore.contract import DEFAULT_THRESHOLD, SEARCH_DRAWS, SEED, SESSION, Contract
+from clickscore.contract import DEFAULT_THRESHOLD, FOLDS, SEARCH_DRAWS, SEED, SESSION, Contract
 from clickscore.operators import cleaning, evaluation, explaining, learning, splitting
 from clickscore.sources.models import model_card
 
@@ -36,6 +36,7 @@ def train(
     draws: int = SEARCH_DRAWS,
     seed: int = SEED,
     parallelism: int = 2,
+    folds: int = FOLDS,
 ) -> Trained:
     """De-duplicate, split, tune every family, select on the held-out rows, choose thresholds.
 
@@ -50,7 +51,7 @@ def train(
         F.round(F.lit(100.0) * F.avg(F.col(contract.target).cast("int")), 3).alias("rate"),
     ).first()
     n_train = sizes["n"] - sizes["test"]
-    fit_rows = learning.training_frame(split.filter(~F.col("is_test")), contract, row_id).persist()
+    fit_rows = learning.training_frame(split.filter(~F.col("is_test")), contract, row_id, folds).persist()
     held = split.filter("is_test").withColumn("label", F.col(contract.target).cast("int")).persist()
 
     families = families or learning.candidates(n_train, seed)
