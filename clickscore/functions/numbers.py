@@ -14,6 +14,19 @@ def clean_number(c: Column) -> Column:
     return F.when(~F.isnan(v), v + F.lit(0.0))
 
 
+def number_sql(name: str) -> str:
+    """``clean_number`` of a column as SQL text, for wide aggregates."""
+    return f"(nanvl(CAST(`{name}` AS DOUBLE), CAST(NULL AS DOUBLE)) + 0D)"
+
+
+def literal_sql(v: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if v is None else f"{float(v)!r}D"
+
+
+def array_sql(values: Sequence[float]) -> str:
+    return "array(" + ", ".join(literal_sql(v) for v in values) + ")"
+
+
 def ratio(num: Column, den: Column, default: float | None = 0.0) -> Column:
     """num / den as double, with a default where the denominator is zero."""
     q = F.try_divide(num.cast("double"), den.cast("double"))
@@ -22,7 +35,7 @@ def ratio(num: Column, den: Column, default: float | None = 0.0) -> Column:
 
 def double_array(values: Sequence[float]) -> Column:
     """A constant array; one SQL literal instead of one call per element."""
-    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+    return F.expr(array_sql(values))
 
 
 def steps_reached(c: Column, grid: Sequence[float]) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION, Contract
 from clickscore.functions.features import FEATURE_SQL, feature_exprs
+from clickscore.functions.numbers import literal_sql, number_sql
 from clickscore.operators.quantiles import exact_percentiles
 
 # Names and limits of the four behavioural segments.
@@ -50,33 +51,28 @@ def drop_features(contract: Contract, *names: str) -> Contract:
     return contract.without(*names)
 
 
-def segment_rules(df: DataFrame, contract: Contract = SESSION) -> dict[str, Column]:
-    """Boolean rule per segment; two of them use percentiles of the whole table."""
+def segment_rules(df: DataFrame, contract: Contract = SESSION) -> dict[str, str]:
+    """SQL rule per segment; two of them use percentiles of the whole table."""
     cut = exact_percentiles(
         df,
-        {
-            "value": (F.col("PageValues"), [0.5]),
-            "pages": (F.col("ProductRelated"), [0.75]),
-        },
+        {"value": (number_sql("PageValues"), [0.5]), "pages": (number_sql("ProductRelated"), [0.75])},
     )
-    bought = F.col(contract.target).cast("boolean")
-    lit = lambda v: F.lit(v).cast("double")
+    bought = f"CAST(`{contract.target}` AS BOOLEAN)"
+    low, high = BROWSED_PAGES
     return {
-        BUYER: bought & (F.col("PageValues") > lit(cut["value"][0])),
-        RESEARCHER: ~bought
-        & (F.col("ProductRelated") > lit(cut["pages"][0]))
-        & (F.col("PageValues") == 0),
-        BOUNCER: ~bought & (F.col("BounceRates") > F.lit(BOUNCE_FLOOR)),
-        WINDOW_SHOPPER: ~bought
-        & (F.col("VisitorType") == "Returning_Visitor")
-        & F.col("ProductRelated").between(*BROWSED_PAGES),
+        BUYER: f"{bought} AND PageValues > {literal_sql(cut['value'][0])}",
+        RESEARCHER:
+            f"NOT {bought} AND ProductRelated > {literal_sql(cut['pages'][0])} AND PageValues = 0",
+        BOUNCER: f"NOT {bought} AND BounceRates > {BOUNCE_FLOOR}D",
+        WINDOW_SHOPPER:
+            f"NOT {bought} AND VisitorType = 'Returning_Visitor' AND ProductRelated BETWEEN {low} AND {high}",
     }
 
 
 def with_segments(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
     """Names of the segments a row belongs to (they can overlap)."""
     rules = segment_rules(df, contract)
-    names = F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()])
+    names = F.array(*[F.when(F.expr(rule), F.lit(name)) for name, rule in rules.items()])
     return df.withColumn("segments", F.array_compact(names))
 
 

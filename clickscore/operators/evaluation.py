@@ -87,20 +87,19 @@ def confusion_normalised(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, by
 
 def point_metric_columns() -> dict[str, Column]:
     """Metrics of one operating point, from the four cells."""
-    tn, fp, fn, tp = (F.col(c).cast("double") for c in CELLS)
-    recall = ratio(tp, tp + fn)
+    tn, fp, fn, tp = (f"CAST({c} AS DOUBLE)" for c in CELLS)
     # A class without rows does not take part in the mean of the two recalls.
-    recalls = F.array_compact(F.array(ratio(tp, tp + fn, None), ratio(tn, tn + fp, None)))
-    balanced = ratio(F.aggregate(recalls, F.lit(0.0), lambda a, x: a + x), F.size(recalls))
-    spread = F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))
-    return {
-        "accuracy": ratio(tp + tn, tp + tn + fp + fn),
-        "balanced_accuracy": balanced,
-        "precision": ratio(tp, tp + fp),
-        "recall": recall,
-        "f1": ratio(F.lit(2.0) * tp, F.lit(2.0) * tp + fp + fn),
-        "mcc": ratio(tp * tn - fp * fn, spread),
+    recalls = f"array_compact(array(try_divide({tp}, {tp} + {fn}), try_divide({tn}, {tn} + {fp})))"
+    spread = f"sqrt(({tp} + {fp}) * ({tp} + {fn}) * ({tn} + {fp}) * ({tn} + {fn}))"
+    sql = {
+        "accuracy": f"try_divide({tp} + {tn}, {tp} + {tn} + {fp} + {fn})",
+        "balanced_accuracy": f"try_divide(aggregate({recalls}, 0D, (a, x) -> a + x), size({recalls}))",
+        "precision": f"try_divide({tp}, {tp} + {fp})",
+        "recall": f"try_divide({tp}, {tp} + {fn})",
+        "f1": f"try_divide(2D * {tp}, 2D * {tp} + {fp} + {fn})",
+        "mcc": f"try_divide({tp} * {tn} - {fp} * {fn}, {spread})",
     }
+    return {m: F.expr(f"coalesce({v}, 0D)") for m, v in sql.items()}
 
 
 def point_metrics(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, by: Sequence[str] = ()) -> DataFrame:
@@ -112,26 +111,19 @@ def point_metrics(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, by: Seque
 
 def _ranking_columns() -> dict[str, Column]:
     """Aggregates over the ranked distinct scores."""
-    n, pos, cum_n, cum_pos = (F.col(c).cast("double") for c in ("n", "pos", "cum_n", "cum_pos"))
-    neg, p = n - pos, F.col("probability")
-    positives, negatives = F.sum(pos), F.sum(neg)
-    before_n, before_pos = cum_n - n, cum_pos - pos
-    before_precision = F.when(before_n > 0, F.try_divide(before_pos, before_n)).otherwise(F.lit(1.0))
-    return {
-        "roc_auc": F.try_divide(
-            F.sum(neg * (before_pos + pos / F.lit(2.0))), positives * negatives
-        ),
-        "pr_auc": F.coalesce(F.try_divide(F.sum(pos * cum_pos / cum_n), positives), F.lit(0.0)),
-        "pr_area_trapezoid": F.coalesce(
-            F.try_divide(
-                F.sum(pos * (cum_pos / cum_n + before_precision) / F.lit(2.0)), positives
-            ),
-            F.lit(0.0),
-        ),
-        "brier": F.try_divide(
-            F.sum(pos * (p - 1) * (p - 1) + neg * p * p), F.sum(n)
-        ),
+    n, pos, cum_n, cum_pos = (f"CAST({c} AS DOUBLE)" for c in ("n", "pos", "cum_n", "cum_pos"))
+    neg, p = f"({n} - {pos})", "probability"
+    before_n, before_pos = f"({cum_n} - {n})", f"({cum_pos} - {pos})"
+    before = f"CASE WHEN {before_n} > 0 THEN try_divide({before_pos}, {before_n}) ELSE 1D END"
+    sql = {
+        "roc_auc": f"try_divide(sum({neg} * ({before_pos} + {pos} / 2D)), sum({pos}) * sum({neg}))",
+        "pr_auc": f"coalesce(try_divide(sum({pos} * {cum_pos} / {cum_n}), sum({pos})), 0D)",
+        "pr_area_trapezoid":
+            f"coalesce(try_divide(sum({pos} * ({cum_pos} / {cum_n} + {before}) / 2D), sum({pos})), 0D)",
+        "brier":
+            f"try_divide(sum({pos} * ({p} - 1) * ({p} - 1) + {neg} * {p} * {p}), sum({n}))",
     }
+    return {m: F.expr(v) for m, v in sql.items()}
 
 
 def ranking_metric(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:

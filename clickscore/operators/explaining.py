@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION, Contract
-from clickscore.functions.numbers import clean_number, double_array
+from clickscore.functions.numbers import double_array, number_sql
 from clickscore.operators.learning import (
     feature_names, mode_levels, positive_probability, probability_of, transform_rows,
 )
@@ -96,7 +96,7 @@ def _attribute_linear(df, model, background, top_n, row_id) -> DataFrame:
 
 def typical_values(df: DataFrame, contract: Contract = SESSION) -> dict[str, Column]:
     """Median of every numeric field, most frequent level of every category."""
-    mid = exact_percentiles(df, {c: (clean_number(F.col(c)), [0.5]) for c in contract.numeric})
+    mid = exact_percentiles(df, {c: (number_sql(c), [0.5]) for c in contract.numeric})
     modes = mode_levels(df, contract.categorical)
     types = {f.name: f.dataType for f in df.schema.fields}
     out = {c: F.lit(mid[c][0]).cast("double") for c in contract.numeric}

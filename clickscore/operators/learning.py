@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from clickscore.contract import FOLDS, SEARCH_DRAWS, SEED, SESSION, Contract
 from clickscore.functions.features import DERIVED_FROM, FEATURE_SQL, feature_exprs
-from clickscore.functions.numbers import clean_number
+from clickscore.functions.numbers import clean_number, number_sql
 from clickscore.operators import evaluation as G
 from clickscore.operators.profiling import value_counts
 from clickscore.operators.quantiles import exact_percentiles
@@ -58,19 +58,17 @@ class NumericBranch(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
 
     def _fit(self, dataset: DataFrame) -> SQLTransformer:
         cols = self.getInputCols()
-        clean = {c: clean_number(F.col(c)) for c in cols}
-        mid = {c: v[0] for c, v in exact_percentiles(dataset, {c: (clean[c], [0.5]) for c in cols}).items()}
-        filled = {c: F.coalesce(clean[c], F.lit(float(mid[c] or 0.0))) for c in cols}
-        got = dataset.agg(
-            *[f(filled[c]).alias(f"{k}{i}") for i, c in enumerate(cols)
-              for k, f in (("m", F.avg), ("s", F.stddev_pop))]
+        mid = {c: v[0] for c, v in exact_percentiles(dataset, {c: (number_sql(c), [0.5]) for c in cols}).items()}
+        filled = {c: f"coalesce({number_sql(c)}, {_literal(mid[c])})" for c in cols}
+        got = dataset.selectExpr(
+            *[f"{f}({filled[c]}) AS {k}{i}" for i, c in enumerate(cols)
+              for k, f in (("m", "avg"), ("s", "stddev_pop"))]
         ).first()
         items = ["*"]
         for i, c in enumerate(cols):
-            x = f"nanvl(CAST(`{c}` AS DOUBLE), NULL)"
             scale = got[f"s{i}"] or 1.0
             items.append(
-                f"(coalesce({x}, {_literal(mid[c])}) - {_literal(got[f'm{i}'])}) / {_literal(scale)} AS `{c}{Z}`"
+                f"({filled[c]} - {_literal(got[f'm{i}'])}) / {_literal(scale)} AS `{c}{Z}`"
             )
         return SQLTransformer(statement=f"SELECT {', '.join(items)} FROM __THIS__")
 
@@ -116,7 +114,7 @@ def mode_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 
 def median_impute(df: DataFrame, columns: Sequence[str] = SESSION.numeric) -> DataFrame:
     clean = {c: clean_number(F.col(c)) for c in columns}
-    mid = exact_percentiles(df, {c: (clean[c], [0.5]) for c in columns})
+    mid = exact_percentiles(df, {c: (number_sql(c), [0.5]) for c in columns})
     return df.withColumns(
         {c: F.coalesce(clean[c], F.lit(mid[c][0]).cast("double")) for c in columns}
     )

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickscore.contract import CALENDAR, SESSION, Contract
-from clickscore.functions.numbers import clean_number, double_array, steps_reached
+from clickscore.functions.numbers import (
+    array_sql, clean_number, literal_sql, number_sql, steps_reached,
+)
 from clickscore.operators.cleaning import segment_rules
 from clickscore.operators.quantiles import exact_percentiles
 
@@ -135,18 +137,20 @@ def code_catalog(df: DataFrame, contract: Contract = SESSION, keep: int = CATALO
 # --- wide aggregates turned into rows ---------------------------------------------
 
 
-def _rows(df: DataFrame, aggs: Sequence[Column], lines: Sequence[Sequence[Column]]) -> DataFrame:
+def _rows(df: DataFrame, aggs: Sequence[str], lines: Sequence[dict[str, str]]) -> DataFrame:
     """One aggregate over the table, then one output row per entry of ``lines``."""
-    return df.agg(*aggs).select(F.inline(F.array(*[F.struct(*line) for line in lines])))
+    structs = ", ".join(
+        "struct(" + ", ".join(f"{sql} AS `{name}`" for name, sql in line.items()) + ")"
+        for line in lines
+    )
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({structs}))")
 
 
 def zero_inflation(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
-    aggs, lines = [], []
-    for i, c in enumerate(contract.numeric):
-        aggs.append(F.avg(F.when(F.col(c) == 0, 1.0).otherwise(0.0)).alias(f"z{i}"))
-        lines.append(
-            [F.lit(c).alias("column"), F.round(F.lit(100.0) * F.col(f"z{i}"), 2).alias("pct_zero")]
-        )
+    aggs = [f"avg(CASE WHEN `{c}` = 0 THEN 1D ELSE 0D END) AS z{i}" for i, c in enumerate(contract.numeric)]
+    lines = [
+        {"column": f"'{c}'", "pct_zero": f"round(100D * z{i}, 2)"} for i, c in enumerate(contract.numeric)
+    ]
     return _rows(df, aggs, lines)
 
 
@@ -173,116 +177,100 @@ def baseline_rate(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
 
 def outliers(df: DataFrame, columns: Sequence[str] = SESSION.all_numeric) -> DataFrame:
     """Quartiles, fences, rows outside them, maximum and bias-corrected skew."""
-    quart = exact_percentiles(df, {c: (clean_number(F.col(c)), [0.25, 0.75]) for c in columns})
-    aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
-    lines = []
-    lit = lambda v: F.lit(v).cast("double")
+    quart = exact_percentiles(df, {c: (number_sql(c), [0.25, 0.75]) for c in columns})
+    aggs, lines = ["count(1) AS n_rows"], []
     for i, c in enumerate(columns):
         q1, q3 = quart[c]
-        lo = hi = None
-        if q1 is not None:
-            lo, hi = q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1)
-        x = clean_number(F.col(c))
+        lo, hi = _fences(q1, q3)
+        x = number_sql(c)
         aggs += [
-            F.count_if((x < lit(lo)) | (x > lit(hi))).alias(f"o{i}"),
-            F.max(x).alias(f"m{i}"),
-            F.count(x).alias(f"n{i}"),
-            F.skewness(x).alias(f"s{i}"),
-            F.min(x).alias(f"l{i}"),
+            f"count_if({x} < {literal_sql(lo)} OR {x} > {literal_sql(hi)}) AS o{i}",
+            f"max({x}) AS m{i}", f"min({x}) AS l{i}",
+            f"CAST(count({x}) AS DOUBLE) AS n{i}", f"skewness({x}) AS s{i}",
         ]
-        n = F.col(f"n{i}").cast("double")
-        flat = F.col(f"m{i}") == F.col(f"l{i}")
-        skew = F.when(n >= 3, F.try_divide(F.col(f"s{i}") * F.sqrt(n * (n - 1)), n - 2))
+        skew = (
+            f"CASE WHEN n{i} < 3 THEN NULL WHEN m{i} = l{i} THEN 0D "
+            f"ELSE s{i} * sqrt(n{i} * (n{i} - 1)) / (n{i} - 2) END"
+        )
         lines.append(
-            [
-                F.lit(c).alias("column"),
-                *[F.round(lit(v), 4).alias(k) for k, v in
-                  (("q1", q1), ("q3", q3), ("lower_bound", lo), ("upper_bound", hi))],
-                F.col(f"o{i}").alias("n_outliers"),
-                F.round(F.try_divide(F.lit(100.0) * F.col(f"o{i}"), F.col("rows")), 2).alias("pct_outliers"),
-                F.round(F.col(f"m{i}"), 4).alias("max"),
-                F.round(F.when(flat & (n >= 3), F.lit(0.0)).otherwise(skew), 3).alias("skew"),
-            ]
+            {
+                "column": f"'{c}'",
+                **{k: f"round({literal_sql(v)}, 4)" for k, v in
+                   (("q1", q1), ("q3", q3), ("lower_bound", lo), ("upper_bound", hi))},
+                "n_outliers": f"o{i}",
+                "pct_outliers": f"round(try_divide(100D * o{i}, n_rows), 2)",
+                "max": f"round(m{i}, 4)",
+                "skew": f"round({skew}, 3)",
+            }
         )
     return _rows(df, aggs, lines).orderBy(F.desc("pct_outliers"), "column")
 
 
+def _fences(q1: float | None, q3: float | None) -> tuple[float | None, float | None]:
+    if q1 is None:
+        return None, None
+    return q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1)
+
+
 def numeric_ranges(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
     """Range, centre, 99th percentile and input step of every numeric column."""
-    mid = exact_percentiles(df, {c: (clean_number(F.col(c)), [0.5, 0.99]) for c in contract.numeric})
+    mid = exact_percentiles(df, {c: (number_sql(c), [0.5, 0.99]) for c in contract.numeric})
     aggs, lines = [], []
     for i, c in enumerate(contract.numeric):
-        x = clean_number(F.col(c))
-        aggs += [F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}"), F.avg(x).alias(f"c{i}")]
+        x = number_sql(c)
+        aggs += [f"min({x}) AS a{i}", f"max({x}) AS b{i}", f"avg({x}) AS c{i}"]
         step, decimals = OTHER_STEP
         if c in contract.unit_scaled:
             step, decimals = RATE_STEP
         elif c in contract.counts:
             step, decimals = COUNT_STEP
-        lit = lambda v: F.lit(v).cast("double")
         lines.append(
-            [
-                F.lit(c).alias("column"),
-                F.col(f"a{i}").alias("min"),
-                F.col(f"b{i}").alias("max"),
-                lit(mid[c][0]).alias("median"),
-                F.round(F.col(f"c{i}"), 4).alias("mean"),
-                lit(mid[c][1]).alias("p99"),
-                lit(step).alias("step"),
-                F.lit(decimals).alias("decimals"),
-            ]
+            {
+                "column": f"'{c}'", "min": f"a{i}", "max": f"b{i}",
+                "median": literal_sql(mid[c][0]), "mean": f"round(c{i}, 4)",
+                "p99": literal_sql(mid[c][1]), "step": literal_sql(step), "decimals": str(decimals),
+            }
         )
     return _rows(df, aggs, lines)
 
 
 def standardised_box(df: DataFrame, columns: Sequence[str] = SESSION.all_numeric) -> DataFrame:
     """Box plot of the z-scores: quartiles and the whiskers inside the fences."""
-    quart = exact_percentiles(
-        df, {c: (clean_number(F.col(c)), [0.25, 0.5, 0.75]) for c in columns}
-    )
+    quart = exact_percentiles(df, {c: (number_sql(c), [0.25, 0.5, 0.75]) for c in columns})
     aggs, lines = [], []
     for i, c in enumerate(columns):
         q1, q2, q3 = quart[c]
-        if q1 is None:
-            continue
-        x = clean_number(F.col(c))
-        lo, hi = q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1)
+        lo, hi = _fences(q1, q3)
+        x = number_sql(c)
         aggs += [
-            F.avg(x).alias(f"a{i}"),
-            F.stddev_samp(x).alias(f"s{i}"),
-            F.min(F.when(x >= F.lit(lo), x)).alias(f"l{i}"),
-            F.max(F.when(x <= F.lit(hi), x)).alias(f"h{i}"),
+            f"avg({x}) AS a{i}", f"stddev_samp({x}) AS s{i}",
+            f"min(CASE WHEN {x} >= {literal_sql(lo)} THEN {x} END) AS l{i}",
+            f"max(CASE WHEN {x} <= {literal_sql(hi)} THEN {x} END) AS h{i}",
         ]
-        spread = F.when(F.col(f"s{i}") > 0, F.col(f"s{i}")).otherwise(F.lit(1.0))
-        z = lambda v, i=i, spread=spread: F.round((v - F.col(f"a{i}")) / spread, 4)
+        z = lambda v, i=i: f"round(({v} - a{i}) / CASE WHEN s{i} > 0 THEN s{i} ELSE 1D END, 4)"
         lines.append(
-            [
-                F.lit(c).alias("column"),
-                z(F.col(f"l{i}")).alias("whisker_low"),
-                z(F.lit(q1)).alias("q1"),
-                z(F.lit(q2)).alias("median"),
-                z(F.lit(q3)).alias("q3"),
-                z(F.col(f"h{i}")).alias("whisker_high"),
-            ]
+            {
+                "column": f"'{c}'", "whisker_low": z(f"l{i}"), "q1": z(literal_sql(q1)),
+                "median": z(literal_sql(q2)), "q3": z(literal_sql(q3)), "whisker_high": z(f"h{i}"),
+            }
         )
     return _rows(df, aggs, lines)
 
 
 def histogram(df: DataFrame, columns: Sequence[str] = SESSION.numeric, bins: int = 50) -> DataFrame:
     """Equal-width bins between minimum and maximum; a constant column is one bin."""
-    clean = {c: clean_number(F.col(c)) for c in columns}
-    ends = df.agg(
-        *[f(clean[c]).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in (("a", F.min), ("b", F.max))]
+    ends = df.selectExpr(
+        *[f"{f}({number_sql(c)}) AS {f}{i}" for i, c in enumerate(columns) for f in ("min", "max")]
     ).first()
     cells, edges = [], {}
     for i, c in enumerate(columns):
-        lo, hi = ends[f"a{i}"], ends[f"b{i}"]
+        lo, hi = ends[f"min{i}"], ends[f"max{i}"]
         if lo is None:
             continue
         width = (hi - lo) / bins
         marks = [lo + j * width for j in range(bins)] if hi > lo else [lo]
         edges[c] = [*marks, hi]
-        spot = steps_reached(clean[c], marks) - 1
+        spot = steps_reached(clean_number(F.col(c)), marks) - 1
         cells.append(F.struct(F.lit(c).alias("column"), spot.alias("spot")))
     if not cells:
         raise ValueError("no values to bin")
@@ -292,26 +280,17 @@ def histogram(df: DataFrame, columns: Sequence[str] = SESSION.numeric, bins: int
         .groupBy("column", "spot")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = _literal_map_of_arrays(edges)
-    every = F.sequence(F.lit(0), F.size(F.element_at(frame, F.col("column"))) - 2)
+    frame = "map(" + ", ".join(f"'{c}', {array_sql(v)}" for c, v in edges.items()) + ")[`column`]"
     return (
-        counted.select("*", F.explode(every).alias("bin"))
+        counted.selectExpr("*", f"explode(sequence(0, size({frame}) - 2)) AS bin")
         .groupBy("column", "bin")
         .agg(F.sum(F.when(F.col("spot") == F.col("bin"), F.col("n")).otherwise(0)).alias("count"))
-        .select(
-            "column",
-            "bin",
-            F.get(F.element_at(frame, F.col("column")), F.col("bin")).alias("lower"),
-            F.get(F.element_at(frame, F.col("column")), F.col("bin") + 1).alias("upper"),
-            "count",
+        .selectExpr(
+            "column", "bin", f"get({frame}, bin) AS lower", f"get({frame}, bin + 1) AS upper", "count"
         )
     )
 
 
-def _literal_map_of_arrays(pairs: dict[str, Sequence[float]]) -> Column:
-    return F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), double_array(v))])
-
-
 # --- categories -----------------------------------------------------------------------
 
 
@@ -379,15 +358,14 @@ def segment_presets(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
     medians = exact_percentiles(
         df,
         {
-            f"{i}.{c}": (F.when(rules[s], clean_number(F.col(c))), [0.5])
+            f"{i}.{c}": (f"CASE WHEN {rules[s]} THEN {number_sql(c)} END", [0.5])
             for i, s in enumerate(names)
             for c in contract.numeric
         },
     )
-    share = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(rules[s]).alias(f"n{i}") for i, s in enumerate(names)]
+    tags = F.expr(
+        "array_compact(array(" + ", ".join(f"CASE WHEN {rules[s]} THEN '{s}' END" for s in names) + "))"
     )
-    tags = F.array_compact(F.array(*[F.when(rules[s], F.lit(s)) for s in names]))
     tagged = df.select(*contract.categorical, F.explode(tags).alias("segment"))
     best = F.min(F.struct((-F.col("n")).alias("rank"), *_VALUE))
     modes = (
@@ -406,24 +384,21 @@ def segment_presets(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
         return F.col(f"{c}.{slot}").cast(types[c]).alias(c)
 
     def median(c: str) -> Column:
-        values = F.create_map(
-            *[x for i, s in enumerate(names) for x in (F.lit(s), F.lit(medians[f"{i}.{c}"][0]).cast("double"))]
-        )
-        return F.round(F.element_at(values, F.col("segment")), 4).alias(c)
-
-    counts = share.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(s).alias("segment"),
-                        F.col(f"n{i}").alias("n_sessions"),
-                        F.round(F.try_divide(F.lit(100.0) * F.col(f"n{i}"), F.col("rows")), 1).alias("share_pct"),
-                    )
-                    for i, s in enumerate(names)
-                ]
-            )
+        cases = " ".join(
+            f"WHEN '{s}' THEN {literal_sql(medians[f'{i}.{c}'][0])}" for i, s in enumerate(names)
         )
+        return F.expr(f"round(CASE segment {cases} END, 4) AS {c}")
+
+    counts = _rows(
+        df,
+        ["count(1) AS n_rows", *[f"count_if({rules[s]}) AS n{i}" for i, s in enumerate(names)]],
+        [
+            {
+                "segment": f"'{s}'", "n_sessions": f"n{i}",
+                "share_pct": f"round(try_divide(100D * n{i}, n_rows), 1)",
+            }
+            for i, s in enumerate(names)
+        ],
     ).filter("n_sessions > 0")
     return counts.join(modes, "segment", "left").select(
         "segment",

@@ -11,12 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickscore.functions.numbers import array_sql, literal_sql
 from clickscore.operators.accumulate import running_totals, slice_cuts
 
-Targets = Mapping[str, tuple[Column, Sequence[float]]]
+Targets = Mapping[str, tuple[str, Sequence[float]]]
 
 SKETCH_ACCURACY = 10_000
 SMALL = 50_000  # most values of one bracket that may be sorted in a single task
@@ -25,14 +26,14 @@ SMALL = 50_000  # most values of one bracket that may be sorted in a single task
 def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> dict[str, list[float | None]]:
     """Percentiles of several numeric expressions at once.
 
-    ``targets`` maps a name to (expression, probabilities); NULLs are ignored.
+    ``targets`` maps a name to (SQL expression, probabilities); NULLs are ignored.
     Conditional expressions give grouped percentiles.  Returns plain floats: their
     number depends on the request, never on the data.
     """
     names = list(targets)
     if not names:
         return {}
-    expr = {k: targets[k][0].cast("double") for k in names}
+    expr = {k: f"CAST({targets[k][0]} AS DOUBLE)" for k in names}
     margin = 2.0 / SKETCH_ACCURACY
 
     head = []
@@ -40,11 +41,10 @@ def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> di
         marks = []
         for p in targets[k][1]:
             marks += [max(0.0, p - margin), min(1.0, p + margin)]
-        head.append(F.count(expr[k]).alias(f"n{i}"))
-        head.append(
-            F.percentile_approx(expr[k], F.lit([0.0, *marks, 1.0]), F.lit(SKETCH_ACCURACY)).alias(f"b{i}")
-        )
-    seen = df.agg(*head).first()
+        spots = array_sql([0.0, *marks, 1.0])
+        head.append(f"count({expr[k]}) AS n{i}")
+        head.append(f"percentile_approx({expr[k]}, {spots}, {SKETCH_ACCURACY}) AS b{i}")
+    seen = df.selectExpr(*head).first()
 
     # One bracket per (name, probability): [lo, hi] holding ranks k and k + 1.
     brackets: list[dict] = []
@@ -69,9 +69,9 @@ def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> di
         counts = []
         for t, b in enumerate(unsure):
             x = expr[b["name"]]
-            counts.append(F.count_if(x < F.lit(b["lo"])).alias(f"u{t}"))
-            counts.append(F.count_if(x.between(F.lit(b["lo"]), F.lit(b["hi"]))).alias(f"i{t}"))
-        got = df.agg(*counts).first()
+            counts.append(f"count_if({x} < {literal_sql(b['lo'])}) AS u{t}")
+            counts.append(f"count_if({_inside(x, b)}) AS i{t}")
+        got = df.selectExpr(*counts).first()
         for t, b in enumerate(unsure):
             below, inside = got[f"u{t}"], got[f"i{t}"]
             last = min(b["rank"] + 1, b["n"] - 1)
@@ -94,12 +94,16 @@ def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> di
     return out
 
 
+def _inside(x: str, b: dict) -> str:
+    return f"({x} BETWEEN {literal_sql(b['lo'])} AND {literal_sql(b['hi'])})"
+
+
 def _wanted(b: dict) -> tuple[int, int]:
     first = b["rank"] - b["below"]
     return first, min(first + 1, b["n"] - 1 - b["below"])
 
 
-def _sort_small(df: DataFrame, expr: dict[str, Column], group: list[dict]) -> None:
+def _sort_small(df: DataFrame, expr: dict[str, str], group: list[dict]) -> None:
     """Brackets of a checked size: sort the values inside one aggregate."""
     if not group:
         return
@@ -110,34 +114,28 @@ def _sort_small(df: DataFrame, expr: dict[str, Column], group: list[dict]) -> No
         if key not in shared:
             shared[key] = f"v{len(shared)}"
             x = expr[b["name"]]
-            inside = F.when(x.between(F.lit(b["lo"]), F.lit(b["hi"])), x)
-            lists.append(F.sort_array(F.collect_list(inside)).alias(shared[key]))
+            lists.append(
+                f"sort_array(collect_list(CASE WHEN {_inside(x, b)} THEN {x} END)) AS {shared[key]}"
+            )
     picks = []
     for t, b in enumerate(group):
-        v = F.col(shared[(b["name"], b["lo"], b["hi"])])
+        v = shared[(b["name"], b["lo"], b["hi"])]
         first, second = _wanted(b)
-        picks.append(F.array(F.get(v, F.lit(first)), F.get(v, F.lit(second))).alias(f"p{t}"))
-    got = df.agg(*lists).select(*picks).first()
+        picks.append(f"array(get({v}, {first}), get({v}, {second})) AS p{t}")
+    got = df.selectExpr(*lists).selectExpr(*picks).first()
     for t, b in enumerate(group):
         b["pair"] = tuple(got[f"p{t}"])
 
 
-def _sort_large(df: DataFrame, expr: dict[str, Column], group: list[dict], small: int) -> None:
+def _sort_large(df: DataFrame, expr: dict[str, str], group: list[dict], small: int) -> None:
     """Brackets of any size: count distinct values and accumulate them in slices."""
     if not group:
         return
-    cells = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    expr[b["name"]].between(F.lit(b["lo"]), F.lit(b["hi"])),
-                    F.struct(F.lit(t).alias("t"), expr[b["name"]].alias("x")),
-                )
-                for t, b in enumerate(group)
-            ]
-        )
+    cells = ", ".join(
+        f"CASE WHEN {_inside(expr[b['name']], b)} THEN struct({t} AS t, {expr[b['name']]} AS x) END"
+        for t, b in enumerate(group)
     )
-    values = df.select(F.inline(cells))
+    values = df.selectExpr(f"inline(array_compact(array({cells})))")
     counted = values.groupBy("t", "x").agg(F.count(F.lit(1)).alias("n"))
     cuts = slice_cuts(values, "x", small=small)
     ranked = running_totals(counted, "x", ["n"], by=["t"], descending=False, cuts=cuts)

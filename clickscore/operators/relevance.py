@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION, Contract
-from clickscore.functions.numbers import clean_number
+from clickscore.functions.numbers import literal_sql, number_sql
 from clickscore.operators.quantiles import exact_percentiles
 
 HIGH_CORRELATION = 0.80
@@ -17,32 +17,34 @@ MI_BINS = 20
 
 
 def _correlations(
-    df: DataFrame, columns: dict[str, Column], pairs: Sequence[tuple[str, str]]
+    df: DataFrame, columns: dict[str, str], pairs: Sequence[tuple[str, str]]
 ) -> dict[tuple[str, str], float | None]:
     """Pearson correlation of the wanted pairs from two narrow passes.
 
-    The first pass finds the means, the second sums centred products, which keeps the
-    precision of the one-pass formula's better-behaved relatives at half its cost.  A
-    pair uses the rows where both values are present; a constant column gives None.
+    The first pass finds the means, the second sums products of centred values, which
+    stays precise for large means.  A pair uses the rows where both values are present;
+    a constant column gives None.  ``columns`` maps names to SQL expressions.
     """
     names = list(columns)
-    ends = df.agg(
-        F.count(F.lit(1)).alias("rows"),
+    ends = df.selectExpr(
+        "count(1) AS n_rows",
         *[
-            f(columns[c]).alias(f"{k}{i}")
+            f"{f}({columns[c]}) AS {k}{i}"
             for i, c in enumerate(names)
-            for k, f in (("n", F.count), ("m", F.avg), ("a", F.min), ("b", F.max))
+            for k, f in (("n", "count"), ("m", "avg"), ("a", "min"), ("b", "max"))
         ],
     ).first()
     at = {c: i for i, c in enumerate(names)}
     varies = {c: ends[f"n{i}"] > 0 and ends[f"a{i}"] < ends[f"b{i}"] for c, i in at.items()}
-    full = {c: ends[f"n{i}"] == ends["rows"] for c, i in at.items()}
-    centred = {c: columns[c] - F.lit(ends[f"m{i}"] or 0.0) for c, i in at.items()}
+    full = {c: ends[f"n{i}"] == ends["n_rows"] for c, i in at.items()}
+    centred = df.selectExpr(
+        *[f"{columns[c]} - {literal_sql(ends[f'm{i}'] or 0.0)} AS d{i}" for c, i in at.items()]
+    )
 
-    sums: dict[str, Column] = {}
+    sums: dict[str, str] = {}
 
-    def total(key: str, value: Column) -> str:
-        sums.setdefault(key, F.sum(value).alias(key))
+    def total(key: str, value: str) -> str:
+        sums[key] = f"sum({value}) AS {key}"
         return key
 
     plan = {}
@@ -50,22 +52,21 @@ def _correlations(
         if not (varies[a] and varies[b]):
             continue
         i, j = at[a], at[b]
-        x, y = centred[a], centred[b]
+        x, y = f"d{i}", f"d{j}"
         if full[a] and full[b]:
-            keys = [
-                total(f"p{i}_{j}", x * y), total(f"x{i}", x), total(f"x{j}", y),
-                total(f"q{i}", x * x), total(f"q{j}", y * y), total("c", F.lit(1)),
+            plan[a, b] = [
+                total(f"p{i}_{j}", f"{x} * {y}"), total(f"x{i}", x), total(f"x{j}", y),
+                total(f"q{i}", f"{x} * {x}"), total(f"q{j}", f"{y} * {y}"), total("c", "1"),
             ]
         else:
-            both = x.isNotNull() & y.isNotNull()
-            keys = [
-                total(f"p{i}_{j}", x * y),
-                total(f"x{i}_{j}", F.when(both, x)), total(f"x{j}_{i}", F.when(both, y)),
-                total(f"q{i}_{j}", F.when(both, x * x)), total(f"q{j}_{i}", F.when(both, y * y)),
-                total(f"c{i}_{j}", F.when(both, 1)),
+            both = lambda v, x=x, y=y: f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN {v} END"
+            plan[a, b] = [
+                total(f"p{i}_{j}", f"{x} * {y}"),
+                total(f"x{i}_{j}", both(x)), total(f"x{j}_{i}", both(y)),
+                total(f"q{i}_{j}", both(f"{x} * {x}")), total(f"q{j}_{i}", both(f"{y} * {y}")),
+                total(f"c{i}_{j}", both("1")),
             ]
-        plan[a, b] = keys
-    got = df.agg(*sums.values()).first() if sums else None
+    got = centred.selectExpr(*sums.values()).first() if sums else None
 
     out: dict[tuple[str, str], float | None] = {p: None for p in pairs}
     for pair, keys in plan.items():
@@ -78,8 +79,8 @@ def _correlations(
     return out
 
 
-def _numbers(columns: Sequence[str]) -> dict[str, Column]:
-    return {c: clean_number(F.col(c)) for c in columns}
+def _numbers(columns: Sequence[str]) -> dict[str, str]:
+    return {c: number_sql(c) for c in columns}
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str] = SESSION.all_numeric) -> DataFrame:
@@ -92,15 +93,12 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] = SESSION.all_numeri
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = SESSION.all_numeric) -> DataFrame:
     """Square form, one row per feature, 4 decimals."""
-    upper = correlation_pairs(df, columns)
-    lower = upper.filter("feature_a <> feature_b").select(
-        F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "corr"
-    )
-    return (
-        upper.union(lower)
-        .groupBy(F.col("feature_a").alias("feature"))
-        .pivot("feature_b", list(columns))
-        .agg(F.first(F.round("corr", 4)))
+    got = _correlations(df, _numbers(columns), list(combinations_with_replacement(columns, 2)))
+    cell = lambda a, b: got[a, b] if (a, b) in got else got[b, a]
+    rows = [(a, *[cell(a, b) for b in columns]) for a in columns]
+    schema = "feature string, " + ", ".join(f"`{c}` double" for c in columns)
+    return df.sparkSession.createDataFrame(rows, schema).selectExpr(
+        "feature", *[f"round(`{c}`, 4) AS `{c}`" for c in columns]
     )
 
 
@@ -123,7 +121,7 @@ def target_correlation(
 ) -> DataFrame:
     columns = list(columns or contract.all_numeric)
     y = contract.target
-    exprs = {**_numbers(columns), y: F.col(y).cast("int").cast("double")}
+    exprs = {**_numbers(columns), y: f"CAST(CAST(`{y}` AS INT) AS DOUBLE)"}
     got = _correlations(df, exprs, [(c, y) for c in columns])
     rows = [(c, got[c, y]) for c in columns]
     return (
@@ -148,21 +146,17 @@ def mutual_information(
     """
     numeric = list(contract.all_numeric if numeric is None else numeric)
     marks = [i / bins for i in range(1, bins)]
-    cuts = exact_percentiles(df, {c: (clean_number(F.col(c)), marks) for c in numeric})
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level"))
-        for c in contract.categorical
-    ]
+    cuts = exact_percentiles(df, {c: (number_sql(c), marks) for c in numeric})
+    cells = [f"struct('{c}' AS feature, CAST(`{c}` AS STRING) AS level)" for c in contract.categorical]
     for c in numeric:
-        x = clean_number(F.col(c))
-        spot = F.lit(0)
-        for cut in sorted({v for v in cuts[c] if v is not None}):
-            spot = spot + F.when(x >= F.lit(cut), 1).otherwise(0)
-        level = F.when(x.isNotNull(), spot).cast("string")
-        cells.append(F.struct(F.lit(c).alias("feature"), level.alias("level")))
+        x = number_sql(c)
+        edges = sorted({v for v in cuts[c] if v is not None})
+        spot = " + ".join(f"CAST({x} >= {literal_sql(v)} AS INT)" for v in edges) or "0"
+        level = f"CASE WHEN {x} IS NOT NULL THEN CAST({spot} AS STRING) END"
+        cells.append(f"struct('{c}' AS feature, {level} AS level)")
     y = F.col(contract.target).cast("int")
     levels = (
-        df.select(y.alias("y"), F.inline(F.array(*cells)))
+        df.select(y.alias("y"), F.expr(f"inline(array({', '.join(cells)}))"))
         .filter("y IS NOT NULL")
         .groupBy("feature", "level")
         .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("y").cast("double").alias("n1"))

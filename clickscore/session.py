@@ -22,6 +22,8 @@ def local_session(cores: int | str | None = None, **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Recording a Python call site for every column expression is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
