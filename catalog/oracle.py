@@ -647,5 +647,29 @@ def run_sql() -> dict[str, str]:
     }
 
 
+def source_sql(sessions: dict[str, str], history: dict[str, str]) -> dict[str, str]:
+    """Round trips through files give what the operator itself gives."""
+    P = f"WITH {PAIRS}"
+    return {
+        "read_sessions": f"WITH {SESSIONS} SELECT {COLS} FROM s",
+        "read_upload": sessions["align_broken_numbers"],
+        "read_runs": history["classify_runs"],
+        "read_profile": sessions["numeric_ranges"],
+        "write_json": sessions["outliers"],
+        "model_card": f"""{P}, {sweep('p')},
+          b AS (SELECT * FROM sweep ORDER BY f1 DESC, threshold LIMIT 1)
+          {" UNION ALL ".join(f"SELECT 'by_value' AS model_name, threshold AS operating_threshold, '{c}' AS cell, {c} AS n FROM b"
+            for c in ("true_negative", "false_positive", "false_negative", "true_positive"))}""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**evaluation_sql(), **decision_sql(), **session_sql(), **model_sql(), **run_sql()}
+    sessions, history = session_sql(), run_sql()
+    return {
+        **evaluation_sql(),
+        **decision_sql(),
+        **sessions,
+        **model_sql(),
+        **history,
+        **source_sql(sessions, history),
+    }

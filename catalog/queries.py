@@ -24,8 +24,13 @@ from clickscore.operators import runs as J
 from clickscore.operators import scoring as Sc
 from clickscore.operators import splitting as E
 from clickscore.operators import validation as V
+from clickscore.plans.batch_scoring import score_file
+from clickscore.plans.profile import write_input_profile
 from clickscore.session import work_folder
 from clickscore.sources import clickstream as src
+from clickscore.sources import readers
+from clickscore.sources.models import load_model, model_card, read_cards, save_model
+from clickscore.sources.writers import append_rows, write_json, write_scored, write_table
 from clickscore.streaming import scoring as K
 
 # The spellings the text categories are brought to.
@@ -420,5 +425,80 @@ def run_queries() -> dict[str, Query]:
     }
 
 
+# --- sources and sinks, each as a round trip through files ----------------------------------
+
+
+def source_queries() -> dict[str, Query]:
+    def sessions_file(spark: SparkSession, folder: str) -> DataFrame:
+        path = write_table(sessions(spark, folder), work_folder(spark, "table"), "sessions.csv", "csv")
+        return readers.read_sessions(spark, path)
+
+    def upload_file(spark: SparkSession, folder: str) -> DataFrame:
+        path = write_scored(upload("broken_numbers")(spark, folder), work_folder(spark, "up") + ".csv")
+        got = C.align(readers.read_upload(spark, path), levels=SPELLINGS)
+        return got.tracked.select(
+            F.col(f"{C.SOURCE}.c17").cast("bigint").alias("row_id"), *SESSION.features
+        )
+
+    def json_file(spark: SparkSession, folder: str) -> DataFrame:
+        table = Dp.outliers(unique_sessions(spark, folder))
+        path = write_json(table, work_folder(spark, "doc"), "outliers")
+        row = F.from_json("value", table.schema).alias("r")
+        return spark.read.text(path).select(row).select("r.*")
+
+    def stored_profile(spark: SparkSession, folder: str) -> DataFrame:
+        place = work_folder(spark, "profile")
+        write_input_profile(sessions(spark, folder), place)
+        ranges = readers.read_profile(spark, place)["numeric_ranges"]
+        return ranges.withColumns({c: F.round(c, 6) for c in ("median", "p99")})
+
+    def stored_runs(spark: SparkSession, folder: str) -> DataFrame:
+        path = append_rows(runs(spark, folder), work_folder(spark, "runs") + ".parquet")
+        return J.classify_runs(readers.read_runs(spark, path)).select(
+            "run_id", "run_name", "status", "is_model_run", "n_values"
+        )
+
+    def scored_file(spark: SparkSession, folder: str) -> DataFrame:
+        path = write_scored(upload("padded")(spark, folder), work_folder(spark, "up") + ".csv")
+        out = work_folder(spark, "scored")
+        score_file(spark, path, out, fitted(spark, folder))
+        return spark.read.option("header", True).csv(out)
+
+    def saved_model(spark: SparkSession, folder: str) -> DataFrame:
+        path = save_model(fitted(spark, folder), work_folder(spark, "model"))
+        scored = Sc.score(unique_sessions(spark, folder), load_model(spark, path), 0.7)
+        return scored.select("row_id", *Sc.SCORE_COLUMNS)
+
+    def card(spark: SparkSession, folder: str) -> DataFrame:
+        scored = pairs(spark, folder)
+        t = G.optimal_threshold(G.threshold_sweep(scored)).first()["threshold"]
+        path = work_folder(spark, "cards")
+        model_card(
+            spark,
+            model_name="by_value",
+            operating_threshold=t,
+            metrics=G.metric_suite(scored, t).first().asDict(),
+            confusion=G.confusion(scored, t).first().asDict(),
+        ).write.parquet(path)
+        return read_cards(spark, path).select("model_name", "operating_threshold", F.explode("confusion").alias("cell", "n"))
+
+    return {
+        "read_sessions": sessions_file,
+        "read_upload": upload_file,
+        "read_runs": stored_runs,
+        "read_profile": stored_profile,
+        "write_json": json_file,
+        "score_file": scored_file,
+        "save_load_model": saved_model,
+        "model_card": card,
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**evaluation_queries(), **session_queries(), **run_queries(), **model_queries()}
+    return {
+        **evaluation_queries(),
+        **session_queries(),
+        **run_queries(),
+        **source_queries(),
+        **model_queries(),
+    }

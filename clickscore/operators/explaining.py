@@ -216,14 +216,18 @@ def contribution_source(feature: Column, schema_of: DataFrame, contract: Contrac
     types = {f.name: f.dataType.typeName() for f in schema_of.schema.fields}
 
     def shown(c: str) -> Column:
-        if types[c] in ("double", "float"):
-            return short_number(F.col(c))
         text = F.col(c).cast("string")
         return F.initcap(text) if types[c] == "boolean" else text
 
+    named = [c for c in (*contract.features, *contract.engineered) if c in types]
+    real = [c for c in named if types[c] in ("double", "float")]
+    # The number is picked first and printed once, which keeps the expression small.
+    number = F.coalesce(*[F.when(feature == F.lit(c), F.col(c)) for c in real]) if real else None
     out = F
-    for c in (*contract.features, *contract.engineered):
-        if c in types:
+    if real:
+        out = out.when(feature.isin(real), short_number(number))
+    for c in named:
+        if c not in real:
             out = out.when(feature == F.lit(c), shown(c))
     for c in contract.categorical:
         level = F.substring(feature, len(c) + 2, 1_000)

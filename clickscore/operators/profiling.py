@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from clickscore.contract import CALENDAR, SESSION, Contract
 from clickscore.functions.numbers import (
-    array_sql, clean_number, literal_sql, number_sql, steps_reached,
+    array_sql, clean_number, literal_sql, number_sql,
 )
 from clickscore.operators.cleaning import segment_rules
 from clickscore.operators.quantiles import exact_percentiles
@@ -268,14 +268,12 @@ def histogram(df: DataFrame, columns: Sequence[str] = SESSION.numeric, bins: int
         if lo is None:
             continue
         width = (hi - lo) / bins
-        marks = [lo + j * width for j in range(bins)] if hi > lo else [lo]
-        edges[c] = [*marks, hi]
-        spot = steps_reached(clean_number(F.col(c)), marks) - 1
-        cells.append(F.struct(F.lit(c).alias("column"), spot.alias("spot")))
+        edges[c] = [*(lo + j * width for j in range(bins)), hi] if hi > lo else [lo, hi]
+        cells.append(f"struct('{c}' AS `column`, {_bin_sql(number_sql(c), lo, width, bins)} AS spot)")
     if not cells:
         raise ValueError("no values to bin")
     counted = (
-        df.select(F.inline(F.array(*cells)))
+        df.selectExpr(f"inline(array({', '.join(cells)}))")
         .filter("spot IS NOT NULL")
         .groupBy("column", "spot")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -291,6 +289,19 @@ def histogram(df: DataFrame, columns: Sequence[str] = SESSION.numeric, bins: int
     )
 
 
+def _bin_sql(x: str, lo: float, width: float, bins: int) -> str:
+    """Bin of x by arithmetic, corrected against the exact edges ``lo + j * width``."""
+    if width == 0:
+        return f"CASE WHEN {x} IS NOT NULL THEN 0 END"
+    start, step = literal_sql(lo), literal_sql(width)
+    guess = f"floor(({x} - {start}) / {step})"
+    shift = (
+        f"CASE WHEN {start} + ({guess} + 1) * {step} <= {x} THEN 1 "
+        f"WHEN {start} + {guess} * {step} > {x} THEN -1 ELSE 0 END"
+    )
+    return f"CASE WHEN {x} IS NOT NULL THEN CAST(least({bins - 1}, greatest(0, {guess} + {shift})) AS INT) END"
+
+
 # --- categories -----------------------------------------------------------------------
 
 

@@ -21,6 +21,7 @@ Targets = Mapping[str, tuple[str, Sequence[float]]]
 
 SKETCH_ACCURACY = 10_000
 SMALL = 50_000  # most values of one bracket that may be sorted in a single task
+SMALL_IN_ALL = 40  # and of all brackets together, in multiples of that
 
 
 def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> dict[str, list[float | None]]:
@@ -84,7 +85,14 @@ def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> di
     for b in live:
         if b["lo"] == b["hi"]:
             b["pair"] = (b["lo"], b["lo"])
-    _sort_small(df, expr, [b for b in live if "pair" not in b and b["inside"] <= small])
+    budget, few = SMALL_IN_ALL * small, []
+    for b in sorted((b for b in live if "pair" not in b), key=lambda b: b["inside"]):
+        # Brackets over a whole column share one list.
+        cost = 0 if b["whole"] and any(f["name"] == b["name"] for f in few) else b["inside"]
+        if b["inside"] <= small and cost <= budget:
+            few.append(b)
+            budget -= cost
+    _sort_small(df, expr, few)
     _sort_large(df, expr, [b for b in live if "pair" not in b], small)
 
     out: dict[str, list[float | None]] = {k: [None] * len(targets[k][1]) for k in names}

@@ -18,7 +18,10 @@ def sessions_from_events(events: DataFrame) -> DataFrame:
     Two shuffles: events by (user, day) with map-side combine, then the much
     smaller user-day rows by user to number each user's days.
     """
-    at = F.struct("ts", "event_id")
+    # One number that orders like (ts, event_id): numeric buffers keep the aggregate hashed.
+    at = F.expr(
+        "CAST(unix_micros(CAST(ts AS TIMESTAMP)) AS DECIMAL(38, 0)) * 10000000000000000000BD + event_id"
+    ).cast("decimal(38,0)")
     seen = events.select(
         "user_id",
         F.to_date("ts").alias("day"),
