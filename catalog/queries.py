@@ -392,9 +392,9 @@ def model_queries() -> dict[str, Query]:
         "global_contribution": explained(X.global_contribution, "linear"),
         "contribution_source": _on(
             once,
-            lambda d: d.withColumn("feature", F.explode(F.lit(list(SOURCE_FEATURES)))).select(
-                "row_id", "feature", X.contribution_source(F.col("feature"), d).alias("shown")
-            ),
+            lambda d: X.with_contribution_source(
+                d.withColumn("feature", F.explode(F.lit(list(SOURCE_FEATURES))))
+            ).select("row_id", "feature", "shown"),
         ),
         "sensitivity_grid": _on(once, lambda d: X.sensitivity_grid(Dp.numeric_ranges(d))),
         "sensitivity": with_model(curve),

@@ -16,9 +16,16 @@ from pyspark.sql import functions as F
 from clickscore.contract import SESSION, Contract
 from clickscore.functions import coercion as C
 
-STRATEGIES = ("exact", "normalised", "positional")
 SOURCE = "source_row"
 
+# Wording of the notes shown to the uploader.
+BY_NAME = "Matched {n} column(s) by name ignoring case and punctuation, e.g. '{source}' -> '{target}'."
+BY_POSITION = "{n} column name(s) did not match the schema, so columns were mapped by position instead."
+FIRST_ONLY = "Only the first {n} of {m} columns were used."
+NOT_NUMERIC = " value(s) were not numeric and will be imputed."
+NOT_CODE = " value(s) were not integer codes and are treated as unknown."
+RECASED = " value(s) matched a known category after ignoring case."
+
 
 @dataclass(frozen=True)
 class Alignment:
@@ -58,15 +65,8 @@ class Alignment:
         return self._raw.agg(*sums).select(F.inline(rows)).filter("n > 0")
 
     def coercion_notes(self) -> DataFrame:
-        # Wording of the coercion notes.
-        text = (
-            F.when(F.col("repair") == "not_numeric", " value(s) were not numeric and will be imputed.")
-            .when(
-                F.col("repair") == "not_code",
-                " value(s) were not integer codes and are treated as unknown.",
-            )
-            .otherwise(" value(s) matched a known category after ignoring case.")
-        )
+        kind = F.col("repair")
+        text = F.when(kind == "not_numeric", NOT_NUMERIC).when(kind == "not_code", NOT_CODE).otherwise(RECASED)
         return self.coercion_counts().select(
             "column", F.concat(F.col("column"), F.lit(": "), F.col("n").cast("string"), text).alias("note")
         )
@@ -106,10 +106,7 @@ def match_columns(
     if not unmatched:
         spots = [found[r] for r in required]
         moved = [(r, names[i]) for r, i in zip(required, spots) if names[i] != r]
-        note = (
-            f"Matched {len(moved)} column(s) by name ignoring case and punctuation, "
-            f"e.g. '{moved[0][1]}' -> '{moved[0][0]}'."
-        )
+        note = BY_NAME.format(n=len(moved), source=moved[0][1], target=moved[0][0])
         return "normalised", spots, (note,)
 
     if not allow_positional:
@@ -118,9 +115,9 @@ def match_columns(
         raise ValueError(
             f"matching by position needs {len(required)} columns or more, the upload has {len(names)}"
         )
-    notes = [f"{len(unmatched)} column name(s) did not match the schema, so columns were mapped by position."]
+    notes = [BY_POSITION.format(n=len(unmatched))]
     if len(names) > len(required):
-        notes.append(f"Only the first {len(required)} of {len(names)} columns were used.")
+        notes.append(FIRST_ONLY.format(n=len(required), m=len(names)))
     return "positional", list(range(len(required))), tuple(notes)
 
 

@@ -180,40 +180,34 @@ def global_contribution(
 def short_number(c: Column) -> Column:
     """At most four significant digits, the way ``%.4g`` prints them."""
     x = c.cast("double")
-    size = F.abs(x)
-    power = F.floor(F.log10(size))
-    out = F
-    for e in range(-4, 4):  # plain notation
-        inside = (size >= F.lit(10.0**e)) & (F.bround(size, 3 - e) < F.lit(10.0 ** (e + 1)))
-        out = out.when(inside, _plain(F.bround(x, 3 - e)))
-        # rounding up to the next power of ten keeps one digit less
-        if e < 3:
-            carry = (size >= F.lit(10.0**e)) & (size < F.lit(10.0 ** (e + 1)))
-            out = out.when(carry, _plain(F.bround(x, 2 - e)))
-    lead = F.bround(x / F.pow(F.lit(10.0), power), 3)
-    over = F.abs(lead) >= 10
-    exponent = F.when(over, power + 1).otherwise(power)
-    digits = F.lpad(F.abs(exponent).cast("string"), 2, "0")
-    science = F.concat(
-        _plain(F.when(over, lead / 10).otherwise(lead)),
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        digits,
+    five = F.format_string("%.4e", x)
+    # Exactly half way after an even digit: the fifth digit is dropped, not rounded up.
+    stays = (five.try_cast("double") == x) & five.rlike("[02468]5e")
+    text = F.when(stays, F.regexp_replace(five, "5e", "e")).otherwise(F.format_string("%.3e", x))
+    power = F.split_part(text, F.lit("e"), F.lit(2))
+    plain = power.try_cast("int").between(-4, 3)
+    return (
+        F.when(x.isNull(), F.lit(None).cast("string"))
+        .when(x == 0, "0")
+        .when(plain, _trim_zeros(text.try_cast("double").try_cast("decimal(24,8)").cast("string")))
+        .otherwise(F.concat(_trim_zeros(F.split_part(text, F.lit("e"), F.lit(1))), F.lit("e"), power))
     )
-    return F.when(x == 0, "0").otherwise(out.otherwise(science))
 
 
-def _plain(c: Column) -> Column:
-    text = c.cast("decimal(24,8)").cast("string")
+def _trim_zeros(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", "")
 
 
-def contribution_source(feature: Column, schema_of: DataFrame, contract: Contract = SESSION) -> Column:
-    """What a transformed feature means for this row.
+def with_contribution_source(
+    df: DataFrame, feature: str = "feature", name: str = "shown", contract: Contract = SESSION
+) -> DataFrame:
+    """Add what the transformed feature named in ``feature`` means for its row.
 
     A field shows its value; a one-hot slot reads "Month = Nov" when active and
     "Month is Nov, not May" when not.
     """
-    types = {f.name: f.dataType.typeName() for f in schema_of.schema.fields}
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    asked = F.col(feature)
 
     def shown(c: str) -> Column:
         text = F.col(c).cast("string")
@@ -222,21 +216,18 @@ def contribution_source(feature: Column, schema_of: DataFrame, contract: Contrac
     named = [c for c in (*contract.features, *contract.engineered) if c in types]
     real = [c for c in named if types[c] in ("double", "float")]
     # The number is picked first and printed once, which keeps the expression small.
-    number = F.coalesce(*[F.when(feature == F.lit(c), F.col(c)) for c in real]) if real else None
-    out = F
-    if real:
-        out = out.when(feature.isin(real), short_number(number))
+    number = F.coalesce(*[F.when(asked == F.lit(c), F.col(c)) for c in real], F.lit(None).cast("double"))
+    out = F.when(asked.isin(real), short_number(F.col("_number")))
     for c in named:
         if c not in real:
-            out = out.when(feature == F.lit(c), shown(c))
+            out = out.when(asked == F.lit(c), shown(c))
     for c in contract.categorical:
-        level = F.substring(feature, len(c) + 2, 1_000)
-        active = shown(c) == level
-        text = F.when(active, F.concat(F.lit(f"{c} = "), shown(c))).otherwise(
+        level = F.substring(asked, len(c) + 2, 1_000)
+        text = F.when(shown(c) == level, F.concat(F.lit(f"{c} = "), shown(c))).otherwise(
             F.concat(F.lit(f"{c} is "), shown(c), F.lit(", not "), level)
         )
-        out = out.when(feature.startswith(f"{c}_"), text)
-    return out.otherwise("")
+        out = out.when(asked.startswith(f"{c}_"), text)
+    return df.withColumn("_number", number).withColumn(name, out.otherwise("")).drop("_number")
 
 
 # --- what-if ------------------------------------------------------------------------------
