@@ -34,7 +34,8 @@ single AS (
     ProductRelated, ProductRelated_Duration,
     CASE WHEN n = 1 THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END AS BounceRates,
     round(0.2::DOUBLE / n, 4) AS ExitRates,
-    round(paid / n, 4) AS PageValues,
+    -- half up in whole hundredths of a cent, so exact ties do not depend on the division
+    ((CAST(round(paid * 100) AS BIGINT) * 200 + n) // (2 * n)) / 10000.0::DOUBLE AS PageValues,
     (k1 % 6) / 5.0::DOUBLE AS SpecialDay,
     ['Feb','Mar','May','June','Jul','Aug','Sep','Oct','Nov','Dec'][(k1 % 10) + 1] AS Month,
     CASE WHEN k1 % 50 = 0 THEN 'Other' WHEN nth_day <= 4 THEN 'New_Visitor'
@@ -577,7 +578,7 @@ def model_sql() -> dict[str, str]:
     out["standard_scale"] = f"{U}, m AS (SELECT " + ", ".join(
         f"avg({c}::DOUBLE) AS m_{c}, stddev_pop({c}::DOUBLE) AS s_{c}" for c in NUM
     ) + " FROM e) SELECT row_id, " + ", ".join(
-        f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 6) AS {c}" for c in NUM
+        f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 4) AS {c}" for c in NUM
     ) + " FROM e, m"
     out["contribution_source"] = f"{U} " + " UNION ALL ".join(
         f"SELECT row_id, '{f}' AS feature, {sql} AS shown FROM e" for f, sql in SHOWN_AS.items()
@@ -596,12 +597,12 @@ models AS (
   SELECT 'o' || o_orderkey AS run_id, 'c' || o_custkey AS parent_run_id, o_orderpriority AS run_name,
     CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'RUNNING' ELSE 'FAILED' END AS status,
     o_orderdate AS start_time,
-    round(o_totalprice / 1e6::DOUBLE, 4) AS cv_pr_auc_baseline,
-    round(o_totalprice / 8e5::DOUBLE, 4) AS cv_pr_auc_tuned,
-    round(o_totalprice / 5e5::DOUBLE, 4) AS test_pr_auc,
-    round(1.0::DOUBLE - o_totalprice / 2e6::DOUBLE, 4) AS test_roc_auc,
-    round(o_totalprice / 7e5::DOUBLE, 4) AS test_f1,
-    round(o_totalprice / 6e5::DOUBLE, 4) AS test_recall,
+    o_totalprice / 1e6::DOUBLE AS cv_pr_auc_baseline,
+    o_totalprice / 8e5::DOUBLE AS cv_pr_auc_tuned,
+    o_totalprice / 5e5::DOUBLE AS test_pr_auc,
+    1.0::DOUBLE - o_totalprice / 2e6::DOUBLE AS test_roc_auc,
+    o_totalprice / 7e5::DOUBLE AS test_f1,
+    o_totalprice / 6e5::DOUBLE AS test_recall,
     NULL::DOUBLE AS test_latency_median_ms,
     o_orderpriority AS priority
   FROM orders
@@ -609,7 +610,7 @@ models AS (
 training AS (
   SELECT 'c' || c_custkey AS run_id, c_name AS run_name, 'FINISHED' AS status,
     TIMESTAMP '2000-01-01' + to_minutes(c_custkey) AS start_time,
-    round(abs(c_acctbal) / 1e4::DOUBLE, 4) AS operating_threshold, c_mktsegment AS selected_model
+    abs(c_acctbal) / 1e4::DOUBLE AS operating_threshold, c_mktsegment AS selected_model
   FROM customer
 )"""
 RUN_LABELS = {

@@ -365,7 +365,7 @@ def model_queries() -> dict[str, Query]:
         "standard_scale": _on(
             once,
             lambda d: L.standard_scale(d).select(
-                "row_id", *[F.round(c, 6).alias(c) for c in SESSION.numeric]
+                "row_id", *[F.round(c, 4).alias(c) for c in SESSION.numeric]
             ),
         ),
         "feature_vector": with_model(

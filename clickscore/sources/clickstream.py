@@ -121,7 +121,7 @@ def runs_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
             F.struct(
                 F.lit("metric").alias("kind"),
                 F.lit(name).alias("key"),
-                F.round(value, 4).cast("string").alias("value"),
+                value.cast("string").alias("value"),
             )
             for name, value in (
                 ("cv_pr_auc_baseline", F.col("o_totalprice") / F.lit(1e6)),
@@ -153,7 +153,7 @@ def runs_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.struct(
             F.lit("metric").alias("kind"),
             F.lit("operating_threshold").alias("key"),
-            F.round(F.abs(F.col("c_acctbal")) / F.lit(1e4), 4).cast("string").alias("value"),
+            (F.abs(F.col("c_acctbal")) / F.lit(1e4)).cast("string").alias("value"),
         ),
         F.struct(
             F.lit("tag").alias("kind"),
