@@ -25,12 +25,12 @@ MIN_GROUP = 50
 STEPS = 5
 BINS_PER_E = 64
 #: Squared distance, scaled to the median of a chi-square of as many degrees as statistics.
-CUTOFF = 100.0
+CUTOFF = 140.0
 # Fixed value: median of the chi-square distribution with 6 degrees of freedom.
 CHI2_MEDIAN = 5.348
 
 #: Statistic and the spread that is never taken as surprising; it keeps covariances regular.
-FLOORS = {"length": 0.5, "word_length": 0.4, "symbols": 0.04, "dup_lines": 0.3, "repeats": 0.3, "shouting": 0.1}
+FLOORS = {"length": 1.0, "word_length": 0.4, "symbols": 0.04, "dup_lines": 0.3, "repeats": 0.3, "shouting": 0.1}
 NAMES = list(FLOORS)
 
 
