@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickscore.llm import line_dedup, quality_rules
+from clickscore.llm import decontamination, line_dedup, quality_rules
 from clickscore.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,9 +19,15 @@ def _over_documents(op: Callable[[DataFrame], DataFrame]) -> Query:
 def all_queries() -> dict[str, Query]:
     return {
         "op2_line_dedup": _over_documents(line_dedup.op2),
+        "op3_benchmark_decontamination": lambda spark, folder: decontamination.op3(
+            read(spark, folder, "documents"), read(spark, folder, "benchmark")
+        ),
         "op5_quality_rules": _over_documents(quality_rules.op5),
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.SQL}
+    return {
+        "op2_line_dedup": line_dedup.SQL,
+        "op3_benchmark_decontamination": decontamination.SQL,
+    }
