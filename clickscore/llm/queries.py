@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickscore.llm import decontamination, line_dedup, quality_rules
+from clickscore.llm import decontamination, licenses, line_dedup, quality_rules, warc
 from clickscore.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,8 @@ def all_queries() -> dict[str, Query]:
             read(spark, folder, "documents"), read(spark, folder, "benchmark")
         ),
         "op5_quality_rules": _over_documents(quality_rules.op5),
+        "op7_warc": lambda spark, folder: warc.op7(read(spark, folder, "pages")),
+        "op10_license_scans": _over_documents(licenses.op10),
     }
 
 

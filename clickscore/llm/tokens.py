@@ -60,15 +60,17 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, offsets - offsets[0]
 
 
-def chunked(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Row ranges of about ``CHUNK_BYTES`` of text; a longer text makes a range of its own."""
+def chunked(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Row ranges of about ``size`` bytes of text; a longer text makes a range of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
         data, offsets = buffers(text_column(batch, text))
         start = 0
         while start < batch.num_rows:
-            stop = int(np.searchsorted(offsets, offsets[start] + CHUNK_BYTES, side="right")) - 1
+            stop = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             yield (
                 batch.slice(start, stop - start),
