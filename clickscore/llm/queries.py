@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickscore.llm import decontamination, licenses, line_dedup, quality_rules, warc
+from clickscore.llm import decontamination, licenses, line_dedup, pieces, quality_model, quality_rules, warc
 from clickscore.llm.frames import read
 
+#: Vocabulary of the piece encoder; another model file can be given to the operator.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,7 +27,11 @@ def all_queries() -> dict[str, Query]:
             read(spark, folder, "documents"), read(spark, folder, "benchmark")
         ),
         "op5_quality_rules": _over_documents(quality_rules.op5),
+        "op6_sentencepiece": _over_documents(lambda docs: pieces.op6(docs, PIECE_MODEL)),
         "op7_warc": lambda spark, folder: warc.op7(read(spark, folder, "pages")),
+        "op8_quality_classifier": lambda spark, folder: quality_model.op8(
+            read(spark, folder, "documents"), read(spark, folder, "labels")
+        ),
         "op10_license_scans": _over_documents(licenses.op10),
     }
 
