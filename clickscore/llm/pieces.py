@@ -25,7 +25,8 @@ SPACE = "▁"
 N_BEST = 3
 CHUNK_BYTES = 4 << 20
 CUT_BITS = 20
-PARTS_AT_ONCE = 20_000
+#: Code points whose lattices are built at once.
+CELLS = 30_000
 NONE = -1
 
 
@@ -125,95 +126,94 @@ class Parts:
 
 
 def lattice(codes: np.ndarray, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Arcs of equally long parts: scores and ids, [part, end, length]; unknown is id NONE."""
+    """Arcs of equally long parts: scores and ids, [end, length, part]; unknown is id NONE."""
     n, size = codes.shape
-    hashed = code_hash(codes)
+    hashed = np.ascontiguousarray(code_hash(codes).T)
     reach = min(size, voc.longest)
-    score = np.full((n, size + 1, reach + 1), -np.inf)
-    ids = np.full((n, size + 1, reach + 1), NONE, np.int32)
+    score = np.full((size + 1, reach + 1, n), -np.inf)
+    ids = np.full((size + 1, reach + 1, n), NONE, np.int32)
     for end in range(1, size + 1):
         value, power = np.zeros(n, np.uint64), np.uint64(1)
         for length in range(1, min(end, reach) + 1):
             with np.errstate(over="ignore"):
-                value = value + hashed[:, end - length] * power
+                value = value + hashed[end - length] * power
                 power = power * T.STEP
             found = voc.find(value)
-            hit = found != NONE
-            ids[:, end, length] = found
-            score[hit, end, length] = voc.scores[found[hit]]
+            hit = np.flatnonzero(found != NONE)
+            ids[end, length] = found
             if length == 1:
-                score[~hit, end, 1] = voc.unknown
+                score[end, 1] = voc.unknown
+            score[end, length, hit] = voc.scores[found[hit]]
     return score, ids
 
 
-def viterbi(score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forward scores, backward scores, and the length of the best arc into each place."""
-    n, places, width = score.shape
-    forward = np.full((n, places), -np.inf)
-    forward[:, 0] = 0
-    length = np.zeros((n, places), np.int64)
+def viterbi(score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward scores, and the length of the best arc into each place."""
+    places, width, n = score.shape
+    forward = np.full((places, n), -np.inf)
+    forward[0] = 0
+    length = np.ones((places, n), np.int64)
     for end in range(1, places):
-        reach = min(end, width - 1)
-        options = forward[:, end - reach : end][:, ::-1] + score[:, end, 1 : reach + 1]
-        length[:, end] = options.argmax(axis=1) + 1
-        forward[:, end] = options.max(axis=1)
-    backward = np.full((n, places), -np.inf)
-    backward[:, -1] = 0
-    for start in range(places - 2, -1, -1):
-        for step in range(1, min(places - 1 - start, width - 1) + 1):
-            np.maximum(
-                backward[:, start], score[:, start + step, step] + backward[:, start + step], out=backward[:, start]
-            )
-    return forward, backward, length
-
-
-def second_loss(score: np.ndarray, forward: np.ndarray, backward: np.ndarray, length: np.ndarray) -> np.ndarray:
+        best = forward[end - 1] + score[end, 1]
+        for step in range(2, min(end, width - 1) + 1):
+            option = forward[end - step] + score[end, step]
+            better = option > best
+            best[better] = option[better]
+            length[end, better] = step
+        forward[end] = best
+    return forward, length
+
+
+def second_loss(score: np.ndarray, forward: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Best score less that of the best path with an arc off the best path; inf if none."""
-    n, places, width = score.shape
-    on_path = np.zeros((n, places), bool)
-    at = np.full(n, places - 1)
-    row = np.arange(n)
-    while True:
-        live = at > 0
-        if not live.any():
-            break
-        on_path[row[live], at[live]] = True
-        at[live] -= length[row[live], at[live]]
+    places, width, n = score.shape
+    backward = np.full((places, n), -np.inf)
+    backward[-1] = 0
+    for end in range(places - 1, 0, -1):
+        for step in range(1, min(end, width - 1) + 1):
+            np.maximum(backward[end - step], score[end, step] + backward[end], out=backward[end - step])
+    on_path = np.zeros((places, n), bool)
+    row, at = np.arange(n), np.full(n, places - 1)
+    while len(row):
+        on_path[at, row] = True
+        at = at - length[at, row]
+        row, at = row[at > 0], at[at > 0]
     second = np.full(n, -np.inf)
     for end in range(1, places):
         for step in range(1, min(end, width - 1) + 1):
-            through = forward[:, end - step] + score[:, end, step] + backward[:, end]
-            through[on_path[:, end] & (length[:, end] == step)] = -np.inf
+            through = forward[end - step] + score[end, step] + backward[end]
+            through[on_path[end] & (length[end] == step)] = -np.inf
             np.maximum(second, through, out=second)
-    return forward[:, -1] - second
+    return forward[-1] - second
 
 
-def n_best_paths(score: np.ndarray, ids: np.ndarray, forward: np.ndarray, n: int) -> list[tuple[float, list[tuple[int, int]]]]:
+def n_best_paths(score: np.ndarray, forward: np.ndarray, n: int) -> list[tuple[float, list[tuple[int, int]]]]:
     """The ``n`` best paths of one part by backward A-star; paths as (end, length) arcs.
 
     A hypothesis reaches back from the end to some place; its own score plus the forward
     score of that place is exactly the best it can become, so paths leave in order.
     """
-    last = score.shape[0] - 1
+    score, forward = score.tolist(), forward.tolist()
+    last, width = len(forward) - 1, len(score[0])
     order = 0
-    agenda: list[tuple[float, int, int, float, tuple]] = [(-forward[last], 0, last, 0.0, ())]
+    agenda: list[tuple[float, int, int, float, tuple]] = [(-forward[last], last, 0, 0.0, ())]
     out = []
     while agenda and len(out) < n:
-        _, _, place, own, path = heapq.heappop(agenda)
+        _, place, _, own, path = heapq.heappop(agenda)
         if place == 0:
             out.append((own, list(path)))
             continue
-        for step in range(1, min(place, score.shape[1] - 1) + 1):
-            gain = score[place, step]
+        for step in range(1, min(place, width - 1) + 1):
+            gain = score[place][step]
             if gain == -np.inf:
                 continue
             order += 1
             total = own + gain
-            heapq.heappush(agenda, (-(total + forward[place - step]), order, place - step, total, ((place, step), *path)))
+            heapq.heappush(agenda, (-(total + forward[place - step]), place - step, order, total, ((place, step), *path)))
     return out
 
 
-def path_ids(codes: np.ndarray, ids: np.ndarray, path: list[tuple[int, int]], voc: Vocabulary, literal: int) -> list[int]:
+def path_ids(codes: np.ndarray, ids: np.ndarray, path: list[tuple[int, int]], voc: Vocabulary) -> list[int]:
     """Piece ids along a path; unknown code points become their bytes."""
     out: list[int] = []
     for end, step in path:
@@ -221,12 +221,12 @@ def path_ids(codes: np.ndarray, ids: np.ndarray, path: list[tuple[int, int]], vo
         if found != NONE:
             out.append(found)
         else:
-            out += byte_pieces(int(codes[end - 1]), voc, literal)
+            out += byte_pieces(int(codes[end - 1]), voc)
     return out
 
 
-def byte_pieces(code: int, voc: Vocabulary, literal: int) -> list[int]:
-    text = SPACE if code == literal else chr(code)
+def byte_pieces(code: int, voc: Vocabulary) -> list[int]:
+    text = SPACE if code == LITERAL else chr(code)
     return [int(voc.byte_ids[b]) for b in text.encode("utf-8", "surrogatepass")]
 
 
@@ -276,22 +276,29 @@ def distinct_parts(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, n
     raise RuntimeError("hashes of parts keep colliding")
 
 
+def blocks_of(size: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """Places of equally long parts, not too many at once."""
+    order = np.argsort(size, kind="stable")
+    edges = np.flatnonzero(np.diff(size[order])) + 1
+    for group in np.split(order, edges):
+        length = int(size[group[0]])
+        step = max(1, CELLS // length)
+        for i in range(0, len(group), step):
+            yield group[i : i + step], length
+
+
 def solve(codes: np.ndarray, bounds: np.ndarray, at: np.ndarray, voc: Vocabulary) -> Parts:
     """Best segmentation of every distinct part."""
     start, size = bounds[:-1][at], np.diff(bounds)[at]
     best, loss = np.zeros(len(at)), np.full(len(at), np.inf)
     ids: list[np.ndarray] = [np.zeros(0, np.int32)] * len(at)
-    for length in np.unique(size):
-        group = np.flatnonzero(size == length)
-        step = max(1, PARTS_AT_ONCE * 8 // int(length))
-        for i in range(0, len(group), step):
-            own = group[i : i + step]
-            block = codes[start[own][:, None] + np.arange(length)]
-            score, found = lattice(block, voc)
-            forward, backward, arc = viterbi(score)
-            best[own] = forward[:, -1]
-            loss[own] = second_loss(score, forward, backward, arc)
-            collect(own, block, found, arc, voc, ids)
+    for own, length in blocks_of(size):
+        block = codes[start[own][:, None] + np.arange(length)]
+        score, found = lattice(block, voc)
+        forward, arc = viterbi(score)
+        best[own] = forward[-1]
+        loss[own] = second_loss(score, forward, arc)
+        collect(own, block, found, arc, voc, ids)
     return Parts(best, loss, ids)
 
 
@@ -301,49 +308,63 @@ def collect(own, block, found, arc, voc, ids) -> None:
     row, at = np.arange(n), np.full(n, size)
     chosen = np.full((n, size), -2, np.int32)
     while len(row):
-        step = arc[row, at]
-        chosen[row, at - 1] = found[row, at, step]
+        step = arc[at, row]
+        chosen[row, at - 1] = found[at, step, row]
         at = at - step
         row, at = row[at > 0], at[at > 0]
     used = chosen != -2
-    flat, counts = chosen[used], used.sum(axis=1)
-    plain = ~(flat == NONE)
-    if plain.all():
-        for k, piece in zip(own, np.split(flat, np.cumsum(counts)[:-1])):
-            ids[k] = piece
-        return
-    for k, r in zip(own, range(n)):
-        out: list[int] = []
-        for place in np.flatnonzero(used[r]):
-            piece = int(chosen[r, place])
-            out += [piece] if piece != NONE else byte_pieces(int(block[r, place]), voc, LITERAL)
-        ids[k] = np.array(out, np.int32)
-
-
-def text_n_best(parts: np.ndarray, solved: Parts, codes, bounds, at, voc, n: int) -> list[tuple[float, dict[int, list[int]]]]:
-    """The ``n`` best segmentations of a text: score loss and the parts that differ.
-
-    Only the ``n - 1`` parts with the smallest loss can differ in them.
-    """
-    loss = solved.loss[parts]
-    near = np.argsort(loss, kind="stable")[: n - 1]
+    ends = np.cumsum(used.sum(axis=1)).tolist()
+    flat = chosen[used]
+    odd = (chosen == NONE).any(axis=1)
+    begin = 0
+    for r, (k, end) in enumerate(zip(own.tolist(), ends)):
+        if not odd[r]:
+            ids[k] = flat[begin:end]
+        else:
+            out: list[int] = []
+            for place in np.flatnonzero(used[r]).tolist():
+                piece = int(chosen[r, place])
+                out += [piece] if piece != NONE else byte_pieces(int(block[r, place]), voc)
+            ids[k] = np.array(out, np.int32)
+        begin = end
+
+
+def part_n_best(parts: np.ndarray, codes, bounds, at, voc: Vocabulary, n: int) -> dict[int, list[tuple[float, list[int]]]]:
+    """The ``n`` best segmentations, by A-star, of the given distinct parts."""
+    start, size = bounds[:-1][at[parts]], np.diff(bounds)[at[parts]]
+    out = {}
+    for own, length in blocks_of(size):
+        block = codes[start[own][:, None] + np.arange(length)]
+        score, found = lattice(block, voc)
+        forward = viterbi(score)[0]
+        for r, k in enumerate(own):
+            paths = n_best_paths(score[:, :, r], forward[:, r], n)
+            out[int(parts[k])] = [(s, path_ids(block[r], found[:, :, r], p, voc)) for s, p in paths]
+    return out
+
+
+def combined(nearest: np.ndarray, parts: np.ndarray, ranked: dict, n: int) -> list[tuple[float, dict[int, list[int]]]]:
+    """The ``n`` best segmentations of a text: score loss and the parts that differ."""
     states: list[tuple[float, dict[int, list[int]]]] = [(0.0, {})]
-    for k in near[np.isfinite(loss[near])]:
-        part = parts[k]
-        own = codes[bounds[at[part]] : bounds[at[part] + 1]]
-        score, found = lattice(own[None, :], voc)
-        forward = viterbi(score)[0][0]
-        paths = n_best_paths(score[0], found[0], forward, n)
-        options = [(0.0, None)] + [
-            (solved.best[part] - s, path_ids(own, found[0], p, voc, LITERAL)) for s, p in paths[1:]
-        ]
-        merged = [
-            (a + b, d if o is None else d | {int(k): o}) for a, d in states for b, o in options
-        ]
+    for k in nearest.tolist():
+        paths = ranked[int(parts[k])]
+        options = [(0.0, None)] + [(paths[0][0] - s, ids) for s, ids in paths[1:]]
+        merged = [(a + b, d if o is None else d | {k: o}) for a, d in states for b, o in options]
         states = sorted(merged, key=lambda x: x[0])[:n]
     return states
 
 
+def nearest(loss: np.ndarray, n: int) -> np.ndarray:
+    """Places of the ``n`` smallest finite losses, earlier ones first among equals."""
+    if n < len(loss):
+        bar = np.partition(loss, n - 1)[n - 1] if n else -np.inf
+        found = np.flatnonzero(loss <= bar)
+    else:
+        found = np.arange(len(loss))
+    found = found[np.isfinite(loss[found])]
+    return found[np.argsort(loss[found], kind="stable")][:n]
+
+
 def encode_batches(batches: Iterator[pa.RecordBatch], voc: Vocabulary, n_best: int) -> Iterator[pa.RecordBatch]:
     for batch, data, offsets in T.chunked(batches, size=CHUNK_BYTES):
         n = batch.num_rows
@@ -363,12 +384,15 @@ def encode_batches(batches: Iterator[pa.RecordBatch], voc: Vocabulary, n_best: i
         row = np.repeat(np.arange(n), np.diff(part_first))
         best = np.bincount(row, solved.best[of], minlength=n) if n else np.zeros(0)
         counts = np.bincount(row, n_ids[of], minlength=n).astype(np.int64)
+        owned = [of[part_first[i] : part_first[i + 1]] for i in range(n)]
+        # Only the parts with the smallest loss can differ in the n best of a text.
+        near = [nearest(solved.loss[own], n_best - 1) for own in owned]
+        wanted = np.unique(np.concatenate([own[k] for own, k in zip(owned, near)] or [of[:0]]))
+        ranked = part_n_best(wanted, codes, bounds, at, voc, n_best) if len(wanted) else {}
         others: list[list] = []
-        for i in range(n):
-            own = of[part_first[i] : part_first[i + 1]]
-            ranked = text_n_best(own, solved, codes, bounds, at, voc, n_best) if n_best > 1 else [(0.0, {})]
+        for i, (own, places) in enumerate(zip(owned, near)):
             shown = []
-            for lost, changed in ranked:
+            for lost, changed in combined(places, own, ranked, n_best):
                 pieces = sum(len(v) - int(n_ids[own[k]]) for k, v in changed.items()) + int(counts[i])
                 swaps = [
                     {"at": int(n_ids[own[:k]].sum()), "removed": int(n_ids[own[k]]), "ids": v}
