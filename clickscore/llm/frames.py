@@ -16,6 +16,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 ROWS_PER_BATCH = 500
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -41,11 +42,18 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to a new folder under ``spark.checkpoint.dir`` and read again.
 
-    Later jobs start from these files, also after losing executors.
+    Later jobs start from these files, also after losing executors.  What was shuffled to
+    make them is not needed any more and is removed once they are written.
     """
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before) if before is not None else spark.conf.unset(CLEAN_UP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:

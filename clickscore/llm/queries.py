@@ -7,7 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickscore.llm import decontamination, licenses, line_dedup, pieces, quality_model, quality_rules, warc
+from clickscore.llm import (
+    decontamination,
+    licenses,
+    line_dedup,
+    pieces,
+    quality_model,
+    quality_rules,
+    reference_dedup,
+    suffix_dedup,
+    warc,
+)
 from clickscore.llm.frames import read
 
 #: Vocabulary of the piece encoder; another model file can be given to the operator.
@@ -22,10 +32,12 @@ def _over_documents(op: Callable[[DataFrame], DataFrame]) -> Query:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_suffix_array_dedup": _over_documents(suffix_dedup.op1),
         "op2_line_dedup": _over_documents(line_dedup.op2),
         "op3_benchmark_decontamination": lambda spark, folder: decontamination.op3(
             read(spark, folder, "documents"), read(spark, folder, "benchmark")
         ),
+        "op4_substring_dedup": _over_documents(reference_dedup.op4),
         "op5_quality_rules": _over_documents(quality_rules.op5),
         "op6_sentencepiece": _over_documents(lambda docs: pieces.op6(docs, PIECE_MODEL)),
         "op7_warc": lambda spark, folder: warc.op7(read(spark, folder, "pages")),
@@ -40,4 +52,5 @@ def all_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.SQL,
         "op3_benchmark_decontamination": decontamination.SQL,
+        "op4_substring_dedup": reference_dedup.SQL,
     }
