@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickscore.llm import (
     decontamination,
+    jaccard_join,
     licenses,
     line_dedup,
     pieces,
@@ -44,6 +45,7 @@ def all_queries() -> dict[str, Query]:
         "op8_quality_classifier": lambda spark, folder: quality_model.op8(
             read(spark, folder, "documents"), read(spark, folder, "labels")
         ),
+        "op9_ngram_jaccard_join": _over_documents(jaccard_join.op9),
         "op10_license_scans": _over_documents(licenses.op10),
     }
 
@@ -53,4 +55,5 @@ def all_sql() -> dict[str, str]:
         "op2_line_dedup": line_dedup.SQL,
         "op3_benchmark_decontamination": decontamination.SQL,
         "op4_substring_dedup": reference_dedup.SQL,
+        "op9_ngram_jaccard_join": jaccard_join.SQL,
     }
