@@ -86,9 +86,9 @@ def search_shard(w: T.Words, n_rows: int, win: Windows) -> tuple[np.ndarray, np.
     used = np.flatnonzero(known & (size[label] >= win.lengths.min())) if len(label) else none
     if not len(used):
         return none, none, none, none
-    breaks = np.concatenate(([0], np.flatnonzero(np.diff(label[used])) + 1))
-    text = np.insert(number[used], breaks, 0)
-    origin = np.insert(used, breaks, -1)
+    ends = np.append(np.flatnonzero(np.diff(label[used])) + 1, len(used))
+    text = np.insert(number[used], ends, 0)
+    origin = np.insert(used, ends, -1)
     index = FmIndex(text, len(win.vocabulary))
     low, high = index.search(win.patterns, win.lengths)
     count = high - low

@@ -55,7 +55,10 @@ class WaveletMatrix:
 
 
 class FmIndex:
-    """Index of a shard's symbols (1 and above; 0 closes each stretch of text)."""
+    """Index of a shard's symbols (1 and above; a 0 closes each stretch of text).
+
+    The starts of stretches are sampled too, so stepping back never passes a 0.
+    """
 
     def __init__(self, text: np.ndarray, top: int):
         order = suffix_array(text)
@@ -63,7 +66,7 @@ class FmIndex:
         self.last = text[order - 1]  # the symbol before each suffix, in suffix order
         self.less = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=top + 1))))
         self.tree = WaveletMatrix(self.last, top)
-        sampled = order % SAMPLE == 0
+        sampled = (order % SAMPLE == 0) | (self.last == 0)
         self.is_sampled = sampled
         self.sample_rank = np.concatenate(([0], np.cumsum(sampled)))
         self.samples = order[sampled]
@@ -99,4 +102,4 @@ class FmIndex:
             symbol = self.last[at[live]]
             at[live] = self.less[symbol] + self.tree.rank(symbol, at[live])
             steps[live] += 1
-        return found % max(self.size, 1)
+        return found
