@@ -24,7 +24,7 @@ from clickscore.llm.frames import small_batches, stored
 
 PLACE_BITS = np.uint64(28)
 #: Text taken at once; hashes of every byte take many times as much.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 NO_ID = -(2**63)
 CUT = "key bigint, content bigint, doc bigint, tag int, start int, size int"
 SEGMENT = f"{CUT}, body binary"
@@ -94,56 +94,67 @@ def low_window(values: np.ndarray, n: int) -> np.ndarray:
 
 
 def segments(unit: np.ndarray, row: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Anchor key, content hash, first unit and unit count of every segment."""
+    """Anchor key, first unit and unit count of every segment."""
     none = np.zeros(0, np.int64)
     hashes, whole = gram_hashes(unit, row, gram)
     n = len(unit) - window + 1
     if n <= 0:
-        return none, none, none, none
+        return none, none, none
     place = np.arange(len(hashes), dtype=np.uint64)
     packed = (hashes & ~((np.uint64(1) << PLACE_BITS) - np.uint64(1))) | place
     packed[~whole] = np.iinfo(np.uint64).max
     low = low_window(packed, window - gram + 1)[:n]
     ok = np.flatnonzero(row[:n] == row[window - 1 :])
     if not len(ok):
-        return none, none, none, none
+        return none, none, none
     at = (low[ok] & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
     opens = np.concatenate(([True], (at[1:] != at[:-1]) | (ok[1:] != ok[:-1] + 1)))
     first = np.flatnonzero(opens)
     start = ok[first]
     size = np.diff(np.append(first, len(ok))) + window - 1
-    content = content_hash(unit, start, size)
-    return hashes[at[first]].view(np.int64), content.view(np.int64), start, size
+    return hashes[at[first]].view(np.int64), start, size
+
+
+_tables: dict[str, np.ndarray] = {}
+
+
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64, at least ``n`` of each."""
+    if not _tables or len(_tables["power"]) < n:
+        step = 0xD6E8FEB86659FD93
+        for name, base in (("power", step), ("inverse", pow(step, -1, 1 << 64))):
+            values = np.full(n + 1024, np.uint64(base))
+            values[0] = 1
+            _tables[name] = np.multiply.accumulate(values)
+    return _tables["power"][:n], _tables["inverse"][:n]
 
 
 def content_hash(unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Hash of whole segments of different sizes, from prefix sums of powers."""
-    step = np.uint64(0xD6E8FEB86659FD93)  # odd, so its inverse modulo 2**64 exists
-    n = len(unit)
-    power, inverse = np.full(n + 1, step, np.uint64), np.full(n + 1, np.uint64(pow(int(step), -1, 1 << 64)), np.uint64)
-    power[0] = inverse[0] = 1
-    power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((unit ^ np.uint64(0xA5A5A5A5)) * power[:n], dtype=np.uint64)))
+    """Hash of ranges of different sizes, from prefix sums of units times powers."""
+    power, inverse = power_tables(len(unit) + 1)
+    total = np.zeros(len(unit) + 1, np.uint64)
+    np.cumsum((unit ^ np.uint64(0xA5A5A5A5)) * power[:-1], out=total[1:])
     return T.mix((total[start + size] - total[start]) * inverse[start] + size.astype(np.uint64))
 
 
-def cut_batches(batches: Iterator[pa.RecordBatch], kind: Kind, gram: int, with_body: bool) -> Iterator[pa.RecordBatch]:
+def cut_batches(batches: Iterator[pa.RecordBatch], kind: Kind, gram: int, only_keys: bool) -> Iterator[pa.RecordBatch]:
     """Segments of rows ``(doc, tag, base, body)``; ``base`` is the first unit's number."""
     for batch, data, offsets in T.chunked(batches, "body", CHUNK_BYTES):
-        unit, row, first, begin, end = kind.units(data, offsets)
-        key, content, start, size = segments(unit, row, kind.window, gram)
+        unit, row, first, _, _ = kind.units(data, offsets)
+        key, start, size = segments(unit, row, kind.window, gram)
+        if only_keys:
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64())], names=["key"])
+            continue
+        content = content_hash(unit, start, size).view(np.int64)
         of = row[start] if len(start) else start
-        local = start - first[of]
         doc, tag, base = (np.asarray(batch.column(i)) for i in range(3))
-        columns = [
-            pa.array(key, pa.int64()), pa.array(content, pa.int64()), pa.array(doc[of]), pa.array(tag[of]),
-            pa.array((local + base[of]).astype(np.int32)), pa.array(size.astype(np.int32)),
-        ]
-        names = ["key", "content", "doc", "tag", "start", "size"]
-        if with_body:
-            columns.append(bodies_of(data, begin[start], end[start + size - 1]))
-            names.append("body")
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(key, pa.int64()), pa.array(content, pa.int64()), pa.array(doc[of]), pa.array(tag[of]),
+                pa.array((start - first[of] + base[of]).astype(np.int32)), pa.array(size.astype(np.int32)),
+            ],
+            names=["key", "content", "doc", "tag", "start", "size"],
+        )
 
 
 def bodies_of(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -175,38 +186,69 @@ def pick_batches(batches: Iterator[pa.RecordBatch], kind: Kind) -> Iterator[pa.R
         )
 
 
-def judge_batches(batches: Iterator[pa.RecordBatch], kind: Kind) -> Iterator[pa.RecordBatch]:
+def judge_batches(batches: Iterator[pa.RecordBatch], kind: Kind, gram: int) -> Iterator[pa.RecordBatch]:
     """Judge blocks of whole anchors; rows come sorted by anchor."""
     held: list[pa.RecordBatch] = []
-    size = 0
+    ready: list[pa.Table] = []
     for batch in batches:
-        for piece in (batch.slice(i, 5000) for i in range(0, batch.num_rows, 5000)):
+        for piece in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
             held.append(piece)
-            size += piece.column(6).nbytes
-            if size >= kind.block_bytes:
-                table = pa.Table.from_batches(held)
-                key = table.column(0).to_numpy()
-                last = int(np.searchsorted(key, key[-1]))  # the last anchor may go on
-                if last:
-                    yield judge_block(table.slice(0, last), kind)
+            if sum(x.num_rows for x in held) * kind.window * 2 < CHUNK_BYTES * 8:
+                continue
+            table = pa.Table.from_batches(held)
+            key = table.column(0).to_numpy()
+            last = int(np.searchsorted(key, key[-1]))  # the last anchor may go on
+            if last:
+                ready.append(meeting(table.slice(0, last), kind, gram))
                 held = table.slice(last).combine_chunks().to_batches()
-                size = sum(b.column(6).slice(0).nbytes for b in held)
+            if sum(x.nbytes for x in ready) >= kind.block_bytes:
+                yield judge_block(pa.concat_tables(ready), kind)
+                ready = []
     if held:
-        yield judge_block(pa.Table.from_batches(held), kind)
+        ready.append(meeting(pa.Table.from_batches(held), kind, gram))
+    if ready:
+        yield judge_block(pa.concat_tables(ready), kind)
+
+
+def meeting(table: pa.Table, kind: Kind, gram: int) -> pa.Table:
+    """Segments that agree with another of their anchor on half a window beside it.
+
+    A window reaches at least half of what it has besides the anchor to one side of it, so
+    segments that agree with no other there cannot share a window.
+    """
+    table = table.combine_chunks()
+    data, offsets = T.buffers(table.column("body").combine_chunks().cast(pa.large_binary()))
+    unit, row, first, _, _ = kind.units(data, offsets)
+    hashes, whole = gram_hashes(unit, row, gram)
+    key = table.column("key").to_numpy()
+    hits = np.flatnonzero(whole & (hashes.view(np.int64) == key[row[: len(hashes)]]))
+    at = np.full(len(key), -1, np.int64)
+    at[row[hits][::-1]] = hits[::-1]  # the first place with the anchor's hash
+    side = (kind.window - gram) // 2
+    keep = np.zeros(len(key), bool)
+    for begin, ok in (
+        (at - side, at - side >= first[:-1]), (at, at + gram + side <= first[1:]),
+    ):
+        own = np.flatnonzero(ok & (at >= 0))
+        code = T.mix(content_hash(unit, begin[own], np.full(len(own), gram + side)) ^ key[own].view(np.uint64))
+        _, of, count = np.unique(code, return_inverse=True, return_counts=True)
+        keep[own[count[of] > 1]] = True
+    return table.filter(pa.array(keep))
 
 
 def judge_block(table: pa.Table, kind: Kind) -> pa.RecordBatch:
+    """Covered ranges of a block's segments as a batch of ``JUDGED``."""
     table = table.combine_chunks()
-    bodies = table.column("body").combine_chunks().cast(pa.large_binary())
-    doc, start = table.column("doc").to_numpy(), table.column("start").to_numpy()
-    which, begin, upto = kind.judge(bodies, doc, start, kind)
+    if table.num_rows:
+        bodies = table.column("body").combine_chunks().cast(pa.large_binary())
+        doc, start = table.column("doc").to_numpy(), table.column("start").to_numpy()
+        which, begin, upto = kind.judge(bodies, doc, start, kind)
+    else:
+        which, begin, upto = (np.zeros(0, np.int64),) * 3
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(table.column(c).to_numpy()[which], pa.int64()) for c in ("key", "content", "doc")
-        ] + [
-            pa.array(table.column("size").to_numpy()[which], pa.int32()),
-            pa.array(begin.astype(np.int32)), pa.array(upto.astype(np.int32)),
-        ],
+        [pa.array(table.column(c).to_numpy()[which], pa.int64()) for c in ("key", "content", "doc")]
+        + [pa.array(table.column("size").to_numpy()[which], pa.int32())]
+        + [pa.array(begin.astype(np.int32)), pa.array(upto.astype(np.int32))],
         names=["key", "content", "doc", "size", "from", "upto"],
     )
 
@@ -215,7 +257,8 @@ def spans(rows: DataFrame, kind: Kind, level: int = 0) -> DataFrame:
     """Unit ranges ``(doc, tag, begin, upto)`` covered by repeats, of rows ``(doc, tag, base, body)``."""
     gram = kind.grams[level]
     cut = rows.mapInArrow(lambda it: cut_batches(it, kind, gram, False), CUT)
-    again = cut.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select("key")
+    keys = rows.mapInArrow(lambda it: cut_batches(it, kind, gram, True), "key bigint")
+    again = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select("key")
     shared = stored(cut.join(again, "key"), f"{kind.name}-segments")
 
     same = ["key", "content", "size"]
@@ -233,7 +276,7 @@ def spans(rows: DataFrame, kind: Kind, level: int = 0) -> DataFrame:
     light = first.join(crowded, "key", "left_anti") if some else first
     bodies = with_bodies(rows, light, kind)
     judged = stored(
-        bodies.repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: judge_batches(it, kind), JUDGED),
+        bodies.repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: judge_batches(it, kind, gram), JUDGED),
         f"{kind.name}-judged",
     )
     where = shared.join(judged, [*same, "doc"])

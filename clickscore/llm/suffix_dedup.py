@@ -137,7 +137,7 @@ def byte_units(data: np.ndarray, offsets: np.ndarray):
     return T.BYTE_MIX[data], row, offsets, begin, begin + 1
 
 
-KIND = Kind("suffixes", WINDOW, (20, 90, WINDOW), byte_units, judge, by_start=True)
+KIND = Kind("suffixes", WINDOW, (32, 90, WINDOW), byte_units, judge, by_start=True)
 FIELDS = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 
 
