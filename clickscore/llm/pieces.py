@@ -343,12 +343,14 @@ def part_n_best(parts: np.ndarray, codes, bounds, at, voc: Vocabulary, n: int) -
     return out
 
 
-def combined(nearest: np.ndarray, parts: np.ndarray, ranked: dict, n: int) -> list[tuple[float, dict[int, list[int]]]]:
+def combined(nearest: np.ndarray, parts: np.ndarray, ranked: dict, best: list[np.ndarray], n: int) -> list[tuple[float, dict[int, list[int]]]]:
     """The ``n`` best segmentations of a text: score loss and the parts that differ."""
     states: list[tuple[float, dict[int, list[int]]]] = [(0.0, {})]
     for k in nearest.tolist():
         paths = ranked[int(parts[k])]
-        options = [(0.0, None)] + [(paths[0][0] - s, ids) for s, ids in paths[1:]]
+        # Among equal scores the search may list another path first than the one taken.
+        others = [(paths[0][0] - s, ids) for s, ids in paths if ids != best[int(parts[k])].tolist()]
+        options = [(0.0, None), *others[: n - 1]]
         merged = [(a + b, d if o is None else d | {k: o}) for a, d in states for b, o in options]
         states = sorted(merged, key=lambda x: x[0])[:n]
     return states
@@ -392,7 +394,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], voc: Vocabulary, n_best: i
         others: list[list] = []
         for i, (own, places) in enumerate(zip(owned, near)):
             shown = []
-            for lost, changed in combined(places, own, ranked, n_best):
+            for lost, changed in combined(places, own, ranked, solved.ids, n_best):
                 pieces = sum(len(v) - int(n_ids[own[k]]) for k, v in changed.items()) + int(counts[i])
                 swaps = [
                     {"at": int(n_ids[own[:k]].sum()), "removed": int(n_ids[own[k]]), "ids": v}

@@ -24,7 +24,7 @@ DIMENSIONS = 12
 GRAMS = (2, 3, 5)
 #: Bound of the sample of labelled rows that the fit reads.
 FIT_ROWS = 3000
-EPOCHS = 12
+STEPS = 1200
 BATCH = 32
 RATE = 8.0
 THRESHOLD = 0.7
@@ -96,12 +96,11 @@ def fit(ids: list[np.ndarray], shares: list[np.ndarray], labels: np.ndarray) ->
     if len(labels) == 0 or len(np.unique(labels)) < 2:
         model.weights[:] = 0
         return model
-    total = EPOCHS * -(-len(labels) // BATCH)
     done = 0
-    for _ in range(EPOCHS):
+    while done < STEPS:
         order = rng.permutation(len(labels))
         for start in range(0, len(order), BATCH):
-            rate = RATE * (1 - done / total) + 0.02
+            rate = RATE * max(0.0, 1 - done / STEPS) + 0.02
             done += 1
             batch = order[start : start + BATCH]
             sizes = [len(ids[i]) for i in batch]

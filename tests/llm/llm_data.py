@@ -1,11 +1,9 @@
-import pathlib
+"""Odd texts that every operator meets, as fixtures."""
+
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
-
 
 def sentence(rng, n):
     return " ".join("".join(rng.choice("aeioubcdfgstrn") for _ in range(rng.randint(2, 7))) for _ in range(n))

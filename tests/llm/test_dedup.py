@@ -4,6 +4,7 @@ import dataclasses
 
 import brute
 import pytest
+from llm_data import docs, nothing, rows  # noqa: F401
 from llm_same import same
 
 from clickscore.llm import decontamination, jaccard_join, line_dedup, reference_dedup, suffix_dedup
