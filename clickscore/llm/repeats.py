@@ -258,7 +258,10 @@ def spans(rows: DataFrame, kind: Kind, level: int = 0) -> DataFrame:
     gram = kind.grams[level]
     cut = rows.mapInArrow(lambda it: cut_batches(it, kind, gram, False), CUT)
     keys = rows.mapInArrow(lambda it: cut_batches(it, kind, gram, True), "key bigint")
-    again = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select("key")
+    # Written first, so that both sides of the join are plain exchanges and a hot key is split.
+    again = stored(
+        keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select("key"), f"{kind.name}-anchors"
+    )
     shared = stored(cut.join(again, "key"), f"{kind.name}-segments")
 
     same = ["key", "content", "size"]
