@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickscore.llm.frames import BLANKS, let, lower_ascii
+from clickscore.llm.frames import BLANKS, let, lower_ascii, stored
 
 SALTS = 64
 
@@ -89,7 +89,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     """
     rows = occurrences(docs, min_chars)
     dropped = (
-        rows.join(shared_keys(rows, min_docs), ["h1", "h2"])
+        rows.join(stored(shared_keys(rows, min_docs), "shared-lines"), ["h1", "h2"])
         .filter(~F.col("doc").eqNullSafe(F.col("last_doc")))
         .groupBy("doc", "row_hash")
         .agg(F.sort_array(F.collect_set("pos")).alias("dropped_at"))
