@@ -311,7 +311,7 @@ def join(docs: DataFrame) -> DataFrame:
     entries = reps.select("rep", "n", "s1", "n_light", F.posexplode("keys").alias("at", "key")).select(
         "rep", "n", "s1", (F.col("at") - F.col("n_light")).alias("at"), "key"
     )
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k >= 2")
+    shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k >= 2"), "shared-keys")
     rows = stored(entries.join(shared, "key"), "lists")
 
     pairs = stored(short_pairs(rows.filter(F.col("k") <= SHORT_LIST)), "pairs")
