@@ -315,6 +315,7 @@ def decision_sql() -> dict[str, str]:
       SELECT row_id, baseline_pct, round(coalesce(100.0::DOUBLE * probability / nullif(baseline_pct, 0), 0), 4) AS lift,
         round(100.0::DOUBLE * probability - baseline_pct, 4) AS lift_points FROM p, b"""
     out["batch_summary"] = f"""{W} SELECT count(*) AS n_sessions,
+      count(*) FILTER (probability IS NULL) AS n_unscored,
       count(*) FILTER (probability >= 0.5) AS n_flagged,
       round(100.0::DOUBLE * count(*) FILTER (probability >= 0.5) / greatest(count(*), 1), 1) AS flag_rate_pct,
       round(avg(probability), 3) AS mean_probability FROM p"""
@@ -610,7 +611,8 @@ models AS (
 training AS (
   SELECT 'c' || c_custkey AS run_id, c_name AS run_name, 'FINISHED' AS status,
     TIMESTAMP '2000-01-01' + to_minutes(c_custkey) AS start_time,
-    abs(c_acctbal) / 1e4::DOUBLE AS operating_threshold, c_mktsegment AS selected_model
+    CASE WHEN c_custkey % 10 NOT IN (0, 1) THEN abs(c_acctbal) / 1e4::DOUBLE END AS operating_threshold,
+    CASE WHEN c_custkey % 10 <> 0 THEN c_mktsegment END AS selected_model
   FROM customer
 )"""
 RUN_LABELS = {
@@ -630,7 +632,8 @@ def run_sql() -> dict[str, str]:
     metrics = [k for k in RUN_LABELS if k != "test_latency_median_ms"]
     return {
         "classify_runs": f"""{W} SELECT run_id, run_name, status, true AS is_model_run, 7::BIGINT AS n_values FROM models
-          UNION ALL SELECT run_id, run_name, status, false, 2 FROM training""",
+          UNION ALL SELECT run_id, run_name, status, false,
+            (operating_threshold IS NOT NULL)::BIGINT + (selected_model IS NOT NULL)::BIGINT FROM training""",
         "runs_wide": f"""{W} SELECT run_id, run_name, status, start_time, true AS is_model_run,
             {', '.join(f'{k} AS "metrics.{k}"' for k in metrics)},
             NULL::DOUBLE AS "metrics.operating_threshold", priority AS "params.priority" FROM models
@@ -645,6 +648,10 @@ def run_sql() -> dict[str, str]:
             ORDER BY start_time, run_id) AS turn FROM models)
           SELECT run_name, (SELECT count(*) FROM training) AS n_session_runs,
             (SELECT count(*) FROM models) AS n_model_runs, {labelled} FROM f WHERE turn = 1""",
+        "record_run": """WITH e AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)
+          SELECT 's-' || event_type AS run_id, 'FINISHED' AS status, false AS is_model_run, 0::BIGINT AS n_values,
+            NULL::DOUBLE AS "metrics.test_pr_auc", NULL::VARCHAR AS "params.rows" FROM e
+          UNION ALL SELECT 'm-' || event_type, 'FINISHED', true, 6, 2.0::DOUBLE * n, n::VARCHAR FROM e""",
     }
 
 

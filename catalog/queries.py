@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -422,9 +423,29 @@ def run_queries() -> dict[str, Query]:
         "runs_comparison": _on(runs, J.runs_comparison),
         "latest_session": _on(runs, J.latest_session),
         "runs_summary": _on(runs, J.runs_summary),
+        "record_run": recorded_runs,
     }
 
 
+def recorded_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A session and a model run per event type, recorded while running and when finished."""
+    path = work_folder(spark, "history") + ".parquet"
+    start = datetime(2024, 1, 1)
+    stats = src.read_table(spark, folder, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    for i, r in enumerate(stats.orderBy("event_type").collect()):  # a handful of types
+        kind, n = r
+        for at, status in ((1, "RUNNING"), (2, "FINISHED")):
+            when = start.replace(hour=at)
+            append_rows(J.record_run(spark, f"s-{kind}", kind, start, status, recorded_at=when), path)
+            metrics = {"test_pr_auc": n * at, "note": "text"}
+            append_rows(
+                J.record_run(spark, f"m-{kind}", kind, start, status, f"s-{kind}", {"rows": n}, metrics, {"t": at}, when), path
+            )
+    history = J.classify_runs(readers.read_runs(spark, path))
+    wide = J.runs_wide(readers.read_runs(spark, path)).select("run_id", "`metrics.test_pr_auc`", "`params.rows`")
+    return history.select("run_id", "status", "is_model_run", "n_values").join(wide, "run_id")
+
+
 # --- sources and sinks, each as a round trip through files ----------------------------------
 
 
@@ -458,6 +479,11 @@ def source_queries() -> dict[str, Query]:
             "run_id", "run_name", "status", "is_model_run", "n_values"
         )
 
+    def wide_export(spark: SparkSession, folder: str) -> DataFrame:
+        wide = J.runs_wide(runs(spark, folder)).drop("run_id")
+        path = write_table(wide, work_folder(spark, "wide"), "runs.csv", "csv")
+        return J.runs_wide(readers.read_wide_runs(spark, path)).drop("run_id")
+
     def scored_file(spark: SparkSession, folder: str) -> DataFrame:
         path = write_scored(upload("padded")(spark, folder), work_folder(spark, "up") + ".csv")
         out = work_folder(spark, "scored")
@@ -486,6 +512,7 @@ def source_queries() -> dict[str, Query]:
         "read_sessions": sessions_file,
         "read_upload": upload_file,
         "read_runs": stored_runs,
+        "read_wide_runs": wide_export,
         "read_profile": stored_profile,
         "write_json": json_file,
         "score_file": scored_file,

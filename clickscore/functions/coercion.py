@@ -34,8 +34,9 @@ def raw_number(c: Column, dtype: T.DataType) -> Column:
 
 
 def to_number(c: Column, dtype: T.DataType) -> Column:
+    """``raw_number`` without NaN and the infinities: what is not a finite number is NULL."""
     v = raw_number(c, dtype)
-    return F.when(~F.isnan(v), v)
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
 
 
 def to_code(c: Column, dtype: T.DataType) -> Column:

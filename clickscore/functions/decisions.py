@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickscore.contract import (
     INCENTIVE_COST, NEGATIVE_LABEL, ORDER_VALUE, POSITIVE_LABEL, UPLIFT,
 )
+from clickscore.functions.numbers import clean_number
 
 # Band cut-offs and texts of the recommended actions.
 BANDS = ((0.80, "Very high"), (0.60, "High"), (0.40, "Moderate"), (0.20, "Low"))
@@ -29,38 +30,45 @@ def _col(x: Column | float) -> Column:
     return x if isinstance(x, Column) else F.lit(float(x))
 
 
+def scored(p: Column) -> Column:
+    """The probability, NULL where a row has none (NULL or NaN): such rows get no decision."""
+    return clean_number(p)
+
+
 def flagged(p: Column, threshold: Column | float) -> Column:
-    return p >= _col(threshold)
+    return scored(p) >= _col(threshold)
 
 
 def class_label(positive: Column) -> Column:
-    return F.when(positive.cast("int") == 1, POSITIVE_LABEL).otherwise(NEGATIVE_LABEL)
+    yes = positive.cast("int")
+    return F.when(yes == 1, POSITIVE_LABEL).when(yes.isNotNull(), NEGATIVE_LABEL)
 
 
 def confidence_band(p: Column) -> Column:
+    p = scored(p)
     chain = F
     for floor, name in BANDS:
         chain = chain.when(p >= F.lit(floor), name)
-    return chain.otherwise(LOWEST_BAND)
+    return chain.when(p.isNotNull(), LOWEST_BAND)
 
 
 def recommendation(p: Column, threshold: Column | float) -> Column:
-    t = _col(threshold)
+    p, t = scored(p), _col(threshold)
     return (
         F.when(p >= t + F.lit(SURE_MARGIN), ACTIONS["sure"])
         .when(p >= t, ACTIONS["likely"])
         .when(p >= t - F.lit(NEAR_MARGIN), ACTIONS["margin"])
         .when(p >= F.lit(LOW_INTENT_FLOOR), ACTIONS["low"])
-        .otherwise(ACTIONS["none"])
+        .when(p.isNotNull(), ACTIONS["none"])
     )
 
 
 def verdict(p: Column, threshold: Column | float) -> Column:
-    t = _col(threshold)
+    p, t = scored(p), _col(threshold)
     return (
         F.when(p >= t, VERDICTS[0])
         .when(F.abs(p - t) <= F.lit(NEAR_MARGIN), VERDICTS[1])
-        .otherwise(VERDICTS[2])
+        .when(p.isNotNull(), VERDICTS[2])
     )
 
 
@@ -73,13 +81,14 @@ def lift_points(p: Column, baseline_pct: Column) -> Column:
 
 
 def outcome(label: Column, predicted: Column) -> Column:
+    """Kind of hit or error; NULL where the label or the prediction is missing."""
     hit = label.cast("int") == predicted.cast("int")
     said_yes = predicted.cast("int") == 1
     return (
         F.when(hit & said_yes, "true_positive")
         .when(hit, "true_negative")
-        .when(said_yes, "false_positive")
-        .otherwise("false_negative")
+        .when(~hit & said_yes, "false_positive")
+        .when(~hit, "false_negative")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -9,18 +10,21 @@ from pyspark.sql import functions as F
 
 
 def clean_number(c: Column) -> Column:
-    """A double with NaN turned into NULL and -0.0 into 0.0."""
+    """A double with NaN and the infinities turned into NULL and -0.0 into 0.0."""
     v = c.cast("double")
-    return F.when(~F.isnan(v), v + F.lit(0.0))
+    return F.when(F.abs(v) < F.lit(float("inf")), v + F.lit(0.0))
 
 
 def number_sql(name: str) -> str:
     """``clean_number`` of a column as SQL text, for wide aggregates."""
-    return f"(nanvl(CAST(`{name}` AS DOUBLE), CAST(NULL AS DOUBLE)) + 0D)"
+    x = f"CAST(`{name}` AS DOUBLE)"
+    return f"(CASE WHEN abs({x}) < CAST('Infinity' AS DOUBLE) THEN {x} + 0D END)"
 
 
 def literal_sql(v: float | None) -> str:
-    return "CAST(NULL AS DOUBLE)" if v is None else f"{float(v)!r}D"
+    if v is None:
+        return "CAST(NULL AS DOUBLE)"
+    return f"{float(v)!r}D" if math.isfinite(v) else f"CAST('{float(v)!r}' AS DOUBLE)"
 
 
 def array_sql(values: Sequence[float]) -> str:

@@ -77,19 +77,25 @@ def policy_labels(df: DataFrame, policies: DataFrame) -> DataFrame:
 
 
 def batch_summary(df: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """Rows, flags (by the unrounded probability), flag rate and mean probability."""
-    yes = F.count_if(D.flagged(F.col("probability"), threshold))
-    n = F.count(F.lit(1))
+    """Rows, flags (by the unrounded probability), flag rate and mean probability.
+
+    Rows without a probability are counted apart and enter neither rate nor mean.
+    """
+    p = D.scored(F.col("probability"))
+    yes = F.count_if(D.flagged(p, threshold))
+    n = F.count(p)
     return df.agg(
-        n.alias("n_sessions"),
+        F.count(F.lit(1)).alias("n_sessions"),
+        F.count_if(p.isNull()).alias("n_unscored"),
         yes.alias("n_flagged"),
         F.round(F.lit(100.0) * yes / F.greatest(n, F.lit(1)), 1).alias("flag_rate_pct"),
-        F.round(F.avg("probability"), 3).alias("mean_probability"),
+        F.round(F.avg(p), 3).alias("mean_probability"),
     )
 
 
 def top_sessions(df: DataFrame, n: int = REVIEW_ROWS, tie: str = "row_id") -> DataFrame:
-    return df.orderBy(F.desc("probability"), F.asc(tie)).limit(n)
+    """The n highest probabilities; rows without one are not listed."""
+    return df.filter(D.scored(F.col("probability")).isNotNull()).orderBy(F.desc("probability"), F.asc(tie)).limit(n)
 
 
 def prediction_history(df: DataFrame, n: int = HISTORY_ROWS, tie: str = "row_id") -> DataFrame:

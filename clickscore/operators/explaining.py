@@ -17,13 +17,10 @@ from clickscore.operators.learning import (
     feature_names, mode_levels, positive_probability, probability_of, transform_rows,
 )
 from clickscore.operators.quantiles import exact_percentiles
-from clickscore.operators.splitting import head_rows
 
-# Contributions shown, smallest contribution kept, sweep length, sample size.
-SHOWN = 8
+# Smallest contribution shown, sweep length.
 NEGLIGIBLE = 1e-9
 SWEEP_POINTS = 40
-SAMPLE_ROWS = 500
 
 
 def log_odds(p: Column) -> Column:
@@ -42,11 +39,14 @@ def attribute(
     df: DataFrame,
     model: PipelineModel,
     background: DataFrame,
-    top_n: int | None = SHOWN,
+    top_n: int | None = None,
     row_id: str = "row_id",
     contract: Contract = SESSION,
+    smallest: float = NEGLIGIBLE,
 ) -> DataFrame:
-    """Largest contributions to the log-odds of every session.
+    """Contributions to the log-odds of every session, largest first.
+
+    All of them unless ``top_n`` is given; those up to ``smallest`` are not listed.
 
     Linear models: coefficient times distance from the background mean, additive and
     exact.  Other models: the change when one field is set to its typical background
@@ -54,13 +54,13 @@ def attribute(
     Columns: row_id, base_probability, probability, residual, contributions.
     """
     if isinstance(model.stages[-1], LogisticRegressionModel):
-        return _attribute_linear(df, model, background, top_n, row_id)
-    return _attribute_by_ablation(df, model, background, top_n, row_id, contract)
+        return _attribute_linear(df, model, background, top_n, row_id, smallest)
+    return _attribute_by_ablation(df, model, background, top_n, row_id, contract, smallest)
 
 
-def _largest(entries: Column, top_n: int | None) -> Column:
+def _largest(entries: Column, top_n: int | None, smallest: float) -> Column:
     """Biggest absolute values first, inside the row: no window, no shuffle."""
-    kept = F.filter(entries, lambda e: F.abs(e["value"]) > F.lit(NEGLIGIBLE))
+    kept = F.filter(entries, lambda e: F.abs(e["value"]) > F.lit(smallest)) if smallest >= 0 else entries
     keyed = F.transform(
         kept,
         lambda e: F.struct((-F.abs(e["value"])).alias("key"), e["feature"].alias("feature"), e["value"].alias("value")),
@@ -71,7 +71,7 @@ def _largest(entries: Column, top_n: int | None) -> Column:
     return F.slice(ordered, 1, top_n) if top_n else ordered
 
 
-def _attribute_linear(df, model, background, top_n, row_id) -> DataFrame:
+def _attribute_linear(df, model, background, top_n, row_id, smallest) -> DataFrame:
     last = model.stages[-1]
     names = feature_names(model)
     coefs = [float(v) for v in last.coefficients.toArray()]
@@ -90,7 +90,7 @@ def _attribute_linear(df, model, background, top_n, row_id) -> DataFrame:
         _sigmoid(F.lit(base)).alias("base_probability"),
         p.alias("probability"),
         (log_odds(p) - F.lit(base) - total).alias("residual"),
-        _largest(entries, top_n).alias("contributions"),
+        _largest(entries, top_n, smallest).alias("contributions"),
     )
 
 
@@ -108,7 +108,7 @@ def typical_values(df: DataFrame, contract: Contract = SESSION) -> dict[str, Col
     return out
 
 
-def _attribute_by_ablation(df, model, background, top_n, row_id, contract) -> DataFrame:
+def _attribute_by_ablation(df, model, background, top_n, row_id, contract, smallest) -> DataFrame:
     typical = typical_values(background, contract)
     whole, none = "*", ""
     # A fixed number of variants per row: the session, the typical one, one per field.
@@ -149,7 +149,7 @@ def _attribute_by_ablation(df, model, background, top_n, row_id, contract) -> Da
         "base_probability",
         "probability",
         (F.col("_whole") - F.col("_none") - total).alias("residual"),
-        _largest(entries, top_n).alias("contributions"),
+        _largest(entries, top_n, smallest).alias("contributions"),
     )
 
 
@@ -157,14 +157,12 @@ def global_contribution(
     df: DataFrame,
     model: PipelineModel,
     background: DataFrame,
-    sample: int | None = SAMPLE_ROWS,
     row_id: str = "row_id",
     contract: Contract = SESSION,
 ) -> DataFrame:
-    """Mean absolute contribution per feature over the first ``sample`` rows by id."""
-    rows = head_rows(df, sample, row_id) if sample else df
-    told = attribute(rows, model, background, None, row_id, contract)
-    n = rows.agg(F.count(F.lit(1))).scalar()
+    """Mean absolute contribution of every feature over all rows; 0 for one without effect."""
+    told = attribute(df, model, background, None, row_id, contract, smallest=-1.0)
+    n = df.agg(F.count(F.lit(1))).scalar()
     return (
         told.select(F.inline("contributions"))
         .groupBy("feature")
@@ -222,7 +220,7 @@ def with_contribution_source(
         if c not in real:
             out = out.when(asked == F.lit(c), shown(c))
     for c in contract.categorical:
-        level = F.substring(asked, len(c) + 2, 1_000)
+        level = F.substr(asked, F.lit(len(c) + 2))
         text = F.when(shown(c) == level, F.concat(F.lit(f"{c} = "), shown(c))).otherwise(
             F.concat(F.lit(f"{c} is "), shown(c), F.lit(", not "), level)
         )

@@ -23,7 +23,6 @@ from clickscore.operators.quantiles import exact_percentiles
 # Outlier fence, input steps and shown decimals, catalogue length.
 FENCE = 1.5
 RATE_STEP, COUNT_STEP, OTHER_STEP = (0.001, 3), (1.0, 0), (1.0, 1)
-CATALOG_VALUES = 30
 
 _VALUE = ("whole", "real", "text")
 
@@ -37,7 +36,7 @@ def _typed(c: Column, dtype: T.DataType) -> list[Column]:
     slot = "text"
     if isinstance(dtype, (T.IntegralType, T.BooleanType)):
         slot, c = "whole", c.cast("bigint")
-    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+    elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         slot, c = "real", clean_number(c)
     else:
         c = c.cast("string")
@@ -113,24 +112,19 @@ def null_total(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return df.agg(total.alias("n_null"))
 
 
-def code_catalog(df: DataFrame, contract: Contract = SESSION, keep: int = CATALOG_VALUES) -> DataFrame:
-    """Type, number of codes and the first codes of every integer-coded category."""
+def code_catalog(df: DataFrame, contract: Contract = SESSION, keep: int | None = None) -> DataFrame:
+    """Type, number of codes and all codes (the first ``keep`` if given) of every integer-coded category."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     codes = value_counts(df, contract.coded_categorical).filter(~_is_null())
-    sizes = codes.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
-    nth = F.row_number().over(Window.partitionBy("column").orderBy("whole", "text"))
     shown = F.coalesce(F.col("whole").cast("string"), F.col("text"))
-    first = (
-        codes.withColumn("nth", nth)
-        .filter(F.col("nth") <= keep)
-        .groupBy("column")
-        .agg(F.sort_array(F.collect_list(F.struct("nth", shown.alias("code")))).alias("codes"))
-    )
-    return sizes.join(first, "column").select(
+    every = F.sort_array(F.collect_list(F.struct("whole", "text", shown.alias("code"))))
+    found = codes.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"), every.alias("codes"))
+    values = F.col("codes.code")
+    return found.select(
         "column",
         F.try_element_at(_literal_map(types), F.col("column")).alias("dtype"),
         "n_unique",
-        F.col("codes.code").alias("values"),
+        (F.slice(values, 1, keep) if keep else values).alias("values"),
     )
 
 
@@ -310,7 +304,10 @@ def _month_rank(c: Column) -> Column:
 
 
 def conversion_by(df: DataFrame, column: str, contract: Contract = SESSION) -> DataFrame:
-    """Sessions and conversion per level, next to the overall rate; NULL levels are left out."""
+    """Sessions and conversion per level, next to the overall rate; NULL levels are left out.
+
+    Months of another spelling follow December, with a NULL rank.
+    """
     y = F.col(contract.target).cast("int")
     overall = df.agg(F.round(F.lit(100.0) * F.avg(y), 2)).scalar()
     out = (
@@ -323,8 +320,8 @@ def conversion_by(df: DataFrame, column: str, contract: Contract = SESSION) -> D
         .withColumn("baseline_pct", overall)
     )
     if column == contract.calendar:
-        rank = _month_rank(F.col("level"))
-        return out.withColumn("calendar_rank", rank).filter("calendar_rank > 0").orderBy("calendar_rank")
+        rank = F.nullif(_month_rank(F.col("level")), F.lit(0))
+        return out.withColumn("calendar_rank", rank).orderBy(F.asc_nulls_last("calendar_rank"), "level")
     return out.orderBy("level")
 
 
@@ -340,15 +337,17 @@ def calendar_coverage(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
 
 
 def category_levels(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
-    """(column, position, level): levels in natural order, months in calendar order."""
+    """(column, position, level): levels in natural order, months in calendar order.
+
+    Months of another spelling follow December.
+    """
     scanned = [c for c in contract.categorical if c not in contract.flags]
     seen = value_counts(df, scanned).filter(~_is_null())
     level = F.coalesce(F.col("whole").cast("string"), F.col("real").cast("string"), F.col("text"))
-    rank = F.when(F.col("column") == contract.calendar, _month_rank(F.col("text")))
-    natural = Window.partitionBy("column").orderBy("rank", "whole", "real", "text")
+    rank = F.when(F.col("column") == contract.calendar, F.nullif(_month_rank(F.col("text")), F.lit(0)))
+    natural = Window.partitionBy("column").orderBy(F.asc_nulls_last("rank"), "whole", "real", "text")
     found = (
         seen.withColumn("rank", rank)
-        .filter("rank IS NULL OR rank > 0")
         .select("column", F.row_number().over(natural).alias("position"), level.alias("level"))
     )
     flags = df.sparkSession.createDataFrame(

@@ -115,7 +115,14 @@ def scored_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def runs_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Run history in long form: one session run per customer, one model run per order."""
+    """Run history in long form: one session run per customer, one model run per order.
+
+    Model runs are recorded twice, first as running.  Of ten sessions one has no values and
+    one has a tag only.
+    """
+    head = F.struct(
+        F.lit("run").alias("kind"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")
+    )
     metric = F.array(
         *[
             F.struct(
@@ -137,6 +144,7 @@ def runs_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
             F.lit("priority").alias("key"),
             F.col("o_orderpriority").alias("value"),
         ),
+        head,
     )
     models = orders.select(
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("run_id"),
@@ -147,8 +155,14 @@ def runs_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
         .otherwise("FAILED")
         .alias("status"),
         F.col("o_orderdate").alias("start_time"),
+        (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 1 HOUR")).alias("recorded_at"),
         F.inline(metric),
     )
+    begun = (
+        models.filter("kind = 'run'")
+        .withColumn("status", F.lit("RUNNING"))
+        .withColumn("recorded_at", F.col("start_time").cast("timestamp"))
+    )
     facts = F.array(
         F.struct(
             F.lit("metric").alias("kind"),
@@ -161,15 +175,21 @@ def runs_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
             F.col("c_mktsegment").alias("value"),
         ),
     )
+    held = (
+        F.when(F.col("c_custkey") % 10 == 0, F.array(head))
+        .when(F.col("c_custkey") % 10 == 1, F.array(head, F.get(facts, 1)))
+        .otherwise(F.concat(F.array(head), facts))
+    )
     sessions = customer.select(
         F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("run_id"),
         F.lit(None).cast("string").alias("parent_run_id"),
         F.col("c_name").alias("run_name"),
         F.lit("FINISHED").alias("status"),
         F.timestamp_seconds(F.lit(946684800) + F.col("c_custkey") * 60).alias("start_time"),
-        F.inline(facts),
+        F.timestamp_seconds(F.lit(946684800) + F.col("c_custkey") * 60).alias("recorded_at"),
+        F.inline(held),
     )
-    return models.unionByName(sessions)
+    return models.unionByName(begun).unionByName(sessions)
 
 
 def uploads_from_sessions(sessions: DataFrame, style: str) -> DataFrame:

@@ -63,26 +63,34 @@ def read_upload(spark: SparkSession, path: str) -> DataFrame:
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Run history in long form; an empty frame when there is none or it does not fit."""
     empty = spark.createDataFrame([], RUN_SCHEMA)
-    try:
-        found = _load(spark, path)
-        wanted = empty.columns
-        if not set(wanted) <= set(found.columns):
-            return empty
-        return found.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in empty.schema])
-    except AnalysisException:
+    found = _existing(spark, path)
+    wanted = set(empty.columns) - {"recorded_at"}
+    if found is None or not wanted <= set(found.columns):
         return empty
+    if "recorded_at" not in found.columns:
+        found = found.withColumn("recorded_at", F.col("start_time"))
+    return found.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in empty.schema])
+
+
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, None where there is nothing or nothing with columns."""
+    try:
+        return _load(spark, path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_wide_runs(spark: SparkSession, path: str) -> DataFrame:
     """A wide export (``metrics.*`` and ``params.*`` columns) turned into the long form."""
     empty = spark.createDataFrame([], RUN_SCHEMA)
-    try:
-        df = _load(spark, path)
-    except AnalysisException:
+    df = _existing(spark, path)
+    if df is None:
         return empty
     need = {"run_name", "status", "start_time", "is_model_run"}
     values = [c for c in df.columns if c.startswith(("metrics.", "params."))]
-    if not need <= set(df.columns) or not values:
+    if not need <= set(df.columns):
         return empty
     cells = F.array(
         *[
@@ -96,16 +104,18 @@ def read_wide_runs(spark: SparkSession, path: str) -> DataFrame:
     )
     is_model = C.to_flag(F.col("is_model_run"), df.schema["is_model_run"].dataType)
     run_id = F.concat_ws("@", "run_name", F.col("start_time").cast("string"))
-    return (
-        df.select(
-            run_id.alias("run_id"),
-            F.when(is_model, F.lit("session")).alias("parent_run_id"),
-            "run_name",
-            "status",
-            F.col("start_time").try_cast("timestamp").alias("start_time"),
-            F.inline(cells),
-        )
-        .filter("value IS NOT NULL")
+    head = F.struct(
+        F.lit("run").alias("kind"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")
+    )
+    start = F.col("start_time").try_cast("timestamp")
+    return df.select(
+        run_id.alias("run_id"),
+        F.when(is_model, F.lit("session")).alias("parent_run_id"),
+        "run_name",
+        "status",
+        start.alias("start_time"),
+        F.inline(F.concat(F.array(head), F.filter(cells, lambda x: x["value"].isNotNull()))),
+        start.alias("recorded_at"),
     )
 
 

@@ -70,10 +70,35 @@ def history(spark):
     return out.persist()
 
 
-def test_only_real_numbers_are_metrics_and_texts_are_cut(history):
+def test_only_real_numbers_are_metrics_and_texts_are_whole(history):
     kept = {r["key"] for r in history.filter("run_id = 's1' AND kind = 'metric'").collect()}
     assert kept == {"operating_threshold", "model_size_mb"}
-    assert len(history.filter("key = 'long'").first()["value"]) == 500
+    assert len(history.filter("key = 'long'").first()["value"]) == 600
+
+
+def test_runs_change_state_and_may_have_no_values(spark, history):
+    at = datetime(2026, 7, 31)
+    more = J.record_run(spark, "m1", "Logistic Regression", at, "FINISHED", "s1", metrics={"test_f1": 0.9})
+    empty = J.record_run(spark, "e1", "empty", at)
+    tagged = J.record_run(spark, "t1", "tagged", at, parent_run_id="s1", tags={"a": 1})
+    first = J.record_run(
+        spark, "m1", "Logistic Regression", at, "RUNNING", "s1", metrics={"test_f1": 2.0}, recorded_at=datetime(2020, 1, 1)
+    )
+    every = history.unionByName(more).unionByName(empty).unionByName(tagged).unionByName(first)
+    runs = {r["run_id"]: r for r in J.classify_runs(every).collect()}
+    assert set(runs) == {"s1", "m1", "m2", "m3", "e1", "t1"}
+    assert runs["m1"]["status"] == "FINISHED" and runs["e1"]["n_values"] == 0
+    wide = {r["run_id"]: r for r in J.runs_wide(every).collect()}
+    assert set(wide) == set(runs) and wide["m1"]["metrics.test_f1"] == 0.9
+    rows = J.runs_comparison(every).collect()
+    assert len(rows) == 4 and sum(r["is_best"] for r in rows) == 1
+    summary = J.runs_summary(every).first()
+    assert (summary["n_session_runs"], summary["n_model_runs"]) == (2, 4)
+
+
+def test_more_than_a_thousand_keys(spark):
+    one = J.record_run(spark, "k", "k", datetime(2026, 1, 1), params={f"p{i}": i for i in range(1200)})
+    assert len(J.run_keys(one)) == 1200
 
 
 def test_comparison_marks_the_best_run(history):
