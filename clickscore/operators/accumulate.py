@@ -8,6 +8,7 @@ how even the slices are; the result is exact for any cuts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -16,26 +17,23 @@ from pyspark.sql import functions as F
 
 from clickscore.functions.numbers import double_array
 
-SLICES = 1024
-SMALL = 50_000  # rows that may be accumulated in a single slice
+ROWS_PER_SLICE = 250_000
+LEAST_SLICES, MOST_SLICES = 8, 65_536
 
 
-def slice_cuts(rows: DataFrame, order: str, small: int = SMALL, slices: int = SLICES) -> list[float]:
+def slice_cuts(rows: DataFrame, order: str, per_slice: int = ROWS_PER_SLICE) -> list[float]:
     """Cut points that spread the distinct values of ``order`` evenly.
 
-    Works on raw rows: one column-pruned pass with a mergeable sketch and no
-    shuffle.  Between two neighbouring cuts lie about 1/slices of the rows, hence at
-    most that many distinct values, however often one value repeats.  Returns no
-    cuts when the whole input fits a single slice.
+    Works on raw rows: a count, then one column-pruned pass with a mergeable sketch, no
+    shuffle.  The number of slices follows the number of rows, so a slice stays sortable at
+    any size.  Between two neighbouring cuts lies about one slice's share of the rows, hence
+    at most that many distinct values, however often one value repeats.
     """
+    n = rows.agg(F.count(order)).first()[0]
+    slices = min(MOST_SLICES, max(LEAST_SLICES, -(-n // per_slice)))
     probs = double_array([i / slices for i in range(1, slices)])
-    seen = rows.agg(
-        F.count(order).alias("n"),
-        F.percentile_approx(order, probs, F.lit(10 * slices)).alias("cuts"),
-    ).first()
-    if seen["n"] <= small:
-        return []
-    return sorted(set(seen["cuts"]))
+    cuts = rows.agg(F.percentile_approx(order, probs, F.lit(10 * slices))).first()[0]
+    return sorted({c for c in cuts or [] if math.isfinite(c)})
 
 
 def running_totals(
@@ -59,11 +57,7 @@ def running_totals(
         keyed = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
         return keyed.orderBy(direction(order_col)).rowsBetween(Window.unboundedPreceding, end)
 
-    if not cuts:
-        inside = upto(by, order, Window.currentRow)
-        return df.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in totals})
-
-    splits = [float("-inf"), *cuts, float("inf")]
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]  # any cuts do
     sliced = Bucketizer(splits=splits, inputCol=order, outputCol="_slice").transform(df)
     sliced = sliced.withColumn("_slice", F.col("_slice").cast("int"))
     keys = [*by, "_slice"]

@@ -439,12 +439,18 @@ def tune(
     draws: int = SEARCH_DRAWS,
     seed: int = SEED,
     parallelism: int = 2,
+    folds: Folds | None = None,
 ) -> Tuned:
-    """Randomised search over whole pipelines; the best one is refitted on all of ``train``."""
+    """Randomised search over whole pipelines; the best one is refitted on all of ``train``.
+
+    ``folds`` from ``fold_vectors`` can be shared by several families.  A cache that the
+    caller holds on ``train`` is left alone.
+    """
     classifier = candidate.estimator
-    train = train.persist()
+    held = train.is_cached
+    train = train if held else train.persist()
     try:
-        folds = fold_vectors(train, contract, parallelism)
+        folds = folds or fold_vectors(train, contract, parallelism)
         t0 = time.perf_counter()
         base = cross_validate(classifier, [{}], folds, parallelism)[0]
         t1 = time.perf_counter()
@@ -455,7 +461,8 @@ def tune(
         model = fit_model(classifier.copy(maps[best]), train, contract)
         t2 = time.perf_counter()
     finally:
-        train.unpersist()
+        if not held:
+            train.unpersist()
     return Tuned(
         name=name,
         model=model,

@@ -20,11 +20,9 @@ from clickscore.operators.accumulate import running_totals, slice_cuts
 Targets = Mapping[str, tuple[str, Sequence[float]]]
 
 SKETCH_ACCURACY = 10_000
-SMALL = 50_000  # most values of one bracket that may be sorted in a single task
-SMALL_IN_ALL = 40  # and of all brackets together, in multiples of that
 
 
-def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> dict[str, list[float | None]]:
+def exact_percentiles(df: DataFrame, targets: Targets, accuracy: int = SKETCH_ACCURACY) -> dict[str, list[float | None]]:
     """Percentiles of several numeric expressions at once.
 
     ``targets`` maps a name to (SQL expression, probabilities); NULLs are ignored.
@@ -35,7 +33,7 @@ def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> di
     if not names:
         return {}
     expr = {k: f"CAST({targets[k][0]} AS DOUBLE)" for k in names}
-    margin = 2.0 / SKETCH_ACCURACY
+    margin = 2.0 / accuracy
 
     head = []
     for i, k in enumerate(names):
@@ -44,7 +42,7 @@ def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> di
             marks += [max(0.0, p - margin), min(1.0, p + margin)]
         spots = array_sql([0.0, *marks, 1.0])
         head.append(f"count({expr[k]}) AS n{i}")
-        head.append(f"percentile_approx({expr[k]}, {spots}, {SKETCH_ACCURACY}) AS b{i}")
+        head.append(f"percentile_approx({expr[k]}, {spots}, {accuracy}) AS b{i}")
     seen = df.selectExpr(*head).first()
 
     # One bracket per (name, probability): [lo, hi] holding ranks k and k + 1.
@@ -57,27 +55,22 @@ def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> di
             b = {"name": k, "at": j, "n": n, "rank": rank, "frac": spot - rank, "below": 0}
             if n:
                 marks = seen[f"b{i}"]
-                whole = n <= small
-                b["lo"] = marks[0] if whole else marks[1 + 2 * j]
-                b["hi"] = marks[-1] if whole else marks[2 + 2 * j]
-                b["inside"] = n
-                b["whole"] = whole
+                b["lo"], b["hi"] = marks[1 + 2 * j], marks[2 + 2 * j]
             brackets.append(b)
     live = [b for b in brackets if b["n"]]
 
-    unsure = [b for b in live if not b["whole"]]
-    if unsure:
+    if live:
         counts = []
-        for t, b in enumerate(unsure):
+        for t, b in enumerate(live):
             x = expr[b["name"]]
             counts.append(f"count_if({x} < {literal_sql(b['lo'])}) AS u{t}")
             counts.append(f"count_if({_inside(x, b)}) AS i{t}")
         got = df.selectExpr(*counts).first()
-        for t, b in enumerate(unsure):
+        for t, b in enumerate(live):
             below, inside = got[f"u{t}"], got[f"i{t}"]
             last = min(b["rank"] + 1, b["n"] - 1)
             if below <= b["rank"] and last < below + inside:
-                b["below"], b["inside"] = below, inside
+                b["below"] = below
             else:  # the sketch missed: fall back to the full range
                 i = names.index(b["name"])
                 b["lo"], b["hi"] = seen[f"b{i}"][0], seen[f"b{i}"][-1]
@@ -85,15 +78,7 @@ def exact_percentiles(df: DataFrame, targets: Targets, small: int = SMALL) -> di
     for b in live:
         if b["lo"] == b["hi"]:
             b["pair"] = (b["lo"], b["lo"])
-    budget, few = SMALL_IN_ALL * small, []
-    for b in sorted((b for b in live if "pair" not in b), key=lambda b: b["inside"]):
-        # Brackets over a whole column share one list.
-        cost = 0 if b["whole"] and any(f["name"] == b["name"] for f in few) else b["inside"]
-        if b["inside"] <= small and cost <= budget:
-            few.append(b)
-            budget -= cost
-    _sort_small(df, expr, few)
-    _sort_large(df, expr, [b for b in live if "pair" not in b], small)
+    _rank_inside(df, expr, [b for b in live if "pair" not in b])
 
     out: dict[str, list[float | None]] = {k: [None] * len(targets[k][1]) for k in names}
     for b in live:
@@ -111,32 +96,8 @@ def _wanted(b: dict) -> tuple[int, int]:
     return first, min(first + 1, b["n"] - 1 - b["below"])
 
 
-def _sort_small(df: DataFrame, expr: dict[str, str], group: list[dict]) -> None:
-    """Brackets of a checked size: sort the values inside one aggregate."""
-    if not group:
-        return
-    shared: dict[tuple, str] = {}
-    lists = []
-    for b in group:
-        key = (b["name"], b["lo"], b["hi"])
-        if key not in shared:
-            shared[key] = f"v{len(shared)}"
-            x = expr[b["name"]]
-            lists.append(
-                f"sort_array(collect_list(CASE WHEN {_inside(x, b)} THEN {x} END)) AS {shared[key]}"
-            )
-    picks = []
-    for t, b in enumerate(group):
-        v = shared[(b["name"], b["lo"], b["hi"])]
-        first, second = _wanted(b)
-        picks.append(f"array(get({v}, {first}), get({v}, {second})) AS p{t}")
-    got = df.selectExpr(*lists).selectExpr(*picks).first()
-    for t, b in enumerate(group):
-        b["pair"] = tuple(got[f"p{t}"])
-
-
-def _sort_large(df: DataFrame, expr: dict[str, str], group: list[dict], small: int) -> None:
-    """Brackets of any size: count distinct values and accumulate them in slices."""
+def _rank_inside(df: DataFrame, expr: dict[str, str], group: list[dict]) -> None:
+    """Count the distinct values of all brackets and accumulate them in slices."""
     if not group:
         return
     cells = ", ".join(
@@ -145,7 +106,7 @@ def _sort_large(df: DataFrame, expr: dict[str, str], group: list[dict], small: i
     )
     values = df.selectExpr(f"inline(array_compact(array({cells})))")
     counted = values.groupBy("t", "x").agg(F.count(F.lit(1)).alias("n"))
-    cuts = slice_cuts(values, "x", small=small)
+    cuts = slice_cuts(values, "x")
     ranked = running_totals(counted, "x", ["n"], by=["t"], descending=False, cuts=cuts)
     hit = None
     for t, b in enumerate(group):

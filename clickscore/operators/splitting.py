@@ -21,10 +21,23 @@ from pyspark.sql import functions as F
 from clickscore.contract import FOLDS, SEED, TEST_SHARE
 
 _DIGITS = 3  # hex digits per counting pass: 4,096 prefixes
+_GROUPS = 16**_DIGITS
+_LENGTH = 48
 
 
 def hash_key(row_id: str = "row_id", seed: int = SEED) -> Column:
-    return F.md5(F.concat(F.col(row_id).cast("string"), F.lit(f"-{seed}")))
+    """Hash of the id; a NULL id is an id like any other."""
+    return F.md5(F.concat(F.coalesce(F.col(row_id).cast("string"), F.lit("")), F.lit(f"-{seed}")))
+
+
+def row_key(df: DataFrame, row_id: str, seed: int) -> Column:
+    """The id's hash, then one of the whole row: rows that repeat an id still differ.
+
+    Rows that are equal in every column share a key and always stay together.
+    """
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant", "udt")]
+    rest = F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in plain])), 16, "0")
+    return F.concat(hash_key(row_id, seed), rest)
 
 
 def _cut_keys(
@@ -33,10 +46,14 @@ def _cut_keys(
     row_id: str,
     seed: int,
     ranks_of: Callable[[dict[Any, int]], dict[Any, list[int]]],
-    small: int = 1_000,
+    most: int = _GROUPS,
 ) -> dict[Any, list[str]]:
-    """Per class, the hash keys at the wanted 1-based ranks (rank 0 gives '')."""
-    keyed = df.select(F.col(label).alias("y"), hash_key(row_id, seed).alias("key")).filter(
+    """Per class, the hash keys at the wanted 1-based ranks (rank 0 gives '').
+
+    Every pass counts prefixes; a prefix with at most ``most`` rows is counted by whole key
+    in the last one.  So a pass brings back at most 4,096 counts per open prefix.
+    """
+    keyed = df.select(F.col(label).alias("y"), row_key(df, row_id, seed).alias("key")).filter(
         F.col("y").isNotNull()
     )
 
@@ -68,7 +85,7 @@ def _cut_keys(
                     wanted[y, j] = (prefix, rank, n)
                     break
                 rank -= n
-        if all(size <= small for _, _, size in wanted.values()) or width + _DIGITS > 32:
+        if all(size <= most for _, _, size in wanted.values()) or width + _DIGITS > _LENGTH:
             break
         width += _DIGITS
         heads = sorted({h for h, _, _ in wanted.values()})
@@ -78,10 +95,14 @@ def _cut_keys(
     keys: dict[Any, list[str]] = {y: [""] * len(rs) for y, rs in ranks.items()}
     if wanted:
         heads = sorted({h for h, _, _ in wanted.values()})
-        rows = keyed.filter(F.substring("key", 1, len(heads[0])).isin(heads)).collect()
+        open_rows = keyed.filter(F.substring("key", 1, len(heads[0])).isin(heads))
+        counts = open_rows.groupBy("y", "key").agg(F.count(F.lit(1)).alias("n")).collect()
         for (y, j), (head, rank, _) in wanted.items():
-            inside = sorted(r["key"] for r in rows if r["y"] == y and r["key"].startswith(head))
-            keys[y][j] = inside[rank - 1]
+            for key, n in sorted((r["key"], r["n"]) for r in counts if r["y"] == y and r["key"].startswith(head)):
+                keys[y][j] = key
+                rank -= n
+                if rank <= 0:
+                    break
     return keys
 
 
@@ -108,7 +129,7 @@ def stratified_split(
     cuts = _cut_keys(
         df, label, row_id, seed, lambda sizes: {y: [q] for y, q in holdout_quota(sizes, share).items()}
     )
-    key = hash_key(row_id, seed)
+    key = row_key(df, row_id, seed)
     test = F.lit(None).cast("boolean")
     for y, (cut,) in cuts.items():
         test = F.when(F.col(label) == F.lit(y), key <= F.lit(cut)).otherwise(test)
@@ -128,7 +149,7 @@ def stratified_folds(
         return out
 
     cuts = _cut_keys(df, label, row_id, seed, bounds)
-    key = hash_key(row_id, seed)
+    key = row_key(df, row_id, seed)
     fold = F.lit(None).cast("int")
     for y, edges in cuts.items():
         number = F.lit(0)

@@ -44,7 +44,7 @@ def train(
     """
     spark = df.sparkSession
     n_raw = df.count()
-    rows = cleaning.dedupe(df, contract, row_id)
+    rows = cleaning.dedupe(df, contract, row_id).persist()  # the split reads it several times
     split = splitting.stratified_split(rows, contract.target, row_id, seed=seed).persist()
     sizes = split.agg(
         F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("test"),
@@ -55,8 +55,9 @@ def train(
     held = split.filter("is_test").withColumn("label", F.col(contract.target).cast("int")).persist()
 
     families = families or learning.candidates(n_train, seed)
+    vectors = learning.fold_vectors(fit_rows, contract, parallelism)
     tuned = {
-        name: learning.tune(name, c, fit_rows, contract, draws, seed, parallelism)
+        name: learning.tune(name, c, fit_rows, contract, draws, seed, parallelism, vectors)
         for name, c in families.items()
     }
     scored = evaluation.stack_models(
@@ -112,4 +113,5 @@ def train(
         leakage=_as_map(leakage, "model"),
         top_features=[tuple(r) for r in importance.limit(15).collect()],
     )
+    rows.unpersist()
     return Trained(name, best.model, t_f1, t_value, tables, card)

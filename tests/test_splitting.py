@@ -35,12 +35,21 @@ def test_deep_refinement_finds_the_same_cut(spark):
     df = table(spark, 4_000, 700)
     ranks = lambda sizes: {y: [1, n // 3, n] for y, n in sizes.items()}
     args = (df, "label", "row_id", 42, ranks)
-    keys = E._cut_keys(*args, small=1)
-    assert keys == E._cut_keys(*args, small=10**9)
+    keys = E._cut_keys(*args, most=1)
+    assert keys == E._cut_keys(*args, most=10**9)
     for y in (0, 1):
         every = sorted(r["k"] for r in df.filter(f"label = {y}").select(E.hash_key().alias("k")).collect())
         n = len(every)
-        assert keys[y] == [every[0], every[n // 3 - 1], every[-1]]
+        assert [k[:32] for k in keys[y]] == [every[0], every[n // 3 - 1], every[-1]]
+
+
+@pytest.mark.parametrize("ids", ["CAST(7 AS BIGINT)", "CAST(NULL AS BIGINT)", "id % 3"])
+def test_repeated_and_missing_ids_keep_the_quota(spark, ids):
+    df = spark.range(5_000).selectExpr(f"{ids} AS row_id", "id AS other", "CAST(id % 5 = 0 AS INT) AS label").repartition(7)
+    got = {(r["label"], r["is_test"]): r["count"] for r in E.stratified_split(df).groupBy("label", "is_test").count().collect()}
+    assert got == {(0, True): 800, (0, False): 3200, (1, True): 200, (1, False): 800}
+    sizes = [r["count"] for r in E.stratified_folds(df, k=5).groupBy("label", "fold").count().collect()]
+    assert sorted(sizes) == [200] * 5 + [800] * 5
 
 
 def test_folds_are_balanced_in_every_class(spark):
