@@ -46,13 +46,13 @@ single AS (
     CAST(user_id % 9 + 1 AS INTEGER) AS Region,
     CAST(k1 % 20 + 1 AS INTEGER) AS TrafficType,
     purchases >= 2 AS Revenue,
-    user_id * 1000 + day(day) AS row_id
+    (user_id * 100000 + (CAST(day AS DATE) - DATE '1970-01-01')) * 2 AS row_id
   FROM numbered
 ),
 s AS (
   SELECT * EXCLUDE (user_id, day) FROM single
   UNION ALL
-  SELECT * EXCLUDE (user_id, day) REPLACE (row_id + 500 AS row_id) FROM single WHERE user_id % 40 = 7
+  SELECT * EXCLUDE (user_id, day) REPLACE (row_id + 1 AS row_id) FROM single WHERE user_id % 40 = 7
 )"""
 
 COLS = ", ".join(SESSION.columns)
@@ -342,7 +342,7 @@ def as_doubles(skip: str = "") -> str:
 
 def damaged() -> str:
     return f"""{SESSIONS},
-    t AS (SELECT row_id, row_id // 1000 AS k, {', '.join(f"CAST({c} AS VARCHAR) AS {c}" for c in NUM)} FROM s),
+    t AS (SELECT row_id, row_id // 200000 AS k, {', '.join(f"CAST({c} AS VARCHAR) AS {c}" for c in NUM)} FROM s),
     w AS (SELECT * REPLACE (
       CASE WHEN k % 7 = 1 THEN '-5' ELSE ProductRelated END AS ProductRelated,
       CASE WHEN k % 11 = 2 THEN '4.2' ELSE BounceRates END AS BounceRates,
@@ -386,7 +386,7 @@ def session_sql() -> dict[str, str]:
     plain = f"{W} SELECT row_id, {as_doubles()}, {', '.join(CAT)} FROM s"
     for style in ("exact", "renamed", "anonymous", "recased", "yes_no", "decimal_codes", "padded"):
         out[f"align_{style}"] = plain
-    bad = "(row_id // 1000) % 50 = 3"
+    bad = "(row_id // 200000) % 50 = 3"
     lost = ", ".join(f"CASE WHEN {bad} THEN NULL ELSE {c}::DOUBLE END AS {c}" for c in NUM)
     unknown = ", ".join(f"CASE WHEN {bad} THEN -1 ELSE {c} END AS {c}" for c in SESSION.coded_categorical)
     out["align_broken_numbers"] = f"{W} SELECT row_id, {lost}, Month, VisitorType, Weekend, {unknown} FROM s"
@@ -541,7 +541,7 @@ def session_sql() -> dict[str, str]:
 
 
 def gappy() -> str:
-    k = "row_id // 1000"
+    k = "row_id // 200000"
     nums = ", ".join(f"CASE WHEN ({k}) % 50 = 3 THEN NULL ELSE {c}::DOUBLE END AS {c}" for c in NUM)
     hole = {"Month": f"({k}) % 13 = 2", "Browser": f"({k}) % 17 = 4", "Weekend": f"({k}) % 19 = 5"}
     cats = ", ".join(

@@ -177,7 +177,7 @@ def upload(style: str) -> Query:
 
 def damaged_sessions(spark: SparkSession, folder: str) -> DataFrame:
     """The session table as text, with values no valid session can have."""
-    k = F.floor(F.col("row_id") / 1000)
+    k = F.floor(F.col("row_id") / 200_000)
     broken = sessions(spark, folder).withColumns({c: F.col(c).cast("string") for c in SESSION.numeric})
     return broken.withColumns(
         {
@@ -274,7 +274,7 @@ def session_queries() -> dict[str, Query]:
 
 def gappy_sessions(spark: SparkSession, folder: str) -> DataFrame:
     """The session table with missing values in every kind of column."""
-    k = F.floor(F.col("row_id") / 1000)
+    k = F.floor(F.col("row_id") / 200_000)
     gone = lambda test, c: F.when(~test, F.col(c)).alias(c)
     holes = {"Month": k % 13 == 2, "Browser": k % 17 == 4, "Weekend": k % 19 == 5}
     return sessions(spark, folder).select(

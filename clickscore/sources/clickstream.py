@@ -73,12 +73,13 @@ def sessions_from_events(events: DataFrame) -> DataFrame:
         (F.col("k1") % 20 + 1).cast("int").alias("TrafficType"),
         (F.col("purchases") >= 2).alias("Revenue"),
     )
-    copies = F.when(F.col("user_id") % 40 == 7, F.array(F.lit(0), F.lit(500))).otherwise(
+    copies = F.when(F.col("user_id") % 40 == 7, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
     return shaped.withColumn("copy", F.explode(copies)).select(
         *SESSION.columns,
-        (F.col("user_id") * 1000 + F.dayofmonth("day") + F.col("copy")).alias("row_id"),
+        # Days since the epoch: unique over any span of days, twice for the copy.
+        ((F.col("user_id") * 100_000 + F.unix_date(F.col("day").cast("date"))) * 2 + F.col("copy")).alias("row_id"),
     )
 
 
@@ -209,7 +210,7 @@ def uploads_from_sessions(sessions: DataFrame, style: str) -> DataFrame:
         for c in SESSION.coded_categorical:
             cells[c] = F.concat(cells[c], F.lit(".0"))
     elif style == "broken_numbers":
-        bad = F.floor(F.col("row_id") / 1000) % 50 == 3
+        bad = F.floor(F.col("row_id") / 200_000) % 50 == 3
         for c in SESSION.numeric + SESSION.coded_categorical:
             cells[c] = F.when(bad, "n/a").otherwise(cells[c])
     labels = {c: c for c in names}

@@ -88,7 +88,7 @@ def one(spark, text, make, dtype=T.StringType()):
 def test_numbers_from_text(spark):
     text = ["1", " 2.5 ", "1e3", "-.5", "n/a", "", None, "1d", "0x10", "nan", "inf", "1,5"]
     got = one(spark, text, C.to_number)
-    assert got == [1.0, 2.5, 1000.0, -0.5, None, None, None, None, None, None, float("inf"), None]
+    assert got == [1.0, 2.5, 1000.0, -0.5, None, None, None, None, None, None, None, None]
 
 
 def test_codes_from_text(spark):
