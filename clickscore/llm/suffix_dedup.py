@@ -27,13 +27,19 @@ class Columns:
     """Arrays kept in files of a task's own folder, read and written whole in sequence."""
 
     def __init__(self, folder: str, **kinds: np.dtype):
-        self.folder, self.kinds = Path(folder), kinds
+        self.folder, self.kinds, self.turn = Path(folder), kinds, dict.fromkeys(kinds, 0)
+
+    def path(self, name: str) -> Path:
+        return self.folder / f"{name}.{self.turn[name]}"
 
     def read(self, name: str) -> np.ndarray:
-        return np.fromfile(self.folder / name, self.kinds[name])
+        return np.fromfile(self.path(name), self.kinds[name])
 
     def write(self, name: str, values: np.ndarray) -> None:
-        values.astype(self.kinds[name], copy=False).tofile(self.folder / name)
+        """The next state is a file of its own; the one before goes."""
+        self.path(name).unlink(missing_ok=True)
+        self.turn[name] += 1
+        values.astype(self.kinds[name], copy=False).tofile(self.path(name))
 
 
 def merge(old: np.ndarray, is_new: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -89,8 +95,10 @@ def collection_order(data: np.ndarray, offsets: np.ndarray, cap: int) -> tuple[n
             files.write("place", merge(files.read("place"), is_new, at, end[live] - length + live))
             joined = merge(shared, is_new, at, np.zeros(len(at), np.uint8))
             # Common prefixes of pairs of neighbours of which one is new.
-            low = np.union1d(at, at + 1)
-            low = low[(low > n_strings) & (low < len(is_new))]
+            touched = is_new.copy()
+            touched[1:] |= is_new[:-1]
+            touched[: n_strings + 1] = False
+            low = np.flatnonzero(touched)
             left, right = order[low - 1 - n_strings + ends], order[low - n_strings + ends]
             same = transform[left] == transform[right]
             joined[low[~same]] = 0
@@ -137,7 +145,7 @@ def byte_units(data: np.ndarray, offsets: np.ndarray):
     return T.BYTE_MIX[data], row, offsets, begin, begin + 1
 
 
-KIND = Kind("suffixes", WINDOW, (32, 90, WINDOW), byte_units, judge, by_start=True)
+KIND = Kind("suffixes", WINDOW, (32, 90, WINDOW), byte_units, judge, by_start=True, block_bytes=2 << 20)
 FIELDS = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 
 
