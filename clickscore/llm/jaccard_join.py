@@ -31,14 +31,16 @@ SHINGLE = 4
 NEED, OF = 17, 37
 SMALLEST = 85  # per cent of the larger size that the smaller one has at least
 
-#: A token in more of the documents than this comes last in the order of tokens.  At most
-#: (tokens per list entry of a document) / HOT_SHARE tokens can be, whatever the input.
-HOT_SHARE = 0.001
+#: A token that more than this share of the documents (and HOT_LEAST of them) lists comes last
+#: in the order of tokens.  At most (list entries per document) / HOT_SHARE tokens can be hot,
+#: whatever the input.
+HOT_SHARE = 0.0002
+HOT_LEAST = 40
 #: Sizes for which subsets are considered at all, and what one list entry costs in subsets.
 LIGHT_LIMIT = 20
 SCAN_COST = 8
 #: Longest list whose pairs are joined; longer ones make families.
-SHORT_LIST = 40
+SHORT_LIST = 256
 #: Tokens of a family's sets that one block holds.
 BLOCK_TOKENS = 200_000
 SKETCH = 256
@@ -296,7 +298,7 @@ def join(docs: DataFrame) -> DataFrame:
     profile = stored(text.mapInArrow(profile_batches, PROFILE).groupBy("kind", "value").agg(F.sum("n").alias("n")), "profile")
     n_docs = docs.count()
     sizes = {r["value"]: r["n"] for r in profile.filter("kind = 0").toLocalIterator()}
-    often = profile.filter((F.col("kind") == 1) & (F.col("n") > n_docs * HOT_SHARE)).select("value")
+    often = profile.filter((F.col("kind") == 1) & (F.col("n") > max(HOT_LEAST, n_docs * HOT_SHARE))).select("value")
     hot = np.sort(np.array([r[0] for r in often.toLocalIterator()], np.int64).view(np.uint64))
     light = boundary(sizes)
 

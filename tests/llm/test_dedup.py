@@ -79,7 +79,7 @@ def test_no_items(spark, docs, rows):
     same(decontamination.op3(docs, none), brute.decontamination(rows, []), SIX)
 
 
-@pytest.mark.parametrize("short, block", [(40, 200_000), (3, 2_000)])
+@pytest.mark.parametrize("short, block", [(256, 200_000), (3, 2_000)])
 def test_jaccard_join(docs, rows, monkeypatch, short, block):
     monkeypatch.setattr(jaccard_join, "SHORT_LIST", short)
     monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", block)
