@@ -315,7 +315,8 @@ def _scored_stream(spark: SparkSession, folder: str, history: bool) -> DataFrame
     write = K.write_history_stream if history else K.write_scored_stream
     write(scored, sink, log, once=True).awaitTermination()
     if history:
-        return K.latest_history(spark, sink).select("row_id", "purchase_probability", "prediction")
+        # Every appended row, not only the latest.
+        return spark.read.parquet(sink).select("row_id", "purchase_probability", "prediction")
     return spark.read.parquet(sink).select("row_id", *Sc.SCORE_COLUMNS)
 
 
@@ -337,7 +338,7 @@ def model_queries() -> dict[str, Query]:
         )
 
     def curve(d: DataFrame, m: PipelineModel) -> DataFrame:
-        return X.sensitivity(d, m, "PageValues", Dp.numeric_ranges(d))
+        return X.sensitivity(d, m, "PageValues", Dp.numeric_ranges(d, columns=["PageValues"]))
 
     def uploaded(spark: SparkSession, folder: str) -> DataFrame:
         return Sc.score_upload(upload("padded")(spark, folder), fitted(spark, folder))[0]

@@ -206,11 +206,14 @@ def _fences(q1: float | None, q3: float | None) -> tuple[float | None, float | N
     return q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1)
 
 
-def numeric_ranges(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
-    """Range, centre, 99th percentile and input step of every numeric column."""
-    mid = exact_percentiles(df, {c: (number_sql(c), [0.5, 0.99]) for c in contract.numeric})
+def numeric_ranges(
+    df: DataFrame, contract: Contract = SESSION, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Range, centre, 99th percentile and input step of every numeric column (or of ``columns``)."""
+    columns = columns or contract.numeric
+    mid = exact_percentiles(df, {c: (number_sql(c), [0.5, 0.99]) for c in columns})
     aggs, lines = [], []
-    for i, c in enumerate(contract.numeric):
+    for i, c in enumerate(columns):
         x = number_sql(c)
         aggs += [f"min({x}) AS a{i}", f"max({x}) AS b{i}", f"avg({x}) AS c{i}"]
         step, decimals = OTHER_STEP
