@@ -121,6 +121,7 @@ def all_queries() -> dict:
         "check_upload_scores": upload_scores,
         "check_decisions_linear": decisions_follow("linear"),
         "check_decisions_trees": decisions_follow("trees"),
+        "check_decisions_forest": decisions_follow("forest"),
         "check_linear_residual": linear_residual,
         "check_global_contribution": global_slots,
         "check_sensitivity": sensitivity_points,
@@ -139,6 +140,7 @@ def all_sql() -> dict[str, str]:
         "check_upload_scores": f"{U} SELECT row_id, true AS same FROM s",
         "check_decisions_linear": follow,
         "check_decisions_trees": follow,
+        "check_decisions_forest": follow,
         "check_linear_residual": f"{U} SELECT row_id, true AS additive FROM u",
         "check_global_contribution": "SELECT 0::BIGINT AS n_wrong, true AS some",
         "check_sensitivity": f"{U} SELECT row_id, 40::BIGINT AS n_points, true AS same FROM u",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -301,6 +301,7 @@ def fitted(spark: SparkSession, folder: str, family: str = "linear") -> Pipeline
         kinds = {
             "linear": LogisticRegression(maxIter=15, regParam=1e-3, standardization=False, **shared),
             "trees": GBTClassifier(maxIter=5, maxDepth=4, seed=42, **shared),
+            "forest": RandomForestClassifier(numTrees=5, maxDepth=4, seed=42, **shared),
         }
         _models[key] = L.fit_model(kinds[family], training_rows(spark, folder))
     return _models[key]
@@ -385,6 +386,7 @@ def model_queries() -> dict[str, Query]:
         ),
         "score": with_model(lambda d, m: Sc.score(d, m, 0.7)),
         "score_trees": with_model(lambda d, m: Sc.score(d, m, 0.7), "trees"),
+        "score_forest": with_model(lambda d, m: Sc.score(d, m, 0.7), "forest"),
         "score_upload": uploaded,
         "predict_sessions": with_model(lambda d, m: Sc.predict_sessions(d, m, 0.7)),
         "cross_validated_search": tuning,

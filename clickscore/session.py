@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,7 +49,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="clickscore-")
+        folder = tempfile.mkdtemp(prefix="clickscore-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_folders[context.applicationId] = folder
     return _local_folders[context.applicationId]
 
 
