@@ -13,6 +13,7 @@ from catalog import queries as Q
 from catalog.oracle import UNIQUE
 from clickscore.contract import SESSION
 from clickscore.functions import decisions as D
+from clickscore.operators import alignment as C
 from clickscore.operators import explaining as X
 from clickscore.operators import learning as L
 from clickscore.operators import profiling as Dp
@@ -113,8 +114,20 @@ def leakage_arms(spark: SparkSession, folder: str) -> DataFrame:
     return rows.agg(F.count_if("is_test").alias("n_test"), F.count(F.lit(1)).alias("n_rows"))
 
 
+def alignment_report(spark: SparkSession, folder: str) -> DataFrame:
+    """How every defective upload was matched: strategy, columns, notes, trust."""
+    rows = []
+    for style in ("exact", "renamed", "anonymous", "padded"):
+        got = C.align(Q.upload(style)(spark, folder), allow_positional=style == "anonymous")
+        rows.append((style, got.strategy, len(got.mapping), len(got.notes), got.trustworthy))
+    return spark.createDataFrame(
+        rows, "style string, strategy string, n_columns bigint, n_notes bigint, trustworthy boolean"
+    )
+
+
 def all_queries() -> dict:
     return {
+        "alignment_report": alignment_report,
         "check_saved_scores": saved_scores,
         "check_stream_scores": stream_scores,
         "check_history_rows": history_rows,
@@ -134,6 +147,9 @@ def all_sql() -> dict[str, str]:
     same = f"{U} SELECT row_id, true AS same FROM u"
     follow = f"{U} SELECT row_id, true AS label_follows, true AS action_follows, true AS is_probability FROM u"
     return {
+        "alignment_report": """SELECT * FROM (VALUES ('exact', 'exact', 17::BIGINT, 0::BIGINT, true),
+            ('renamed', 'normalised', 17, 1, true), ('anonymous', 'positional', 17, 2, false),
+            ('padded', 'exact', 17, 0, true)) t(style, strategy, n_columns, n_notes, trustworthy)""",
         "check_saved_scores": same,
         "check_stream_scores": same,
         "check_history_rows": same,

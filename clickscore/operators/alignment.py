@@ -18,13 +18,13 @@ from clickscore.functions import coercion as C
 
 SOURCE = "source_row"
 
-# Wording of the notes shown to the uploader.
-BY_NAME = "Matched {n} column(s) by name ignoring case and punctuation, e.g. '{source}' -> '{target}'."
-BY_POSITION = "{n} column name(s) did not match the schema, so columns were mapped by position instead."
-FIRST_ONLY = "Only the first {n} of {m} columns were used."
-NOT_NUMERIC = " value(s) were not numeric and will be imputed."
-NOT_CODE = " value(s) were not integer codes and are treated as unknown."
-RECASED = " value(s) matched a known category after ignoring case."
+# What the uploader is told.
+BY_NAME = "{n} of the columns go by another spelling here, such as '{target}' for your '{source}'."
+BY_POSITION = "Names missing: {n}. The columns were taken in their order instead."
+FIRST_ONLY = "The file has {m} columns; those after the {n}th were left out."
+NOT_NUMERIC = " cell(s) hold no number; they get the typical value."
+NOT_CODE = " cell(s) hold no whole-number code; they count as an unknown one."
+RECASED = " cell(s) were read as a known level that is written differently."
 
 
 @dataclass(frozen=True)
