@@ -67,7 +67,7 @@ def _drift(df: DataFrame) -> DataFrame:
 
 
 def evaluation_queries() -> dict[str, Query]:
-    p = F.col("probability")
+    # Columns are made inside the queries: this table needs no session.
     return {
         "confusion": _on(pairs, G.confusion),
         "confusion_normalised": _on(pairs, G.confusion_normalised),
@@ -113,12 +113,12 @@ def evaluation_queries() -> dict[str, Query]:
             pairs, lambda d: d.select("row_id", rules.class_label(F.col("label")).alias("class_label"))
         ),
         "confidence_band": _on(
-            pairs, lambda d: d.select("row_id", rules.confidence_band(p).alias("confidence_band"))
+            pairs, lambda d: d.select("row_id", rules.confidence_band(d["probability"]).alias("confidence_band"))
         ),
         "recommendation": _on(
-            pairs, lambda d: d.select("row_id", rules.recommendation(p, 0.5).alias("recommendation"))
+            pairs, lambda d: d.select("row_id", rules.recommendation(d["probability"], 0.5).alias("recommendation"))
         ),
-        "verdict": _on(pairs, lambda d: d.select("row_id", rules.verdict(p, 0.5).alias("verdict"))),
+        "verdict": _on(pairs, lambda d: d.select("row_id", rules.verdict(d["probability"], 0.5).alias("verdict"))),
         "decisions": _on(
             pairs,
             lambda d: H.with_decisions(d, 0.7).select(

@@ -26,3 +26,13 @@ def test_every_oracle_has_a_query():
 
 def test_entry_runs(spark):
     assert entry_point.entry(spark).count() == 1
+
+
+def test_registry_needs_no_session():
+    import subprocess
+    import sys
+
+    root = entry_point.__file__.rsplit("/", 1)[0]
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
