@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from catalog import queries as Q
 from catalog.oracle import UNIQUE
-from clickscore.contract import SESSION
 from clickscore.functions import decisions as D
 from clickscore.operators import alignment as C
 from clickscore.operators import explaining as X

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
