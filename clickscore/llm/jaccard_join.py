@@ -13,8 +13,9 @@ and a task returns one row per set, not pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
-from math import comb
+from math import comb, gcd
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,29 @@ from clickscore.llm.frames import small_batches, stored
 from clickscore.llm.graph import components
 from clickscore.llm.repeats import doc_order
 
-SHINGLE = 4
-# The limit 100 * intersection >= 85 * union is 37 * intersection >= 17 * (sum of sizes).
-NEED, OF = 17, 37
-SMALLEST = 85  # per cent of the larger size that the smaller one has at least
+
+@dataclass(frozen=True)
+class Limits:
+    """Words of a shingle, and per cent of the union that the intersection has at least.
+
+    The smaller of two linked sets has at least ``percent`` of the larger one's size.
+    """
+
+    shingle: int
+    percent: int
+
+    @property
+    def need(self) -> int:
+        """100 * intersection >= percent * union is of * intersection >= need * (sum of sizes)."""
+        return self.percent // gcd(self.percent, 100 + self.percent)
+
+    @property
+    def of(self) -> int:
+        return (100 + self.percent) // gcd(self.percent, 100 + self.percent)
+
+
+#: The contract of op9.
+OP9 = Limits(shingle=4, percent=85)
 
 #: A token that more than this share of the documents (and HOT_LEAST of them) lists comes last
 #: in the order of tokens.  At most (list entries per document) / HOT_SHARE tokens can be hot,
@@ -52,47 +72,47 @@ TOKENS = "doc bigint, n int, s1 bigint, s2 bigint, tokens array<bigint>"
 LINKED = "a bigint, b bigint, n_links bigint"
 
 
-def required(n: int, m: int) -> int:
+def required(n: int, m: int, lim: Limits = OP9) -> int:
     """Shared tokens that sets of these sizes need to be linked."""
-    return -(-NEED * (n + m) // OF)
+    return -(-lim.need * (n + m) // lim.of)
 
 
-def listed(n):
+def listed(n, lim: Limits = OP9):
     """How many tokens of a set of ``n``, first in order, go to inverted lists."""
-    return n - (-(-SMALLEST * n // 100)) + 1
+    return n - (-(-lim.percent * n // 100)) + 1
 
 
-def subset_sizes(n: int) -> list[int]:
+def subset_sizes(n: int, lim: Limits = OP9) -> list[int]:
     """Sizes of the subsets that a set of ``n`` may have to share with a partner."""
-    sizes = {required(n, m) for m in range(-(-SMALLEST * n // 100), 100 * n // SMALLEST + 1)}
+    sizes = {required(n, m, lim) for m in range(-(-lim.percent * n // 100), 100 * n // lim.percent + 1)}
     return sorted(c for c in sizes if c <= n)
 
 
-def subset_count(n: int) -> int:
-    return sum(comb(n, c) for c in subset_sizes(n))
+def subset_count(n: int, lim: Limits = OP9) -> int:
+    return sum(comb(n, c) for c in subset_sizes(n, lim))
 
 
-def boundary(sizes: dict[int, int]) -> int:
+def boundary(sizes: dict[int, int], lim: Limits = OP9) -> int:
     """Largest light size: where listing subsets costs less than scanning lists."""
 
     def cost(x: int) -> int:
-        light = sum(k * subset_count(n) for n, k in sizes.items() if n <= x)
+        light = sum(k * subset_count(n, lim) for n, k in sizes.items() if n <= x)
         # Sets close below the boundary may have heavy partners and use both ways.
-        return light + sum(SCAN_COST * k * listed(n) for n, k in sizes.items() if 100 * n > SMALLEST * x)
+        return light + sum(SCAN_COST * k * listed(n, lim) for n, k in sizes.items() if 100 * n > lim.percent * x)
 
     return min(range(LIGHT_LIMIT + 1), key=lambda x: (cost(x), x))
 
 
-def sets_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sets_of(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct tokens of every text on end, and where each text's begin."""
     w = T.words(data, offsets, T.PLAIN, T.LOWERED)
-    token, at = T.shingles(w, SHINGLE)
+    token, at = T.shingles(w, shingle)
     row = w.row[at] if len(at) else at
     count = np.diff(w.first)
-    few = np.flatnonzero((count > 0) & (count < SHINGLE))
+    few = np.flatnonzero((count > 0) & (count < shingle))
     if len(few):
         lone = count[few].astype(np.uint64) * T.WORD_MIX[50]
-        for i in range(SHINGLE - 1):
+        for i in range(shingle - 1):
             has = count[few] > i
             lone[has] += w.hash[w.first[few[has]] + i] * T.WORD_MIX[51 + i]
         token, row = np.concatenate((token, T.mix(lone))), np.concatenate((row, few))
@@ -115,7 +135,7 @@ def identity(token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return T.mix(sums(T.mix(token), first)).view(np.int64), T.mix(sums(T.mix(salted), first)).view(np.int64)
 
 
-def profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def profile_batches(batches: Iterator[pa.RecordBatch], lim: Limits) -> Iterator[pa.RecordBatch]:
     """Set sizes, and tokens that are frequent among the lists of one task's documents.
 
     A token frequent over all is frequent in one task at least.
@@ -123,12 +143,12 @@ def profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     sizes = np.zeros(LIGHT_LIMIT * 2 + 1, np.int64)
     docs, held, seen = 0, [], np.zeros(0, np.int64)
     for _, data, offsets in T.chunked(batches, size=CHUNK_BYTES):
-        token, first = sets_of(data, offsets)
+        token, first = sets_of(data, offsets, lim.shingle)
         n = np.diff(first)
         docs += len(n)
         sizes += np.bincount(n[n < len(sizes)], minlength=len(sizes))
         fresh = np.setdiff1d(np.unique(identity(token, first)[0], return_index=True)[1], np.flatnonzero(n == 0))
-        held.append(token[T.spread(first[fresh], listed(n[fresh]))])
+        held.append(token[T.spread(first[fresh], listed(n[fresh], lim))])
     tokens, count = np.unique(np.concatenate(held) if held else seen.view(np.uint64), return_counts=True)
     often = np.flatnonzero(count > max(1, docs * HOT_SHARE))
     used = np.flatnonzero(sizes)
@@ -142,7 +162,7 @@ def profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     )
 
 
-def subset_keys(token: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def subset_keys(token: np.ndarray, first: np.ndarray, rows: np.ndarray, lim: Limits) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all required subsets of the given sets, and the set of each."""
     n = np.diff(first)[rows]
     keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -150,7 +170,7 @@ def subset_keys(token: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple
         own = rows[n == size]
         values = T.mix(token[first[own][:, None] + np.arange(size)] ^ np.uint64(0xB5297A4D))
         total = values.sum(axis=1, dtype=np.uint64)
-        for c in subset_sizes(size):
+        for c in subset_sizes(size, lim):
             salt = np.array([c], np.uint64) * T.STEP
             out = np.array(list(combinations(range(size), size - c)), np.int64).reshape(comb(size, c), size - c)
             less = total[:, None] - values[:, out].sum(axis=2, dtype=np.uint64)
@@ -159,10 +179,10 @@ def subset_keys(token: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def set_batches(batches: Iterator[pa.RecordBatch], hot: np.ndarray, light: int) -> Iterator[pa.RecordBatch]:
+def set_batches(batches: Iterator[pa.RecordBatch], hot: np.ndarray, light: int, lim: Limits) -> Iterator[pa.RecordBatch]:
     for batch, data, offsets in T.chunked(batches, size=CHUNK_BYTES):
         rows = batch.num_rows
-        token, first = sets_of(data, offsets)
+        token, first = sets_of(data, offsets, lim.shingle)
         n = np.diff(first)
         row = np.repeat(np.arange(rows), n)
         s1, s2 = identity(token, first)
@@ -170,10 +190,10 @@ def set_batches(batches: Iterator[pa.RecordBatch], hot: np.ndarray, light: int)
         at = np.minimum(np.searchsorted(hot, token), max(len(hot) - 1, 0))
         late = hot[at] == token if len(hot) else np.zeros(len(token), bool)
         by = np.argsort(row * 2 + late, kind="stable")
-        heavy = np.flatnonzero(100 * n > SMALLEST * light)
-        count = listed(n[heavy])
+        heavy = np.flatnonzero(100 * n > lim.percent * light)
+        count = listed(n[heavy], lim)
         prefix, prefix_row = token[by][T.spread(first[heavy], count)], np.repeat(heavy, count)
-        subset, subset_row = subset_keys(token, first, np.flatnonzero((n > 0) & (n <= light)))
+        subset, subset_row = subset_keys(token, first, np.flatnonzero((n > 0) & (n <= light)), lim)
         order = np.argsort(np.concatenate((subset_row * 2, prefix_row * 2 + 1)), kind="stable")
         keys = np.concatenate((subset, prefix))[order].view(np.int64)
         n_light = np.bincount(subset_row, minlength=rows)
@@ -190,9 +210,9 @@ def set_batches(batches: Iterator[pa.RecordBatch], hot: np.ndarray, light: int)
         )
 
 
-def token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def token_batches(batches: Iterator[pa.RecordBatch], lim: Limits) -> Iterator[pa.RecordBatch]:
     for batch, data, offsets in T.chunked(batches, size=CHUNK_BYTES):
-        token, first = sets_of(data, offsets)
+        token, first = sets_of(data, offsets, lim.shingle)
         s1, s2 = identity(token, first)
         n = np.diff(first)
         yield pa.RecordBatch.from_arrays(
@@ -201,7 +221,7 @@ def token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch_batches(batches: Iterator[pa.RecordBatch], lim: Limits) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches allow enough shared tokens; full counters allow any."""
     for batch in batches:
         left, right = (
@@ -211,11 +231,11 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         full = (left == 65535).any(axis=1) & (right == 65535).any(axis=1)
         size = np.asarray(batch.column(2), np.int64) + np.asarray(batch.column(3), np.int64)
         yield pa.RecordBatch.from_arrays(
-            [x.filter(pa.array((OF * most >= NEED * size) | full)) for x in batch.columns[:2]], names=["a", "b"]
+            [x.filter(pa.array((lim.of * most >= lim.need * size) | full)) for x in batch.columns[:2]], names=["a", "b"]
         )
 
 
-def block_links(table: pa.Table) -> pa.Table:
+def block_links(table: pa.Table, lim: Limits) -> pa.Table:
     """Links between two blocks of a family (or inside one): a root and a count per set."""
     table = table.combine_chunks()
     rep, weight, part = (table.column(c).to_numpy() for c in ("rep", "weight", "part"))
@@ -239,7 +259,7 @@ def block_links(table: pa.Table) -> pa.Table:
     for x in range(len(rep)):
         own = token[begin[x] : begin[x] + size[x]]
         both = np.bincount(posting[T.spread(edge[own], edge[own + 1] - edge[own])], minlength=len(rep))
-        linked = (OF * both >= NEED * (size[x] + size)) & (rep != rep[x])
+        linked = (lim.of * both >= lim.need * (size[x] + size)) & (rep != rep[x])
         if not within:
             linked &= part != part[x]
         found = np.flatnonzero(linked)
@@ -262,7 +282,7 @@ def families(long_rows: DataFrame) -> DataFrame:
     return stored(found.unionByName(alone).groupBy("node").agg(F.min("label").alias("family")).withColumnRenamed("node", "rep"), "families")
 
 
-def family_links(members: DataFrame, reps: DataFrame, tokens: DataFrame) -> DataFrame:
+def family_links(members: DataFrame, reps: DataFrame, tokens: DataFrame, lim: Limits) -> DataFrame:
     """Links inside families from pairs of blocks, as rows ``LINKED``."""
     own = members.join(reps.select("rep", "weight", "n", "s1", "s2"), "rep")
     size = own.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(BLOCK_TOKENS)).cast("int").alias("parts"))
@@ -274,14 +294,15 @@ def family_links(members: DataFrame, reps: DataFrame, tokens: DataFrame) -> Data
     pairs = held.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "family", F.least("part", "x").alias("i"), F.greatest("part", "x").alias("j"), "rep", "weight", "part", "tokens"
     )
-    return pairs.groupBy("family", "i", "j").applyInArrow(block_links, LINKED)
+    return pairs.groupBy("family", "i", "j").applyInArrow(lambda t: block_links(t, lim), LINKED)
 
 
-def join(docs: DataFrame) -> DataFrame:
+def join(docs: DataFrame, lim: Limits) -> DataFrame:
     """Class and number of links of every row: ``doc_id, n_shingles, component_id, n_links``.
 
-    A set holds the distinct 4-word shingles of a text (A-Z lower-cased; a shorter text is
-    one shingle as a whole).  Rows link when the intersection is at least 85 % of the union.
+    A set holds the distinct shingles of ``lim.shingle`` words of a text (A-Z lower-cased; a
+    shorter text is one shingle as a whole).  Rows link when the intersection is at least
+    ``lim.percent`` per cent of the union.
     ``component_id`` is the smallest doc_id reachable by links, ``n_links`` the number of
     other rows linked directly.
 
@@ -295,14 +316,14 @@ def join(docs: DataFrame) -> DataFrame:
     base = docs.select(doc_order(F.col("doc_id")).alias("doc"), "text")
     text = base.select("doc", "text")
 
-    profile = stored(text.mapInArrow(profile_batches, PROFILE).groupBy("kind", "value").agg(F.sum("n").alias("n")), "profile")
+    profile = stored(text.mapInArrow(lambda it: profile_batches(it, lim), PROFILE).groupBy("kind", "value").agg(F.sum("n").alias("n")), "profile")
     n_docs = docs.count()
     sizes = {r["value"]: r["n"] for r in profile.filter("kind = 0").toLocalIterator()}
     often = profile.filter((F.col("kind") == 1) & (F.col("n") > max(HOT_LEAST, n_docs * HOT_SHARE))).select("value")
     hot = np.sort(np.array([r[0] for r in often.toLocalIterator()], np.int64).view(np.uint64))
-    light = boundary(sizes)
+    light = boundary(sizes, lim)
 
-    sets = text.mapInArrow(lambda it: set_batches(it, hot, light), SETS)
+    sets = text.mapInArrow(lambda it: set_batches(it, hot, light, lim), SETS)
     reps = stored(
         sets.filter("n > 0").groupBy("s1", "s2", "n").agg(
             F.min("doc").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("n_light").alias("n_light"),
@@ -316,7 +337,7 @@ def join(docs: DataFrame) -> DataFrame:
     shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k >= 2"), "shared-keys")
     rows = stored(entries.join(shared, "key"), "lists")
 
-    pairs = stored(short_pairs(rows.filter(F.col("k") <= SHORT_LIST)), "pairs")
+    pairs = stored(short_pairs(rows.filter(F.col("k") <= SHORT_LIST), lim), "pairs")
     long_rows = rows.filter(F.col("k") > SHORT_LIST)
     crowded = not long_rows.isEmpty()
     if crowded:
@@ -331,16 +352,16 @@ def join(docs: DataFrame) -> DataFrame:
     sketched = pairs.join(s.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka")), "a").join(
         s.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb")), "b"
     ).select("a", "b", "na", "nb", "ka", "kb")
-    likely = stored(sketched.mapInArrow(sketch_batches, "a bigint, b bigint").distinct(), "likely")
+    likely = stored(sketched.mapInArrow(lambda it: sketch_batches(it, lim), "a bigint, b bigint").distinct(), "likely")
 
     wanted = likely.select(F.col("a").alias("doc")).union(likely.select("b"))
     wanted = (wanted.union(members.select("rep")) if crowded else wanted).distinct()
     tokens = stored(
-        text.join(wanted, "doc", "left_semi").mapInArrow(token_batches, TOKENS).dropDuplicates(["doc", "s1", "s2"]), "tokens"
+        text.join(wanted, "doc", "left_semi").mapInArrow(lambda it: token_batches(it, lim), TOKENS).dropDuplicates(["doc", "s1", "s2"]), "tokens"
     )
-    links = stored(checked(likely, reps, tokens), "links")
+    links = stored(checked(likely, reps, tokens, lim), "links")
     if crowded:
-        links = stored(links.unionByName(family_links(members, reps, tokens)), "links")
+        links = stored(links.unionByName(family_links(members, reps, tokens, lim)), "links")
 
     labels = components(links.select("a", "b"))
     counts = links.groupBy("a").agg(F.sum("n_links").alias("linked"))
@@ -350,7 +371,7 @@ def join(docs: DataFrame) -> DataFrame:
         .join(counts.withColumnRenamed("a", "rep"), "rep", "left")
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
-    every = docs.select("doc_id", "text").mapInArrow(identity_batches, f"doc_id {kind}, n int, s1 bigint, s2 bigint")
+    every = docs.select("doc_id", "text").mapInArrow(lambda it: identity_batches(it, lim), f"doc_id {kind}, n int, s1 bigint, s2 bigint")
     label = F.coalesce("label", "rep", doc_order(F.col("doc_id")))
     return every.join(classes, ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
@@ -359,9 +380,9 @@ def join(docs: DataFrame) -> DataFrame:
     )
 
 
-def identity_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def identity_batches(batches: Iterator[pa.RecordBatch], lim: Limits) -> Iterator[pa.RecordBatch]:
     for batch, data, offsets in T.chunked(batches, size=CHUNK_BYTES):
-        token, first = sets_of(data, offsets)
+        token, first = sets_of(data, offsets, lim.shingle)
         s1, s2 = identity(token, first)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(np.diff(first).astype(np.int32)), pa.array(s1), pa.array(s2)],
@@ -369,7 +390,7 @@ def identity_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         )
 
 
-def short_pairs(rows: DataFrame) -> DataFrame:
+def short_pairs(rows: DataFrame, lim: Limits) -> DataFrame:
     """Pairs of sets in one list that sizes and places allow to link."""
     a = rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("s1").alias("sa"))
     b = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("s1").alias("sb"))
@@ -379,21 +400,21 @@ def short_pairs(rows: DataFrame) -> DataFrame:
         a.join(b, "key")
         .filter(
             (F.col("a") < F.col("b"))
-            & (100 * F.col("na") >= SMALLEST * F.col("nb")) & (100 * F.col("nb") >= SMALLEST * F.col("na"))
-            & ((F.col("pa") < 0) | (OF * rest >= NEED * (F.col("na") + F.col("nb"))))
+            & (100 * F.col("na") >= lim.percent * F.col("nb")) & (100 * F.col("nb") >= lim.percent * F.col("na"))
+            & ((F.col("pa") < 0) | (lim.of * rest >= lim.need * (F.col("na") + F.col("nb"))))
         )
         .select("a", "b").distinct()
     )
 
 
-def checked(likely: DataFrame, reps: DataFrame, tokens: DataFrame) -> DataFrame:
+def checked(likely: DataFrame, reps: DataFrame, tokens: DataFrame, lim: Limits) -> DataFrame:
     """Pairs that link by exact count, in both directions with the other's weight."""
     w = reps.select("rep", "weight")
     t = tokens.select("doc", "n", "tokens")
     both = (
         likely.join(t.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
         .join(t.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
-        .filter(OF * F.size(F.array_intersect("ta", "tb")) >= NEED * (F.col("na") + F.col("nb")))
+        .filter(lim.of * F.size(F.array_intersect("ta", "tb")) >= lim.need * (F.col("na") + F.col("nb")))
         .select("a", "b").distinct()
     )
     weighed = both.join(w.select(F.col("rep").alias("a"), F.col("weight").alias("wa")), "a").join(
@@ -405,7 +426,7 @@ def checked(likely: DataFrame, reps: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def op9(docs: DataFrame) -> DataFrame:
-    return join(docs)
+    return join(docs, OP9)
 
 
 SQL = """

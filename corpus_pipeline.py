@@ -18,6 +18,10 @@ from clickscore.llm.frames import read, stored
 from clickscore.llm.queries import PIECE_MODEL
 
 
+#: Near copies share 80 per cent of their five-word shingles; op9's own contract binds only its query.
+NEAR = jaccard_join.Limits(shingle=5, percent=80)
+
+
 def _rows(docs: DataFrame, marked: DataFrame, how: str) -> DataFrame:
     """``docs`` with (left_semi) or without (left_anti) the marked ``(doc_id, row_hash)``."""
     keys = marked.select(F.col("doc_id").alias("own_id"), F.col("row_hash").alias("own_hash"))
@@ -46,7 +50,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of every group of linked documents."""
-    classes = jaccard_join.join(docs)
+    classes = jaccard_join.join(docs, NEAR)
     first = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("own_id")).distinct()
     kept = docs.join(first, docs["doc_id"].eqNullSafe(F.col("own_id")), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
