@@ -30,6 +30,7 @@ FOUND = (
     "doc_id bigint, row_hash bigint, n_words bigint, "
     "items array<string>, span_start array<int>, span_end array<int>"
 )
+COUNTED = "doc_id bigint, row_hash bigint, n_words bigint"
 
 
 @dataclass
@@ -169,25 +170,40 @@ def occurrences(docs: DataFrame, items: DataFrame) -> DataFrame:
     every = found[0]
     for one in found[1:]:
         every = every.union(one)
-    return merged(every)
+    return merged(every, rows.mapInArrow(count_batches, COUNTED))
 
 
-def merged(found: DataFrame) -> DataFrame:
-    """The blocks' findings of each row together."""
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, data, offsets in T.chunked(batches):
+        n_words = np.diff(T.words(data, offsets, T.LETTERS, T.LOWERED).first)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(n_words, pa.int64())], names=["doc_id", "row_hash", "n_words"]
+        )
+
+
+def merged(found: DataFrame, counted: DataFrame) -> DataFrame:
+    """Every counted row with the findings of all blocks together."""
     words = F.transform(
         F.arrays_zip("span_start", "span_end"), lambda s: F.sequence(s["span_start"], s["span_end"] - 1)
     )
-    one = found.select("doc_id", "row_hash", "n_words", "items", F.flatten(words).alias("hit"))
+    one = found.filter(F.size("span_start") > 0).select(
+        F.col("doc_id").alias("own_id"), F.col("row_hash").alias("own_hash"), "items", F.flatten(words).alias("hit")
+    )
     hit = F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit"))))
-    both = one.groupBy("doc_id", "row_hash").agg(
-        F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        hit.alias("hit"),
+    both = one.groupBy("own_id", "own_hash").agg(
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), hit.alias("hit")
     )
     start = F.filter("hit", lambda x, i: (i == 0) | (F.get(F.col("hit"), i - 1) != x - 1))
     end = F.filter("hit", lambda x, i: (i == F.size("hit") - 1) | (F.get(F.col("hit"), i + 1) != x + 1))
-    return both.select(
-        "doc_id", "row_hash", "n_words", "items", start.alias("span_start"),
-        F.transform(end, lambda x: x + 1).alias("span_end"),
+    spans = both.select(
+        "own_id", "own_hash", "items", start.alias("span_start"), F.transform(end, lambda x: x + 1).alias("span_end")
+    )
+    none = {"items": "string", "span_start": "int", "span_end": "int"}
+    return counted.join(
+        spans, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("row_hash") == F.col("own_hash")), "left"
+    ).select(
+        "doc_id", "row_hash", "n_words",
+        *[F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c) for c, kind in none.items()],
     )
 
 
