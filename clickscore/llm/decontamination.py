@@ -1,7 +1,8 @@
 """Find benchmark passages in training documents with an FM-index per shard.
 
 The benchmark's windows are the query set; they are read in blocks of at most
-``BLOCK_BYTES`` of benchmark text and each block meets all documents.  A task cuts its
+``BLOCK_BYTES`` of benchmark text and each block meets all documents.  The driver holds one
+block at a time; of several blocks the findings are written.  A task cuts its
 documents into shards of a few MB, maps words to the block's vocabulary, indexes every
 stretch of words that could hold a window, searches all windows backward through
 wavelet-matrix ranks, locates the occurrences by sampled suffix positions and merges them to
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from clickscore.llm import tokens as T
 from clickscore.llm.fm_index import FmIndex
-from clickscore.llm.frames import small_batches
+from clickscore.llm.frames import small_batches, stored
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -30,6 +31,7 @@ FOUND = (
     "doc_id bigint, row_hash bigint, n_words bigint, "
     "items array<string>, span_start array<int>, span_end array<int>"
 )
+LISTS = {"items": "string", "span_start": "int", "span_end": "int"}
 COUNTED = "doc_id bigint, row_hash bigint, n_words bigint"
 
 
@@ -51,26 +53,24 @@ def build_windows(rows: list[tuple[str, str]]) -> Windows | None:
     data, offsets = T.buffers(column)
     w = T.words(data, offsets, T.LETTERS, T.LOWERED)
     vocabulary, number = np.unique(w.hash, return_inverse=True)
-    found: dict[bytes, list[int]] = {}
-    for row in range(len(rows)):
-        own = (number[w.first[row] : w.first[row + 1]] + 1).astype(np.int32)
-        for i in range(max(len(own) - WINDOW + 1, 1)):
-            piece = own[i : i + WINDOW]
-            if len(piece):
-                found.setdefault(piece.tobytes(), []).append(row)
-    if not found:
+    count = np.diff(w.first)
+    own = np.flatnonzero(count)
+    if not len(own):
         return None
-    patterns = np.zeros((len(found), WINDOW), np.int32)
-    lengths = np.zeros(len(found), np.int64)
-    per_window = []
-    for i, (key, items) in enumerate(found.items()):
-        piece = np.frombuffer(key, np.int32)
-        patterns[i, WINDOW - len(piece) :] = piece
-        lengths[i] = len(piece)
-        per_window.append(sorted(set(items)))
-    first = np.concatenate(([0], np.cumsum([len(x) for x in per_window])))
+    each = np.maximum(count[own] - WINDOW + 1, 1)
+    owner = np.repeat(own, each)
+    end = T.spread(w.first[own] + np.minimum(count[own], WINDOW), each)
+    place = end.astype(np.int32)[:, None] + np.arange(-WINDOW, 0, dtype=np.int32)
+    inside = place >= w.first[owner].astype(np.int32)[:, None]
+    every = np.where(inside, (number + 1).astype(np.int32)[np.maximum(place, 0)], np.int32(0))
+    del place, inside
+    # Numbers begin at 1, so the zeros before a shorter window tell its length.
+    _, first_at, which = np.unique(every.view(f"V{4 * WINDOW}").ravel(), return_index=True, return_inverse=True)
+    pairs = np.unique(which * len(rows) + owner)
+    patterns = every[first_at]
     return Windows(
-        vocabulary, patterns, lengths, first, np.concatenate(per_window).astype(np.int64), [n for n, _ in rows]
+        vocabulary, patterns, np.count_nonzero(patterns, axis=1),
+        np.searchsorted(pairs, np.arange(len(patterns) + 1) * len(rows)), pairs % len(rows), [n for n, _ in rows],
     )
 
 
@@ -134,16 +134,23 @@ def search_batches(batches: Iterator[pa.RecordBatch], win: Windows) -> Iterator[
         )
 
 
-def item_blocks(items: DataFrame) -> list[list[tuple[str, str]]]:
-    """The query set in blocks of bounded size, one collected at a time by its hash range."""
-    rows = items.select(
+def named_items(items: DataFrame) -> DataFrame:
+    return items.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    total = rows.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
-    n = -(-total // BLOCK_BYTES) or 1
+
+
+def block_count(named: DataFrame) -> int:
+    """In how many blocks of about ``BLOCK_BYTES`` the query set is read."""
+    total = named.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
+    return -(-total // BLOCK_BYTES) or 1
+
+
+def block_windows(named: DataFrame, i: int, n: int) -> Windows | None:
+    """The windows of block ``i``, the items of a hash range; only these come to the driver."""
     block = F.pmod(F.xxhash64("name", "text"), F.lit(n))
-    return [[tuple(r) for r in rows.filter(block == i).toLocalIterator()] for i in range(n)]
+    return build_windows([tuple(r) for r in named.filter(block == i).toLocalIterator()])
 
 
 def occurrences(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -153,24 +160,30 @@ def occurrences(docs: DataFrame, items: DataFrame) -> DataFrame:
     disjoint and sorted.  NULL and empty texts have no words.  Items without words have no
     window; items with equal ids count once.  Repeated rows get equal results.  Only
     ``doc_id`` and ``text`` are used, so other columns may have any name.  Texts of any
-    length are searched whole; empty tables give an empty result or no hits.
+    length are searched whole; blocks are hash ranges of whole items, so a single item that is
+    longer than a block makes one of its own length; empty tables give an empty result or no hits.
     """
     small_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.xxhash64("text").alias("row_hash"), "text")
-    blocks = [w for w in map(build_windows, item_blocks(items)) if w]
-    if not blocks:
-        nothing = build_windows([("", "∅" * 3)])
-        return rows.mapInArrow(lambda it: search_batches(it, nothing), FOUND).withColumns(
-            {"items": F.array().cast("array<string>"), "span_start": F.array().cast("array<int>"),
-             "span_end": F.array().cast("array<int>")}
-        )
-    found = [rows.mapInArrow(lambda it, w=w: search_batches(it, w), FOUND) for w in blocks]
-    if len(found) == 1:
-        return found[0]
-    every = found[0]
-    for one in found[1:]:
-        every = every.union(one)
-    return merged(every, rows.mapInArrow(count_batches, COUNTED))
+    named = named_items(items)
+    n = block_count(named)
+    if n == 1:
+        win = block_windows(named, 0, 1)
+        if win:
+            return rows.mapInArrow(lambda it: search_batches(it, win), FOUND)
+    found = None
+    for i in range(n if n > 1 else 0):
+        win = block_windows(named, i, n)
+        if win:
+            # Written, so that the driver lets the block go before it reads the next one.
+            hits = stored(rows.mapInArrow(lambda it, w=win: search_batches(it, w), FOUND).filter(F.size("span_start") > 0), "hits")
+            found = found.union(hits) if found else hits
+        del win
+    counted = rows.mapInArrow(count_batches, COUNTED)
+    if found is None:
+        none = {c: F.array().cast(f"array<{kind}>") for c, kind in LISTS.items()}
+        return counted.withColumns(none)
+    return merged(found, counted)
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +199,7 @@ def merged(found: DataFrame, counted: DataFrame) -> DataFrame:
     words = F.transform(
         F.arrays_zip("span_start", "span_end"), lambda s: F.sequence(s["span_start"], s["span_end"] - 1)
     )
-    one = found.filter(F.size("span_start") > 0).select(
+    one = found.select(
         F.col("doc_id").alias("own_id"), F.col("row_hash").alias("own_hash"), "items", F.flatten(words).alias("hit")
     )
     hit = F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit"))))
@@ -198,12 +211,11 @@ def merged(found: DataFrame, counted: DataFrame) -> DataFrame:
     spans = both.select(
         "own_id", "own_hash", "items", start.alias("span_start"), F.transform(end, lambda x: x + 1).alias("span_end")
     )
-    none = {"items": "string", "span_start": "int", "span_end": "int"}
     return counted.join(
         spans, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("row_hash") == F.col("own_hash")), "left"
     ).select(
         "doc_id", "row_hash", "n_words",
-        *[F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c) for c, kind in none.items()],
+        *[F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c) for c, kind in LISTS.items()],
     )
 
 
