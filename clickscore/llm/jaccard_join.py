@@ -238,16 +238,16 @@ def sketch_batches(batches: Iterator[pa.RecordBatch], lim: Limits) -> Iterator[p
 def block_links(table: pa.Table, lim: Limits) -> pa.Table:
     """Links between two blocks of a family (or inside one): a root and a count per set."""
     table = table.combine_chunks()
-    rep, weight, part = (table.column(c).to_numpy() for c in ("rep", "weight", "part"))
+    node, weight, part = (table.column(c).to_numpy() for c in ("node", "weight", "part"))
     within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
     lists = table.column("tokens").combine_chunks()
     size = np.asarray(lists.value_lengths(), np.int64)
-    row = np.repeat(np.arange(len(rep)), size)
+    row = np.repeat(np.arange(len(node)), size)
     token = np.unique(np.asarray(lists.flatten()), return_inverse=True)[1]
     by = np.argsort(token, kind="stable")
     posting, edge = row[by], np.concatenate(([0], np.cumsum(np.bincount(token))))
     begin = np.cumsum(size) - size
-    parent = np.arange(len(rep))
+    parent = np.arange(len(node))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -255,50 +255,52 @@ def block_links(table: pa.Table, lim: Limits) -> pa.Table:
             x = parent[x]
         return x
 
-    links = np.zeros(len(rep), np.int64)
-    for x in range(len(rep)):
+    links = np.zeros(len(node), np.int64)
+    for x in range(len(node)):
         own = token[begin[x] : begin[x] + size[x]]
-        both = np.bincount(posting[T.spread(edge[own], edge[own + 1] - edge[own])], minlength=len(rep))
-        linked = (lim.of * both >= lim.need * (size[x] + size)) & (rep != rep[x])
+        both = np.bincount(posting[T.spread(edge[own], edge[own + 1] - edge[own])], minlength=len(node))
+        linked = (lim.of * both >= lim.need * (size[x] + size)) & (node != node[x])
         if not within:
             linked &= part != part[x]
         found = np.flatnonzero(linked)
         links[x] = weight[found].sum()
         for y in found[found > x].tolist():
             parent[root(y)] = root(x)
-    roots = np.array([root(x) for x in range(len(rep))], np.int64)
-    low = np.full(len(rep), np.iinfo(np.int64).max)
-    np.minimum.at(low, roots, rep)
+    roots = np.array([root(x) for x in range(len(node))], np.int64)
+    low = np.full(len(node), np.iinfo(np.int64).max)
+    np.minimum.at(low, roots, node)
     some = np.flatnonzero(links > 0)
-    return pa.table({"a": rep[some], "b": low[roots[some]], "n_links": links[some]})
+    return pa.table({"a": node[some], "b": low[roots[some]], "n_links": links[some]})
 
 
 def families(long_rows: DataFrame) -> DataFrame:
-    """Sets that meet in long lists, directly or through others: ``(rep, family)``."""
-    low = long_rows.groupBy("key").agg(F.min("rep").alias("low"))
-    stars = long_rows.join(low, "key").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    """Sets that meet in long lists, directly or through others: ``(node, family)``."""
+    low = long_rows.groupBy("key").agg(F.min("node").alias("low"))
+    stars = long_rows.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b"))
     alone = stars.select(F.col("b").alias("node"), F.col("b").alias("label"))
     found = components(stars)
-    return stored(found.unionByName(alone).groupBy("node").agg(F.min("label").alias("family")).withColumnRenamed("node", "rep"), "families")
+    return stored(found.unionByName(alone).groupBy("node").agg(F.min("label").alias("family")), "families")
 
 
 def family_links(members: DataFrame, reps: DataFrame, tokens: DataFrame, lim: Limits) -> DataFrame:
     """Links inside families from pairs of blocks, as rows ``LINKED``."""
-    own = members.join(reps.select("rep", "weight", "n", "s1", "s2"), "rep")
+    own = members.join(reps.select("node", "weight", "n"), "node")
     size = own.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(BLOCK_TOKENS)).cast("int").alias("parts"))
-    placed = own.join(size, "family").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    held = placed.join(
-        tokens.select("doc", "s1", "s2", "tokens"),
-        (placed["rep"] == F.col("doc")) & placed["s1"].eqNullSafe(tokens["s1"]) & placed["s2"].eqNullSafe(tokens["s2"]),
-    ).select("family", "rep", "weight", "part", "parts", "tokens")
+    placed = own.join(size, "family").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    held = placed.join(tokens.select("node", "tokens"), "node").select("family", "node", "weight", "part", "parts", "tokens")
     pairs = held.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "family", F.least("part", "x").alias("i"), F.greatest("part", "x").alias("j"), "rep", "weight", "part", "tokens"
+        "family", F.least("part", "x").alias("i"), F.greatest("part", "x").alias("j"), "node", "weight", "part", "tokens"
     )
     return pairs.groupBy("family", "i", "j").applyInArrow(lambda t: block_links(t, lim), LINKED)
 
 
 def join(docs: DataFrame, lim: Limits) -> DataFrame:
-    """Class and number of links of every row: ``doc_id, n_shingles, component_id, n_links``.
+    """``classes`` without what only tells rows apart: ``doc_id, n_shingles, component_id, n_links``."""
+    return classes(docs, lim).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def classes(docs: DataFrame, lim: Limits) -> DataFrame:
+    """Class and number of links of every row, with its ``row_hash`` and its class's ``component``.
 
     A set holds the distinct shingles of ``lim.shingle`` words of a text (A-Z lower-cased; a
     shorter text is one shingle as a whole).  Rows link when the intersection is at least
@@ -308,8 +310,9 @@ def join(docs: DataFrame, lim: Limits) -> DataFrame:
 
     NULL and empty texts have an empty set and link with nothing.  A NULL doc_id counts as
     the smallest and gives a NULL ``component_id``.  Repeated rows have equal sets and so
-    link; rows that share a doc_id but not a text are judged row by row.  Ties at the limit
-    link.  Texts of any length are read whole; an empty table gives an empty result.  Only
+    link; rows that share a doc_id but not a text are judged row by row, so two classes may
+    have one ``component_id``: ``component`` tells them apart (NULL for an empty set).  Ties
+    at the limit link.  Texts of any length are read whole; an empty table gives an empty result.  Only
     ``doc_id`` and ``text`` are used.
     """
     small_batches(docs.sparkSession)
@@ -328,11 +331,11 @@ def join(docs: DataFrame, lim: Limits) -> DataFrame:
         sets.filter("n > 0").groupBy("s1", "s2", "n").agg(
             F.min("doc").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("n_light").alias("n_light"),
             F.first("keys").alias("keys"), F.first("sketch").alias("sketch"),
-        ),
+        ).withColumn("node", F.monotonically_increasing_id()),  # several sets may have one rep
         "sets",
     )
-    entries = reps.select("rep", "n", "s1", "n_light", F.posexplode("keys").alias("at", "key")).select(
-        "rep", "n", "s1", (F.col("at") - F.col("n_light")).alias("at"), "key"
+    entries = reps.select("node", "n", "s1", "n_light", F.posexplode("keys").alias("at", "key")).select(
+        "node", "n", "s1", (F.col("at") - F.col("n_light")).alias("at"), "key"
     )
     shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k >= 2"), "shared-keys")
     rows = stored(entries.join(shared, "key"), "lists")
@@ -342,22 +345,25 @@ def join(docs: DataFrame, lim: Limits) -> DataFrame:
     crowded = not long_rows.isEmpty()
     if crowded:
         members = families(long_rows)
-        a, b = members.select(F.col("rep").alias("a"), F.col("family").alias("fa")), members.select(
-            F.col("rep").alias("b"), F.col("family").alias("fb")
+        a, b = members.select(F.col("node").alias("a"), F.col("family").alias("fa")), members.select(
+            F.col("node").alias("b"), F.col("family").alias("fb")
         )
         pairs = pairs.join(a, "a", "left").join(b, "b", "left").filter(
             "fa IS NULL OR fb IS NULL OR fa <> fb"
         ).select("a", "b")
-    s = reps.select("rep", "n", "sketch")
-    sketched = pairs.join(s.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka")), "a").join(
-        s.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb")), "b"
+    s = reps.select("node", "n", "sketch")
+    sketched = pairs.join(s.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka")), "a").join(
+        s.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb")), "b"
     ).select("a", "b", "na", "nb", "ka", "kb")
     likely = stored(sketched.mapInArrow(lambda it: sketch_batches(it, lim), "a bigint, b bigint").distinct(), "likely")
 
-    wanted = likely.select(F.col("a").alias("doc")).union(likely.select("b"))
-    wanted = (wanted.union(members.select("rep")) if crowded else wanted).distinct()
+    wanted = likely.select(F.col("a").alias("node")).union(likely.select("b"))
+    wanted = (wanted.union(members.select("node")) if crowded else wanted).distinct()
+    wanted = stored(wanted.join(reps.select("node", F.col("rep").alias("doc"), "s1", "s2"), "node"), "wanted")
     tokens = stored(
-        text.join(wanted, "doc", "left_semi").mapInArrow(lambda it: token_batches(it, lim), TOKENS).dropDuplicates(["doc", "s1", "s2"]), "tokens"
+        text.join(wanted, "doc", "left_semi").mapInArrow(lambda it: token_batches(it, lim), TOKENS)
+        .dropDuplicates(["doc", "s1", "s2"]).join(wanted, ["doc", "s1", "s2"]).select("node", "n", "tokens"),
+        "tokens",
     )
     links = stored(checked(likely, reps, tokens, lim), "links")
     if crowded:
@@ -365,18 +371,23 @@ def join(docs: DataFrame, lim: Limits) -> DataFrame:
 
     labels = components(links.select("a", "b"))
     counts = links.groupBy("a").agg(F.sum("n_links").alias("linked"))
-    classes = (
-        reps.select("s1", "s2", "n", "rep", "weight")
-        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .join(counts.withColumnRenamed("a", "rep"), "rep", "left")
+    own = (
+        reps.select("s1", "s2", "n", "rep", "weight", "node")
+        .join(labels, "node", "left")
+        .join(counts.withColumnRenamed("a", "node"), "node", "left")
     )
+    lowest = labels.join(reps.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("low"))
+    sized = own.join(lowest, "label", "left")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    every = docs.select("doc_id", "text").mapInArrow(lambda it: identity_batches(it, lim), f"doc_id {kind}, n int, s1 bigint, s2 bigint")
-    label = F.coalesce("label", "rep", doc_order(F.col("doc_id")))
-    return every.join(classes, ["s1", "s2", "n"], "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(label != doc_order(F.lit(None)), label).alias("component_id"),
+    every = docs.select("doc_id", F.xxhash64("text").alias("row_hash"), "text").mapInArrow(
+        lambda it: identity_batches(it, lim), f"doc_id {kind}, row_hash bigint, n int, s1 bigint, s2 bigint"
+    )
+    first = F.coalesce("low", "rep", doc_order(F.col("doc_id")))
+    return every.join(sized, ["s1", "s2", "n"], "left").select(
+        "doc_id", "row_hash", F.col("n").cast("long").alias("n_shingles"),
+        F.when(first != doc_order(F.lit(None)), first).alias("component_id"),
         (F.coalesce("linked", F.lit(0)) + F.coalesce(F.col("weight") - 1, F.lit(0))).alias("n_links"),
+        F.coalesce("label", "node").alias("component"),
     )
 
 
@@ -385,15 +396,15 @@ def identity_batches(batches: Iterator[pa.RecordBatch], lim: Limits) -> Iterator
         token, first = sets_of(data, offsets, lim.shingle)
         s1, s2 = identity(token, first)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(first).astype(np.int32)), pa.array(s1), pa.array(s2)],
-            names=["doc_id", "n", "s1", "s2"],
+            [batch.column(0), batch.column(1), pa.array(np.diff(first).astype(np.int32)), pa.array(s1), pa.array(s2)],
+            names=["doc_id", "row_hash", "n", "s1", "s2"],
         )
 
 
 def short_pairs(rows: DataFrame, lim: Limits) -> DataFrame:
     """Pairs of sets in one list that sizes and places allow to link."""
-    a = rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("s1").alias("sa"))
-    b = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("s1").alias("sb"))
+    a = rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("s1").alias("sa"))
+    b = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("s1").alias("sb"))
     # Before the first shared token of a list none is shared, so the rest bounds the overlap.
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     return (
@@ -409,16 +420,16 @@ def short_pairs(rows: DataFrame, lim: Limits) -> DataFrame:
 
 def checked(likely: DataFrame, reps: DataFrame, tokens: DataFrame, lim: Limits) -> DataFrame:
     """Pairs that link by exact count, in both directions with the other's weight."""
-    w = reps.select("rep", "weight")
-    t = tokens.select("doc", "n", "tokens")
+    w = reps.select("node", "weight")
+    t = tokens
     both = (
-        likely.join(t.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
-        .join(t.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
+        likely.join(t.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
+        .join(t.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
         .filter(lim.of * F.size(F.array_intersect("ta", "tb")) >= lim.need * (F.col("na") + F.col("nb")))
         .select("a", "b").distinct()
     )
-    weighed = both.join(w.select(F.col("rep").alias("a"), F.col("weight").alias("wa")), "a").join(
-        w.select(F.col("rep").alias("b"), F.col("weight").alias("wb")), "b"
+    weighed = both.join(w.select(F.col("node").alias("a"), F.col("weight").alias("wa")), "a").join(
+        w.select(F.col("node").alias("b"), F.col("weight").alias("wb")), "b"
     )
     return weighed.select("a", "b", F.col("wb").alias("n_links")).unionByName(
         weighed.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("wa").alias("n_links"))

@@ -49,11 +49,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of every group of linked documents."""
-    classes = jaccard_join.join(docs, NEAR)
-    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("own_id")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(F.col("own_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One document, the smallest doc_id, of every group of linked documents.
+
+    Of different texts under that doc_id in one group, the smallest text hash stays.
+    """
+    least = jaccard_join.classes(docs, NEAR).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    alone = F.when(F.col("component").isNull(), F.col("row_hash")).alias("alone")
+    first = least.groupBy("doc_id", "component", alone).agg(F.min("row_hash").alias("row_hash"))
+    return _rows(docs, first, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
