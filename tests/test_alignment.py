@@ -42,7 +42,7 @@ def test_positional_upload_scores_alike_but_is_not_trusted(sessions, linear, pla
     scored, got = scoring.score_upload(up, linear, allow_positional=True)
     assert (got.strategy, got.trustworthy) == ("positional", False)
     assert got.mapping["Administrative"] == "col_0"
-    assert any("first 17 of 18" in n for n in got.notes)
+    assert A.FIRST_ONLY.format(n=17, m=18) in got.notes
     assert scores(scored, linear) == plain
 
 

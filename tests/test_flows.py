@@ -153,12 +153,15 @@ def test_history_stream_continues_and_keeps_newest(spark, unique, linear, tmp_pa
     rows = unique.select("row_id", *SESSION.features)
     source, sink, log = (str(tmp_path / n) for n in ("in", "history", "log"))
     for part in range(2):
-        rows.filter(F.col("row_id") % 2 == part).coalesce(1).write.mode("append").parquet(source)
+        # Row ids of unique sessions are even.
+        half = rows.filter(F.col("row_id") % 4 == 2 * part)
+        assert half.count() > 20
+        half.coalesce(1).write.mode("append").parquet(source)
         stream = K.score_stream(K.read_session_stream(spark, source, rows.schema), linear)
         K.write_history_stream(stream, sink, log, once=True).awaitTermination()
     assert spark.read.parquet(sink).count() == rows.count()
     latest = K.latest_history(spark, sink, n=20).collect()
-    assert len(latest) == 20 and all(r["row_id"] % 2 == 1 for r in latest)
+    assert len(latest) == 20 and all(r["row_id"] % 4 == 2 for r in latest)
     assert [r["row_id"] for r in latest] == sorted((r["row_id"] for r in latest), reverse=True)
 
 
