@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickscore.llm import (
     decontamination,
+    importance,
     jaccard_join,
     licenses,
     line_dedup,
@@ -47,6 +48,9 @@ def all_queries() -> dict[str, Query]:
         ),
         "op9_ngram_jaccard_join": _over_documents(jaccard_join.op9),
         "op10_license_scans": _over_documents(licenses.op10),
+        "op11_importance_resampling": lambda spark, folder: importance.op11(
+            read(spark, folder, "documents"), read(spark, folder, "benchmark")
+        ),
     }
 
 
@@ -56,4 +60,5 @@ def all_sql() -> dict[str, str]:
         "op3_benchmark_decontamination": decontamination.SQL,
         "op4_substring_dedup": reference_dedup.SQL,
         "op9_ngram_jaccard_join": jaccard_join.SQL,
+        "op11_importance_resampling": importance.SQL,
     }

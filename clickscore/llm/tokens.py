@@ -91,7 +91,9 @@ class Words:
     first: np.ndarray  # index of each row's first word, with one more end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray | None = None) -> Words:
+def words(
+    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray | None = None, hashed: bool = True
+) -> Words:
     if fold is not None:
         data = fold[data]
     n = len(data)
@@ -108,17 +110,17 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.nd
     start = np.flatnonzero(opens)
     end = np.flatnonzero(closes) + 1
     length = end - start
-    kept = np.flatnonzero(part)
-    if len(start):
+    if hashed and len(start):
+        kept = np.flatnonzero(part)
         at = kept - np.repeat(start, length)
         values = BYTE_MIX[data[kept]] * powers(int(length.max()))[at]
         begins = np.cumsum(length) - length
-        hashed = mix(np.add.reduceat(values, begins) + length.astype(np.uint64))
+        value = mix(np.add.reduceat(values, begins) + length.astype(np.uint64))
     else:
-        hashed = np.zeros(0, np.uint64)
+        value = np.zeros(0, np.uint64)
     first = np.searchsorted(start, offsets)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    return Words(start, end, hashed, row, first)
+    return Words(start, end, value, row, first)
 
 
 def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
