@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickscore.llm import (
     decontamination,
+    hard_negatives,
     importance,
     jaccard_join,
     licenses,
@@ -51,6 +52,7 @@ def all_queries() -> dict[str, Query]:
         "op11_importance_resampling": lambda spark, folder: importance.op11(
             read(spark, folder, "documents"), read(spark, folder, "benchmark")
         ),
+        "op13_hard_negatives": lambda spark, folder: hard_negatives.op13(read(spark, folder, "embeddings")),
     }
 
 
@@ -61,4 +63,5 @@ def all_sql() -> dict[str, str]:
         "op4_substring_dedup": reference_dedup.SQL,
         "op9_ngram_jaccard_join": jaccard_join.SQL,
         "op11_importance_resampling": importance.SQL,
+        "op13_hard_negatives": hard_negatives.SQL,
     }
