@@ -15,6 +15,7 @@ from clickscore.llm import (
     licenses,
     line_dedup,
     pieces,
+    pii,
     quality_model,
     quality_rules,
     reference_dedup,
@@ -52,6 +53,7 @@ def all_queries() -> dict[str, Query]:
         "op11_importance_resampling": lambda spark, folder: importance.op11(
             read(spark, folder, "documents"), read(spark, folder, "benchmark")
         ),
+        "op12_pii": _over_documents(pii.op12),
         "op13_hard_negatives": lambda spark, folder: hard_negatives.op13(read(spark, folder, "embeddings")),
     }
 
