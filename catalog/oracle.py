@@ -468,20 +468,45 @@ def session_sql() -> dict[str, str]:
     out["calendar_coverage"] = f"""{U}, c(calendar_rank, month) AS (VALUES {', '.join(
         f"({i + 1}, '{m}')" for i, m in enumerate(CALENDAR))})
       SELECT calendar_rank, month, month IN (SELECT Month FROM e) AS present FROM c"""
-    marks = ", ".join(repr(i / 20) for i in range(1, 20))
+    small = ", ".join(repr(-0.5772156649015329 + sum(1.0 / i for i in range(1, k))) for k in range(1, 10))
+    psi = lambda n: f"""CASE WHEN {n} < 10 THEN [{small}][({n})::INTEGER]
+      ELSE ln({n}) - 1 / (2.0::DOUBLE * {n}) - 1 / (12 * ({n})::DOUBLE ** 2) + 1 / (120 * ({n})::DOUBLE ** 4)
+        - 1 / (252 * ({n})::DOUBLE ** 6) END"""
+    # Nearest neighbours: equal values are parted by noise from the hash of the id.
     spots = each(
         ALL_NUM,
-        """SELECT '{c}' AS feature, CAST(len(list_filter(q, lambda t: t <= {c})) AS VARCHAR) AS level, Revenue::INTEGER AS y
-        FROM e, (SELECT list_distinct(quantile_cont({c}::DOUBLE, [MARKS])) AS q FROM e)""".replace("MARKS", marks),
+        """SELECT '{c}' AS feature, {c}::DOUBLE + 1e-10::DOUBLE * (SELECT greatest(coalesce(nullif(stddev_pop({c}), 0), 1),
+          avg(abs({c}))) FROM e) * (('0x' || substr(md5(row_id::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE) AS x,
+          Revenue::INTEGER AS y FROM e""",
     )
+    sides = ", ".join(
+        f"""coalesce(lag(x, {j}) OVER w, '-infinity'::DOUBLE) AS l{j}, coalesce(lead(x, {3 - j}) OVER w, 'infinity'::DOUBLE) AS r{j}"""
+        for j in range(4)
+    )
+    far = ", ".join(f"greatest(x - l{j}, r{j} - x) AS f{j}" for j in range(4))
+    pick = lambda what: "CASE " + " ".join(f"WHEN f{j} = r THEN {what.replace('#', str(j))}" for j in range(4)) + " END"
+    nearest = f"""pts AS ({spots}),
+      ranks AS (SELECT feature, x, max(k) AS k FROM (
+        SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) AS k FROM pts) GROUP BY feature, x),
+      near AS (SELECT feature, x, y, {sides}, count(*) OVER (PARTITION BY feature, y) AS ny FROM pts
+        WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+      away AS (SELECT *, least(f0, f1, f2, f3) AS r FROM (SELECT *, {far} FROM near)),
+      ends AS (SELECT feature, ny, {pick("CASE WHEN x - l# >= r# - x THEN l# ELSE x - r END")} AS low,
+        {pick("CASE WHEN x - l# >= r# - x THEN x + r ELSE r# END")} AS high FROM away),
+      upto AS (SELECT q.*, coalesce(p.k, 0) AS k_low FROM ends q ASOF LEFT JOIN ranks p
+        ON q.feature = p.feature AND q.low >= p.x),
+      closer AS (SELECT q.feature, q.ny, greatest(coalesce(p.k, 0) - q.k_low, 1) AS m FROM upto q ASOF LEFT JOIN ranks p
+        ON q.feature = p.feature AND q.high > p.x),
+      knn AS (SELECT feature, count(*) AS n, avg({psi("3")} - ({psi("ny")}) - ({psi("m")})) AS s FROM closer GROUP BY feature)"""
     levels = each(CAT, "SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, Revenue::INTEGER AS y FROM e")
-    out["mutual_information"] = f"""{U}, x AS ({spots} UNION ALL {levels}),
+    out["mutual_information"] = f"""{U}, {nearest}, x AS ({levels}),
       c AS (SELECT feature, level, count(*)::DOUBLE AS nv, sum(y)::DOUBLE AS n1 FROM x GROUP BY ALL),
       t AS (SELECT count(*)::DOUBLE AS n, sum(Revenue::INTEGER)::DOUBLE AS p FROM e),
       z AS (SELECT feature, sum(CASE WHEN n1 > 0 THEN n1 / n * ln(n1 * n / (nv * p)) ELSE 0 END
         + CASE WHEN nv > n1 THEN (nv - n1) / n * ln((nv - n1) * n / (nv * (n - p))) ELSE 0 END) AS mi
         FROM c, t GROUP BY feature)
-      SELECT feature, round(greatest(mi, 0), 5) AS mutual_information FROM z"""
+      SELECT feature, round(greatest(mi, 0), 5) AS mutual_information FROM z
+      UNION ALL SELECT feature, round(greatest({psi("n")} + s, 0), 5) FROM knn"""
     out["histogram"] = f"""{U}, x AS ({each(NUM, """SELECT '{c}' AS "column", {c}::DOUBLE AS v FROM e""")}),
       r AS (SELECT "column", min(v) AS lo, max(v) AS hi FROM x GROUP BY "column"),
       b AS (SELECT "column", i::INTEGER AS bin, lo + i * ((hi - lo) / 50) AS lower,

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION, Contract
 from clickscore.functions.numbers import literal_sql, number_sql
-from clickscore.operators.quantiles import exact_percentiles
+from clickscore.operators.neighbours import NEIGHBOURS, neighbour_information
 
 HIGH_CORRELATION = 0.80
-MI_BINS = 20
 
 
 def _correlations(
@@ -135,25 +134,17 @@ def mutual_information(
     df: DataFrame,
     contract: Contract = SESSION,
     numeric: Sequence[str] | None = None,
-    bins: int = MI_BINS,
+    row_id: str = "row_id",
+    neighbours: int = NEIGHBOURS,
     top: int | None = None,
 ) -> DataFrame:
     """Mutual information (nats) of every feature with the target.
 
-    Categories are exact plug-in values.  Numeric columns are cut into equal-frequency
-    bins first, which is a different estimator from nearest neighbours: it depends on
-    the number of bins, but needs only counts and is the same on every run.
+    Categories are exact plug-in values from counts; numeric columns are estimated from
+    nearest neighbours (``neighbours.neighbour_information``).
     """
     numeric = list(contract.all_numeric if numeric is None else numeric)
-    marks = [i / bins for i in range(1, bins)]
-    cuts = exact_percentiles(df, {c: (number_sql(c), marks) for c in numeric})
     cells = [f"struct('{c}' AS feature, CAST(`{c}` AS STRING) AS level)" for c in contract.categorical]
-    for c in numeric:
-        x = number_sql(c)
-        edges = sorted({v for v in cuts[c] if v is not None})
-        spot = " + ".join(f"CAST({x} >= {literal_sql(v)} AS INT)" for v in edges) or "0"
-        level = f"CASE WHEN {x} IS NOT NULL THEN CAST({spot} AS STRING) END"
-        cells.append(f"struct('{c}' AS feature, {level} AS level)")
     y = F.col(contract.target).cast("int")
     levels = (
         df.select(y.alias("y"), F.expr(f"inline(array({', '.join(cells)}))"))
@@ -171,6 +162,9 @@ def mutual_information(
         F.sum(x_log(n1, n) + x_log(n0, n)).alias("known"), F.sum(n).alias("n"), F.sum(n1).alias("n1")
     )
     score = (F.col("known") - x_log(n1, n) - x_log(n0, n)) / n
-    out = sums.select("feature", F.round(F.greatest(score, F.lit(0.0)), 5).alias("mutual_information"))
+    exact = sums.select("feature", F.greatest(score, F.lit(0.0)).alias("score"))
+    if numeric:
+        exact = exact.unionByName(neighbour_information(df, numeric, contract.target, row_id, neighbours))
+    out = exact.select("feature", F.round("score", 5).alias("mutual_information"))
     out = out.orderBy(F.desc("mutual_information"), "feature")
     return out.limit(top) if top else out
