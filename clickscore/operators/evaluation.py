@@ -137,6 +137,12 @@ def ranking_value(df: DataFrame, name: str) -> float:
     return float(_ranked(df, ()).agg(_ranking_columns()[name].alias("v")).first()["v"] or 0.0)
 
 
+def ranking_values(df: DataFrame, name: str, by: str) -> dict:
+    """The unrounded metric of every group; the groups are few, such as models."""
+    value = F.coalesce(_ranking_columns()[name], F.lit(0.0)).alias("v")
+    return {r[by]: float(r["v"]) for r in _ranked(df, [by]).groupBy(by).agg(value).collect()}
+
+
 def roc_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return ranking_metric(df, "roc_auc", by)
 

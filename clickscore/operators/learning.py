@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 from clickscore.contract import FOLDS, SEARCH_DRAWS, SEED, SESSION, Contract
 from clickscore.functions.features import DERIVED_FROM, FEATURE_SQL, feature_exprs
 from clickscore.functions.numbers import clean_number, number_sql
+from clickscore.operators import batched
 from clickscore.operators import evaluation as G
 from clickscore.operators.profiling import value_counts
 from clickscore.operators.quantiles import exact_percentiles
 from clickscore.operators.splitting import balanced_weight, sample_params, stratified_folds
-from clickscore.session import cut_lineage
+from clickscore.session import forget, written
 
 Z, S, I, V = "__z", "__s", "__i", "__v"  # suffixes of intermediate columns
 LABEL, WEIGHT, FOLD = "label", "weight", "fold"
@@ -350,36 +351,74 @@ def candidates(n_rows: int, seed: int = SEED) -> dict[str, Candidate]:
 def fit_model(
     classifier, train: DataFrame, contract: Contract = SESSION, drop: Sequence[str] = ()
 ) -> PipelineModel:
-    """Fit features, then the classifier on the checkpointed vectors.
+    """Fit features, then the classifier on the written vectors.
 
     Iterative solvers launch a job per step; starting each from files instead of the
     whole feature plan keeps those jobs small and cheap to recover.
     """
     kept = contract.without(*drop) if drop else contract
     prepared = Pipeline(stages=feature_stages(kept)).fit(train)
-    vectors = cut_lineage(prepared.transform(train).select("features", LABEL, WEIGHT))
-    return PipelineModel(stages=[*prepared.stages, classifier.fit(vectors)])
-
-
-Folds = Sequence[tuple[DataFrame, DataFrame]]
+    vectors = written(prepared.transform(train).select("features", LABEL, WEIGHT), "vectors")
+    try:
+        return PipelineModel(stages=[*prepared.stages, classifier.fit(vectors)])
+    finally:
+        forget(vectors)
 
 
-def fold_vectors(train: DataFrame, contract: Contract = SESSION, parallelism: int = 2) -> Folds:
-    """Per fold the checkpointed (fit, check) vectors.
+class FoldVectors:
+    """What every candidate is fitted and checked on, one pair of frames per fold.
 
-    All feature statistics are refitted on each fold's own training part, once for
-    every candidate that is tried on it.
+    All feature statistics are refitted on each fold's own training part, once for every
+    candidate that is tried on it.  Vectors are written when first asked for: as rows for
+    Spark ML's fits, as blocks of all folds for the batched solver.  ``release`` removes them.
     """
 
-    def prepare(fold: int) -> tuple[DataFrame, DataFrame]:
-        inside = train.filter(F.col(FOLD) != fold)
-        prepared = Pipeline(stages=feature_stages(contract)).fit(inside)
-        fit_on = cut_lineage(prepared.transform(inside).select("features", LABEL, WEIGHT))
-        held = train.filter(F.col(FOLD) == fold)
-        return fit_on, cut_lineage(prepared.transform(held).select("features", LABEL))
+    def __init__(self, parts: Sequence[tuple[PipelineModel, DataFrame, DataFrame]]):
+        self._parts = list(parts)
+        self._pairs: list[tuple[DataFrame, DataFrame]] = []
+        self._blocks: tuple[DataFrame, DataFrame] | None = None
+        self.slots = max((len(feature_names(p)) for p, _, _ in self._parts), default=0)
+
+    def __len__(self) -> int:
+        return len(self._parts)
+
+    def pairs(self) -> list[tuple[DataFrame, DataFrame]]:
+        if not self._pairs:
+            self._pairs = [
+                (
+                    written(p.transform(inside).select("features", LABEL, WEIGHT), "fold"),
+                    written(p.transform(held).select("features", LABEL), "fold"),
+                )
+                for p, inside, held in self._parts
+            ]
+        return self._pairs
+
+    def blocks(self) -> tuple[DataFrame, DataFrame]:
+        if self._blocks is None:
+            sides = []
+            for side in (1, 2):
+                rows = [
+                    part[0].transform(part[side]).select(F.lit(f).alias("grp"), "features", LABEL, WEIGHT)
+                    for f, part in enumerate(self._parts)
+                ]
+                sides.append(written(batched.packed(reduce(DataFrame.unionAll, rows)), "blocks"))
+            self._blocks = tuple(sides)
+        return self._blocks
+
+    def release(self) -> None:
+        forget(*[df for pair in self._pairs for df in pair], *(self._blocks or ()))
+        self._pairs, self._blocks = [], None
+
+
+def fold_vectors(train: DataFrame, contract: Contract = SESSION, parallelism: int = 2) -> FoldVectors:
+    """Feature stages fitted on the training part of every fold."""
+
+    def prepare(fold: int) -> tuple[PipelineModel, DataFrame, DataFrame]:
+        inside, held = train.filter(F.col(FOLD) != fold), train.filter(F.col(FOLD) == fold)
+        return Pipeline(stages=feature_stages(contract)).fit(inside), inside, held
 
     k = train.agg(F.max(FOLD)).first()[0] + 1
-    return _in_threads(train, prepare, range(k), parallelism)
+    return FoldVectors(_in_threads(train, prepare, range(k), parallelism))
 
 
 def _in_threads(df: DataFrame, run, items, parallelism: int) -> list:
@@ -391,20 +430,44 @@ def _in_threads(df: DataFrame, run, items, parallelism: int) -> list:
         return pool.map(lambda task: task(), tasks, chunksize=1)
 
 
+def _solved_together(classifier, maps: Sequence[dict], folds: FoldVectors) -> bool:
+    """Whether the batched solver has these candidates' objective."""
+    return (
+        isinstance(classifier, LogisticRegression)
+        and {p.name for m in maps for p in m} <= {"regParam", "elasticNetParam"}
+        and classifier.getFamily() in ("auto", "binomial")
+        and classifier.getFitIntercept() and not classifier.getStandardization()
+        and folds.slots <= batched.MOST_SLOTS
+    )
+
+
 def cross_validate(
-    classifier, maps: Sequence[dict], folds: Folds, parallelism: int = 2
+    classifier, maps: Sequence[dict], folds: FoldVectors, parallelism: int = 2
 ) -> list[float]:
-    """Mean average precision of every parameter map over the folds."""
-    score = AveragePrecisionEvaluator()
+    """Mean average precision of every parameter map over the folds.
 
-    def run(task: tuple[int, int]) -> float:
-        i, fold = task
-        fit_on, check_on = folds[fold]
-        return score.evaluate(classifier.fit(fit_on, maps[i]).transform(check_on))
-
-    tasks = [(i, f) for i in range(len(maps)) for f in range(len(folds))]
-    values = _in_threads(folds[0][0], run, tasks, parallelism)
+    Logistic regressions without standardisation are fitted all at once, to convergence;
+    other classifiers one by one.
+    """
     n = len(folds)
+    tasks = [(i, f) for i in range(len(maps)) for f in range(n)]
+    if _solved_together(classifier, maps, folds):
+        asked = [classifier.copy(m) for m in maps]
+        settings = [(f, asked[i].getRegParam(), asked[i].getElasticNetParam()) for i, f in tasks]
+        fit_on, check_on = folds.blocks()
+        fits = batched.fit_many(fit_on, settings)
+        scores = batched.scores_many(check_on, {t: (settings[t][0], at) for t, at in enumerate(fits) if len(at)})
+        found = G.ranking_values(scores, "pr_auc", "problem")
+        values = [found.get(t, 0.0) for t in range(len(tasks))]
+    else:
+        score, pairs = AveragePrecisionEvaluator(), folds.pairs()
+
+        def run(task: tuple[int, int]) -> float:
+            i, fold = task
+            fit_on, check_on = pairs[fold]
+            return score.evaluate(classifier.fit(fit_on, maps[i]).transform(check_on))
+
+        values = _in_threads(pairs[0][0], run, tasks, parallelism)
     return [float(sum(values[i * n : (i + 1) * n]) / n) for i in range(len(maps))]
 
 
@@ -412,7 +475,11 @@ def cv_baseline(
     classifier, train: DataFrame, contract: Contract = SESSION, parallelism: int = 2
 ) -> float:
     """Cross-validated average precision with the parameters as they are."""
-    return cross_validate(classifier, [{}], fold_vectors(train, contract, parallelism), parallelism)[0]
+    folds = fold_vectors(train, contract, parallelism)
+    try:
+        return cross_validate(classifier, [{}], folds, parallelism)[0]
+    finally:
+        folds.release()
 
 
 @dataclass(frozen=True)
@@ -439,18 +506,18 @@ def tune(
     draws: int = SEARCH_DRAWS,
     seed: int = SEED,
     parallelism: int = 2,
-    folds: Folds | None = None,
+    folds: FoldVectors | None = None,
 ) -> Tuned:
     """Randomised search over whole pipelines; the best one is refitted on all of ``train``.
 
-    ``folds`` from ``fold_vectors`` can be shared by several families.  A cache that the
-    caller holds on ``train`` is left alone.
+    ``folds`` from ``fold_vectors`` can be shared by several families; its tables, and a cache
+    that the caller holds on ``train``, are left alone.
     """
     classifier = candidate.estimator
-    held = train.is_cached
+    held, shared = train.is_cached, folds is not None
     train = train if held else train.persist()
     try:
-        folds = folds or fold_vectors(train, contract, parallelism)
+        folds = folds if shared else fold_vectors(train, contract, parallelism)
         t0 = time.perf_counter()
         base = cross_validate(classifier, [{}], folds, parallelism)[0]
         t1 = time.perf_counter()
@@ -461,6 +528,8 @@ def tune(
         model = fit_model(classifier.copy(maps[best]), train, contract)
         t2 = time.perf_counter()
     finally:
+        if not shared and folds is not None:
+            folds.release()
         if not held:
             train.unpersist()
     return Tuned(

@@ -66,3 +66,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder; ``forget`` removes it.
+
+    Later jobs start from its files, also after losing executors.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_written_to", None)
+        if path:
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
