@@ -418,7 +418,8 @@ def train(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_rows: int = FIT_ROWS) -
         .distinct().orderBy("place", "own_id").limit(fit_docs)
     )
     own = docs.select("doc_id", "text")
-    texts = own.join(ids, F.col("doc_id") == F.col("own_id")).select("place", "text")
+    # At most ``fit_docs`` pairs of numbers, so the texts stay where they are.
+    texts = own.join(F.broadcast(ids), F.col("doc_id") == F.col("own_id")).select("place", "text")
     kind = "place long, label int, kind int, judged int, x array<float>"
     sample = texts.mapInArrow(_example_batches, kind).orderBy("place", "kind", "label", "judged", "x").limit(fit_rows).toArrow()
     place, label, of, judged = (np.asarray(sample.column(i)) for i in range(4))
