@@ -352,11 +352,9 @@ def model_queries() -> dict[str, Query]:
         return L.leakage_experiment(classifier, rows.filter(~F.col("is_test")), rows.filter("is_test"))
 
     def tuning(spark: SparkSession, folder: str) -> DataFrame:
-        classifier = LogisticRegression(
-            labelCol=L.LABEL, weightCol=L.WEIGHT, maxIter=5, standardization=False
-        )
-        grid = {"regParam": [1e-3, 1e-1], "elasticNetParam": [0.0]}
-        found = L.tune("linear", L.Candidate(classifier, grid, ""), training_rows(spark, folder), draws=2)
+        rows = training_rows(spark, folder)
+        name = "Logistic Regression"
+        found = L.tune(name, L.candidates(rows.count())[name], rows, parallelism=4)
         return L.tuning_table([found], spark).select("model", "baseline_pr_auc", "tuned_pr_auc", "improvement")
 
     def imputed(op, columns) -> Query:

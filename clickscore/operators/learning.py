@@ -21,7 +21,9 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -365,6 +367,36 @@ def fit_model(
         forget(vectors)
 
 
+def _objective_shared(classifier) -> bool:
+    """Whether the batched solver has this classifier's objective."""
+    return (
+        isinstance(classifier, LogisticRegression)
+        and classifier.getFamily() in ("auto", "binomial")
+        and classifier.getFitIntercept() and not classifier.getStandardization()
+    )
+
+
+def fit_converged(classifier: LogisticRegression, train: DataFrame, contract: Contract = SESSION) -> PipelineModel:
+    """``fit_model`` for a logistic regression without standardisation, by the batched solver.
+
+    It runs until it has converged, whatever ``maxIter`` is, in a job per Newton step.
+    """
+    prepared = Pipeline(stages=feature_stages(contract)).fit(train)
+    rows = prepared.transform(train).select(F.lit(0).alias("grp"), "features", LABEL, WEIGHT)
+    blocks = written(batched.packed(rows), "blocks")
+    try:
+        at = batched.fit_many(blocks, [(0, classifier.getRegParam(), classifier.getElasticNetParam())])[0]
+    finally:
+        forget(blocks)
+    context = train.sparkSession.sparkContext
+    made = context._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        classifier.uid, _py2java(context, Vectors.dense(at[:-1])), float(at[-1])
+    )
+    model = classifier._copyValues(LogisticRegressionModel(made))
+    model._transfer_params_to_java()
+    return PipelineModel(stages=[*prepared.stages, model])
+
+
 class FoldVectors:
     """What every candidate is fitted and checked on, one pair of frames per fold.
 
@@ -431,14 +463,8 @@ def _in_threads(df: DataFrame, run, items, parallelism: int) -> list:
 
 
 def _solved_together(classifier, maps: Sequence[dict], folds: FoldVectors) -> bool:
-    """Whether the batched solver has these candidates' objective."""
-    return (
-        isinstance(classifier, LogisticRegression)
-        and {p.name for m in maps for p in m} <= {"regParam", "elasticNetParam"}
-        and classifier.getFamily() in ("auto", "binomial")
-        and classifier.getFitIntercept() and not classifier.getStandardization()
-        and folds.slots <= batched.MOST_SLOTS
-    )
+    regular = {p.name for m in maps for p in m} <= {"regParam", "elasticNetParam"}
+    return _objective_shared(classifier) and regular and folds.slots <= batched.MOST_SLOTS
 
 
 def cross_validate(
@@ -525,7 +551,8 @@ def tune(
         maps = [{classifier.getParam(k): v for k, v in s.items()} for s in settings]
         means = cross_validate(classifier, maps, folds, parallelism)
         best = max(range(len(settings)), key=lambda i: means[i])
-        model = fit_model(classifier.copy(maps[best]), train, contract)
+        together = _solved_together(classifier, maps, folds)
+        model = (fit_converged if together else fit_model)(classifier.copy(maps[best]), train, contract)
         t2 = time.perf_counter()
     finally:
         if not shared and folds is not None:

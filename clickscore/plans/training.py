@@ -60,6 +60,7 @@ def train(
         name: learning.tune(name, c, fit_rows, contract, draws, seed, parallelism, vectors)
         for name, c in families.items()
     }
+    vectors.release()
     scored = evaluation.stack_models(
         {
             name: learning.probability_of(held, t.model).select(row_id, "label", "probability")
@@ -113,5 +114,6 @@ def train(
         leakage=_as_map(leakage, "model"),
         top_features=[tuple(r) for r in importance.limit(15).collect()],
     )
-    rows.unpersist()
+    for used in (rows, split, fit_rows):
+        used.unpersist()
     return Trained(name, best.model, t_f1, t_value, tables, card)

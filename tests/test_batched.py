@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -66,3 +67,18 @@ def test_search_means_equal_fits_one_by_one(spark, training):
         single = [score.evaluate(together.fit(a, m).transform(b)) for a, b in folds.pairs()]
         assert value == pytest.approx(np.mean(single), abs=1e-3)
     folds.release()
+
+
+def test_converged_model_is_a_plain_model(spark, training, tmp_path):
+    base = dict(labelCol=L.LABEL, weightCol=L.WEIGHT, regParam=1e-2, standardization=False)
+    model = L.fit_converged(LogisticRegression(**base), training)
+    want = L.fit_model(LogisticRegression(maxIter=500, tol=1e-10, **base), training)
+    a, b = model.stages[-1], want.stages[-1]
+    assert np.abs(a.coefficients.toArray() - b.coefficients.toArray()).max() < 1e-4
+    assert a.intercept == pytest.approx(b.intercept, abs=1e-4)
+    path = str(tmp_path / "model")
+    model.write().save(path)
+    again = PipelineModel.load(path)
+    rows = training.limit(50)
+    first, second = (L.probability_of(rows, m).orderBy("row_id").collect() for m in (model, again))
+    assert [r["probability"] for r in first] == [r["probability"] for r in second]
