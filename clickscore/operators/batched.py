@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 #: The curvature has the square of the slots: beyond this, fit one by one with a gradient method.
 MOST_SLOTS = 512
 MOST_STEPS = 100
+#: Sums of one step that the driver adds up itself.
+DRIVER_BYTES = 64 << 20
 TOLERANCE = 1e-9
 SWEEPS = 60
 
@@ -125,6 +127,21 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["problem", "sums"])
 
 
+def total_sums(sums: DataFrame, tasks: int, task_bytes: int) -> dict[int, np.ndarray]:
+    """``(problem, sums)`` of all tasks added up by problem.
+
+    The driver adds them where what all ``tasks`` send has a small bound; beyond it Spark does,
+    by problem, and the driver sees one row for each.
+    """
+    if tasks * task_bytes > DRIVER_BYTES:
+        sums = sums.repartition("problem").mapInArrow(_added, "problem int, sums binary")
+    total: dict[int, np.ndarray] = {}
+    for r in sums.collect():
+        values = np.frombuffer(bytes(r["sums"]))
+        total[r["problem"]] = total[r["problem"]] + values if r["problem"] in total else values
+    return total
+
+
 def _newton(slope: np.ndarray, bend: np.ndarray, at: np.ndarray, l1: float) -> np.ndarray:
     """The step to the lowest point of the local parabola plus the absolute penalty.
 
@@ -194,16 +211,16 @@ def fit_many(blocks: DataFrame, settings: Sequence[tuple[int, float, float]], ma
             q.trial = q.at
         else:  # one class only: the prior, as far as doubles tell it
             q.at[-1], q.done = (np.inf if pos > 0 else -np.inf), True
+    tasks = blocks.rdd.getNumPartitions()
     while any(not q.done for q in problems):
         points: dict[int, dict[int, np.ndarray]] = {}
         for i, q in enumerate(problems):
             if not q.done:
                 points.setdefault(q.grp, {})[i] = q.trial
         sums = blocks.mapInArrow(lambda it, points=points: _sums(it, points), "problem int, sums binary")
-        # One small row per task and problem; added up by problem before they reach the driver.
-        rows = sums.repartition("problem").mapInArrow(_added, "problem int, sums binary").collect()
-        for r in rows:
-            _advance(problems[r["problem"]], np.frombuffer(bytes(r["sums"])), known[problems[r["problem"]].grp]["w"], max_steps)
+        size = sum(8 * (len(q.trial) + 1) ** 2 for q in problems if not q.done)
+        for i, own in total_sums(sums, tasks, size).items():
+            _advance(problems[i], own, known[problems[i].grp]["w"], max_steps)
     return [q.at for q in problems]
 
 

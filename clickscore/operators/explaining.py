@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION, Contract
-from clickscore.functions.numbers import double_array, number_sql
+from clickscore.functions.features import FEATURE_SQL
+from clickscore.functions.numbers import array_sql, double_array, number_sql
 from clickscore.operators.learning import (
-    feature_names, mode_levels, positive_probability, probability_of, transform_rows,
+    Z, feature_names, mode_levels, model_inputs, positive_probability, probability_of, transform_rows,
 )
 from clickscore.operators.quantiles import exact_percentiles
+from clickscore.operators.trees import PROBABILITY, TreeTable, rows_of, tree_table
 
 # Smallest contribution shown, sweep length.
 NEGLIGIBLE = 1e-9
@@ -47,13 +54,18 @@ def attribute(
 
     All of them unless ``top_n`` is given; those up to ``smallest`` are not listed.
 
-    Linear models: coefficient times distance from the background mean, additive and
-    exact.  Other models: the change when one field is set to its typical background
-    value, which is not additive; ``residual`` says how much is left unexplained.
+    Linear models: coefficient times distance from the background mean.  Trees: how far every
+    split on the row's path moved the mean, under the split's feature; the base is the mean
+    before any split.  Both are additive and exact; a forest adds up in probability, the others
+    in log-odds.  Other models: the change when one field is set to its typical background
+    value, which is not additive.  ``residual`` says how much is left unexplained.
     Columns: row_id, base_probability, probability, residual, contributions.
     """
     if isinstance(model.stages[-1], LogisticRegressionModel):
         return _attribute_linear(df, model, background, top_n, row_id, smallest)
+    table = tree_table(model.stages[-1], df.sparkSession)
+    if table is not None:
+        return _attribute_trees(df, model, table, top_n, row_id, smallest)
     return _attribute_by_ablation(df, model, background, top_n, row_id, contract, smallest)
 
 
@@ -93,6 +105,34 @@ def _attribute_linear(df, model, background, top_n, row_id, smallest) -> DataFra
     )
 
 
+def _attribute_trees(df, model, table: TreeTable, top_n, row_id, smallest) -> DataFrame:
+    rows = transform_rows(df, model).select(
+        F.col(f"_row.{row_id}").alias("id"), vector_to_array(F.col("features")).alias("x"), positive_probability(model).alias("p")
+    )
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            moved = table.contributions(rows_of(batch.column(1)))
+            offsets = np.arange(0, moved.size + 1, moved.shape[1] or 1, dtype=np.int32)[: len(moved) + 1]
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(moved.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["id", "p", "moved"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    walked = rows.mapInArrow(walk, f"id {kind}, p double, moved array<double>")
+    labels = F.array(*[F.lit(n) for n in feature_names(model)])
+    entries = F.zip_with(labels, F.col("moved"), lambda n, v: F.struct(n.alias("feature"), v.alias("value")))
+    total = F.lit(table.start) + F.aggregate("moved", F.lit(0.0), lambda a, v: a + v)
+    # Compared as log-odds of probabilities, so that certainty beyond doubles counts alike.
+    left = F.col("p") - total if table.link == PROBABILITY else log_odds(F.col("p")) - log_odds(_sigmoid(total))
+    return walked.select(
+        F.col("id").alias(row_id),
+        F.lit(float(table.probability(np.array([table.start]))[0])).alias("base_probability"),
+        F.col("p").alias("probability"),
+        left.alias("residual"),
+        _largest(entries, top_n, smallest).alias("contributions"),
+    )
+
+
 def typical_values(df: DataFrame, contract: Contract = SESSION) -> dict[str, Column]:
     """Median of every numeric field, most frequent level of every category."""
     mid = exact_percentiles(df, {c: (number_sql(c), [0.5]) for c in contract.numeric})
@@ -249,6 +289,112 @@ def sensitivity_grid(ranges: DataFrame, n: int = SWEEP_POINTS) -> DataFrame:
     )
 
 
+def _inlined(sql: str) -> str:
+    """A derived feature's SQL with the derived features that it uses written out."""
+    for name, inner in FEATURE_SQL.items():
+        if re.search(rf"\b{name}\b", sql):
+            sql = re.sub(rf"`?\b{name}\b`?", f"(CAST({_inlined(inner)} AS DOUBLE))", sql)
+    return sql
+
+
+def swept_slots(model: PipelineModel, feature: str) -> dict[str, str]:
+    """Scaled numeric columns that depend on the field, as SQL over the input columns."""
+    out = {}
+    for stage in model.stages:
+        if not isinstance(stage, SQLTransformer) or f"{Z}`" not in stage.getStatement():
+            continue
+        body = stage.getStatement().removeprefix("SELECT *, ").removesuffix(" FROM __THIS__")
+        for sql, name in re.findall(rf"(.+?) AS `([^`]+){Z}`(?:, |$)", body):
+            whole = _inlined(sql)
+            if re.search(rf"\b{feature}\b", whole):
+                out[name] = whole
+    return out
+
+
+def _curve_function(model: PipelineModel, slots: list[int], spark):
+    """(x, swept values [row, point, slot]) to probabilities [row, point]; None for other models.
+
+    Trees that no swept slot takes part in are walked once per row.  Where only the field's own
+    slot is swept, points between two break points of the trees are one step, walked once.
+    """
+    last = model.stages[-1]
+    if isinstance(last, LogisticRegressionModel):
+        coefs, intercept = last.coefficients.toArray(), float(last.intercept)
+
+        def linear(x: np.ndarray, swept: np.ndarray) -> np.ndarray:
+            still = x @ coefs + intercept - x[:, slots] @ coefs[slots]
+            return 1 / (1 + np.exp(-(still[:, None] + swept @ coefs[slots])))
+
+        return linear
+    table = tree_table(last, spark)
+    if table is None:
+        return None
+    moving, still = table.splitting_on(slots)
+
+    def trees(x: np.ndarray, swept: np.ndarray) -> np.ndarray:
+        fixed = table.base + table.totals(x, still)
+        n = swept.shape[1]
+        step = np.arange(n)
+        if len(slots) == 1:
+            cuts = np.unique(table.cut[table.slot == slots[0]])
+            step = np.unique(np.searchsorted(cuts, swept[0, :, 0], side="left"), return_inverse=True)[1] if len(x) else step
+        out = np.zeros((len(x), n))
+        for s in np.unique(step):
+            points = np.flatnonzero(step == s)
+            own = x.copy()
+            own[:, slots] = swept[:, points[0], :]
+            out[:, points] = table.probability(fixed + table.totals(own, moving))[:, None]
+        return out
+
+    return trees
+
+
+def curves(
+    df: DataFrame, model: PipelineModel, feature: str, grid: Sequence[float], row_id: str = "row_id", contract: Contract = SESSION
+) -> DataFrame | None:
+    """(row_id, probabilities): one row per session, its probability at every value of the field.
+
+    Rows are neither copied nor moved: the scaled columns that depend on the field are computed
+    for all points inside the row, the rest of the vector once.  None where the model is neither
+    linear nor made of trees, or where the field's dependents are not in its pipeline.
+    """
+    names = feature_names(model)
+    own = swept_slots(model, feature)
+    slots = [names.index(c) for c in own]
+    score = _curve_function(model, slots, df.sparkSession) if own else None
+    if score is None:
+        return None
+    # The lambda's variable has the field's name, so it stands for the field inside.
+    point = f"transform({array_sql(grid)}, `{feature}` -> array({', '.join(own.values())}))"
+    inputs = sorted(model_inputs(model))
+    kept = df.select(F.struct(row_id).alias("_row"), *inputs)
+    moved = kept.withColumn("_swept", F.expr(f"flatten({point})"))
+    rows = model.transform(moved).select(
+        F.col(f"_row.`{row_id}`").alias("id"), vector_to_array(F.col("features")).alias("x"), F.col("_swept").alias("swept")
+    )
+    width = (len(grid), len(slots))
+
+    def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p = score(rows_of(batch.column(1)), rows_of(batch.column(2)).reshape(-1, *width))
+            offsets = np.arange(0, p.size + 1, p.shape[1], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(p.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "probabilities"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    out = rows.mapInArrow(evaluate, f"id {kind}, probabilities array<double>")
+    return out.select(F.col("id").alias(row_id), "probabilities")
+
+
+def _grid(feature: str, ranges: DataFrame, n: int, contract: Contract) -> list[float]:
+    if feature not in contract.numeric:
+        raise ValueError(f"'{feature}' is not a numeric field; choose one of {list(contract.numeric)}")
+    spec = ranges.filter(F.col("column") == feature).select("p99", "max").first()
+    return sweep_values(spec["p99"], spec["max"], n)
+
+
 def sensitivity(
     df: DataFrame,
     model: PipelineModel,
@@ -260,12 +406,19 @@ def sensitivity(
 ) -> DataFrame:
     """Score every session with one numeric field swept, the others as they are.
 
-    Multiplies the rows by ``n``; the sweep rides along as a constant array.
+    One row per session and point; they are made from the finished curves.
     """
-    if feature not in contract.numeric:
-        raise ValueError(f"'{feature}' is not a numeric field; choose one of {list(contract.numeric)}")
-    spec = ranges.filter(F.col("column") == feature).select("p99", "max").first()
-    grid = sweep_values(spec["p99"], spec["max"], n)
+    grid = _grid(feature, ranges, n, contract)
+    found = curves(df, model, feature, grid, row_id, contract)
+    if found is None:
+        return _sensitivity_by_copies(df, model, feature, grid, row_id, contract)
+    points = F.zip_with(
+        double_array(grid), F.col("probabilities"), lambda v, p: F.struct(v.alias("value"), p.alias("probability"))
+    )
+    return found.select(row_id, F.inline(points))
+
+
+def _sensitivity_by_copies(df, model, feature, grid, row_id, contract) -> DataFrame:
     swept = df.select(
         row_id,
         *[c for c in contract.features if c != feature],
@@ -274,6 +427,29 @@ def sensitivity(
     return probability_of(swept, model).select(row_id, F.col(feature).alias("value"), "probability")
 
 
+def sensitivity_spans(
+    df: DataFrame,
+    model: PipelineModel,
+    feature: str,
+    ranges: DataFrame,
+    n: int = SWEEP_POINTS,
+    row_id: str = "row_id",
+    contract: Contract = SESSION,
+) -> DataFrame:
+    """``sensitivity_span`` of every session from its curve, inside the row: no shuffle."""
+    grid = _grid(feature, ranges, n, contract)
+    found = curves(df, model, feature, grid, row_id, contract)
+    if found is None:
+        return sensitivity_span(_sensitivity_by_copies(df, model, feature, grid, row_id, contract), row_id)
+    p, at = F.col("probabilities"), double_array(grid)
+    low, high = F.array_min(p), F.array_max(p)
+    return found.select(
+        row_id,
+        low.alias("min_probability"), F.element_at(at, F.array_position(p, low).cast("int")).alias("min_at"),
+        high.alias("max_probability"), F.element_at(at, F.array_position(p, high).cast("int")).alias("max_at"),
+    )
+
+
 def sensitivity_span(curve: DataFrame, row_id: str = "row_id") -> DataFrame:
     """Lowest and highest probability on each curve and where they occur (first on ties)."""
     low = F.struct("probability", "value")

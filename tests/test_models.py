@@ -118,11 +118,42 @@ def test_ablation_of_one_changed_field_is_exact(spark, training, trees):
     typical = X.typical_values(training)
     df = training.limit(1).select(F.lit(1).cast("bigint").alias("row_id"), *[v.alias(c) for c, v in typical.items()])
     df = df.withColumn("PageValues", F.lit(90.0))
-    got = X.attribute(df, trees, training).first()
+    got = X._attribute_by_ablation(df, trees, training, None, "row_id", SESSION, 1e-9).first()
     assert {e["feature"] for e in got["contributions"]} <= {"PageValues"}
     assert got["residual"] == pytest.approx(0.0, abs=1e-9)
 
 
+def test_contributions_of_trees_add_up(spark, unique, training, trees):
+    got = X.attribute(unique, trees, training, smallest=-1.0).collect()
+    assert len(got) == unique.count()
+    for r in got:
+        assert abs(r["residual"]) < 1e-9
+        assert {e["feature"] for e in r["contributions"]} == set(L.feature_names(trees))
+        start = np.log(r["base_probability"] / (1 - r["base_probability"]))
+        total = start + sum(e["value"] for e in r["contributions"])
+        assert 1 / (1 + np.exp(-total)) == pytest.approx(r["probability"], abs=1e-9)
+
+
+@pytest.mark.parametrize("feature", ["PageValues", "ProductRelated", "BounceRates"])
+@pytest.mark.parametrize("family", ["linear", "trees", "forest"])
+def test_curves_equal_scored_copies(spark, unique, family, feature, request):
+    from catalog import queries
+    from conftest import SMALL
+
+    model = queries.fitted(spark, SMALL, family)
+    ranges = D.numeric_ranges(unique, columns=[feature])
+    few = unique.limit(40).persist()
+    grid = X._grid(feature, ranges, 12, SESSION)
+    curve = X.sensitivity(few, model, feature, ranges, n=12)
+    copies = X._sensitivity_by_copies(few, model, feature, grid, "row_id", SESSION)
+    a = {(r["row_id"], r["value"]): r["probability"] for r in curve.collect()}
+    b = {(r["row_id"], r["value"]): r["probability"] for r in copies.collect()}
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-12
+    spans = X.sensitivity_spans(few, model, feature, ranges, n=12)
+    assert spans.exceptAll(X.sensitivity_span(curve).select(*spans.columns)).count() == 0
+    assert "Exchange" not in spans._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+
+
 def test_global_contribution_is_sorted(unique, training, linear):
     values = [r[1] for r in X.global_contribution(unique, linear, training).collect()]
     assert values and values == sorted(values, reverse=True)
