@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalog import queries as Q
 from catalog.oracle import UNIQUE
+from clickscore.contract import SESSION
 from clickscore.functions import decisions as D
 from clickscore.operators import alignment as C
 from clickscore.operators import explaining as X
@@ -73,11 +74,43 @@ def decisions_follow(family: str):
     return run
 
 
-def linear_residual(spark: SparkSession, folder: str) -> DataFrame:
-    told = X.attribute(
-        Q.unique_sessions(spark, folder), Q.fitted(spark, folder), Q.training_rows(spark, folder)
-    )
-    return told.select("row_id", (F.abs("residual") < 1e-6).alias("additive"))
+def residual(family: str):
+    """Base and all contributions give every row's probability again."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        model = Q.fitted(spark, folder, family)
+        told = X.attribute(Q.unique_sessions(spark, folder), model, Q.training_rows(spark, folder), smallest=-1.0)
+        moved = F.aggregate("contributions", F.lit(0.0), lambda a, e: a + e["value"])
+        base = F.col("base_probability")
+        if family == "forest":
+            again = base + moved
+        else:
+            again = 1 / (1 + F.exp(-(F.log(base / (1 - base)) + moved)))
+        return told.select(
+            "row_id", ((F.abs("residual") < 1e-6) & (F.abs(again - F.col("probability")) < 1e-9)).alias("additive")
+        )
+
+    return run
+
+
+def curve_points(family: str, feature: str):
+    """Spans found inside the rows against the lowest and highest of forty scored copies of each."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        once, model = Q.unique_sessions(spark, folder), Q.fitted(spark, folder, family)
+        ranges = Dp.numeric_ranges(once, columns=[feature])
+        grid = X._grid(feature, ranges, X.SWEEP_POINTS, SESSION)
+        copies = X._sensitivity_by_copies(once, model, feature, grid, "row_id", SESSION)
+        found = copies.groupBy("row_id").agg(
+            F.count(F.lit(1)).alias("n_points"), F.min("probability").alias("low"), F.max("probability").alias("high")
+        )
+        near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-12
+        spans = X.sensitivity_spans(once, model, feature, ranges)
+        return found.join(spans, "row_id").select(
+            "row_id", "n_points", (near("low", "min_probability") & near("high", "max_probability")).alias("same")
+        )
+
+    return run
 
 
 def global_slots(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,20 +126,6 @@ def global_slots(spark: SparkSession, folder: str) -> DataFrame:
     return found.agg(F.count_if(~F.coalesce("same", F.lit(False))).alias("n_wrong"), (F.count(F.lit(1)) > 0).alias("some"))
 
 
-def sensitivity_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Forty points per session; the span is the lowest and highest of them."""
-    once, model = Q.unique_sessions(spark, folder), Q.fitted(spark, folder)
-    curve = X.sensitivity(once, model, "PageValues", Dp.numeric_ranges(once, columns=["PageValues"]))
-    points = curve.groupBy("row_id").agg(
-        F.count(F.lit(1)).alias("n_points"), F.min("probability").alias("low"), F.max("probability").alias("high")
-    )
-    span = X.sensitivity_span(curve)
-    return points.join(span, "row_id").select(
-        "row_id", "n_points",
-        ((F.col("low") == F.col("min_probability")) & (F.col("high") == F.col("max_probability"))).alias("same"),
-    )
-
-
 def leakage_arms(spark: SparkSession, folder: str) -> DataFrame:
     """Rows in the two parts that the arms of the leakage experiment share."""
     rows = E.stratified_split(Q.training_rows(spark, folder), L.LABEL)
@@ -134,9 +153,15 @@ def all_queries() -> dict:
         "check_decisions_linear": decisions_follow("linear"),
         "check_decisions_trees": decisions_follow("trees"),
         "check_decisions_forest": decisions_follow("forest"),
-        "check_linear_residual": linear_residual,
+        "check_decisions_boosted": decisions_follow("boosted"),
+        "check_linear_residual": residual("linear"),
+        "check_trees_residual": residual("trees"),
+        "check_forest_residual": residual("forest"),
+        "check_boosted_residual": residual("boosted"),
         "check_global_contribution": global_slots,
-        "check_sensitivity": sensitivity_points,
+        "check_sensitivity": curve_points("linear", "PageValues"),
+        "check_sensitivity_trees": curve_points("trees", "PageValues"),
+        "check_sensitivity_derived": curve_points("trees", "ProductRelated"),
         "check_leakage_arms": leakage_arms,
     }
 
@@ -144,6 +169,8 @@ def all_queries() -> dict:
 def all_sql() -> dict[str, str]:
     U = f"WITH {UNIQUE}"
     same = f"{U} SELECT row_id, true AS same FROM u"
+    additive = f"{U} SELECT row_id, true AS additive FROM u"
+    points = f"{U} SELECT row_id, 40::BIGINT AS n_points, true AS same FROM u"
     follow = f"{U} SELECT row_id, true AS label_follows, true AS action_follows, true AS is_probability FROM u"
     return {
         "alignment_report": """SELECT * FROM (VALUES ('exact', 'exact', 17::BIGINT, 0::BIGINT, true),
@@ -156,8 +183,14 @@ def all_sql() -> dict[str, str]:
         "check_decisions_linear": follow,
         "check_decisions_trees": follow,
         "check_decisions_forest": follow,
-        "check_linear_residual": f"{U} SELECT row_id, true AS additive FROM u",
+        "check_decisions_boosted": follow,
+        "check_linear_residual": additive,
+        "check_trees_residual": additive,
+        "check_forest_residual": additive,
+        "check_boosted_residual": additive,
         "check_global_contribution": "SELECT 0::BIGINT AS n_wrong, true AS some",
-        "check_sensitivity": f"{U} SELECT row_id, 40::BIGINT AS n_points, true AS same FROM u",
+        "check_sensitivity": points,
+        "check_sensitivity_trees": points,
+        "check_sensitivity_derived": points,
         "check_leakage_arms": f"{U} SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS n_test, count(*) AS n_rows FROM u",
     }

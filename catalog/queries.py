@@ -25,6 +25,7 @@ from clickscore.operators import runs as J
 from clickscore.operators import scoring as Sc
 from clickscore.operators import splitting as E
 from clickscore.operators import validation as V
+from clickscore.operators.trees import SecondOrderTrees
 from clickscore.plans.batch_scoring import score_file
 from clickscore.plans.profile import write_input_profile
 from clickscore.session import work_folder
@@ -302,6 +303,7 @@ def fitted(spark: SparkSession, folder: str, family: str = "linear") -> Pipeline
             "linear": LogisticRegression(maxIter=15, regParam=1e-3, standardization=False, **shared),
             "trees": GBTClassifier(maxIter=5, maxDepth=4, seed=42, **shared),
             "forest": RandomForestClassifier(numTrees=5, maxDepth=4, seed=42, **shared),
+            "boosted": SecondOrderTrees(maxIter=5, maxDepth=4, **shared),
         }
         _models[key] = L.fit_model(kinds[family], training_rows(spark, folder))
     return _models[key]
@@ -341,6 +343,9 @@ def model_queries() -> dict[str, Query]:
     def curve(d: DataFrame, m: PipelineModel) -> DataFrame:
         return X.sensitivity(d, m, "PageValues", Dp.numeric_ranges(d, columns=["PageValues"]))
 
+    def spans(d: DataFrame, m: PipelineModel) -> DataFrame:
+        return X.sensitivity_spans(d, m, "PageValues", Dp.numeric_ranges(d, columns=["PageValues"]))
+
     def uploaded(spark: SparkSession, folder: str) -> DataFrame:
         return Sc.score_upload(upload("padded")(spark, folder), fitted(spark, folder))[0]
 
@@ -385,6 +390,7 @@ def model_queries() -> dict[str, Query]:
         "score": with_model(lambda d, m: Sc.score(d, m, 0.7)),
         "score_trees": with_model(lambda d, m: Sc.score(d, m, 0.7), "trees"),
         "score_forest": with_model(lambda d, m: Sc.score(d, m, 0.7), "forest"),
+        "score_boosted": with_model(lambda d, m: Sc.score(d, m, 0.7), "boosted"),
         "score_upload": uploaded,
         "predict_sessions": with_model(lambda d, m: Sc.predict_sessions(d, m, 0.7)),
         "cross_validated_search": tuning,
@@ -400,7 +406,8 @@ def model_queries() -> dict[str, Query]:
         ),
         "sensitivity_grid": _on(once, lambda d: X.sensitivity_grid(Dp.numeric_ranges(d))),
         "sensitivity": with_model(curve),
-        "sensitivity_span": with_model(lambda d, m: X.sensitivity_span(curve(d, m))),
+        "sensitivity_span": with_model(spans),
+        "sensitivity_span_trees": with_model(spans, "trees"),
         "score_stream": lambda spark, folder: _scored_stream(spark, folder, False),
         "history_stream": lambda spark, folder: _scored_stream(spark, folder, True),
     }

@@ -16,9 +16,7 @@ from typing import Any
 
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.common import _py2java
@@ -36,6 +34,7 @@ from clickscore.operators import batched
 from clickscore.operators import evaluation as G
 from clickscore.operators.profiling import value_counts
 from clickscore.operators.quantiles import exact_percentiles
+from clickscore.operators.trees import SecondOrderTrees
 from clickscore.operators.splitting import balanced_weight, sample_params, stratified_folds
 from clickscore.session import forget, written
 
@@ -334,7 +333,7 @@ def candidates(n_rows: int, seed: int = SEED) -> dict[str, Candidate]:
             "Bagged trees: interactions without tuning, robust to skewed durations.",
         ),
         "Gradient Boosted Trees": Candidate(
-            GBTClassifier(
+            SecondOrderTrees(
                 labelCol=LABEL, weightCol=WEIGHT, seed=seed, maxIter=100, maxDepth=6, stepSize=0.3,
             ),
             {
@@ -342,8 +341,8 @@ def candidates(n_rows: int, seed: int = SEED) -> dict[str, Candidate]:
                 "maxDepth": [3, 4, 5, 6, 8],
                 "stepSize": [0.01, 0.05, 0.1, 0.2],
                 "subsamplingRate": [0.7, 0.8, 0.9, 1.0],
-                "featureSubsetStrategy": ["0.6", "0.8", "1.0"],
-                "minInstancesPerNode": [1, 3, 5],
+                "slotShare": [0.6, 0.8, 1.0],
+                "minChildWeight": [1.0, 3.0, 5.0],
             },
             "Boosted trees: usually the strongest family on tables of this kind.",
         ),
