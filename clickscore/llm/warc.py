@@ -9,11 +9,13 @@ twice writes the same records.  Each row is handled alone: nothing is shuffled.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import html
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,16 +35,26 @@ RESPONSE_TYPE = "application/http; msgtype=response"
 NO_DATE = "1970-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("5c6c2d0e-53f1-4f43-9f59-0d5e1d6e0c11")
 
-HIDDEN = re.compile(r"<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>|<!--.*?-->|<(?:script|style)\b.*\Z", re.I | re.S)
+#: Where hidden content begins, and where each kind of it ends.
+HIDDEN = re.compile(r"<(script|style|noscript|template)(?=[\s/>])|<!--", re.I)
+CLOSING = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "noscript", "template")} | {"": re.compile("-->")}
 BLOCK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|div|dl|dd|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main"
     r"|nav|ol|p|pre|section|table|tbody|td|th|thead|title|tr|ul)\b[^>]*>", re.I
 )
 TAG = re.compile(r"<[!/?]?[a-zA-Z][^>]*>")
 SPACES = re.compile(r"[ \t\r\f\v ]+")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([\w-]+)", re.I)
-LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+TITLE = re.compile(r"<title\b[^>]*", re.I)
+TITLE_END = re.compile(r"</title\s*>", re.I)
+LANG = re.compile(r"<html\b([^>]*)", re.I)
+LANG_VALUE = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+ANCHOR = re.compile(r"<a\b[^>]*", re.I)
+HREF = re.compile(r"\bhref\s*=\s*", re.I)
+VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
+#: Where a page may say its charset, in the first bytes of the payload.
+META = re.compile(rb"<meta\b[^<>]*?\bcharset\s*=\s*[\"']?\s*([\w:.-]+)", re.I)
+CHARSET = re.compile(r"charset\s*=\s*[\"']?\s*([\w:.-]+)", re.I)
+META_BYTES = 4096
 
 RESPONSE_FIELDS = "record_id string, target_uri string, date string, block binary, block_digest string, payload_digest string"
 RECORD_FIELDS = (
@@ -59,9 +71,95 @@ def urn(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, chr(0).join(parts))}>"
 
 
+def without_hidden(markup: str) -> str:
+    """Scripts, styles, comments and the like become a space, in one pass forward.
+
+    An opening without an end hides the rest of the page if it is a script or style, and
+    nothing otherwise; that an end is not there is found once for each kind.
+    """
+    out, done, none_left = [], 0, set()
+    for m in HIDDEN.finditer(markup):
+        kind = (m[1] or "").lower()
+        if m.start() < done or kind in none_left:
+            continue
+        end = CLOSING[kind].search(markup, m.end())
+        if end is None:
+            none_left.add(kind)
+            if kind in ("script", "style"):
+                return "".join([*out, markup[done : m.start()], " "])
+            continue
+        out += [markup[done : m.start()], " "]
+        done = end.end()
+    return "".join([*out, markup[done:]])
+
+
+def chunks_joined(payload: bytes) -> bytes | None:
+    """The body of a chunked transfer, None where it is not one."""
+    out, at = [], 0
+    while True:
+        stop = payload.find(b"\r\n", at, at + 1024)
+        if stop < 0:
+            return None
+        head = payload[at:stop].partition(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", head):
+            return None
+        size = int(head, 16)
+        if size == 0:
+            return b"".join(out)
+        if stop + 2 + size > len(payload):
+            return None
+        out.append(payload[stop + 2 : stop + 2 + size])
+        at = stop + 2 + size + 2
+
+
+def decoded_body(headers: list[tuple[str, str]], payload: bytes) -> tuple[str, str, list[str]]:
+    """The body as text, the charset it was read in, and what could not be undone.
+
+    Chunked transfer and gzip or deflate coding are undone in the headers' order; the charset
+    is that of the Content-Type, else of the page's meta tag, else UTF-8.
+    """
+    named = {k.lower(): v for k, v in headers}
+    failed: list[str] = []
+    if "chunked" in named.get("transfer-encoding", "").lower():
+        joined = chunks_joined(payload)
+        failed += ["chunked"] if joined is None else []
+        payload = payload if joined is None else joined
+    for coding in reversed([x.strip().lower() for x in named.get("content-encoding", "").split(",")]):
+        if coding in ("", "identity"):
+            continue
+        try:
+            if coding in ("gzip", "x-gzip"):
+                payload = zlib.decompress(payload, 47)
+            elif coding == "deflate":
+                try:
+                    payload = zlib.decompress(payload)
+                except zlib.error:
+                    payload = zlib.decompress(payload, -15)
+            else:
+                failed.append(coding)
+                break
+        except zlib.error:
+            failed.append(coding)
+            break
+    said = CHARSET.search(named.get("content-type", ""))
+    meta = META.search(payload, 0, META_BYTES)
+    charset = said[1] if said else meta[1].decode("ascii", "replace") if meta else "utf-8"
+    try:
+        charset = codecs.lookup(charset).name
+        if not codecs.lookup(charset)._is_text_encoding:
+            raise LookupError(charset)
+    except (LookupError, ValueError):
+        failed.append(f"charset {charset}")
+        charset = "utf-8"
+    return payload.decode(charset, "replace"), charset, failed
+
+
 def plain_text(markup: str) -> str:
     """Visible text: hidden elements and tags go, block elements end a line."""
-    text = TAG.sub("", BLOCK.sub("\n", HIDDEN.sub(" ", markup)))
+    shown = without_hidden(markup)
+    # Behind the last > no tag can end, and a search there would run on to the end every time.
+    tags, end, rest = shown.rpartition(">")
+    text = TAG.sub("", BLOCK.sub("\n", tags + end)) + rest
     lines = (SPACES.sub(" ", x).strip() for x in html.unescape(text).split("\n"))
     return "\n".join(x for x in lines if x)
 
@@ -114,18 +212,26 @@ def record(kind: str, source: dict, block: bytes, content_type: str) -> tuple:
 def derive(source: dict) -> list[tuple]:
     """The metadata and the conversion record of one response."""
     status, headers, payload = split_response(source["block"])
-    markup = payload.decode("utf-8", "replace")
-    title, lang = TITLE.search(markup), LANG.search(markup)
+    markup, charset, failed = decoded_body(headers, payload)
+    opened, page = TITLE.search(markup), LANG.search(markup)
+    closed = TITLE_END.search(markup, opened.end()) if opened else None
+    lang = LANG_VALUE.search(page[1]) if page else None
+    named = (HREF.search(markup, a.start(), a.end()) for a in ANCHOR.finditer(markup))
+    links = [VALUE.match(markup, h.end()) for h in named if h]
     found = {
         "refers_to": source["record_id"], "target_uri": source["target_uri"], "date": source["date"],
         "block_digest": source["block_digest"], "payload_digest": source["payload_digest"],
         "block_digest_valid": source["block_digest"] == digest(source["block"]),
         "payload_digest_valid": source["payload_digest"] == digest(payload),
         "http_status": status, "http_headers": [list(x) for x in headers],
-        "title": plain_text(title[1]) if title else None, "lang": lang[1] if lang else None,
-        "links": [html.unescape(a or b or c) for a, b, c in LINK.findall(markup)],
+        "title": plain_text(markup[opened.end() + 1 : closed.start()]) if closed else None, "lang": lang[1] if lang else None,
+        "links": [html.unescape(m[1] or m[2] or m[3] or "") for m in links if m],
         "payload_length": len(payload),
     }
+    if charset != "utf-8":
+        found["charset"] = charset
+    if failed:
+        found["not_decoded"] = failed
     about = json.dumps(found, ensure_ascii=False, separators=(",", ":")).encode()
     return [
         record("metadata", source, about, METADATA_TYPE),
@@ -152,8 +258,10 @@ def derivatives(responses: DataFrame, key: str = "page_id") -> DataFrame:
     read.  ``record`` holds the record's bytes as a WARC file has them.  Digests that do not
     match the source are kept as they were and marked in the metadata.  NULL uri, date, id
     or block count as empty; an empty or header-less block gives an empty or whole-block
-    conversion.  Repeated rows give equal records, one pair each.  Long pages are read
-    whole; an empty table gives no records.
+    conversion.  Chunked, gzip and deflate bodies are undone and the header's or page's
+    charset is used for the text; the digests stay those of the bytes as they came, and what
+    cannot be undone is named in the metadata.  Repeated rows give equal records, one pair
+    each.  Long pages are read whole, in passes forward; an empty table gives no records.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -203,7 +311,6 @@ def write_files(records: DataFrame, path: str) -> None:
     The member bytes are rows of a Parquet table; concatenated in any order they are a
     valid ``.warc.gz`` file.
     """
-    import zlib
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
