@@ -126,41 +126,39 @@ class Parts:
 
 
 def lattice(codes: np.ndarray, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Arcs of equally long parts: scores and ids, [end, length, part]; unknown is id NONE."""
+    """Arcs of equally long parts: scores and ids, [end, length, part]; unknown is id NONE.
+
+    One step per length, over all places and parts together.
+    """
     n, size = codes.shape
     hashed = np.ascontiguousarray(code_hash(codes).T)
     reach = min(size, voc.longest)
     score = np.full((size + 1, reach + 1, n), -np.inf)
     ids = np.full((size + 1, reach + 1, n), NONE, np.int32)
-    for end in range(1, size + 1):
-        value, power = np.zeros(n, np.uint64), np.uint64(1)
-        for length in range(1, min(end, reach) + 1):
-            with np.errstate(over="ignore"):
-                value = value + hashed[end - length] * power
-                power = power * T.STEP
-            found = voc.find(value)
-            hit = np.flatnonzero(found != NONE)
-            ids[end, length] = found
-            if length == 1:
-                score[end, 1] = voc.unknown
-            score[end, length, hit] = voc.scores[found[hit]]
+    value, power = np.zeros((size, n), np.uint64), np.uint64(1)
+    for length in range(1, reach + 1):
+        with np.errstate(over="ignore"):
+            value[length - 1 :] += hashed[: size - length + 1] * power
+            power = power * T.STEP
+        found = voc.find(value[length - 1 :].ravel()).reshape(-1, n)
+        ids[length:, length] = found
+        score[length:, length] = np.where(found != NONE, voc.scores[found], voc.unknown if length == 1 else -np.inf)
     return score, ids
 
 
 def viterbi(score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward scores, and the length of the best arc into each place."""
+    """Forward scores, and the length of the best arc into each place (the shortest among equals)."""
     places, width, n = score.shape
     forward = np.full((places, n), -np.inf)
     forward[0] = 0
     length = np.ones((places, n), np.int64)
+    row = np.arange(n)
     for end in range(1, places):
-        best = forward[end - 1] + score[end, 1]
-        for step in range(2, min(end, width - 1) + 1):
-            option = forward[end - step] + score[end, step]
-            better = option > best
-            best[better] = option[better]
-            length[end, better] = step
-        forward[end] = best
+        far = min(end, width - 1)
+        options = forward[end - far : end][::-1] + score[end, 1 : far + 1]
+        best = options.argmax(axis=0)
+        length[end] = best + 1
+        forward[end] = options[best, row]
     return forward, length
 
 
@@ -169,9 +167,11 @@ def second_loss(score: np.ndarray, forward: np.ndarray, length: np.ndarray) -> n
     places, width, n = score.shape
     backward = np.full((places, n), -np.inf)
     backward[-1] = 0
-    for end in range(places - 1, 0, -1):
-        for step in range(1, min(end, width - 1) + 1):
-            np.maximum(backward[end - step], score[end, step] + backward[end], out=backward[end - step])
+    steps = np.arange(1, width)
+    for start in range(places - 2, -1, -1):
+        far = min(places - 1 - start, width - 1)
+        arcs = score[start + steps[:far], steps[:far]]
+        backward[start] = (arcs + backward[start + 1 : start + 1 + far]).max(axis=0)
     on_path = np.zeros((places, n), bool)
     row, at = np.arange(n), np.full(n, places - 1)
     while len(row):
@@ -179,11 +179,10 @@ def second_loss(score: np.ndarray, forward: np.ndarray, length: np.ndarray) -> n
         at = at - length[at, row]
         row, at = row[at > 0], at[at > 0]
     second = np.full(n, -np.inf)
-    for end in range(1, places):
-        for step in range(1, min(end, width - 1) + 1):
-            through = forward[end - step] + score[end, step] + backward[end]
-            through[on_path[end] & (length[end] == step)] = -np.inf
-            np.maximum(second, through, out=second)
+    for step in range(1, width):
+        through = forward[: places - step] + score[step:, step] + backward[step:]
+        through[on_path[step:] & (length[step:] == step)] = -np.inf
+        np.maximum(second, through.max(axis=0), out=second)
     return forward[-1] - second
 
 
@@ -191,25 +190,39 @@ def n_best_paths(score: np.ndarray, forward: np.ndarray, n: int) -> list[tuple[f
     """The ``n`` best paths of one part by backward A-star; paths as (end, length) arcs.
 
     A hypothesis reaches back from the end to some place; its own score plus the forward
-    score of that place is exactly the best it can become, so paths leave in order.
+    score of that place is exactly the best it can become, so paths leave in order.  Of the
+    hypotheses that reach a place only the ``n`` best can be part of the ``n`` best paths;
+    others are dropped, and hypotheses share their arcs, so memory grows with the places.
     """
-    score, forward = score.tolist(), forward.tolist()
-    last, width = len(forward) - 1, len(score[0])
+    last, width = len(forward) - 1, score.shape[1]
     order = 0
-    agenda: list[tuple[float, int, int, float, tuple]] = [(-forward[last], last, 0, 0.0, ())]
+    agenda: list[tuple[float, int, int, float, tuple | None]] = [(-float(forward[last]), last, 0, 0.0, None)]
+    reached: dict[int, list[float]] = {}
     out = []
     while agenda and len(out) < n:
         _, place, _, own, path = heapq.heappop(agenda)
         if place == 0:
-            out.append((own, list(path)))
+            arcs = []
+            while path is not None:
+                arc, path = path
+                arcs.append(arc)
+            out.append((own, arcs))
             continue
-        for step in range(1, min(place, width - 1) + 1):
-            gain = score[place][step]
+        far = min(place, width - 1)
+        heights = forward[place - far : place][::-1].tolist()
+        for step, gain in enumerate(score[place, 1 : far + 1].tolist(), 1):
             if gain == -np.inf:
                 continue
-            order += 1
             total = own + gain
-            heapq.heappush(agenda, (-(total + forward[place - step]), place - step, order, total, ((place, step), *path)))
+            best = reached.setdefault(place - step, [])
+            if len(best) >= n:
+                if total <= best[0]:
+                    continue
+                heapq.heapreplace(best, total)
+            else:
+                heapq.heappush(best, total)
+            order += 1
+            heapq.heappush(agenda, (-(total + heights[step - 1]), place - step, order, total, ((place, step), path)))
     return out
 
 
@@ -427,12 +440,15 @@ def encode(docs: DataFrame, model_file: str, n_best: int = N_BEST) -> DataFrame:
 
     A space becomes the mark U+2581 and a text gets one mark in front; code points outside
     the vocabulary (and marks that are in the text itself) become byte pieces, so decoding
-    gives the text back.  ``n_best`` lists segmentations in falling score, the first is
+    gives the text back.  "Best" is by the sum of the scores that the model file gives its
+    pieces.  In a file of merge ranks these are not log-probabilities, and the ids then differ
+    from those of the file's own merging, which takes fewer pieces.  ``n_best`` lists segmentations in falling score, the first is
     ``ids``; the others are given as replacements ``(at, removed, ids)`` in it.  Fewer are
     listed when the text has fewer.  Ties keep a fixed order.
 
     NULL and empty texts have no pieces and score 0.  Repeated rows get equal results; texts
-    of any length are read whole; an empty table gives an empty result.  Only ``doc_id`` and
+    of any length are read whole (a stretch that no piece boundary can cut takes some 300 bytes
+    per code point while it is searched); an empty table gives an empty result.  Only ``doc_id`` and
     ``text`` are read.  The vocabulary (bounded by the model file) travels with the tasks.
     """
     small_batches(docs.sparkSession)

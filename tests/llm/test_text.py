@@ -275,3 +275,74 @@ def test_pipeline_stages(spark, tmp_path):
             assert set(after) == {d for d, _ in before} and all(r.round_trip for r in after.values())
         docs = out
     assert p.run(spark, SMALL).count() == docs.count()
+
+
+@pytest.mark.parametrize("piece", ["=", "ab", "-=", "x y"])
+def test_pieces_of_long_runs_without_a_cut(vocabulary, piece):
+    """Time and memory grow with the run, and the best paths are those of the plain search on a short one."""
+    import resource
+    import time
+
+    text = piece * (40_000 // len(piece))
+    batch = pa.record_batch({"doc_id": [1], "row_hash": [0], "text": [text]})
+    before, t0 = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    (made,) = pieces.encode_batches(iter([batch]), vocabulary, 3)
+    assert time.time() - t0 < 12
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400 << 10
+    (row,) = made.to_pylist()
+    assert b"".join(vocabulary.texts[i] for i in row["ids"]).decode() == " " + text
+    scores = [x["score"] for x in row["n_best"]]
+    assert len(scores) == 3 and scores == sorted(scores, reverse=True)
+
+
+@pytest.mark.parametrize("mark", ["<!--", "<noscript>", "<template ", "<script>", "<a ", "<title>", "<p ", "<html ", "<a href='", "</title"])
+def test_warc_unclosed_markup_takes_time_in_proportion(mark):
+    import time
+
+    payload = (mark * (1_000_000 // len(mark))).encode()
+    t0 = time.time()
+    warc.derive({
+        "record_id": "<urn:x>", "target_uri": "u", "date": "d", "block": b"HTTP/1.1 200 OK\r\n\r\n" + payload,
+        "block_digest": "", "payload_digest": "",
+    })
+    assert time.time() - t0 < 2
+
+
+def test_warc_hidden_parts():
+    assert warc.plain_text("a<!-- b -->c<SCRIPT x>d</script >e<style>f</style>g<scripted>h") == "a c e gh"
+    assert warc.plain_text("a<!-- b <p>c") == "a<!-- b\nc"
+    assert warc.plain_text("a<noscript>b") == "ab" and warc.plain_text("a<script>b <p>c") == "a"
+    assert warc.plain_text("x<template>y<!--</template>z-->w") == "x z-->w"
+
+
+@pytest.mark.parametrize("coding, pack", [
+    ("", lambda b: b), ("gzip", gzip.compress), ("deflate", zlib.compress), ("x-gzip", gzip.compress), ("deflate, gzip", lambda b: gzip.compress(zlib.compress(b))),
+])
+@pytest.mark.parametrize("chunked", [False, True])
+@pytest.mark.parametrize("charset", ["utf-8", "iso-8859-1", "shift_jis"])
+def test_warc_bodies_are_decoded(coding, pack, chunked, charset):
+    words = {"utf-8": "é 日本", "iso-8859-1": "é ß", "shift_jis": "日本"}[charset]
+    body = pack(f"<title>{words}</title><p>{words}</p><a href='/é'>x</a>".encode(charset, "replace"))
+    if chunked:
+        body = b"".join(b"%x;n=1\r\n%s\r\n" % (len(body[i : i + 7]), body[i : i + 7]) for i in range(0, len(body), 7)) + b"0\r\n\r\n"
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset={charset}\r\nContent-Encoding: {coding}\r\n" + ("Transfer-Encoding: chunked\r\n" if chunked else "")
+    block = head.encode() + b"\r\n" + body
+    source = {"record_id": "<urn:x>", "target_uri": "u", "date": "d", "block": block, "block_digest": warc.digest(block), "payload_digest": warc.digest(body)}
+    about, text = (warc.parse_records(r[-1])[0][1].decode() for r in warc.derive(source))
+    about = json.loads(about)
+    assert text.startswith(f"{words}\n{words}") and about["title"] == words
+    assert about["payload_digest_valid"] and about["block_digest_valid"] and "not_decoded" not in about
+
+
+def test_warc_names_what_it_cannot_decode():
+    def about(headers, body):
+        block = b"HTTP/1.1 200 OK\r\n" + headers + b"\r\n\r\n" + body
+        return json.loads(warc.parse_records(warc.derive({
+            "record_id": "<urn:x>", "target_uri": "u", "date": "d", "block": block, "block_digest": "", "payload_digest": "",
+        })[0][-1])[0][1])
+
+    assert about(b"Content-Encoding: br", b"\x01\x02")["not_decoded"] == ["br"]
+    assert about(b"Content-Encoding: gzip", b"broken")["not_decoded"] == ["gzip"]
+    assert about(b"Transfer-Encoding: chunked", b"zz\r\n")["not_decoded"] == ["chunked"]
+    assert about(b"Content-Type: text/html; charset=none-such", b"<p>hi")["not_decoded"] == ["charset none-such"]
+    assert about(b"A: b", "<meta charset='iso-8859-1'><title>é</title>".encode("iso-8859-1"))["title"] == "é"
