@@ -131,10 +131,11 @@ def feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(2),
                 T.ragged((keys % BUCKETS).astype(np.int32), per_row, pa.int32()),
                 T.ragged((count / total[of]).astype(np.float32), per_row, pa.float32()),
             ],
-            names=["quality", "ids", "shares"],
+            names=["quality", "place", "ids", "shares"],
         )
 
 
@@ -150,8 +151,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
         .select("doc_id", (F.col("quality") == 1).cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(fit_rows)
     )
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("quality", "text")
-    sample = rows.mapInArrow(feature_batches, "quality int, ids array<int>, shares array<float>").toArrow()
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(
+        "quality", "text", F.xxhash64("doc_id", "text").alias("place")
+    )
+    found = rows.mapInArrow(feature_batches, "quality int, place bigint, ids array<int>, shares array<float>")
+    # An id or label may repeat, so the bound holds behind the join too.
+    sample = found.orderBy("place", "quality").limit(fit_rows).toArrow()
     ids = [np.asarray(x.values) for x in sample.column("ids")]
     shares = [np.asarray(x.values, dtype=np.float64) for x in sample.column("shares")]
     labelled = np.asarray(sample.column("quality"), dtype=np.int64)
