@@ -24,7 +24,8 @@ from clickscore.llm.fm_index import FmIndex
 from clickscore.llm.frames import small_batches, stored
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+#: The driver and a task take about 60 times a block while its windows are built.
+BLOCK_BYTES = 1 << 20
 MIN_HIT_SHARE = 20  # contaminated: 20 * n_hit >= n_words
 
 FOUND = (
