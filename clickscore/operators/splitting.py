@@ -22,7 +22,8 @@ from clickscore.contract import FOLDS, SEED, TEST_SHARE
 
 _DIGITS = 3  # hex digits per counting pass: 4,096 prefixes
 _GROUPS = 16**_DIGITS
-_LENGTH = 48
+_KEY = "__hash_key"
+_WIDTH = 32  # hex digits of an id's hash
 
 
 def hash_key(row_id: str = "row_id", seed: int = SEED) -> Column:
@@ -30,14 +31,19 @@ def hash_key(row_id: str = "row_id", seed: int = SEED) -> Column:
     return F.md5(F.concat(F.coalesce(F.col(row_id).cast("string"), F.lit("")), F.lit(f"-{seed}")))
 
 
-def row_key(df: DataFrame, row_id: str, seed: int) -> Column:
-    """The id's hash, then one of the whole row: rows that repeat an id still differ.
+def row_hash(df: DataFrame) -> Column:
+    """Hash of the whole row, which tells rows apart that repeat an id.
 
-    Rows that are equal in every column share a key and always stay together.
+    Rows that are equal in every column share it and always stay together.
     """
     plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant", "udt")]
-    rest = F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in plain])), 16, "0")
-    return F.concat(hash_key(row_id, seed), rest)
+    return F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in plain])), 16, "0")
+
+
+def _beyond(key: Column, rest: Column, cut: str) -> Column:
+    """Whether a row comes after the cut; the whole row is hashed only where ids' hashes are equal."""
+    head, tail = cut[:_WIDTH], cut[_WIDTH:]
+    return (key > F.lit(head)) | ((key == F.lit(head)) & (rest > F.lit(tail)))
 
 
 def _cut_keys(
@@ -48,14 +54,15 @@ def _cut_keys(
     ranks_of: Callable[[dict[Any, int]], dict[Any, list[int]]],
     most: int = _GROUPS,
 ) -> dict[Any, list[str]]:
-    """Per class, the hash keys at the wanted 1-based ranks (rank 0 gives '').
+    """Per class, the hash keys (id, then row) at the wanted 1-based ranks (rank 0 gives '').
 
-    Every pass counts prefixes; a prefix with at most ``most`` rows is counted by whole key
-    in the last one.  So a pass brings back at most 4,096 counts per open prefix.
+    Every pass counts prefixes of the id's hash; a prefix with at most ``most`` rows is counted
+    by whole key, row included, in the last one.  So a pass brings back at most 4,096 counts per
+    open prefix.
     """
-    keyed = df.select(F.col(label).alias("y"), row_key(df, row_id, seed).alias("key")).filter(
-        F.col("y").isNotNull()
-    )
+    keyed = df.select(
+        F.col(label).alias("y"), hash_key(row_id, seed).alias("key"), row_hash(df).alias("rest")
+    ).filter(F.col("y").isNotNull())
 
     def count_prefixes(frame: DataFrame, width: int) -> dict:
         rows = (
@@ -85,7 +92,7 @@ def _cut_keys(
                     wanted[y, j] = (prefix, rank, n)
                     break
                 rank -= n
-        if all(size <= most for _, _, size in wanted.values()) or width + _DIGITS > _LENGTH:
+        if all(size <= most for _, _, size in wanted.values()) or width + _DIGITS > _WIDTH:
             break
         width += _DIGITS
         heads = sorted({h for h, _, _ in wanted.values()})
@@ -96,7 +103,7 @@ def _cut_keys(
     if wanted:
         heads = sorted({h for h, _, _ in wanted.values()})
         open_rows = keyed.filter(F.substring("key", 1, len(heads[0])).isin(heads))
-        counts = open_rows.groupBy("y", "key").agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = open_rows.groupBy("y", F.concat("key", "rest").alias("key")).agg(F.count(F.lit(1)).alias("n")).collect()
         for (y, j), (head, rank, _) in wanted.items():
             for key, n in sorted((r["key"], r["n"]) for r in counts if r["y"] == y and r["key"].startswith(head)):
                 keys[y][j] = key
@@ -129,11 +136,11 @@ def stratified_split(
     cuts = _cut_keys(
         df, label, row_id, seed, lambda sizes: {y: [q] for y, q in holdout_quota(sizes, share).items()}
     )
-    key = row_key(df, row_id, seed)
     test = F.lit(None).cast("boolean")
     for y, (cut,) in cuts.items():
-        test = F.when(F.col(label) == F.lit(y), key <= F.lit(cut)).otherwise(test)
-    return df.withColumn("is_test", test)
+        test = F.when(F.col(label) == F.lit(y), ~_beyond(F.col(_KEY), row_hash(df), cut)).otherwise(test)
+    # The hash is a column of its own, so a row computes it once.
+    return df.withColumn(_KEY, hash_key(row_id, seed)).withColumn("is_test", test).drop(_KEY)
 
 
 def stratified_folds(
@@ -149,14 +156,13 @@ def stratified_folds(
         return out
 
     cuts = _cut_keys(df, label, row_id, seed, bounds)
-    key = row_key(df, row_id, seed)
     fold = F.lit(None).cast("int")
     for y, edges in cuts.items():
         number = F.lit(0)
         for e in edges:
-            number = number + F.when(key > F.lit(e), 1).otherwise(0)
+            number = number + F.when(_beyond(F.col(_KEY), row_hash(df), e), 1).otherwise(0)
         fold = F.when(F.col(label) == F.lit(y), number).otherwise(fold)
-    return df.withColumn("fold", fold)
+    return df.withColumn(_KEY, hash_key(row_id, seed)).withColumn("fold", fold).drop(_KEY)
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
