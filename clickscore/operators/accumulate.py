@@ -12,10 +12,11 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscore.functions.numbers import double_array
+from clickscore.session import cut_lineage
 
 ROWS_PER_SLICE = 250_000
 LEAST_SLICES, MOST_SLICES = 8, 65_536
@@ -24,15 +25,17 @@ LEAST_SLICES, MOST_SLICES = 8, 65_536
 def slice_cuts(rows: DataFrame, order: str, per_slice: int = ROWS_PER_SLICE) -> list[float]:
     """Cut points that spread the distinct values of ``order`` evenly.
 
-    Works on raw rows: a count, then one column-pruned pass with a mergeable sketch, no
-    shuffle.  The number of slices follows the number of rows, so a slice stays sortable at
+    Works on raw rows: one column-pruned pass with a count and a mergeable sketch, no shuffle,
+    and a finer sketch only where the count asks for more slices.  The number of slices follows the number of rows, so a slice stays sortable at
     any size.  Between two neighbouring cuts lies about one slice's share of the rows, hence
     at most that many distinct values, however often one value repeats.
     """
-    n = rows.agg(F.count(order)).first()[0]
+    few = [i / LEAST_SLICES for i in range(1, LEAST_SLICES)]
+    n, cuts = rows.agg(F.count(order), F.percentile_approx(order, double_array(few), F.lit(10 * LEAST_SLICES))).first()
     slices = min(MOST_SLICES, max(LEAST_SLICES, -(-n // per_slice)))
-    probs = double_array([i / slices for i in range(1, slices)])
-    cuts = rows.agg(F.percentile_approx(order, probs, F.lit(10 * slices))).first()[0]
+    if slices > LEAST_SLICES:
+        probs = double_array([i / slices for i in range(1, slices)])
+        cuts = rows.agg(F.percentile_approx(order, probs, F.lit(10 * slices))).first()[0]
     return sorted({c for c in cuts or [] if math.isfinite(c)})
 
 
@@ -79,3 +82,23 @@ def running_totals(
         *df.columns,
         *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in totals],
     )
+
+
+def numbered(df: DataFrame, by: str, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """``df`` with 1, 2, 3... by ``order`` inside every ``by``, however many rows one ``by`` has.
+
+    Rows are sorted over ranges of (by, order) and written; a range knows its own places, and
+    how many rows of the same ``by`` lie in earlier ranges comes from one count per range.
+    """
+    keys = [F.col(by), *order]
+    at = F.monotonically_increasing_id()
+    kept = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", at))
+    # The upper bits of the number are the range's.
+    kept = kept.withColumn("_range", F.shiftright("_at", 33))
+    parts = kept.groupBy(by, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumnRenamed(by, "_by")
+    joined = kept.withColumnRenamed("_range", "_own").join(
+        parts, (F.col(by) == F.col("_by")) & (F.col("_own") == F.col("_range"))
+    )
+    return joined.select(*df.columns, (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias(name))

@@ -21,6 +21,10 @@ SOURCE = "source_row"
 # What the uploader is told.
 BY_NAME = "{n} of the columns go by another spelling here, such as '{target}' for your '{source}'."
 BY_POSITION = "Names missing: {n}. The columns were taken in their order instead."
+#: Fitted spellings in the projection itself; the measured size up to which a table of them is broadcast.
+LITERAL_LEVELS = 100
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 64
+
 FIRST_ONLY = "The file has {m} columns; those after the {n}th were left out."
 NOT_NUMERIC = " cell(s) hold no number; they get the typical value."
 NOT_CODE = " cell(s) hold no whole-number code; they count as an unknown one."
@@ -125,12 +129,14 @@ def align(
     df: DataFrame,
     contract: Contract = SESSION,
     allow_positional: bool = True,
-    levels: Mapping[str, Sequence[str]] | None = None,
+    levels: Mapping[str, Sequence[str] | DataFrame] | None = None,
 ) -> Alignment:
     """Match the columns, coerce them to the contract types, keep the original row.
 
-    ``levels`` gives the fitted spellings of text categories.  Everything is one
-    narrow projection: no shuffle, no Python.
+    ``levels`` gives the fitted spellings of text categories, as a list or as a table with a
+    column ``level``.  Up to ``LITERAL_LEVELS`` of them travel in the projection itself, which
+    is then narrow: no shuffle, no Python.  More, or a table, are joined: broadcast where their
+    measured size allows, else shuffled.
     """
     levels = levels or {}
     names = tuple(df.columns)
@@ -153,9 +159,14 @@ def align(
             value = C.to_flag(c, dtype)
         else:
             text = C.to_text(c)
-            known = C.known_level(text, list(levels.get(name, ())))
+            given = levels.get(name, ())
+            if isinstance(given, DataFrame) or len(given) > LITERAL_LEVELS:
+                raw = _with_known(raw, text, given, f"known{i}")
+                known = F.col(f"known{i}")
+            else:
+                known = C.known_level(text, list(given))
             value = F.coalesce(known, text)
-            if levels.get(name):
+            if isinstance(given, DataFrame) or given:
                 repairs.append((name, "recased", known.isNotNull() & (known != text)))
         out.append(value.alias(name))
     return Alignment(
@@ -171,6 +182,20 @@ def align(
     )
 
 
+def _with_known(raw: DataFrame, text: Column, levels: Sequence[str] | DataFrame, name: str) -> DataFrame:
+    """``raw`` with the fitted spelling of a text, NULL where there is none; one row stays one row."""
+    if not isinstance(levels, DataFrame):
+        # Of spellings that differ in case only the last counts, as in a literal table.
+        last = {str(v).strip().lower(): str(v) for v in levels}
+        levels = raw.sparkSession.createDataFrame([(v,) for v in last.values()], "level string")
+    spelled = F.lower(F.trim("level"))
+    table = levels.filter(F.col("level").isNotNull()).groupBy(spelled.alias(f"{name}_key")).agg(F.max("level").alias(name))
+    size = table.agg(F.sum(F.octet_length(name) + F.octet_length(f"{name}_key") + ROW_BYTES)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        table = F.broadcast(table)
+    return raw.join(table, F.lower(F.trim(text)) == F.col(f"{name}_key"), "left").drop(f"{name}_key")
+
+
 def _present(c: Column, dtype) -> Column:
     """Neither NULL nor NaN, in whatever form the upload spells it."""
     number = C.raw_number(c, dtype)

@@ -17,6 +17,7 @@ from clickscore.contract import CALENDAR, SESSION, Contract
 from clickscore.functions.numbers import (
     array_sql, clean_number, literal_sql, number_sql,
 )
+from clickscore.operators.accumulate import numbered
 from clickscore.operators.cleaning import segment_rules
 from clickscore.operators.quantiles import exact_percentiles
 
@@ -24,6 +25,8 @@ from clickscore.operators.quantiles import exact_percentiles
 FENCE = 1.5
 RATE_STEP, COUNT_STEP, OTHER_STEP = (0.001, 3), (1.0, 0), (1.0, 1)
 
+CATALOG_CODES = 30
+
 _VALUE = ("whole", "real", "text")
 
 
@@ -112,19 +115,25 @@ def null_total(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return df.agg(total.alias("n_null"))
 
 
-def code_catalog(df: DataFrame, contract: Contract = SESSION, keep: int | None = None) -> DataFrame:
-    """Type, number of codes and all codes (the first ``keep`` if given) of every integer-coded category."""
+def code_catalog(df: DataFrame, contract: Contract = SESSION, keep: int = CATALOG_CODES) -> DataFrame:
+    """Type, number of codes and the first ``keep`` codes of every integer-coded category.
+
+    Codes beyond the first are counted, never gathered; ``category_levels`` lists them all.
+    """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     codes = value_counts(df, contract.coded_categorical).filter(~_is_null())
     shown = F.coalesce(F.col("whole").cast("string"), F.col("text"))
-    every = F.sort_array(F.collect_list(F.struct("whole", "text", shown.alias("code"))))
-    found = codes.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"), every.alias("codes"))
-    values = F.col("codes.code")
+    # Spark keeps as many rows per column before the shuffle already.
+    place = F.row_number().over(Window.partitionBy("column").orderBy("whole", "text"))
+    first = codes.withColumn("place", place).filter(F.col("place") <= keep).groupBy("column").agg(
+        F.sort_array(F.collect_list(F.struct("place", shown.alias("code")))).alias("codes")
+    )
+    found = codes.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique")).join(first, "column")
     return found.select(
         "column",
         F.try_element_at(_literal_map(types), F.col("column")).alias("dtype"),
         "n_unique",
-        (F.slice(values, 1, keep) if keep else values).alias("values"),
+        F.col("codes.code").alias("values"),
     )
 
 
@@ -348,10 +357,9 @@ def category_levels(df: DataFrame, contract: Contract = SESSION) -> DataFrame:
     seen = value_counts(df, scanned).filter(~_is_null())
     level = F.coalesce(F.col("whole").cast("string"), F.col("real").cast("string"), F.col("text"))
     rank = F.when(F.col("column") == contract.calendar, F.nullif(_month_rank(F.col("text")), F.lit(0)))
-    natural = Window.partitionBy("column").orderBy(F.asc_nulls_last("rank"), "whole", "real", "text")
-    found = (
-        seen.withColumn("rank", rank)
-        .select("column", F.row_number().over(natural).alias("position"), level.alias("level"))
+    natural = [F.asc_nulls_last("rank"), F.col("whole"), F.col("real"), F.col("text")]
+    found = numbered(seen.withColumn("rank", rank), "column", natural).select(
+        "column", F.col("position").cast("int").alias("position"), level.alias("level")
     )
     flags = df.sparkSession.createDataFrame(
         [(c, i + 1, v) for c in contract.flags for i, v in enumerate(("false", "true"))],

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickscore.functions.numbers import array_sql, literal_sql
-from clickscore.operators.accumulate import running_totals, slice_cuts
+from clickscore.operators.accumulate import ROWS_PER_SLICE, running_totals, slice_cuts
 
 Targets = Mapping[str, tuple[str, Sequence[float]]]
 
@@ -41,8 +41,11 @@ def exact_percentiles(df: DataFrame, targets: Targets, accuracy: int = SKETCH_AC
         for p in targets[k][1]:
             marks += [max(0.0, p - margin), min(1.0, p + margin)]
         spots = array_sql([0.0, *marks, 1.0])
-        head.append(f"count({expr[k]}) AS n{i}")
-        head.append(f"percentile_approx({expr[k]}, {spots}, {accuracy}) AS b{i}")
+        head.append(f"count(_e{i}) AS n{i}")
+        head.append(f"percentile_approx(_e{i}, {spots}, {accuracy}) AS b{i}")
+    # Each expression is a column of its own, computed once per row and pass.
+    df = df.selectExpr(*[f"{expr[k]} AS _e{i}" for i, k in enumerate(names)])
+    expr = {k: f"_e{i}" for i, k in enumerate(names)}
     seen = df.selectExpr(*head).first()
 
     # One bracket per (name, probability): [lo, hi] holding ranks k and k + 1.
@@ -69,11 +72,12 @@ def exact_percentiles(df: DataFrame, targets: Targets, accuracy: int = SKETCH_AC
         for t, b in enumerate(live):
             below, inside = got[f"u{t}"], got[f"i{t}"]
             last = min(b["rank"] + 1, b["n"] - 1)
+            b["inside"] = inside
             if below <= b["rank"] and last < below + inside:
                 b["below"] = below
             else:  # the sketch missed: fall back to the full range
                 i = names.index(b["name"])
-                b["lo"], b["hi"] = seen[f"b{i}"][0], seen[f"b{i}"][-1]
+                b["lo"], b["hi"], b["inside"] = seen[f"b{i}"][0], seen[f"b{i}"][-1], b["n"]
 
     for b in live:
         if b["lo"] == b["hi"]:
@@ -106,7 +110,8 @@ def _rank_inside(df: DataFrame, expr: dict[str, str], group: list[dict]) -> None
     )
     values = df.selectExpr(f"inline(array_compact(array({cells})))")
     counted = values.groupBy("t", "x").agg(F.count(F.lit(1)).alias("n"))
-    cuts = slice_cuts(values, "x")
+    # How many values there are is known from the count before; few need no cuts.
+    cuts = slice_cuts(values, "x") if sum(b["inside"] for b in group) > ROWS_PER_SLICE else ()
     ranked = running_totals(counted, "x", ["n"], by=["t"], descending=False, cuts=cuts)
     hit = None
     for t, b in enumerate(group):

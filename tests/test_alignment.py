@@ -124,3 +124,18 @@ def test_recognised_and_required(spark):
     with pytest.raises(ValueError, match="PageValues"):
         A.require_columns(df)
     assert TYPICAL["Month"] == "Nov"
+
+
+@pytest.mark.parametrize("how", ["list", "table", "shuffled"])
+def test_many_levels_are_joined_with_the_same_result(spark, sessions, monkeypatch, how):
+    """A hundred thousand fitted spellings: values and notes as with the short list."""
+    up = uploads_from_sessions(sessions, "recased")
+    few = A.align(up, levels=SPELLINGS)
+    many = {c: [*v, *(f"Level {i}" for i in range(100_000))] for c, v in SPELLINGS.items()}
+    if how != "list":
+        many = {c: spark.createDataFrame([(x,) for x in v], "level string") for c, v in many.items()}
+    if how == "shuffled":
+        monkeypatch.setattr(A, "BROADCAST_BYTES", 0)
+    got = A.align(up, levels=many)
+    assert got.frame.count() == few.frame.count() and got.frame.exceptAll(few.frame).count() == 0
+    assert got.coercion_counts().exceptAll(few.coercion_counts()).count() == 0

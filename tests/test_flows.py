@@ -1,5 +1,6 @@
 """Sources, sinks, run history, streams and the end-to-end plans."""
 
+import os
 from datetime import datetime
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION
+from clickscore.operators import deciding as H
 from clickscore.operators import learning as L
 from clickscore.operators import runs as J
 from clickscore.operators import scoring as Sc
@@ -165,6 +167,31 @@ def test_history_stream_continues_and_keeps_newest(spark, unique, linear, tmp_pa
     assert [r["row_id"] for r in latest] == sorted((r["row_id"] for r in latest), reverse=True)
 
 
+def test_latest_view_is_kept_per_batch_and_survives_a_replay(spark, unique, linear, tmp_path):
+    rows = unique.select("row_id", *SESSION.features)
+    source, sink, log = (str(tmp_path / n) for n in ("in", "history", "log"))
+
+    def run():
+        stream = K.score_stream(K.read_session_stream(spark, source, rows.schema, files_per_batch=1), linear)
+        K.write_history_stream(stream, sink, log, once=True, n=30).awaitTermination()
+
+    for part in range(4):
+        rows.filter(F.floor(F.col("row_id") / 2) % 4 == part).limit(12).coalesce(1).write.mode("append").parquet(source)
+        run()
+    key = lambda df: [(r["batch_id"], r["row_id"]) for r in df.collect()]
+    history = spark.read.parquet(sink)
+    want = key(H.prediction_history(history, 30))
+    assert key(K._view(spark, sink)) == want and len({b for b, _ in want}) == 3
+    assert len(K._views(spark, sink)) == 2
+    # The last batch is done again, as after a failure before it was committed.
+    for name in ("3", ".3.crc"):
+        os.remove(f"{log}/commits/{name}")
+    run()
+    assert spark.read.parquet(sink).count() == 48
+    assert key(K._view(spark, sink)) == want == key(K.latest_history(spark, sink, n=30))
+    assert K.latest_history(spark, sink).count() == 48  # more than the view holds
+
+
 def test_scoring_a_file_keeps_the_callers_columns(spark, sessions, linear, tmp_path):
     up = clickstream.uploads_from_sessions(sessions, "padded")
     path = writers.write_scored(up, str(tmp_path / "up.csv"))

@@ -10,6 +10,7 @@ from clickscore.operators import cleaning as B
 from clickscore.operators import profiling as D
 from clickscore.operators import relevance as R
 from clickscore.operators import validation as V
+from clickscore.operators.accumulate import numbered
 
 NAN = float("nan")
 
@@ -146,3 +147,23 @@ def test_table_contract_spots_changes(spark):
     assert {r["check"] for r in changed.filter("NOT passed").collect()} == {"row_count", "target_rate_pct", "checksum"}
     short = V.table_contract(df.drop("Month"))
     assert {r["check"] for r in short.filter("NOT passed").collect()} == {"columns_present"}
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_positions_inside_groups_of_any_size(spark, ranges):
+    rows = [("big", f"v{i:05d}") for i in range(5000)] + [("small", "b"), ("small", None), ("small", "a"), (None, "x")]
+    df = spark.createDataFrame(rows, "g string, v string").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        got = {(r["g"], r["v"]): r["position"] for r in numbered(df.filter("g is not null"), "g", [F.asc_nulls_last("v")]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [got["big", f"v{i:05d}"] for i in range(5000)] == list(range(1, 5001))
+    assert (got["small", "a"], got["small", "b"], got["small", None]) == (1, 2, 3)
+
+
+def test_code_catalog_lists_the_first_codes_and_counts_all(spark):
+    df = frame(spark, *[{"Browser": 50 - i} for i in range(45)], {"Browser": None})
+    got = {r["column"]: r for r in D.code_catalog(df).collect()}
+    assert got["Browser"]["n_unique"] == 45 and got["Browser"]["values"] == [str(i) for i in range(6, 36)]
