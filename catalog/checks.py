@@ -127,9 +127,53 @@ def global_slots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def leakage_arms(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows in the two parts that the arms of the leakage experiment share."""
+    """The experiment's two arms on the shared split: sizes, and the delta of every metric."""
     rows = E.stratified_split(Q.training_rows(spark, folder), L.LABEL)
-    return rows.agg(F.count_if("is_test").alias("n_test"), F.count(F.lit(1)).alias("n_rows"))
+    sizes = rows.agg(F.count_if("is_test").alias("n_test"), F.count(F.lit(1)).alias("n_rows"))
+    got = {r["model"]: r for r in Q.all_queries()["leakage_experiment"](spark, folder).collect()}  # three report rows
+    kept, left_out, delta = got["with_PageValues"], got["without_PageValues"], got["delta"]
+    metrics = [m for m in delta.asDict() if m != "model"]
+    right = len(got) == 3 and all(abs(left_out[m] - kept[m] - delta[m]) < 2e-4 for m in metrics)
+    return sizes.withColumn("delta_right", F.lit(right))
+
+
+def importance(family: str):
+    """Every transformed feature once, with a share that is not negative; largest first."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        model = Q.fitted(spark, folder, family)
+        table = L.feature_importance(model, spark)
+        rows = table.collect()  # one row per slot
+        values = [r["importance"] for r in rows]
+        last = model.stages[-1]
+        own = last.coefficients.toArray() if family == "linear" else last.featureImportances.toArray()
+        want = {n: abs(float(v)) for n, v in zip(L.feature_names(model), own)}
+        in_order = values == sorted(values, reverse=True)
+        return spark.createDataFrame(
+            [(r["feature"], in_order and want.get(r["feature"]) == r["importance"] >= 0) for r in rows], "feature string, fine boolean"
+        )
+
+    return run
+
+
+def search(spark: SparkSession, folder: str) -> DataFrame:
+    """The search over the whole linear grid finds at least the baseline."""
+    found = Q.all_queries()["cross_validated_search"](spark, folder)
+    gain = F.col("tuned_pr_auc") - F.col("baseline_pr_auc")
+    n = Q.training_rows(spark, folder).count()
+    return found.select(
+        "model", (gain >= 0).alias("not_worse"), (F.abs(gain - F.col("improvement")) < 2e-4).alias("gain_right"), F.lit(n).alias("n_rows")
+    )
+
+
+def scored_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The written file against scoring the typed sessions."""
+    written = Q.all_queries()["score_file"](spark, folder)
+    typed = Sc.score(Q.sessions(spark, folder), Q.fitted(spark, folder))
+    left = written.select(
+        F.col("session_id").cast("bigint").alias("row_id"), F.col("purchase_probability").cast("double").alias("purchase_probability")
+    )
+    return _same(left, typed)
 
 
 def alignment_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,6 +207,10 @@ def all_queries() -> dict:
         "check_sensitivity_trees": curve_points("trees", "PageValues"),
         "check_sensitivity_derived": curve_points("trees", "ProductRelated"),
         "check_leakage_arms": leakage_arms,
+        "check_importance_linear": importance("linear"),
+        "check_importance_trees": importance("trees"),
+        "check_search": search,
+        "check_score_file": scored_file,
     }
 
 
@@ -192,5 +240,9 @@ def all_sql() -> dict[str, str]:
         "check_sensitivity": points,
         "check_sensitivity_trees": points,
         "check_sensitivity_derived": points,
-        "check_leakage_arms": f"{U} SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS n_test, count(*) AS n_rows FROM u",
+        "check_leakage_arms": f"""{U} SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS n_test, count(*) AS n_rows,
+          true AS delta_right FROM u""",
+        "check_search": f"""{U} SELECT 'Logistic Regression' AS model, true AS not_worse, true AS gain_right,
+          count(*)::INTEGER AS n_rows FROM u""",
+        "check_score_file": f"{U} SELECT row_id, true AS same FROM s",
     }

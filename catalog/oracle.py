@@ -396,8 +396,14 @@ def session_sql() -> dict[str, str]:
       {each(SESSION.coded_categorical, "SELECT '{c}', 'not_code', n FROM " + n_bad)}) WHERE n > 0"""
     out["coercion_counts_recased"] = f"""{W} {each(SPELLED, "SELECT '{c}' AS \"column\", 'recased' AS repair, count(*) AS n FROM s")}"""
     out["validate_sessions"] = f"WITH {damaged()} SELECT rule, field, count(*) AS n FROM problems GROUP BY ALL"
-    out["quarantined_rows"] = f"""WITH {damaged()} SELECT row_id, count(*)::INTEGER AS n_problems
-      FROM problems GROUP BY row_id"""
+    out["quarantined_rows"] = f"WITH {damaged()} SELECT row_id, rule, field FROM problems"
+    tables = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+    out["refusals"] = " UNION ALL ".join(
+        f"""SELECT '{t}' AS source, 'no column for 17 required field(s)' AS alignment,
+        'missing 17 required column(s)' AS scoring, count(*) AS n_columns
+        FROM (SELECT * FROM (SELECT unnest(map_keys(CAST(json(to_json(x)) AS MAP(VARCHAR, JSON)))) FROM (SELECT * FROM {t} LIMIT 1) x))"""
+        for t in tables
+    )
     out["valid_rows"] = f"WITH {damaged()} SELECT row_id FROM s WHERE row_id NOT IN (SELECT row_id FROM problems)"
 
     spark_type = {"long": "bigint", "double": "double", "string": "string", "boolean": "boolean", "integer": "int"}
@@ -575,19 +581,26 @@ def gappy() -> str:
     return f"{SESSIONS}, gap AS (SELECT row_id, {nums}, {cats} FROM s)"
 
 
-# A number with four significant digits, whole columns as they are.
-SHOWN_AS = {
-    "ProductRelated": "CAST(ProductRelated AS VARCHAR)",
-    "ExitRates": "format('{:.4g}', ExitRates)",
-    "SpecialDay": "format('{:.4g}', SpecialDay)",
-    "TotalPages": "format('{:.4g}', TotalPages)",
-    "Region": "CAST(Region AS VARCHAR)",
-    "Month_Nov": "CASE WHEN Month = 'Nov' THEN 'Month = Nov' ELSE 'Month is ' || Month || ', not Nov' END",
-    "VisitorType_Other":
-        "CASE WHEN VisitorType = 'Other' THEN 'VisitorType = Other' ELSE 'VisitorType is ' || VisitorType || ', not Other' END",
-    "Weekend_True": "CASE WHEN Weekend THEN 'Weekend = True' ELSE 'Weekend is False, not True' END",
-    "Browser_2": "CASE WHEN Browser = 2 THEN 'Browser = 2' ELSE 'Browser is ' || Browser || ', not 2' END",
-}
+def _shown() -> dict[str, str]:
+    """What a feature means for its row: numbers with four significant digits, the rest as it is."""
+    kinds = {c: t.typeName() for c, t in SESSION.types}
+    out = {}
+    for c in (*SESSION.features, *SESSION.engineered):
+        kind = kinds.get(c, "double")
+        if kind == "double":
+            out[c] = f"format('{{:.4g}}', {c})"
+        elif kind == "boolean":
+            out[c] = f"CASE WHEN {c} THEN 'True' ELSE 'False' END"
+        else:
+            out[c] = f"CAST({c} AS VARCHAR)"
+    for slot in (
+        "Month_Nov", "Month_Feb", "VisitorType_Other", "VisitorType_New_Visitor", "Weekend_True", "Weekend_False",
+        "OperatingSystems_1", "Browser_2", "Region_3", "TrafficType_4",
+    ):
+        c, level = slot.split("_", 1)
+        out[slot] = f"""CASE WHEN {out[c]} = '{level}' THEN '{c} = ' || {out[c]}
+          ELSE '{c} is ' || {out[c]} || ', not {level}' END"""
+    return out
 
 
 def model_sql() -> dict[str, str]:
@@ -607,8 +620,35 @@ def model_sql() -> dict[str, str]:
         f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 4) AS {c}" for c in NUM
     ) + " FROM e, m"
     out["contribution_source"] = f"{U} " + " UNION ALL ".join(
-        f"SELECT row_id, '{f}' AS feature, {sql} AS shown FROM e" for f, sql in SHOWN_AS.items()
+        f"SELECT row_id, '{f}' AS feature, {sql} AS shown FROM e" for f, sql in _shown().items()
+    )
+    text = {c: (f"CASE WHEN {c} THEN 'True' ELSE 'False' END" if c == "Weekend" else f"CAST({c} AS VARCHAR)") for c in CAT}
+    levels = " UNION ALL ".join(
+        f"""SELECT {i} AS turn, '{c}' AS "column", level, row_number() OVER (ORDER BY level) - 1 AS position
+        FROM (SELECT DISTINCT {text[c]} AS level FROM e)""" for i, c in enumerate(CAT)
+    )
+    numbers = ", ".join(f"({i}, '{c}')" for i, c in enumerate(ALL_NUM))
+    named = f"""lv AS ({levels}),
+      sl AS (SELECT slot, feature, NULL::VARCHAR AS "column", NULL::VARCHAR AS level FROM (VALUES {numbers}) t(slot, feature)
+        UNION ALL SELECT {len(ALL_NUM)} + row_number() OVER (ORDER BY turn, position) - 1, "column" || '_' || level, "column", level
+        FROM lv)"""
+    out["fitted_levels"] = f"""{U}, {named} SELECT "column", position::INTEGER AS position, level FROM lv"""
+    out["feature_names"] = f"{U}, {named} SELECT slot::INTEGER AS slot, feature FROM sl"
+    scaled = " UNION ALL ".join(
+        f"""SELECT row_id, {i} AS slot, ({c}::DOUBLE - (SELECT avg({c}::DOUBLE) FROM e))
+        / (SELECT coalesce(nullif(stddev_pop({c}::DOUBLE), 0), 1) FROM e) AS x FROM e""" for i, c in enumerate(ALL_NUM)
     )
+    marked = " UNION ALL ".join(
+        f"""SELECT row_id, slot, (level = {text[c]})::INTEGER::DOUBLE FROM e JOIN sl ON "column" = '{c}'""" for c in CAT
+    )
+    out["feature_vector"] = f"""{U}, {named} SELECT row_id, slot::INTEGER AS slot, round(x, 6) + 0.0::DOUBLE AS value
+      FROM ({scaled} UNION ALL {marked})"""
+    kept = ", ".join(c for c in SESSION.features if c not in ("PageValues", "Month"))
+    out["drop_features"] = f"{U} SELECT row_id, {kept} FROM e"
+    out["sample_params"] = """SELECT c AS inverse_strength, l AS l1_share FROM
+      (VALUES (0.01::DOUBLE), (0.1), (0.5), (1.0), (5.0), (10.0)) a(c), (VALUES (0.0::DOUBLE), (1.0)) b(l)"""
+    for name in ("linear", "trees"):
+        out[f"check_importance_{name}"] = f"{U}, {named} SELECT feature, true AS fine FROM sl"
     out["sensitivity_grid"] = f"{U}, r AS (" + each(
         NUM,
         """SELECT '{c}' AS "column", coalesce(nullif(quantile_cont({c}::DOUBLE, 0.99), 0),
@@ -680,6 +720,25 @@ def run_sql() -> dict[str, str]:
     }
 
 
+def profile_sql(sessions: dict[str, str]) -> str:
+    """The four tables of the input profile as rows (source, row, field, value)."""
+    number = lambda c: f'round("{c}", 4)::DECIMAL(30,4)::VARCHAR'
+    plain = lambda c: f'CAST("{c}" AS VARCHAR)'
+    doubles = {"min", "max", "median", "mean", "p99", "step", "share_pct", "conversion_pct", "baseline_pct", *NUM}
+    parts = {
+        "numeric_ranges": ("""'/' || "column" """, ("min", "max", "median", "mean", "p99", "step", "decimals")),
+        "category_levels": ("""'/' || "column" || '/' || position""", ("level",)),
+        "segment_presets": ("'/' || segment", ("n_sessions", "share_pct", *NUM, *CAT)),
+        "baseline_rate": ("''", ("baseline_pct", "n_sessions")),
+    }
+    tables = ", ".join(f"t_{name} AS MATERIALIZED ({sessions[name]})" for name in parts)
+    rows = " UNION ALL ".join(
+        f"""SELECT '{name}' AS source, {row} AS row, '{c}' AS field, {number(c) if c in doubles else plain(c)} AS value FROM t_{name}"""
+        for name, (row, fields) in parts.items() for c in fields
+    )
+    return f"WITH {tables} {rows}"
+
+
 def source_sql(sessions: dict[str, str], history: dict[str, str]) -> dict[str, str]:
     """Round trips through files give what the operator itself gives."""
     P = f"WITH {PAIRS}"
@@ -687,7 +746,8 @@ def source_sql(sessions: dict[str, str], history: dict[str, str]) -> dict[str, s
         "read_sessions": f"WITH {SESSIONS} SELECT {COLS} FROM s",
         "read_upload": sessions["align_broken_numbers"],
         "read_runs": history["classify_runs"],
-        "read_profile": sessions["numeric_ranges"],
+        "read_wide_runs": f"SELECT DISTINCT * EXCLUDE (run_id) FROM ({history['runs_wide']})",
+        "read_profile": profile_sql(sessions),
         "write_json": sessions["outliers"],
         "model_card": f"""{P}, {sweep('p')},
           b AS (SELECT * FROM sweep ORDER BY f1 DESC, threshold LIMIT 1)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickscore.contract import SESSION
@@ -35,6 +36,9 @@ from clickscore.sources.models import load_model, model_card, read_cards, save_m
 from clickscore.sources.writers import append_rows, write_json, write_scored, write_table
 from clickscore.streaming import scoring as K
 
+# The supplied tables that take no part in the text operators.
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
 # The spellings the text categories are brought to.
 SPELLINGS = {
     "Month": ["Feb", "Mar", "May", "June", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"],
@@ -210,6 +214,23 @@ def session_queries() -> dict[str, Query]:
             upload(style)(spark, folder), levels=SPELLINGS
         ).coercion_counts()
 
+    def refused(spark: SparkSession, folder: str) -> DataFrame:
+        """Every supplied table as an upload: refused by name, and what scoring misses."""
+        rows = []
+        for name in TABLES:
+            table = src.read_table(spark, folder, name)
+            said, missing = "", ""
+            try:
+                C.match_columns(table.columns, allow_positional=False)
+            except ValueError as exc:
+                said = str(exc)
+            try:
+                C.require_columns(table)
+            except ValueError as exc:
+                missing = str(exc)
+            rows.append((name, said.split(":")[0], missing.split(":")[0], len(table.columns)))
+        return spark.createDataFrame(rows, "source string, alignment string, scoring string, n_columns bigint")
+
     validated = _on(damaged_sessions, V.validate_sessions)
     return {
         "sessions": sessions,
@@ -233,7 +254,8 @@ def session_queries() -> dict[str, Query]:
         "coercion_counts_recased": notes("recased"),
         "validate_sessions": _on(validated, V.problem_counts),
         "quarantined_rows": _on(validated, lambda d: V.quarantined_rows(d).select(
-            "row_id", F.size("problems").alias("n_problems"))),
+            "row_id", F.inline("problems"))),
+        "refusals": refused,
         "valid_rows": _on(validated, lambda d: V.valid_rows(d).select("row_id")),
         "quality": _on(sessions, lambda d: Dp.quality(d, SESSION.columns)),
         "null_total": _on(sessions, lambda d: Dp.null_total(d, SESSION.columns)),
@@ -323,9 +345,10 @@ def _scored_stream(spark: SparkSession, folder: str, history: bool) -> DataFrame
     return spark.read.parquet(sink).select("row_id", *Sc.SCORE_COLUMNS)
 
 
-SOURCE_FEATURES = (
-    "ProductRelated", "ExitRates", "SpecialDay", "TotalPages", "Month_Nov", "VisitorType_Other",
-    "Weekend_True", "Browser_2", "Region",
+# Every field, every derived feature and one-hot slots of every category.
+SLOTS = (
+    "Month_Nov", "Month_Feb", "VisitorType_Other", "VisitorType_New_Visitor", "Weekend_True", "Weekend_False",
+    "OperatingSystems_1", "Browser_2", "Region_3", "TrafficType_4",
 )
 
 
@@ -362,6 +385,13 @@ def model_queries() -> dict[str, Query]:
         found = L.tune(name, L.candidates(rows.count())[name], rows, parallelism=4)
         return L.tuning_table([found], spark).select("model", "baseline_pr_auc", "tuned_pr_auc", "improvement")
 
+    def drawn(spark: SparkSession, folder: str) -> DataFrame:
+        """Draws without replacement: as many as the grid has points give the whole grid."""
+        n = training_rows(spark, folder).count()
+        settings = E.sample_params(L.candidates(n)["Logistic Regression"].grid, 30)
+        rows = [(round(1.0 / (s["regParam"] * n), 6), s["elasticNetParam"]) for s in settings]
+        return spark.createDataFrame(rows, "inverse_strength double, l1_share double")
+
     def imputed(op, columns) -> Query:
         return _on(gappy_sessions, lambda d: op(d, columns).select("row_id", *columns))
 
@@ -376,9 +406,13 @@ def model_queries() -> dict[str, Query]:
         ),
         "feature_vector": with_model(
             lambda d, m: L.transform_rows(d, m).select(
-                F.col("_row.row_id").alias("row_id"), vector_to_array("features").alias("features")
-            )
+                F.col("_row.row_id").alias("row_id"), F.posexplode(vector_to_array("features")).alias("slot", "x")
+            ).select("row_id", "slot", F.round("x", 6).alias("value"))
+        ),
+        "drop_features": _on(
+            once, lambda d: d.select("row_id", *SESSION.without("PageValues", "Month", "TotalPages").features)
         ),
+        "sample_params": drawn,
         "feature_names": lambda spark, folder: spark.createDataFrame(
             [(i, n) for i, n in enumerate(L.feature_names(fitted(spark, folder)))], "slot int, feature string"
         ),
@@ -401,7 +435,7 @@ def model_queries() -> dict[str, Query]:
         "contribution_source": _on(
             once,
             lambda d: X.with_contribution_source(
-                d.withColumn("feature", F.explode(F.lit(list(SOURCE_FEATURES))))
+                d.withColumn("feature", F.explode(F.lit([*SESSION.features, *SESSION.engineered, *SLOTS])))
             ).select("row_id", "feature", "shown"),
         ),
         "sensitivity_grid": _on(once, lambda d: X.sensitivity_grid(Dp.numeric_ranges(d))),
@@ -457,6 +491,26 @@ def recorded_runs(spark: SparkSession, folder: str) -> DataFrame:
 # --- sources and sinks, each as a round trip through files ----------------------------------
 
 
+def _tall(tables: dict[str, DataFrame]) -> DataFrame:
+    """The stored profile's tables as rows (table, row, field, value), numbers in four decimals."""
+    keys = {"numeric_ranges": ["column"], "category_levels": ["column", "position"], "segment_presets": ["segment"], "baseline_rate": []}
+
+    def text(df: DataFrame, c: str) -> Column:
+        kind = dict(df.dtypes)[c]
+        if kind == "double":
+            return F.round(c, 4).cast("decimal(30,4)").cast("string")
+        return F.col(c).cast("string")
+
+    parts = []
+    for name, df in tables.items():
+        own = F.concat_ws("/", F.lit(""), *[F.col(k).cast("string") for k in keys[name]])
+        cells = F.array(*[
+            F.struct(F.lit(c).alias("field"), text(df, c).alias("value")) for c in df.columns if c not in keys[name]
+        ])
+        parts.append(df.select(F.lit(name).alias("source"), own.alias("row"), F.inline(cells)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def source_queries() -> dict[str, Query]:
     def sessions_file(spark: SparkSession, folder: str) -> DataFrame:
         path = write_table(sessions(spark, folder), work_folder(spark, "table"), "sessions.csv", "csv")
@@ -478,8 +532,7 @@ def source_queries() -> dict[str, Query]:
     def stored_profile(spark: SparkSession, folder: str) -> DataFrame:
         place = work_folder(spark, "profile")
         write_input_profile(sessions(spark, folder), place)
-        ranges = readers.read_profile(spark, place)["numeric_ranges"]
-        return ranges.withColumns({c: F.round(c, 6) for c in ("median", "p99")})
+        return _tall(readers.read_profile(spark, place))
 
     def stored_runs(spark: SparkSession, folder: str) -> DataFrame:
         path = append_rows(runs(spark, folder), work_folder(spark, "runs") + ".parquet")

@@ -214,12 +214,31 @@ def global_contribution(
 # --- readable origin of a contribution ---------------------------------------------------
 
 
+def _product_less(a: Column, b: Column, c: Column) -> Column:
+    """a * b - c to full precision, for a product near c: the rounding error is added back."""
+
+    def halves(v: Column) -> tuple[Column, Column]:
+        wide = v * F.lit(134217729.0)  # 2**27 + 1 splits a double into two halves
+        high = wide - (wide - v)
+        return high, v - high
+
+    p = a * b
+    (ah, al), (bh, bl) = halves(a), halves(b)
+    return (p - c) + (((ah * bh - p) + ah * bl + al * bh) + al * bl)
+
+
 def short_number(c: Column) -> Column:
     """At most four significant digits, the way ``%.4g`` prints them."""
     x = c.cast("double")
     five = F.format_string("%.4e", x)
-    # Exactly half way after an even digit: the fifth digit is dropped, not rounded up.
-    stays = (five.try_cast("double") == x) & five.rlike("[02468]5e")
+    # Five digits that end in 5 look like a tie, but the double may lie on either side of it: below
+    # it, or exactly on it after an even digit, the fifth digit is dropped, not rounded up.
+    digits = F.abs(F.regexp_replace(F.split_part(five, F.lit("e"), F.lit(1)), r"\.", "").try_cast("double"))
+    places = F.lit(4) - F.split_part(five, F.lit("e"), F.lit(2)).try_cast("int")
+    tens = F.try_element_at(double_array([10.0**k for k in range(16)]), places + 1)
+    past = F.when(places.between(0, 15), _product_less(F.abs(x), tens, digits)).otherwise(F.lit(0.0))
+    looks = (five.try_cast("double") == x) & five.rlike("5e")
+    stays = looks & ((past < 0) | ((past == 0) & five.rlike("[02468]5e")))
     text = F.when(stays, F.regexp_replace(five, "5e", "e")).otherwise(F.format_string("%.3e", x))
     power = F.split_part(text, F.lit("e"), F.lit(2))
     plain = power.try_cast("int").between(-4, 3)

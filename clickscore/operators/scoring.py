@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscore.contract import DEFAULT_THRESHOLD, SESSION, Contract
@@ -13,7 +13,16 @@ from clickscore.operators.deciding import with_decisions
 from clickscore.operators.learning import fitted_levels, probability_of
 
 SCORE_COLUMNS = ("purchase_probability", "prediction", "recommendation")
-_P = "unrounded_probability"
+PROBABILITY = "unrounded_probability"
+
+
+def score_columns(p: Column, threshold: float) -> dict[str, Column]:
+    """Shown probability, label and action; both follow the unrounded probability."""
+    return {
+        "purchase_probability": F.round(p, 4),
+        "prediction": D.class_label(D.flagged(p, threshold)),
+        "recommendation": D.recommendation(p, threshold),
+    }
 
 
 def score(
@@ -27,18 +36,8 @@ def score(
     Label and action follow the unrounded probability.  A single stage: no shuffle.
     """
     require_columns(df, contract)
-    p = F.col(_P)
-    return (
-        probability_of(df, model, _P)
-        .withColumns(
-            {
-                "purchase_probability": F.round(p, 4),
-                "prediction": D.class_label(D.flagged(p, threshold)),
-                "recommendation": D.recommendation(p, threshold),
-            }
-        )
-        .drop(_P)
-    )
+    scored = probability_of(df, model, PROBABILITY)
+    return scored.withColumns(score_columns(F.col(PROBABILITY), threshold)).drop(PROBABILITY)
 
 
 def predict_sessions(

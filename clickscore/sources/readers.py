@@ -83,7 +83,11 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_wide_runs(spark: SparkSession, path: str) -> DataFrame:
-    """A wide export (``metrics.*`` and ``params.*`` columns) turned into the long form."""
+    """A wide export (``metrics.*`` and ``params.*`` columns) turned into the long form.
+
+    The export has no run ids, so a run is what shares all of its columns; the id made here
+    begins with name and start and ends with a hash of the whole row.
+    """
     empty = spark.createDataFrame([], RUN_SCHEMA)
     df = _existing(spark, path)
     if df is None:
@@ -103,7 +107,8 @@ def read_wide_runs(spark: SparkSession, path: str) -> DataFrame:
         ]
     )
     is_model = C.to_flag(F.col("is_model_run"), df.schema["is_model_run"].dataType)
-    run_id = F.concat_ws("@", "run_name", F.col("start_time").cast("string"))
+    whole = F.lower(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
+    run_id = F.concat_ws("@", "run_name", F.col("start_time").cast("string"), whole)
     head = F.struct(
         F.lit("run").alias("kind"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")
     )
