@@ -1,10 +1,12 @@
 """License scan: MinHash over overlapping text windows, then exact shingle containment.
 
 A template's five-word shingles are looked for in windows of about twice its length that
-overlap by half, so every occurrence lies whole in one window.  Windows whose MinHash agrees
-with a template's in any band are candidates; the exact share of the template's shingles
-that the window holds decides.  The number of bands follows from the lowest possible
-Jaccard similarity of a matching window, so that a match is missed with a probability below
+overlap by half.  Windows whose MinHash agrees with a template's in any band are candidates;
+around a candidate every stretch of a window's length is tried, and the exact share of the
+template's shingles that the best one holds decides.  So words put into a notice do not matter
+until they double its length, wherever it begins.  Of any such stretch one of the windows holds
+half of the matching shingles at least; the number of bands follows from the lowest Jaccard
+similarity that such a window can have, so that a match is missed with a probability below
 ``MISS``.  Texts are read in place, without a shuffle.
 """
 
@@ -25,6 +27,8 @@ from clickscore.llm.frames import small_batches
 SHINGLE = 5
 CONTAINMENT = 0.8
 MISS = 1e-4
+#: Templates of a table reach every task up to this size.
+TEMPLATE_BYTES = 16 << 20
 #: Text taken at once; the hashes of so much stay in the processor's cache.
 CHUNK_BYTES = 1 << 20
 
@@ -77,6 +81,12 @@ def bands_needed(similarity: float, miss: float = MISS) -> int:
     return 1 if similarity >= 1 else max(1, math.ceil(math.log(miss) / math.log(1 - similarity)))
 
 
+def least_similarity(size: int, window: int, containment: float = CONTAINMENT) -> float:
+    """Jaccard similarity that one window of a match has at least: it holds half of what must match."""
+    held = math.ceil(math.ceil(containment * size) / 2) if window > 1 else math.ceil(containment * size)
+    return held / (window + size - held)
+
+
 def shingle_hashes(texts: list[str]) -> list[tuple[np.ndarray, int]]:
     data, offsets = T.buffers(pa.array(texts, type=pa.large_binary()))
     w = T.words(data, offsets, T.LETTERS, T.LOWERED)
@@ -95,9 +105,7 @@ def build_scales(templates: dict[str, str], containment: float = CONTAINMENT) ->
     for power, own in sorted(groups.items()):
         stride = 1 << power
         window = 2 * stride if power else 1
-        lowest = min(
-            (math.ceil(containment * len(h)) / (window + len(h) - math.ceil(containment * len(h))) for _, h, _ in own)
-        )
+        lowest = min(least_similarity(len(h), window, containment) for _, h, _ in own)
         seeds = rng.integers(1, 2**63, bands_needed(lowest), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         table = np.zeros((len(seeds), 1 << 16), bool)
         minima, owners = [], []
@@ -139,6 +147,22 @@ def candidates(scale: Scale, hashes: np.ndarray, first: np.ndarray) -> np.ndarra
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
+def best_stretch(places: np.ndarray, values: np.ndarray, window: int) -> tuple[int, int, int]:
+    """Most different values within ``window`` places, and where that stretch begins and ends; the first such."""
+    best, held, left = (0, 0, 0), {}, 0
+    at, what = places.tolist(), values.tolist()
+    for right, value in enumerate(what):
+        held[value] = held.get(value, 0) + 1
+        while at[right] - at[left] >= window or held[what[left]] > 1 and left < right:
+            held[what[left]] -= 1
+            if not held[what[left]]:
+                del held[what[left]]
+            left += 1
+        if len(held) > best[0]:
+            best = (len(held), at[left], at[right] + 1)
+    return best
+
+
 def matches(scales: list[Scale], hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, str, int, int, float]]:
     """Verified (row, template, first shingle, end shingle, containment), best per place."""
     found = []
@@ -146,11 +170,13 @@ def matches(scales: list[Scale], hashes: np.ndarray, first: np.ndarray) -> list[
         for begin, owner in candidates(scale, hashes, first).tolist():
             name, wanted, _ = scale.templates[owner]
             row = int(np.searchsorted(first, begin, side="right")) - 1
-            own = hashes[begin : min(begin + scale.window, first[row + 1])]
+            low = max(int(first[row]), begin - scale.window + 1)
+            own = hashes[low : min(begin + 2 * scale.window - 1, int(first[row + 1]))]
             here = np.flatnonzero(np.isin(own, wanted))
-            share = len(np.unique(own[here])) / len(wanted)
+            n, start, end = best_stretch(here, own[here], scale.window)
+            share = n / len(wanted)
             if share >= CONTAINMENT:
-                found.append((row, name, int(begin - first[row] + here[0]), int(begin - first[row] + here[-1] + 1), share))
+                found.append((row, name, low + start - int(first[row]), low + end - int(first[row]), share))
     # Overlapping windows find one occurrence twice: the fuller one stays.
     out: list[tuple[int, str, int, int, float]] = []
     for m in sorted(found, key=lambda m: (m[0], m[1], m[2], -m[4])):
@@ -178,17 +204,31 @@ def scan_batches(batches: Iterator[pa.RecordBatch], scales: list[Scale]) -> Iter
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=["doc_id", "matches"])
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def template_texts(table: DataFrame, most: int = TEMPLATE_BYTES) -> dict[str, str]:
+    """Names and texts of a table of licence templates (``name``, ``text``), bounded by its measured size.
+
+    Of rows that share a name the first text in order counts; NULL names or texts are left out.
+    """
+    rows = table.filter("name IS NOT NULL AND text IS NOT NULL").groupBy("name").agg(F.min("text").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
+    if size > most:
+        raise ValueError(f"the templates take {size} bytes, more than {most}: scan with parts of them")
+    return {r["name"]: r["text"] for r in rows.orderBy("name").collect()}
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES) -> DataFrame:
     """``doc_id`` and the verified ``matches`` of each row, in text order.
 
-    Words are letters and digits, A-Z lower-cased; a match holds at least 0.8 of the
-    template's distinct five-word shingles within a window.  Templates of fewer than five
-    words have no shingle and never match.  NULL and empty texts have no matches; repeated
+    ``templates`` are names and texts, or a table of them (see ``template_texts``); the default
+    are the notices that the module lists.  Words are letters and digits, A-Z lower-cased; a
+    match holds at least 0.8 of the template's distinct five-word shingles within some stretch
+    of a window's length (one to two times the template's, rounded up to a power of two).
+    Templates of fewer than five words have no shingle and never match.  NULL and empty texts have no matches; repeated
     rows get equal results; texts of any length are scanned whole; an empty table gives an
     empty result.  Only ``doc_id`` and ``text`` are read.
     """
     small_batches(docs.sparkSession)
-    scales = build_scales(templates)
+    scales = build_scales(template_texts(templates) if isinstance(templates, DataFrame) else templates)
     return docs.select("doc_id", "text").mapInArrow(
         lambda it: scan_batches(it, scales), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, matches {MATCH}"
     )

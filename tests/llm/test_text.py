@@ -261,13 +261,14 @@ def test_warc_files(spark, tmp_path):
 
 
 def plain_licenses(text):
-    """Templates whose shingles some stretch of the text holds to 80 per cent."""
+    """Templates whose shingles some stretch of a window's length holds to 80 per cent."""
     words = brute.LETTERS.findall((text or "").translate(brute.LOW))
     found = set()
     for name, template in licenses.TEMPLATES.items():
         t = brute.LETTERS.findall(template.translate(brute.LOW))
         wanted = {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
-        size = len(t) - 4
+        power = max(len(t) - 5, 0).bit_length()
+        size = 2 << power if power else 1
         for i in range(len(words) - 4):
             own = {tuple(words[j : j + 5]) for j in range(i, min(i + size, len(words) - 4))}
             if len(own & wanted) >= 0.8 * len(wanted):
@@ -289,11 +290,43 @@ def test_license_scan(spark, rows):
     assert licenses.op10(docs.filter("doc_id < 0")).count() == 0
 
 
+def test_stretched_notices_are_found_at_every_offset():
+    """Thirty words put into the long notice, in one place, with any number of words before it."""
+    rng = random.Random(9)
+    filler = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(n))
+    own = licenses.TEMPLATES["MIT"].split()
+    scales = licenses.build_scales(licenses.TEMPLATES)
+    texts = [f"{filler(i)} {' '.join(own[:31])} {filler(30)} {' '.join(own[31:])} {filler(40)}" for i in range(130)]
+    batch = pa.record_batch({"doc_id": list(range(130)), "text": texts})
+    (made,) = licenses.scan_batches(iter([batch]), scales)
+    found = [[m["template"] for m in r["matches"]] for r in made.to_pylist()]
+    assert found == [["MIT"]] * 130
+
+
+def test_license_templates_from_a_table(spark):
+    table = spark.createDataFrame(
+        [("A", "one two three four five six seven"), ("A", "zzz"), (None, "x"), ("B", None), ("C", "too short")], "name string, text string"
+    )
+    docs = spark.createDataFrame([(1, "so one two three four five six seven it is"), (2, None)], "doc_id bigint, text string")
+    got = {r.doc_id: [m["template"] for m in r.matches] for r in licenses.scan(docs, table).collect()}
+    assert got == {1: ["A"], 2: []}
+    with pytest.raises(ValueError):
+        licenses.template_texts(table, 10)
+
+
+def test_best_stretch():
+    places, values = np.array([0, 1, 5, 6, 7, 20]), np.array([1, 2, 1, 3, 2, 9])
+    assert licenses.best_stretch(places, values, 8) == (3, 1, 7)
+    assert licenses.best_stretch(places, values, 1) == (1, 0, 1)
+    assert licenses.best_stretch(places[:0], values[:0], 4) == (0, 0, 0)
+
+
 def test_license_bands_guarantee():
     for scale in licenses.build_scales(licenses.TEMPLATES):
         for _, hashes, words in scale.templates:
             assert words - 4 <= scale.stride
             need = -(-4 * len(hashes) // 5)
+            need = -(-need // 2) if scale.window > 1 else need
             low = need / (scale.window + len(hashes) - need)
             assert (1 - min(low, 1)) ** len(scale.seeds) <= licenses.MISS
 
