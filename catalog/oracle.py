@@ -382,7 +382,8 @@ def session_sql() -> dict[str, str]:
     out["table_contract"] = f"""{W}
       SELECT 'columns_present' AS "check", '' AS expected, '' AS actual, true AS passed
       UNION ALL SELECT 'row_count', NULL, CAST(count(*) AS VARCHAR), true FROM s
-      UNION ALL SELECT 'target_rate_pct', NULL, CAST(round(100.0::DOUBLE * avg(Revenue::INTEGER), 3) AS VARCHAR), true FROM s"""
+      UNION ALL SELECT 'target_rate_pct', NULL, CAST(round(100.0::DOUBLE * avg(Revenue::INTEGER), 3) AS VARCHAR), true FROM s
+      UNION ALL SELECT 'checksum', NULL, NULL, true"""
     plain = f"{W} SELECT row_id, {as_doubles()}, {', '.join(CAT)} FROM s"
     for style in ("exact", "renamed", "anonymous", "recased", "yes_no", "decimal_codes", "padded"):
         out[f"align_{style}"] = plain
@@ -749,6 +750,7 @@ def source_sql(sessions: dict[str, str], history: dict[str, str]) -> dict[str, s
         "read_wide_runs": f"SELECT DISTINCT * EXCLUDE (run_id) FROM ({history['runs_wide']})",
         "read_profile": profile_sql(sessions),
         "write_json": sessions["outliers"],
+        "model_card_calibration": evaluation_sql()["calibration_curve"],
         "model_card": f"""{P}, {sweep('p')},
           b AS (SELECT * FROM sweep ORDER BY f1 DESC, threshold LIMIT 1)
           {" UNION ALL ".join(f"SELECT 'by_value' AS model_name, threshold AS operating_threshold, '{c}' AS cell, {c} AS n FROM b"

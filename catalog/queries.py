@@ -32,7 +32,7 @@ from clickscore.plans.profile import write_input_profile
 from clickscore.session import work_folder
 from clickscore.sources import clickstream as src
 from clickscore.sources import readers
-from clickscore.sources.models import load_model, model_card, read_cards, save_model
+from clickscore.sources.models import calibration_block, load_model, model_card, read_cards, save_model
 from clickscore.sources.writers import append_rows, write_json, write_scored, write_table
 from clickscore.streaming import scoring as K
 
@@ -214,6 +214,14 @@ def session_queries() -> dict[str, Query]:
             upload(style)(spark, folder), levels=SPELLINGS
         ).coercion_counts()
 
+    def gate(d: DataFrame) -> DataFrame:
+        """The gate with the checksum that the same rows have in another order and layout."""
+        other = V.table_contract(d.repartition(7, "Month")).filter(F.col("check") == "checksum").first()["actual"]
+        hidden = F.col("check") == "checksum"
+        return V.table_contract(d, checksum=other).select(
+            "check", *[F.when(~hidden, F.col(c)).alias(c) for c in ("expected", "actual")], "passed"
+        )
+
     def refused(spark: SparkSession, folder: str) -> DataFrame:
         """Every supplied table as an upload: refused by name, and what scoring misses."""
         rows = []
@@ -242,9 +250,7 @@ def session_queries() -> dict[str, Query]:
         "segment": _on(
             once, lambda d: B.with_segments(d).select("row_id", F.explode("segments").alias("segment"))
         ),
-        "table_contract": _on(
-            sessions, lambda d: V.table_contract(d).filter(F.col("check") != "checksum")
-        ),
+        "table_contract": _on(sessions, gate),
         **{
             f"align_{s}": aligned(s)
             for s in ("exact", "renamed", "anonymous", "recased", "yes_no", "decimal_codes",
@@ -566,8 +572,15 @@ def source_queries() -> dict[str, Query]:
             operating_threshold=t,
             metrics=G.metric_suite(scored, t).first().asDict(),
             confusion=G.confusion(scored, t).first().asDict(),
+            calibration=calibration_block(G.calibration_summary(scored), G.calibration_curve(scored)),
         ).write.parquet(path)
-        return read_cards(spark, path).select("model_name", "operating_threshold", F.explode("confusion").alias("cell", "n"))
+        return read_cards(spark, path)
+
+    def cells(spark: SparkSession, folder: str) -> DataFrame:
+        return card(spark, folder).select("model_name", "operating_threshold", F.explode("confusion").alias("cell", "n"))
+
+    def bins(spark: SparkSession, folder: str) -> DataFrame:
+        return card(spark, folder).select(F.inline("calibration.bins"))
 
     return {
         "read_sessions": sessions_file,
@@ -578,7 +591,8 @@ def source_queries() -> dict[str, Query]:
         "write_json": json_file,
         "score_file": scored_file,
         "save_load_model": saved_model,
-        "model_card": card,
+        "model_card": cells,
+        "model_card_calibration": bins,
     }
 
 

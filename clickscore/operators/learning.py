@@ -138,14 +138,16 @@ def _mode_value(level: str, dtype):
 
 
 def standard_scale(df: DataFrame, columns: Sequence[str] = SESSION.numeric) -> DataFrame:
-    """(x - mean) / population deviation; a constant column is only centred."""
-    got = df.agg(
-        *[f(F.col(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(columns)
-          for k, f in (("m", F.avg), ("s", F.stddev_pop))]
+    """(x - mean) / population deviation; a constant column is only centred.
+
+    Cells that are not finite are missing, in the statistics and in the result.
+    """
+    got = df.selectExpr(
+        *[f"{f}({number_sql(c)}) AS {k}{i}" for i, c in enumerate(columns) for k, f in (("m", "avg"), ("s", "stddev_pop"))]
     ).first()
     return df.withColumns(
         {
-            c: (F.col(c) - F.lit(got[f"m{i}"])) / F.lit(got[f"s{i}"] or 1.0)
+            c: (clean_number(F.col(c)) - F.lit(got[f"m{i}"])) / F.lit(got[f"s{i}"] or 1.0)
             for i, c in enumerate(columns)
         }
     )

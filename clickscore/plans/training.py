@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickscore.contract import DEFAULT_THRESHOLD, FOLDS, SEARCH_DRAWS, SEED, SESSION, Contract
 from clickscore.operators import cleaning, evaluation, explaining, learning, splitting
-from clickscore.sources.models import model_card
+from clickscore.sources.models import calibration_block, model_card
 
 
 @dataclass
@@ -110,6 +110,7 @@ def train(
         metrics_at_default=evaluation.metric_suite(chosen, DEFAULT_THRESHOLD).first().asDict(),
         confusion=cells,
         expected_value=value,
+        calibration=calibration_block(tables["calibration_summary"], tables["calibration_curve"]),
         comparison=_as_map(comparison, "model"),
         leakage=_as_map(leakage, "model"),
         top_features=[tuple(r) for r in importance.limit(15).collect()],

@@ -250,3 +250,9 @@ def test_leakage_arms_and_delta(training):
     assert "PageValues" not in SESSION.without("PageValues").features
     with pytest.raises(ValueError):
         SESSION.without("Nothing")
+
+
+def test_scaling_takes_infinite_cells_as_missing(spark):
+    df = frame(spark, {"PageValues": 1.0}, {"PageValues": 3.0}, {"PageValues": float("inf")}, {"PageValues": float("nan")})
+    got = [r["PageValues"] for r in L.standard_scale(df, ["PageValues"]).orderBy("row_id").collect()]
+    assert got == [-1.0, 1.0, None, None]
