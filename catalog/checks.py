@@ -6,6 +6,7 @@ row per checked row with the comparison; the SQL says for which rows it has to b
 
 from __future__ import annotations
 
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from clickscore.operators import learning as L
 from clickscore.operators import profiling as Dp
 from clickscore.operators import scoring as Sc
 from clickscore.operators import splitting as E
+from clickscore.operators.trees import SecondOrderTrees
+from clickscore.plans import training
 from clickscore.session import work_folder
 from clickscore.sources.models import load_model, save_model
 
@@ -166,6 +169,29 @@ def search(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def trained(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole training plan over the three families: one is selected, all are tested on the same rows.
+
+    The logistic family searches its whole grid; the trees are small ones, so that the plan ends soon.
+    """
+    shared = {"labelCol": L.LABEL, "weightCol": L.WEIGHT}
+    rows = Q.sessions(spark, folder)
+    linear = L.candidates(rows.count())["Logistic Regression"]
+    families = {
+        "Logistic Regression": linear,
+        "Random Forest": L.Candidate(RandomForestClassifier(numTrees=3, maxDepth=4, seed=42, **shared), {"minInstancesPerNode": [1, 4]}, "a"),
+        "Gradient Boosted Trees": L.Candidate(SecondOrderTrees(maxIter=3, maxDepth=2, **shared), {"minChildWeight": [1.0, 5.0]}, "b"),
+    }
+    got = training.train(rows, families=families, draws=2, parallelism=4, folds=2)
+    table = got.tables["model_test_comparison"].collect()  # one row per family
+    best = max(table, key=lambda r: r["pr_auc"])["model"]
+    card = got.card.first()
+    cells, sizes = sum(card["confusion"].values()), card["dataset"]
+    right = got.name == best == card["model_name"] and cells == sizes["test_rows"] == card["calibration"]["n_sessions"]
+    made = [(r["model"], right and 0 <= r["pr_auc"] <= 1, sizes["rows_used"], cells) for r in table]
+    return spark.createDataFrame(made, "model string, consistent boolean, n_rows bigint, n_test bigint")
+
+
 def scored_file(spark: SparkSession, folder: str) -> DataFrame:
     """The written file against scoring the typed sessions."""
     written = Q.all_queries()["score_file"](spark, folder)
@@ -211,6 +237,7 @@ def all_queries() -> dict:
         "check_importance_trees": importance("trees"),
         "check_search": search,
         "check_score_file": scored_file,
+        "check_train": trained,
     }
 
 
@@ -245,4 +272,7 @@ def all_sql() -> dict[str, str]:
         "check_search": f"""{U} SELECT 'Logistic Regression' AS model, true AS not_worse, true AS gain_right,
           count(*)::INTEGER AS n_rows FROM u""",
         "check_score_file": f"{U} SELECT row_id, true AS same FROM s",
+        "check_train": f"""{U} SELECT model, true AS consistent, (SELECT count(*) FROM u) AS n_rows,
+          (SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) FROM u) AS n_test
+          FROM (VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosted Trees')) t(model)""",
     }

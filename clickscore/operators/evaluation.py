@@ -382,9 +382,9 @@ def pr_points(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def _curve(df: DataFrame, by: Sequence[str], values: dict[str, Column]) -> DataFrame:
-    totals = _pairs(df, by).groupBy(*by).agg(
-        F.sum("label").alias("positives"),
-        (F.count(F.lit(1)) - F.sum("label")).alias("negatives"),
+    # From the same counts that are ranked: their exchange is reused, the rows are read once.
+    totals = score_counts(df, by).groupBy(*by).agg(
+        F.sum("pos").alias("positives"), (F.sum("n") - F.sum("pos")).alias("negatives")
     )
     ranked = _ranked(df, by)
     if by:  # one row per model

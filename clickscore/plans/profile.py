@@ -17,7 +17,10 @@ def profile_tables(df: DataFrame, contract: Contract = SESSION) -> dict[str, Dat
     describes the de-duplicated rows with derived features, which are kept once.
     """
     raw = df.select(*contract.columns)
-    clean = cleaning.add_session_features(cleaning.dedupe(raw, contract)).persist()
+    # Rows that stay differ, so a hash of the row tells them apart where values are equal.
+    clean = cleaning.add_session_features(cleaning.dedupe(raw, contract)).withColumn(
+        "row_id", F.xxhash64(*contract.columns)
+    ).persist()
     return {
         "quality": profiling.quality(raw),
         "null_total": profiling.null_total(raw),
