@@ -43,6 +43,8 @@ class Kind:
     by_start: bool  # an earlier start in the same document counts as earlier
     heavy: int = 30_000  # different segments of one anchor that one task takes
     block_bytes: int = 6 << 20
+    step_bytes: int = 4 << 20  # segments that are compared beside their anchors at once
+    chunk_bytes: int = CHUNK_BYTES
 
 
 def doc_order(doc_id: Column) -> Column:
@@ -139,7 +141,7 @@ def content_hash(unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.nd
 
 def cut_batches(batches: Iterator[pa.RecordBatch], kind: Kind, gram: int, only_keys: bool) -> Iterator[pa.RecordBatch]:
     """Segments of rows ``(doc, tag, base, body)``; ``base`` is the first unit's number."""
-    for batch, data, offsets in T.chunked(batches, "body", CHUNK_BYTES):
+    for batch, data, offsets in T.chunked(batches, "body", kind.chunk_bytes):
         unit, row, first, _, _ = kind.units(data, offsets)
         key, start, size = segments(unit, row, kind.window, gram)
         if only_keys:
@@ -166,7 +168,7 @@ def bodies_of(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
 
 def pick_batches(batches: Iterator[pa.RecordBatch], kind: Kind) -> Iterator[pa.RecordBatch]:
     """Bodies of the chosen segments of rows ``(doc, tag, body, wanted)``."""
-    for batch, data, offsets in T.chunked(batches, "body", CHUNK_BYTES):
+    for batch, data, offsets in T.chunked(batches, "body", kind.chunk_bytes):
         _, _, first, begin, end = kind.units(data, offsets)
         wanted = batch.column(3)
         row = np.repeat(np.arange(batch.num_rows), np.asarray(wanted.value_lengths()))
@@ -193,7 +195,7 @@ def judge_batches(batches: Iterator[pa.RecordBatch], kind: Kind, gram: int) -> I
     for batch in batches:
         for piece in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
             held.append(piece)
-            if sum(x.num_rows for x in held) * kind.window * 2 < CHUNK_BYTES * 8:
+            if sum(x.num_rows for x in held) * kind.window * 2 < kind.step_bytes:
                 continue
             table = pa.Table.from_batches(held)
             key = table.column(0).to_numpy()
@@ -343,7 +345,7 @@ def removed(docs: DataFrame, kind: Kind, finish: Callable, fields: str) -> DataF
 
 
 def finish_batches(batches: Iterator[pa.RecordBatch], kind: Kind, finish: Callable) -> Iterator[pa.RecordBatch]:
-    for batch, data, offsets in T.chunked(batches, "body", CHUNK_BYTES):
+    for batch, data, offsets in T.chunked(batches, "body", kind.chunk_bytes):
         _, _, first, begin, end = kind.units(data, offsets)
         lists = batch.column(2)
         row = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))

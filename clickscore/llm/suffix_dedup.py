@@ -1,16 +1,18 @@
 """Remove repeated byte strings with a collection suffix order built column by column.
 
-A block's segments are a string collection.  Round j inserts, for every string at once, the
-suffix of length j: its place follows from the rank of its first symbol in the transform of
-the round before, and the transform, the common prefixes of neighbours and the places grow
-by one symbol per string.  They live in files that each round reads and writes from start
-to end.  Neighbours that share a window's length of bytes are one group of equal windows.
+A block's segments are a string collection, read in symbols of four bytes.  A suffix and the
+one a symbol shorter belong to one chain; a string has a chain for each remainder of their
+lengths.  Round j inserts, for every chain at once, the suffix of j symbols: its place
+follows from the rank of its first symbol in the transform of the round before, and the
+transform and the common prefixes of neighbours grow by one symbol per chain.  They live in
+files that each round reads and writes from start to end.  Neighbours that share a window's
+length of bytes are one group of equal windows.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,45 +23,59 @@ from clickscore.llm import tokens as T
 from clickscore.llm.repeats import Kind, removed
 
 WINDOW = 100
+#: Bytes of a symbol; they and a length of up to 7 make a number of 64 bits.
+WIDTH = 4
 
 
 class Columns:
     """Arrays kept in files of a task's own folder, read and written whole in sequence."""
 
     def __init__(self, folder: str, **kinds: np.dtype):
-        self.folder, self.kinds, self.turn = Path(folder), kinds, dict.fromkeys(kinds, 0)
+        self.folder, self.kinds, self.turn = folder, kinds, dict.fromkeys(kinds, 0)
 
-    def path(self, name: str) -> Path:
-        return self.folder / f"{name}.{self.turn[name]}"
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}.{self.turn[name]}"
 
     def read(self, name: str) -> np.ndarray:
         return np.fromfile(self.path(name), self.kinds[name])
 
     def write(self, name: str, values: np.ndarray) -> None:
         """The next state is a file of its own; the one before goes."""
-        self.path(name).unlink(missing_ok=True)
+        if self.turn[name]:
+            os.unlink(self.path(name))
         self.turn[name] += 1
         values.astype(self.kinds[name], copy=False).tofile(self.path(name))
 
 
-def merge(old: np.ndarray, is_new: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
-    out = np.empty(len(is_new), old.dtype)
-    out[~is_new] = old
+def merge(old: np.ndarray, is_old: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.empty(len(is_old), old.dtype)
+    out[is_old] = old
     out[at] = values
     return out
 
 
-def places_in_order(symbols: np.ndarray, order: np.ndarray, less: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Where each row stands when rows are sorted by symbol."""
-    out = np.empty(len(rows), np.int64)
-    own = symbols[rows]
-    by_symbol = np.argsort(own, kind="stable")
-    edges = np.concatenate(([0], np.flatnonzero(np.diff(own[by_symbol])) + 1, [len(rows)]))
-    for a, b in zip(edges[:-1], edges[1:]):
-        group = by_symbol[a:b]
-        symbol = int(own[group[0]])
-        out[group] = less[symbol] + np.searchsorted(order[less[symbol] : less[symbol + 1]], rows[group])
-    return out
+def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code of the symbol at each byte, in symbol order; bytes and length of each code.
+
+    A symbol that reaches beyond its string is cut there and comes before all longer ones
+    that begin with it.  Code 0 is a string's end.
+    """
+    length = np.minimum(np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(data)), WIDTH).astype(np.uint64)
+    padded = np.append(data, np.zeros(WIDTH, np.uint8))
+    value = np.zeros(len(data), np.uint64)
+    for k in range(WIDTH):
+        value = value << np.uint64(8) | padded[k : k + len(data)] * (length > k)
+    values, code = np.unique(value << np.uint64(3) | length, return_inverse=True)
+    values = np.append(np.uint64(0), values)
+    return (code + 1).astype(np.uint32), values >> np.uint64(3), (values & np.uint64(7)).astype(np.int64)
+
+
+def by_symbol(transform: np.ndarray) -> np.ndarray:
+    """Rows sorted by symbol, then by row, without the ends."""
+    key = transform.astype(np.uint64) << np.uint64(32) | np.arange(len(transform), dtype=np.uint64)
+    key.sort()
+    ends = len(key) - np.count_nonzero(transform)
+    return (key[ends:] & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def collection_order(data: np.ndarray, offsets: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,46 +84,74 @@ def collection_order(data: np.ndarray, offsets: np.ndarray, cap: int) -> tuple[n
     A place is the suffix's first byte plus its string's number, so that the end of each
     string has a place too.
     """
-    size = np.diff(offsets)
-    n_strings = len(size)
-    alphabet, coded = np.unique(data, return_inverse=True)
-    kind = np.uint8 if len(alphabet) < 255 else np.uint16
-    symbol = (coded + 1).astype(kind)
-    end = offsets[1:]
+    n_strings = len(offsets) - 1
+    code, value, length = symbols(data, offsets)
+    code = np.append(code, np.uint32(0))
+    # A chain is as if its string ended so far behind its end that whole symbols remain.
+    beyond = np.repeat(np.arange(WIDTH), n_strings)
+    string = np.tile(np.arange(n_strings), WIDTH)
+    end = offsets[1:][string] + beyond
+    size = (np.diff(offsets)[string] + beyond) // WIDTH
+    n = len(size)
+
+    def symbol(chain: np.ndarray, j: int) -> np.ndarray:
+        """First symbol of each chain's suffix of ``j`` symbols, or its end."""
+        return np.where(size[chain] >= j, code[np.maximum(end[chain] - WIDTH * j, 0)], 0)
+
+    row = np.arange(n)
     with tempfile.TemporaryDirectory(prefix="columns-") as folder:
-        files = Columns(folder, transform=kind, shared=np.uint8, place=np.int32)
-        files.write("transform", np.where(size > 0, symbol[np.maximum(end - 1, 0)], 0))
-        files.write("shared", np.zeros(n_strings))
-        files.write("place", end + np.arange(n_strings))
-        row = np.arange(n_strings)
-        for length in range(1, int(size.max(initial=0)) + 1):
-            live = np.flatnonzero(size >= length)
+        files = Columns(folder, transform=np.uint32, shared=np.uint8)
+        files.write("transform", symbol(row, 1))
+        files.write("shared", np.zeros(n))
+        for j in range(1, int(size.max(initial=0)) + 1):
             transform, shared = files.read("transform"), files.read("shared")
-            order = np.argsort(transform, kind="stable")
-            less = np.concatenate(([0], np.cumsum(np.bincount(transform, minlength=len(alphabet) + 2))))
-            ends = int(less[1])
-            at = places_in_order(transform, order, less, row[live]) - ends + n_strings
-            row[live] = at
-            is_new = np.zeros(n_strings + len(transform) - ends, bool)
-            is_new[at] = True
-            before = np.where(size[live] > length, symbol[np.maximum(end[live] - length - 1, 0)], 0)
-            files.write("transform", merge(transform, is_new, at, before))
-            files.write("place", merge(files.read("place"), is_new, at, end[live] - length + live))
-            joined = merge(shared, is_new, at, np.zeros(len(at), np.uint8))
+            # The suffix at row n + i goes on at row tail[i] of the round before.
+            tail = by_symbol(transform)
+            live = np.flatnonzero(size >= j)
+            owner = np.full(len(transform), -1, np.int32)
+            owner[row[live]] = live
+            chain = owner[tail]
+            at = np.flatnonzero(chain >= 0)
+            chain, at = chain[at], at + n
+            row[chain] = at
+            is_old = np.ones(n + len(tail), bool)
+            is_old[at] = False
+            files.write("transform", merge(transform, is_old, at, symbol(chain, j + 1)))
+            joined = merge(shared, is_old, at, 0)
             # Common prefixes of pairs of neighbours of which one is new.
-            touched = is_new.copy()
-            touched[1:] |= is_new[:-1]
-            touched[: n_strings + 1] = False
+            touched = ~is_old
+            touched[1:] |= ~is_old[:-1]
+            touched[: n + 1] = False
             low = np.flatnonzero(touched)
-            left, right = order[low - 1 - n_strings + ends], order[low - n_strings + ends]
-            same = transform[left] == transform[right]
-            joined[low[~same]] = 0
+            left, right = tail[low - 1 - n], tail[low - n]
+            a, b = transform[left], transform[right]
+            same = a == b
+            joined[low[~same]] = equal_bytes(a[~same], b[~same], value, length)
             pairs = np.stack([left[same] + 1, right[same] + 1], axis=1).ravel()
             if len(pairs):
                 least = np.minimum.reduceat(np.append(shared, np.uint8(255)), pairs)[::2]
-                joined[low[same]] = np.minimum(least.astype(np.int64) + 1, cap)
+                joined[low[same]] = np.minimum(least + length[a[same]], cap)
             files.write("shared", joined)
-        return files.read("place").astype(np.int64), files.read("shared")
+        transform, shared = files.read("transform"), files.read("shared")
+    # From its end, each chain is followed through the finished order.
+    above = np.empty(len(transform), np.int64)
+    above[by_symbol(transform)] = np.arange(n, len(transform))
+    place = np.empty(len(transform), np.int64)
+    row = np.arange(n)
+    place[row] = end + string
+    for j in range(1, int(size.max(initial=0)) + 1):
+        live = np.flatnonzero(size >= j)
+        row[live] = above[row[live]]
+        place[row[live]] = end[live] - WIDTH * j + string[live]
+    one_end = np.append(np.arange(n_strings), np.arange(n, len(place)))
+    return place[one_end], shared[one_end]
+
+
+def equal_bytes(a: np.ndarray, b: np.ndarray, value: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Bytes that two symbols have in common from their beginning."""
+    apart = value[a] ^ value[b]
+    common = sum((apart < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(WIDTH))
+    return np.minimum(common, np.minimum(length[a], length[b]))
 
 
 def judge(bodies: pa.Array, doc: np.ndarray, start: np.ndarray, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +189,11 @@ def byte_units(data: np.ndarray, offsets: np.ndarray):
     return T.BYTE_MIX[data], row, offsets, begin, begin + 1
 
 
-KIND = Kind("suffixes", WINDOW, (32, 90, WINDOW), byte_units, judge, by_start=True, block_bytes=2 << 20)
+# Chunks and blocks are so small that the arrays made of them stay in a core's cache.
+KIND = Kind(
+    "suffixes", WINDOW, (32, 90, WINDOW), byte_units, judge, by_start=True,
+    block_bytes=256 << 10, step_bytes=512 << 10, chunk_bytes=128 << 10,
+)
 FIELDS = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 
 

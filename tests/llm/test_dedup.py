@@ -1,8 +1,10 @@
 """Deduplication, decontamination and the join against plain versions on odd texts."""
 
 import dataclasses
+import random
 
 import brute
+import numpy as np
 import pytest
 from llm_data import docs, nothing, rows  # noqa: F401
 from llm_same import same
@@ -27,6 +29,34 @@ def test_suffix_dedup_of_crowded_anchors(docs, rows, monkeypatch):
     same(got, brute.suffix_dedup(rows), ONE)
 
 
+def strings_of(*parts):
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int64)
+    return np.frombuffer(b"".join(parts), np.uint8), offsets
+
+
+@pytest.mark.parametrize("letters", [1, 2, 256])
+def test_suffix_order_is_the_sorted_one(letters):
+    rng = random.Random(letters)
+    parts = [bytes(rng.randrange(letters) for _ in range(n)) for n in [*range(14), 60, 60]]
+    parts += [parts[-1], parts[-2][7:], b"", parts[-2] + b"\0", parts[-1][:31] + parts[-2][31:]]
+    rows = [(i, k) for i, x in enumerate(parts) for k in range(len(x) + 1)]
+    rows.sort(key=lambda r: [(1, b) for b in parts[r[0]][r[1]:]] + [(0, r[0])])
+    suffixes = [parts[i][k:] for i, k in rows]
+    prefix = lambda a, b: next((j for j, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    data, offsets = strings_of(*parts)
+    place, shared = suffix_dedup.collection_order(data, offsets, 40)
+    assert place.tolist() == [offsets[i] + k + i for i, k in rows]
+    assert shared.tolist() == [0] + [min(40, prefix(a, b)) for a, b in zip(suffixes, suffixes[1:])]
+
+
+def test_suffix_order_takes_four_bytes_a_round(monkeypatch):
+    written = []
+    write = suffix_dedup.Columns.write
+    monkeypatch.setattr(suffix_dedup.Columns, "write", lambda self, name, values: (written.append(name), write(self, name, values)))
+    suffix_dedup.collection_order(*strings_of(b"ab" * 84, b"b" * 100), 100)
+    assert written.count("transform") <= 1 + 168 // 4
+
+
 def test_substring_dedup(docs, rows):
     same(reference_dedup.op4(docs), brute.substring_dedup(rows), FOUR)
 
