@@ -3,8 +3,9 @@
 Equal sets are collapsed first.  Light sets (up to a boundary size chosen from the cost of
 both ways on the sizes at hand) list every subset of the size that a linked pair must share.
 Heavy sets enter inverted lists of the few tokens, first in one order of all tokens, of
-which a linked pair must share one; tokens that a thousandth of the documents have come last
-in that order.  Short lists are joined, with size and position bounds, and what is left
+which a linked pair must share one; tokens that many sets would list, counted over the whole table,
+come last in that order, so that lists stay short at any number of documents.  Short lists are
+joined, with size and position bounds, and what is left
 is checked by a sketch that bounds the overlap, then exactly.  Sets that meet in a long list
 form families; a family is cut into blocks, pairs of blocks are tested inside tasks,
 and a task returns one row per set, not pairs.
@@ -51,11 +52,13 @@ class Limits:
 #: The contract of op9.
 OP9 = Limits(shingle=4, percent=85)
 
-#: A token that more than this share of the documents (and HOT_LEAST of them) lists comes last
-#: in the order of tokens.  At most (list entries per document) / HOT_SHARE tokens can be hot,
-#: whatever the input.
-HOT_SHARE = 0.0002
+#: A token that more documents than this list comes last in the order of tokens.  Where that holds
+#: for more than HOT_MOST tokens, twice the number counts, and so on: every task holds the hot ones.
 HOT_LEAST = 40
+HOT_MOST = 500_000
+#: Documents whose listed tokens one task counts, and tokens that are held before they are sent.
+COUNTED_DOCS = 5000
+HELD_TOKENS = 2_000_000
 #: Sizes for which subsets are considered at all, and what one list entry costs in subsets.
 LIGHT_LIMIT = 20
 SCAN_COST = 8
@@ -66,6 +69,7 @@ BLOCK_TOKENS = 200_000
 SKETCH = 256
 CHUNK_BYTES = 4 << 20
 
+COUNTS = "bucket int, value binary, n binary"
 PROFILE = "kind int, value bigint, n bigint"
 SETS = "doc bigint, n int, s1 bigint, s2 bigint, n_light int, keys array<bigint>, sketch binary"
 TOKENS = "doc bigint, n int, s1 bigint, s2 bigint, tokens array<bigint>"
@@ -135,31 +139,55 @@ def identity(token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return T.mix(sums(T.mix(token), first)).view(np.int64), T.mix(sums(T.mix(salted), first)).view(np.int64)
 
 
-def profile_batches(batches: Iterator[pa.RecordBatch], lim: Limits) -> Iterator[pa.RecordBatch]:
-    """Set sizes, and tokens that are frequent among the lists of one task's documents.
-
-    A token frequent over all is frequent in one task at least.
-    """
+def profile_batches(batches: Iterator[pa.RecordBatch], buckets: int, lim: Limits) -> Iterator[pa.RecordBatch]:
+    """Set sizes (bucket -1), and the listed tokens of a task's documents with counts, by hash buckets."""
     sizes = np.zeros(LIGHT_LIMIT * 2 + 1, np.int64)
-    docs, held, seen = 0, [], np.zeros(0, np.int64)
+    held: list[np.ndarray] = []
+
+    def rows(bucket: list[int], value: list[np.ndarray], n: list[np.ndarray]) -> pa.RecordBatch:
+        cells = [pa.array([x.astype(np.int64).tobytes() for x in c], pa.binary()) for c in (value, n)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), *cells], names=["bucket", "value", "n"])
+
+    def counted() -> pa.RecordBatch:
+        tokens, count = np.unique(np.concatenate(held), return_counts=True)
+        bucket = (tokens % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        used, first = np.unique(bucket[by], return_index=True)
+        parts = (np.split(x[by], first[1:]) for x in (tokens.view(np.int64), count))
+        return rows(used.tolist(), *parts)
+
     for _, data, offsets in T.chunked(batches, size=CHUNK_BYTES):
         token, first = sets_of(data, offsets, lim.shingle)
         n = np.diff(first)
-        docs += len(n)
         sizes += np.bincount(n[n < len(sizes)], minlength=len(sizes))
         fresh = np.setdiff1d(np.unique(identity(token, first)[0], return_index=True)[1], np.flatnonzero(n == 0))
         held.append(token[T.spread(first[fresh], listed(n[fresh], lim))])
-    tokens, count = np.unique(np.concatenate(held) if held else seen.view(np.uint64), return_counts=True)
-    often = np.flatnonzero(count > max(1, docs * HOT_SHARE))
+        if sum(map(len, held)) > HELD_TOKENS:
+            yield counted()
+            held.clear()
+    if sum(map(len, held)):
+        yield counted()
     used = np.flatnonzero(sizes)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate((np.zeros(len(used)), np.ones(len(often)))).astype(np.int32)),
-            pa.array(np.concatenate((used, tokens[often].view(np.int64))).astype(np.int64)),
-            pa.array(np.concatenate((sizes[used], count[often])).astype(np.int64)),
-        ],
-        names=["kind", "value", "n"],
-    )
+    if len(used):
+        yield rows([-1], [used], [sizes[used]])
+
+
+def profile_counts(table: pa.Table, least: int) -> pa.Table:
+    """One bucket's numbers added up: set sizes (kind 0), or tokens that more than ``least`` documents list (kind 1)."""
+    value, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("value", "n"))
+    value, at = np.unique(value, return_inverse=True)
+    total = np.zeros(len(value), np.int64)
+    np.add.at(total, at, n)
+    kind = int(table.column("bucket")[0].as_py() >= 0)
+    kept = total > least * kind
+    return pa.table({"kind": np.full(kept.sum(), kind, np.int32), "value": value[kept], "n": total[kept]})
+
+
+def hot_cut(often: DataFrame) -> int:
+    """The least of ``HOT_LEAST`` and its doubles that at most ``HOT_MOST`` tokens exceed."""
+    level = F.length(F.bin(F.floor((F.col("n") - 1) / HOT_LEAST).cast("long")))  # n > HOT_LEAST * 2 ** (level - 1)
+    found = {r["level"]: r["count"] for r in often.groupBy(level.alias("level")).count().collect()}  # a row per level
+    return next(HOT_LEAST << x for x in range(64) if sum(k for at, k in found.items() if at > x) <= HOT_MOST)
 
 
 def subset_keys(token: np.ndarray, first: np.ndarray, rows: np.ndarray, lim: Limits) -> tuple[np.ndarray, np.ndarray]:
@@ -319,11 +347,13 @@ def classes(docs: DataFrame, lim: Limits) -> DataFrame:
     base = docs.select(doc_order(F.col("doc_id")).alias("doc"), "text")
     text = base.select("doc", "text")
 
-    profile = stored(text.mapInArrow(lambda it: profile_batches(it, lim), PROFILE).groupBy("kind", "value").agg(F.sum("n").alias("n")), "profile")
-    n_docs = docs.count()
+    buckets, least = 1 + docs.count() // COUNTED_DOCS, HOT_LEAST
+    counts = text.mapInArrow(lambda it: profile_batches(it, buckets, lim), COUNTS)
+    profile = stored(counts.groupBy("bucket").applyInArrow(lambda t: profile_counts(t, least), PROFILE), "profile")
     sizes = {r["value"]: r["n"] for r in profile.filter("kind = 0").toLocalIterator()}
-    often = profile.filter((F.col("kind") == 1) & (F.col("n") > max(HOT_LEAST, n_docs * HOT_SHARE))).select("value")
-    hot = np.sort(np.array([r[0] for r in often.toLocalIterator()], np.int64).view(np.uint64))
+    often = profile.filter("kind = 1")
+    most = often.filter(F.col("n") > hot_cut(often)).select("value")  # HOT_MOST rows at most
+    hot = np.sort(np.array([r[0] for r in most.toLocalIterator()], np.int64).view(np.uint64))
     light = boundary(sizes, lim)
 
     sets = text.mapInArrow(lambda it: set_batches(it, hot, light, lim), SETS)
@@ -334,8 +364,8 @@ def classes(docs: DataFrame, lim: Limits) -> DataFrame:
         ).withColumn("node", F.monotonically_increasing_id()),  # several sets may have one rep
         "sets",
     )
-    entries = reps.select("node", "n", "s1", "n_light", F.posexplode("keys").alias("at", "key")).select(
-        "node", "n", "s1", (F.col("at") - F.col("n_light")).alias("at"), "key"
+    entries = reps.select("node", "n", "n_light", F.posexplode("keys").alias("at", "key")).select(
+        "node", "n", (F.col("at") - F.col("n_light")).alias("at"), "key"
     )
     shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k >= 2"), "shared-keys")
     rows = stored(entries.join(shared, "key"), "lists")
@@ -403,8 +433,8 @@ def identity_batches(batches: Iterator[pa.RecordBatch], lim: Limits) -> Iterator
 
 def short_pairs(rows: DataFrame, lim: Limits) -> DataFrame:
     """Pairs of sets in one list that sizes and places allow to link."""
-    a = rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("s1").alias("sa"))
-    b = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("s1").alias("sb"))
+    a = rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"))
+    b = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"))
     # Before the first shared token of a list none is shared, so the rest bounds the overlap.
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     return (
