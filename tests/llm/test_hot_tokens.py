@@ -3,6 +3,8 @@
 import random
 
 import brute
+import corpus_pipeline
+import pytest
 from llm_data import sentence
 from llm_same import same
 
@@ -35,3 +37,17 @@ def test_hot_tokens_are_bounded(spark, monkeypatch):
         monkeypatch.setattr(jaccard_join, "HOT_MOST", most)
         assert jaccard_join.hot_cut(often) == cut, most
         assert sum(r.n > cut for r in often.collect()) <= most
+
+
+def test_near_copies_of_common_phrases_make_no_families(spark, monkeypatch):
+    """The same for the pipeline's stage: five words, 0.8."""
+    monkeypatch.setattr(jaccard_join, "SHORT_LIST", 10)
+    monkeypatch.setattr(jaccard_join, "HOT_LEAST", 6)
+    monkeypatch.setattr(jaccard_join, "families", lambda long_rows: pytest.fail("a long list"))
+    rng = random.Random(6)
+    phrase = sentence(rng, 20)
+    rows = [(i, f"{sentence(rng, 40)} {phrase} {sentence(rng, 40)}") for i in range(30)]
+    rows.append((100, rows[3][1] + " more"))
+    made = spark.sparkContext.parallelize(rows, len(rows)).toDF("doc_id bigint, text string")
+    kept = corpus_pipeline.near_copies(spark, made, "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(30))
