@@ -83,15 +83,16 @@ def anchors_of(blocks: DataFrame, n_anchor: int) -> DataFrame:
 def block_pairs(blocks: DataFrame, n: int, anchors: DataFrame) -> DataFrame:
     """Every block of vectors beside every block of anchors of its dimension.
 
-    Anchor blocks are repeated once per deal of blocks, of which there are as many as shuffle
-    partitions at most, not once per block.
+    Anchor blocks are repeated once per deal of blocks, not once per block.  There are as many deals as
+    shuffle partitions at most, and as make the repeated anchors as many as the vectors.  Spark takes
+    the repeated anchors for as small as they are once and would broadcast them, so both sides are shuffled.
     """
-    deals = min(n, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    deals = min(n, ANCHOR_STEP, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     own = [c for c in anchors.columns if c not in ("dim", "part")]
     groups = anchors.groupBy("dim", "part").agg(F.collect_list(F.struct(*own)).alias("anchors"))
     dealt = groups.select("dim", "anchors", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
     left = blocks.select("dim", "rows", (F.col("block") % deals).cast("int").alias("deal")).repartition(deals, "dim", "deal")
-    return left.join(dealt, ["dim", "deal"]).select("rows", "anchors")
+    return left.join(dealt.hint("merge"), ["dim", "deal"]).select("rows", "anchors")
 
 
 def _matrix(rows: pa.StructArray, name: str = "q") -> np.ndarray:

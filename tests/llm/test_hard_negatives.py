@@ -92,3 +92,12 @@ def test_hard_negatives_sql(spark):
     folder = "/root/testdata/sf0.001"
     got = H.op13(spark.read.parquet(f"{folder}/embeddings.parquet"))
     assert difference(got, duck(folder), H.SQL) is None
+
+
+def test_repeated_anchors_are_not_broadcast(spark, monkeypatch):
+    """Anchors times deals grow with the square of the rows, which Spark's estimate does not see."""
+    monkeypatch.setattr(H, "BLOCK", 16)
+    blocks, n, n_anchor = H.packed(H.usable(table(spark, vectors(300))))
+    joined = H.block_pairs(blocks, n, H.anchors_of(blocks, n_anchor))
+    assert n > 10 and joined.count() > 10
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
