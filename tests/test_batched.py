@@ -82,3 +82,14 @@ def test_converged_model_is_a_plain_model(spark, training, tmp_path):
     rows = training.limit(50)
     first, second = (L.probability_of(rows, m).orderBy("row_id").collect() for m in (model, again))
     assert [r["probability"] for r in first] == [r["probability"] for r in second]
+
+
+def test_curvature_is_the_weighted_product_of_slots(monkeypatch):
+    monkeypatch.setattr(B, "ROWS_AT_ONCE", 7)
+    rng = np.random.default_rng(1)
+    ones, weight = rng.normal(size=(23, 5)), rng.random((23, 3))
+    weight[::4] = 0
+    got = B._curvature(ones, weight)
+    assert np.array_equal(got, got.transpose(0, 2, 1))
+    assert np.allclose(got, [(ones * weight[:, k : k + 1]).T @ ones for k in range(3)], rtol=1e-13, atol=1e-13)
+    assert not B._curvature(ones[:0], weight[:0]).any()
